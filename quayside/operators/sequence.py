@@ -11,9 +11,12 @@ computes the same numbers in three distributed steps:
 3. a running sum over that small table gives each slice's starting number;
    rows get ``start + (id - first id)``.
 
-The self-join re-uses the same range exchange (one shuffle of the data). The
-stats side is broadcast only when ``slices * max_groups`` is within
-``broadcast_rows``; otherwise it is a regular shuffled join.
+The numbered frame is written once with ``checkpoint()`` (to the shared
+``spark.checkpoint.dir``): ids depend on the physical layout, so both sides
+of the join - and any task retried after an executor loss - must read the same
+materialised rows rather than re-run the range shuffle. The stats side is
+broadcast only when ``slices * max_groups`` is within ``broadcast_rows``;
+otherwise it is a regular shuffled join.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import checkpoint_root
+
 
 def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col: str,
                    slices: int | None = None, max_groups: int = 1024,
@@ -31,6 +36,8 @@ def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col
                 .sortWithinPartitions(group_col, *order_cols)
                 .withColumn("_slice", F.spark_partition_id())
                 .withColumn("_rid", F.monotonically_increasing_id()))
+    checkpoint_root(spark)
+    ranged = ranged.checkpoint(eager=True)
     stats = ranged.groupBy("_slice", group_col).agg(F.min("_rid").alias("_first"),
                                                     F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,3 +48,27 @@ def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col
     joined = ranged.join(stats, ["_slice", group_col])
     return (joined.withColumn(out_col, F.col("_start") + F.col("_rid") - F.col("_first"))
                   .drop("_slice", "_rid", "_first", "_start"))
+
+
+def running_max_before(df: DataFrame, group_col: str, order_col: str, value_col: str, out_col: str,
+                       slice_size: int = 1_000_000) -> DataFrame:
+    """``max(value) OVER (PARTITION BY g ORDER BY o ROWS UNBOUNDED PRECEDING TO 1 PRECEDING)``
+    for an integral, dense-ish order column (a Kafka offset), without one task
+    per group.
+
+    Rows are cut into slices of ``slice_size`` consecutive order values. The
+    running max inside a slice is a window over (g, slice) - at most
+    ``slice_size`` rows each; the carry-in from earlier slices is a running max
+    over the per-slice maxima, a table of (rows / slice_size) + groups rows,
+    small enough to broadcast by construction.
+    """
+    sliced = df.withColumn("_slice", F.floor(F.col(order_col) / F.lit(slice_size)))
+    per_slice = sliced.groupBy(group_col, "_slice").agg(F.max(value_col).alias("_slice_max"))
+    earlier = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_slice.select(group_col, "_slice", F.max("_slice_max").over(earlier).alias("_carry"))
+    inside = Window.partitionBy(group_col, "_slice").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = sliced.withColumn("_local", F.max(value_col).over(inside))
+    out = local.join(F.broadcast(carry), [group_col, "_slice"], "left")
+    best = F.when(F.col("_carry").isNull(), F.col("_local")).when(F.col("_local").isNull(), F.col("_carry")) \
+        .otherwise(F.greatest("_carry", "_local"))
+    return out.withColumn(out_col, best).drop("_slice", "_local", "_carry")

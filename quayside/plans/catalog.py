@@ -53,3 +53,156 @@ def q_funnel(spark, sf):
 @register("funnel_channel", _funnel_sql(*EVENT_RANGE, channel="direct"))
 def q_funnel_channel(spark, sf):
     return analytics.funnel(Feeds(spark, sf).events(), *EVENT_RANGE, channel="direct")
+
+
+# ---- 2.5 dedupe, 2.2 normalizers, 2.3 splits --------------------------------
+
+def _feeds(spark, sf):
+    return Feeds(spark, sf)
+
+
+@register("dedupe_events", with_ctes(["ev_dd"]) + "SELECT * FROM ev_dd")
+def q_dedupe_events(spark, sf):
+    from quayside.operators.dedupe import dedupe_events
+    return dedupe_events(_feeds(spark, sf).raw("raw_events"))
+
+
+@register("dedupe_transactions", with_ctes(["tx_dd"]) + "SELECT * FROM tx_dd")
+def q_dedupe_transactions(spark, sf):
+    from quayside.operators.dedupe import dedupe_transactions
+    return dedupe_transactions(_feeds(spark, sf).raw("raw_transactions"))
+
+
+@register("dedupe_partners", with_ctes(["pt_all"]) + "SELECT * FROM pt_all")
+def q_dedupe_partners(spark, sf):
+    return _feeds(spark, sf).partners()
+
+
+@register("dedupe_payments", with_ctes(["pm_dd"]) + "SELECT * FROM pm_dd")
+def q_dedupe_payments(spark, sf):
+    from quayside.operators.dedupe import dedupe_payments
+    return dedupe_payments(_feeds(spark, sf).raw("raw_payment_stream"))
+
+
+@register("normalize_events", with_ctes(["ev_all"]) + "SELECT * FROM ev_all")
+def q_normalize_events(spark, sf):
+    return _feeds(spark, sf).events_all()
+
+
+@register("normalize_transactions", with_ctes(["tx_all"]) + "SELECT * FROM tx_all")
+def q_normalize_transactions(spark, sf):
+    return _feeds(spark, sf).transactions_all()
+
+
+@register("normalize_partners", with_ctes(["pt_norm"]) + "SELECT * FROM pt_norm")
+def q_normalize_partners(spark, sf):
+    from quayside.operators.normalize import normalize_partners
+    return normalize_partners(_feeds(spark, sf).raw("raw_partner_catalog"))
+
+
+@register("normalize_partners_by_version", with_ctes(["pt_norm"]) + "SELECT * FROM pt_norm")
+def q_normalize_partners_by_version(spark, sf):
+    """Schema evolution: v1/v2/v3 arrive as separate feeds with only their own
+    columns and are unified by name (missing columns -> NULL)."""
+    from pyspark.sql import functions as F
+
+    from quayside.operators.normalize import normalize_partners, union_partner_versions
+    raw = _feeds(spark, sf).raw("raw_partner_catalog")
+    version = F.lower(F.trim("schema_version"))
+    base = ["_seq", "partner_id", "schema_version", "name", "country_code", "status", "tier",
+            "commission_rate", "created_at", "updated_at"]
+    v1 = normalize_partners(raw.where(version == "v1").select(*base).withColumns(
+        {c: F.lit("") for c in ("sla_hours", "avg_rating", "api_endpoint", "webhook_enabled")}))
+    v2 = normalize_partners(raw.where(version == "v2").select(*base, "sla_hours", "avg_rating").withColumns(
+        {c: F.lit("") for c in ("api_endpoint", "webhook_enabled")}))
+    v3 = normalize_partners(raw.where(version == "v3"))
+    rest = normalize_partners(raw.where(~version.isin("v1", "v2", "v3")))
+    return union_partner_versions(v1, v2, v3, rest)
+
+
+@register("normalize_payments", with_ctes(["pm_all"]) + "SELECT * FROM pm_all")
+def q_normalize_payments(spark, sf):
+    return _feeds(spark, sf).payments()
+
+
+@register("split_bots", with_ctes(["ev_bots"]) + "SELECT * FROM ev_bots")
+def q_split_bots(spark, sf):
+    return _feeds(spark, sf).bots()
+
+
+@register("split_bots_good", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
+def q_split_bots_good(spark, sf):
+    return _feeds(spark, sf).events()
+
+
+@register("split_quarantine", with_ctes(["tx_quarantine"]) + "SELECT * FROM tx_quarantine")
+def q_split_quarantine(spark, sf):
+    return _feeds(spark, sf).quarantine()
+
+
+@register("split_quarantine_good", with_ctes(["tx_good"]) + "SELECT * FROM tx_good")
+def q_split_quarantine_good(spark, sf):
+    return _feeds(spark, sf).transactions()
+
+
+# ---- serving queries ---------------------------------------------------------
+
+PERF_SQL = """SELECT partner_id, COUNT(*) AS transaction_count,
+  CAST(SUM(CASE WHEN status IN ('confirmed','completed') THEN amount ELSE 0 END) AS DECIMAL(38,2)) AS revenue,
+  CAST(SUM(CASE WHEN status IN ('confirmed','completed') THEN 1 ELSE 0 END) AS BIGINT) AS approved_count
+  FROM tx_good GROUP BY partner_id"""
+
+LATEST_SQL = """SELECT * FROM pt_all QUALIFY row_number() OVER (PARTITION BY partner_id
+  ORDER BY COALESCE(updated_at, created_at) DESC, schema_version DESC, created_at DESC) = 1"""
+
+
+@register("partner_performance", with_ctes(["tx_good"]) + PERF_SQL)
+def q_partner_performance(spark, sf):
+    return analytics.partner_performance(_feeds(spark, sf).transactions())
+
+
+@register("latest_partner_version", with_ctes(["pt_all"]) + LATEST_SQL)
+def q_latest_partner_version(spark, sf):
+    return analytics.latest_partner_version(_feeds(spark, sf).partners())
+
+
+@register("partner_lookup", with_ctes(["pt_all"]) + "SELECT * FROM (" + LATEST_SQL + ") WHERE partner_id = 'PRT0004'")
+def q_partner_lookup(spark, sf):
+    return analytics.partner_profile(_feeds(spark, sf).partners(), "PRT0004")
+
+
+@register("partner_lookup_not_found", with_ctes(["pt_all"]) + "SELECT * FROM (" + LATEST_SQL + ") WHERE partner_id = 'PRT9999'")
+def q_partner_lookup_not_found(spark, sf):
+    return analytics.partner_profile(_feeds(spark, sf).partners(), "PRT9999")
+
+
+@register("partner_profile_performance", with_ctes(["pt_all", "tx_good"], {"perf": PERF_SQL, "latest": LATEST_SQL}) + """
+  SELECT l.*, CAST(COALESCE(p.transaction_count, 0) AS BIGINT) AS transaction_count, p.revenue, p.approved_count
+  FROM latest l LEFT JOIN perf p USING (partner_id)""")
+def q_partner_profile_performance(spark, sf):
+    f = _feeds(spark, sf)
+    return analytics.partner_profile_performance(f.partners(), f.transactions())
+
+
+def _summary_sql(start, end, partner=None, currency=None):
+    where = f"created_at >= TIMESTAMP '{start} 00:00:00' AND created_at < CAST(DATE '{end}' + INTERVAL 1 DAY AS TIMESTAMP)"
+    if partner:
+        where += f" AND partner_id = '{partner}'"
+    if currency:
+        where += f" AND currency = '{currency.upper()}'"
+    return with_ctes(["tx_good"]) + f"""SELECT partner_id, currency, status, COUNT(*) AS transaction_count,
+      CAST(SUM(amount) AS DECIMAL(38,2)) AS total_amount,
+      CAST(CASE WHEN COUNT(amount) > 0 THEN ((2 * CAST(SUM(amount) * 100 AS HUGEINT) + COUNT(amount))
+           // (2 * COUNT(amount))) / 100 END AS DECIMAL(38,2)) AS average_amount
+      FROM tx_good WHERE {where} GROUP BY 1, 2, 3 ORDER BY 1, 2, 3"""
+
+
+@register("transaction_summary", _summary_sql(*FULL_RANGE))
+def q_transaction_summary(spark, sf):
+    return analytics.transaction_summary(_feeds(spark, sf).transactions(), *FULL_RANGE)
+
+
+@register("transaction_summary_filtered", _summary_sql(*TXN_RANGE, partner="PRT0003", currency="brl"))
+def q_transaction_summary_filtered(spark, sf):
+    return analytics.transaction_summary(_feeds(spark, sf).transactions(), *TXN_RANGE,
+                                         partner_id="PRT0003", currency="brl")

@@ -136,7 +136,34 @@ SELECT event_id AS request_id, ts AS request_ts, '/v1/' || event_type AS path,
 FROM events
 """
 
+# API ingest payloads: clickstream rows re-sent through the ingest endpoint,
+# with some re-deliveries and some invalid fields.
+API_PAYLOADS_SQL = """
+WITH src AS (
+  SELECT *, 0 AS copy_no FROM events
+  UNION ALL
+  SELECT *, 1 AS copy_no FROM events WHERE event_id % 45 = 0
+)
+SELECT event_id * 2 + copy_no AS _seq,
+  CASE WHEN event_id % 41 = 0 THEN 'e' || CAST(event_id AS STRING)
+    ELSE 'evt-' || lpad(CAST(event_id AS STRING), 8, '0') END AS event_id,
+  event_type,
+  CASE WHEN event_id % 37 = 0 THEN NULL ELSE 'S' || CAST(user_id AS STRING) END AS session_id,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS user_id,
+  CAST(ts AS STRING) AS event_ts,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE '/' || event_type END AS page,
+  CASE WHEN event_id % 9 < 4 THEN NULL ELSE 'PRT' || lpad(CAST(user_id % 20 + 1 AS STRING), 4, '0') END AS partner_id,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'mobile' END AS device,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'BR' END AS country,
+  CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'direct' END AS channel,
+  CASE WHEN event_id % 47 = 0 THEN '12,5' WHEN event_id % 2 = 0 THEN CAST(value AS STRING) ELSE NULL END AS price_usd,
+  props AS metadata_json,
+  CASE WHEN event_id % 43 = 0 THEN '2024-13-01' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS ingest_date
+FROM src
+"""
+
 ADAPTERS = {
+    "api_payloads": API_PAYLOADS_SQL,
     "raw_events": RAW_EVENTS_SQL,
     "raw_transactions": RAW_TRANSACTIONS_SQL,
     "raw_partner_catalog": RAW_PARTNER_CATALOG_SQL,
@@ -187,7 +214,12 @@ def raw_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*columns)
 
 
+def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, API_PAYLOADS_SQL, ["events"])
+
+
 RAW_LOADERS = {
+    "api_payloads": api_payloads,
     "raw_events": raw_events,
     "raw_transactions": raw_transactions,
     "raw_partner_catalog": raw_partner_catalog,
