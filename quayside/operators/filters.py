@@ -49,3 +49,21 @@ def window_start(mark, watermark_days: int):
 
 def window_start_col(mark: Column, watermark_days: int) -> Column:
     return mark - F.make_dt_interval(F.lit(watermark_days))
+
+
+def incremental_window(raw: DataFrame, column: str, watermark_days: int = 7,
+                       floor_to_day: bool = False, mark: Column | None = None) -> DataFrame:
+    """Re-read ``[mark - N days, ...]`` where ``mark`` is the high-water mark.
+
+    Without an explicit ``mark`` it is ``max(column)`` of the feed, planned as a
+    scalar subquery (one small job, no join). ``floor_to_day`` widens the start
+    to midnight so a day partition that is replaced whole is also re-read whole.
+    """
+    if mark is None:
+        mark = raw.select(F.max(column)).scalar()
+    start = mark - F.make_dt_interval(F.lit(watermark_days))
+    if floor_to_day:
+        start = F.date_trunc("day", start).cast("timestamp_ntz")
+    if dict(raw.dtypes).get(column) == "date":
+        start = F.to_date(start)
+    return filter_since(raw, column, start)

@@ -206,3 +206,236 @@ def q_transaction_summary(spark, sf):
 def q_transaction_summary_filtered(spark, sf):
     return analytics.transaction_summary(_feeds(spark, sf).transactions(), *TXN_RANGE,
                                          partner_id="PRT0003", currency="brl")
+
+
+# ---- 2.3 / 2.9 incremental filters and marks --------------------------------
+
+@register("incremental_window_events", with_ctes(["raw_events"]) + """SELECT * FROM raw_events
+  WHERE ingest_date >= (SELECT max(ingest_date) FROM raw_events) - INTERVAL 7 DAY""")
+def q_incremental_window_events(spark, sf):
+    from quayside.operators.filters import incremental_window
+    return incremental_window(_feeds(spark, sf).raw("raw_events"), "ingest_date", 7)
+
+
+@register("incremental_window_transactions", with_ctes(["raw_transactions"]) + """SELECT * FROM raw_transactions
+  WHERE ingest_ts >= date_trunc('day', (SELECT max(ingest_ts) FROM raw_transactions) - INTERVAL 7 DAY)""")
+def q_incremental_window_transactions(spark, sf):
+    from quayside.operators.filters import incremental_window
+    return incremental_window(_feeds(spark, sf).raw("raw_transactions"), "ingest_ts", 7, floor_to_day=True)
+
+
+@register("reconcile_30d", with_ctes(["raw_transactions"]) + """SELECT * FROM raw_transactions
+  WHERE ingest_ts >= date_trunc('day', (SELECT max(ingest_ts) FROM raw_transactions) - INTERVAL 30 DAY)""")
+def q_reconcile_30d(spark, sf):
+    from quayside.operators.filters import incremental_window
+    return incremental_window(_feeds(spark, sf).raw("raw_transactions"), "ingest_ts", 30, floor_to_day=True)
+
+
+@register("filter_since", with_ctes(["raw_transactions"]) +
+          "SELECT * FROM raw_transactions WHERE ingest_ts >= TIMESTAMP '1998-06-01 00:00:00'")
+def q_filter_since(spark, sf):
+    import datetime as dt
+
+    from quayside.operators.filters import filter_since
+    return filter_since(_feeds(spark, sf).raw("raw_transactions"), "ingest_ts", dt.datetime(1998, 6, 1))
+
+
+SAVED_OFFSETS_SQL = """SELECT CAST(kafka_partition AS INTEGER) AS kafka_partition,
+  CAST(count(*) // 2 AS BIGINT) AS kafka_offset FROM raw_payment_stream GROUP BY 1"""
+
+
+def _saved_offsets(raw):
+    """A consumer that stopped half-way through every partition."""
+    from pyspark.sql import functions as F
+    return raw.groupBy(F.col("kafka_partition").cast("int").alias("kafka_partition")).agg(
+        F.floor(F.count(F.lit(1)) / 2).cast("bigint").alias("kafka_offset"))
+
+
+@register("filter_new_offsets", with_ctes(["raw_payment_stream"], {"saved": SAVED_OFFSETS_SQL}) + """
+  SELECT r.* FROM raw_payment_stream r LEFT JOIN saved s ON CAST(r.kafka_partition AS INTEGER) = s.kafka_partition
+  WHERE CAST(r.kafka_offset AS BIGINT) > COALESCE(s.kafka_offset, -1)""")
+def q_filter_new_offsets(spark, sf):
+    from quayside.operators.filters import filter_new_offsets
+    raw = _feeds(spark, sf).raw("raw_payment_stream")
+    return filter_new_offsets(raw, _saved_offsets(raw))
+
+
+@register("max_offset_by_partition", with_ctes(["raw_payment_stream"], {"saved": SAVED_OFFSETS_SQL}) + """
+  SELECT kafka_partition, max(kafka_offset) AS kafka_offset FROM (
+    SELECT kafka_partition, kafka_offset FROM saved
+    UNION ALL SELECT CAST(kafka_partition AS INTEGER), CAST(kafka_offset AS BIGINT) FROM raw_payment_stream)
+  GROUP BY 1""")
+def q_max_offset_by_partition(spark, sf):
+    from quayside.operators.marks import max_offset_by_partition
+    raw = _feeds(spark, sf).raw("raw_payment_stream")
+    return max_offset_by_partition(raw, _saved_offsets(raw))
+
+
+@register("high_water_mark_events", with_ctes(["raw_events"]) +
+          "SELECT max(ingest_date) AS high_water_mark FROM raw_events")
+def q_hwm_events(spark, sf):
+    from quayside.operators.marks import high_water_mark
+    return high_water_mark(_feeds(spark, sf).raw("raw_events"), "ingest_date")
+
+
+@register("high_water_mark_transactions", with_ctes(["raw_transactions"]) +
+          "SELECT max(ingest_ts) AS high_water_mark FROM raw_transactions")
+def q_hwm_transactions(spark, sf):
+    from quayside.operators.marks import high_water_mark
+    return high_water_mark(_feeds(spark, sf).raw("raw_transactions"), "ingest_ts")
+
+
+@register("output_counts", with_ctes(["ev_good", "ev_bots", "tx_good", "tx_quarantine", "pt_all", "pm_all"]) + """
+  SELECT 'events' AS output, COUNT(*) AS rows FROM ev_good
+  UNION ALL SELECT 'bots', COUNT(*) FROM ev_bots
+  UNION ALL SELECT 'transactions', COUNT(*) FROM tx_good
+  UNION ALL SELECT 'rejected_transactions', COUNT(*) FROM tx_quarantine
+  UNION ALL SELECT 'partners', COUNT(*) FROM pt_all
+  UNION ALL SELECT 'payments', COUNT(*) FROM pm_all""")
+def q_output_counts(spark, sf):
+    from quayside.plans.batch_run import output_counts
+    f = _feeds(spark, sf)
+    return output_counts({"events": f.events(), "bots": f.bots(), "transactions": f.transactions(),
+                          "rejected_transactions": f.quarantine(), "partners": f.partners(),
+                          "payments": f.payments()})
+
+
+# ---- 2.5 / 2.11 operational metrics and alerts --------------------------------
+
+RUN_STATUS_SQL = """SELECT pipeline_name AS pipeline, lower(status) AS status, COUNT(*) AS runs
+  FROM pipeline_runs GROUP BY 1, 2"""
+RUN_DURATION_SQL = """SELECT pipeline_name AS pipeline, greatest(max(CAST(duration_sec AS DOUBLE)), 0.0) AS max_duration_sec
+  FROM pipeline_runs GROUP BY 1"""
+STREAM_LAG_SQL = """SELECT COALESCE(max(CASE WHEN processing_lag_ms <> '' THEN CAST(processing_lag_ms AS DOUBLE) / 1000 END), 0.0)
+  AS max_lag_sec FROM raw_payment_stream"""
+ALERT_FAILURE_SQL = """SELECT 'PipelineFailureRateHigh' AS alert, 'critical' AS severity,
+  'Pipeline failure rate is above 15%' AS summary, CAST(NULL AS VARCHAR) AS series,
+  SUM(CASE WHEN status IN ('failed','timeout') THEN runs ELSE 0 END) / SUM(runs) AS value,
+  SUM(CASE WHEN status IN ('failed','timeout') THEN runs ELSE 0 END) / SUM(runs) > 0.15 AS firing
+  FROM run_status"""
+ALERT_DURATION_SQL = """SELECT 'PipelineDurationHigh' AS alert, 'critical' AS severity,
+  'Pipeline execution exceeded two hours' AS summary, pipeline AS series, max_duration_sec AS value,
+  max_duration_sec > 7200 AS firing FROM run_duration"""
+ALERT_LAG_SQL = """SELECT 'StreamingLagHigh' AS alert, 'warning' AS severity,
+  'Payment stream lag is above five minutes' AS summary, CAST(NULL AS VARCHAR) AS series, max_lag_sec AS value,
+  max_lag_sec > 300 AS firing FROM stream_lag"""
+
+
+def _runs(spark, sf):
+    return _feeds(spark, sf).raw("pipeline_runs")
+
+
+@register("run_status_counts", with_ctes(["pipeline_runs"]) + RUN_STATUS_SQL)
+def q_run_status_counts(spark, sf):
+    from quayside.operators.ops_metrics import run_status_counts
+    return run_status_counts(_runs(spark, sf))
+
+
+@register("run_max_duration", with_ctes(["pipeline_runs"]) + RUN_DURATION_SQL)
+def q_run_max_duration(spark, sf):
+    from quayside.operators.ops_metrics import run_max_duration
+    return run_max_duration(_runs(spark, sf))
+
+
+@register("max_stream_lag", with_ctes(["raw_payment_stream"]) + STREAM_LAG_SQL)
+def q_max_stream_lag(spark, sf):
+    from quayside.operators.ops_metrics import max_stream_lag
+    return max_stream_lag(_feeds(spark, sf).raw("raw_payment_stream"))
+
+
+@register("alert_failure_rate", with_ctes(["pipeline_runs"], {"run_status": RUN_STATUS_SQL}) + ALERT_FAILURE_SQL)
+def q_alert_failure_rate(spark, sf):
+    from quayside.operators.ops_metrics import alert_failure_rate
+    return alert_failure_rate(_runs(spark, sf))
+
+
+@register("alert_duration", with_ctes(["pipeline_runs"], {"run_duration": RUN_DURATION_SQL}) + ALERT_DURATION_SQL)
+def q_alert_duration(spark, sf):
+    from quayside.operators.ops_metrics import alert_duration
+    return alert_duration(_runs(spark, sf))
+
+
+@register("alert_stream_lag", with_ctes(["raw_payment_stream"], {"stream_lag": STREAM_LAG_SQL}) + ALERT_LAG_SQL)
+def q_alert_stream_lag(spark, sf):
+    from quayside.operators.ops_metrics import alert_stream_lag
+    return alert_stream_lag(_feeds(spark, sf).raw("raw_payment_stream"))
+
+
+@register("alerts", with_ctes(["pipeline_runs", "raw_payment_stream"], {
+    "run_status": RUN_STATUS_SQL, "run_duration": RUN_DURATION_SQL, "stream_lag": STREAM_LAG_SQL,
+    "evaluated": ALERT_FAILURE_SQL + " UNION ALL " + ALERT_DURATION_SQL + " UNION ALL " + ALERT_LAG_SQL})
+    + "SELECT alert, severity, summary, series, value FROM evaluated WHERE firing")
+def q_alerts(spark, sf):
+    from quayside.operators import ops_metrics as om
+    runs = _runs(spark, sf)
+    raw = _feeds(spark, sf).raw("raw_payment_stream")
+    return om.alerts(om.alert_failure_rate(runs), om.alert_duration(runs), om.alert_stream_lag(raw))
+
+
+LATENCY_SQL = """SELECT {keys} COUNT(*) AS requests, COUNT(*) FILTER (WHERE status_code >= 400) AS errors,
+  CAST(quantile_cont(latency_ms, 0.5) AS DOUBLE) AS p50_ms,
+  CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms) AS DOUBLE) AS p95_ms
+  FROM request_log {group}"""
+
+
+@register("latency_summary", with_ctes(["request_log"]) + LATENCY_SQL.format(keys="", group=""))
+def q_latency_summary(spark, sf):
+    from quayside.operators.ops_metrics import latency_summary
+    return latency_summary(_feeds(spark, sf).raw("request_log"))
+
+
+@register("latency_by_path", with_ctes(["request_log"]) + LATENCY_SQL.format(keys="path,", group="GROUP BY path"))
+def q_latency_by_path(spark, sf):
+    from quayside.operators.ops_metrics import latency_summary
+    return latency_summary(_feeds(spark, sf).raw("request_log"), ["path"])
+
+
+@register("request_rates", with_ctes(["request_log"]) + """SELECT
+  time_bucket(INTERVAL '5 minutes', request_ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
+  COUNT(*) AS requests, COUNT(*) / 300.0 AS rate_per_sec,
+  100.0 * COUNT(*) FILTER (WHERE status_code >= 500) / COUNT(*) AS error_5xx_pct,
+  CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms) AS DOUBLE) AS p95_ms
+  FROM request_log GROUP BY 1""")
+def q_request_rates(spark, sf):
+    from quayside.operators.ops_metrics import request_rates
+    return request_rates(_feeds(spark, sf).raw("request_log"))
+
+
+# ---- 2.11 ingest contract ------------------------------------------------------
+
+VALIDATE_SQL = """SELECT event_id, event_type, session_id, user_id, event_ts, page, partner_id,
+  COALESCE(device, 'unknown') AS device, COALESCE(country, 'unknown') AS country, channel,
+  TRY_CAST(trim(price_usd) AS DOUBLE) AS price_usd, metadata_json, false AS is_bot_flag,
+  CASE WHEN regexp_full_match(ingest_date, '\\d{4}-\\d{2}-\\d{2}') THEN TRY_CAST(ingest_date AS DATE) END AS ingest_date,
+  concat_ws(';',
+    CASE WHEN event_id IS NULL OR length(event_id) < 8 THEN 'event_id_too_short' END,
+    CASE WHEN event_type IS NULL THEN 'event_type_missing' END,
+    CASE WHEN session_id IS NULL THEN 'session_id_missing' END,
+    CASE WHEN event_ts IS NULL THEN 'event_ts_missing' END,
+    CASE WHEN ingest_date IS NULL THEN 'ingest_date_missing' END,
+    CASE WHEN ingest_date IS NOT NULL AND TRY_CAST(ingest_date AS DATE) IS NULL THEN 'ingest_date_invalid' END,
+    CASE WHEN price_usd IS NOT NULL AND TRY_CAST(trim(price_usd) AS DOUBLE) IS NULL THEN 'price_usd_invalid' END
+  ) AS rejection_reasons, _seq FROM api_payloads"""
+VALIDATED_SQL = "SELECT *, rejection_reasons = '' AS is_valid FROM (" + VALIDATE_SQL + ")"
+
+
+@register("validate_event_input", with_ctes(["api_payloads"]) + VALIDATED_SQL)
+def q_validate_event_input(spark, sf):
+    from quayside.operators.quality import validate_event_input
+    return validate_event_input(_feeds(spark, sf).raw("api_payloads"))
+
+
+@register("insert_ignore", with_ctes(["api_payloads"], {"v": VALIDATED_SQL}) + """SELECT b.*,
+  (row_number() OVER (PARTITION BY b.event_id ORDER BY b._seq) = 1 AND t.event_id IS NULL) AS accepted,
+  NOT (row_number() OVER (PARTITION BY b.event_id ORDER BY b._seq) = 1 AND t.event_id IS NULL) AS idempotent
+  FROM (SELECT * FROM v WHERE is_valid) b
+  LEFT JOIN (SELECT DISTINCT event_id FROM v WHERE is_valid AND event_ts < '2024-01-15') t USING (event_id)""")
+def q_insert_ignore(spark, sf):
+    """Serving table = payloads already ingested (event time before the 15th);
+    batch = every valid payload again, re-deliveries included."""
+    from pyspark.sql import functions as F
+
+    from quayside.operators.quality import insert_ignore, validate_event_input
+    valid = validate_event_input(_feeds(spark, sf).raw("api_payloads")).where("is_valid")
+    target = valid.where(F.col("event_ts") < F.lit("2024-01-15"))
+    return insert_ignore(target, valid)
