@@ -439,3 +439,188 @@ def q_insert_ignore(spark, sf):
     valid = validate_event_input(_feeds(spark, sf).raw("api_payloads")).where("is_valid")
     target = valid.where(F.col("event_ts") < F.lit("2024-01-15"))
     return insert_ignore(target, valid)
+
+
+# ---- 2.13 rules stated by the feed documentation ----------------------------
+
+TOKEN_KEY = b"quayside-demo-key"  # run-time parameter; fixed here for the check
+
+
+def _hmac_sql(col: str) -> str:
+    from quayside.operators.quality import _hmac_pads
+    ipad, opad = _hmac_pads(TOKEN_KEY)
+    inner = f"unhex(sha256(unhex('{ipad.hex()}') || encode({col})))"
+    return f"sha256(unhex('{opad.hex()}') || {inner})"
+
+
+@register("offset_continuity", with_ctes(["raw_payment_stream"]) + """SELECT
+  CAST(kafka_partition AS INTEGER) AS kafka_partition, min(CAST(kafka_offset AS BIGINT)) AS min_offset,
+  max(CAST(kafka_offset AS BIGINT)) AS max_offset, COUNT(*) AS rows,
+  COUNT(DISTINCT CAST(kafka_offset AS BIGINT)) AS distinct_offsets,
+  max(CAST(kafka_offset AS BIGINT)) - min(CAST(kafka_offset AS BIGINT)) + 1 - COUNT(DISTINCT CAST(kafka_offset AS BIGINT)) AS gaps,
+  (max(CAST(kafka_offset AS BIGINT)) - min(CAST(kafka_offset AS BIGINT)) + 1 - COUNT(DISTINCT CAST(kafka_offset AS BIGINT))) = 0
+    AND COUNT(*) = COUNT(DISTINCT CAST(kafka_offset AS BIGINT)) AS monotonic
+  FROM raw_payment_stream GROUP BY 1""")
+def q_offset_continuity(spark, sf):
+    from quayside.operators.quality import offset_continuity
+    return offset_continuity(_feeds(spark, sf).raw("raw_payment_stream"))
+
+
+@register("out_of_order_payments", with_ctes(["raw_payment_stream"]) + """SELECT * FROM (
+  SELECT *, max(event_ts) OVER (PARTITION BY CAST(kafka_partition AS INTEGER) ORDER BY CAST(kafka_offset AS BIGINT)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_max_ts FROM raw_payment_stream)
+  WHERE event_ts < previous_max_ts""")
+def q_out_of_order_payments(spark, sf):
+    from quayside.operators.quality import out_of_order
+    # Small slices so the carry-in across slices is exercised at test scale.
+    return out_of_order(_feeds(spark, sf).raw("raw_payment_stream"), slice_size=500)
+
+
+@register("spike_windows", with_ctes(["pm_all"]) + """SELECT window_start, payments,
+  payments / SUM(payments) OVER () AS share, payments / SUM(payments) OVER () >= 0.1 AS is_spike FROM (
+  SELECT time_bucket(INTERVAL '16 hours', event_ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
+  COUNT(*) AS payments FROM pm_all GROUP BY 1)""")
+def q_spike_windows(spark, sf):
+    from quayside.operators.windows import spike_windows
+    return spike_windows(_feeds(spark, sf).payments())
+
+
+@register("payment_windows", with_ctes(["pm_all"]) + """SELECT
+  time_bucket(INTERVAL '1 day', event_ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
+  time_bucket(INTERVAL '1 day', event_ts, TIMESTAMP '1970-01-01 00:00:00') + INTERVAL 1 DAY AS window_end,
+  status, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(38,2)) AS amount FROM pm_all GROUP BY 1, 2, 3""")
+def q_payment_windows(spark, sf):
+    from quayside.operators.windows import payment_windows
+    return payment_windows(_feeds(spark, sf).payments(), "1 day")
+
+
+@register("payment_sliding_windows", with_ctes(["pm_all"]) + """SELECT window_start,
+  window_start + INTERVAL 7 DAY AS window_end, status, COUNT(*) AS payments,
+  CAST(SUM(amount) AS DECIMAL(38,2)) AS amount FROM (
+    SELECT time_bucket(INTERVAL '1 day', event_ts, TIMESTAMP '1970-01-01 00:00:00') - (k * INTERVAL 1 DAY) AS window_start,
+      status, amount FROM pm_all, range(0, 7) AS r(k))
+  GROUP BY 1, 2, 3""")
+def q_payment_sliding_windows(spark, sf):
+    from quayside.operators.windows import payment_windows
+    return payment_windows(_feeds(spark, sf).payments(), "7 days", "1 day")
+
+
+@register("bot_sessions", with_ctes(["ev_all"]) + """SELECT session_id, max(n) AS max_events_in_span,
+  COUNT(*) AS events, max(n) >= 120 AS is_bot FROM (
+    SELECT session_id, COUNT(*) OVER (PARTITION BY session_id ORDER BY epoch_us(event_ts)
+      RANGE BETWEEN 239999999 PRECEDING AND CURRENT ROW) AS n FROM ev_all)
+  GROUP BY session_id""")
+def q_bot_sessions(spark, sf):
+    from quayside.operators.windows import bot_sessions
+    return bot_sessions(_feeds(spark, sf).events_all())
+
+
+@register("booking_reconciliation", with_ctes(["ev_good", "tx_good"], {
+    "b": """SELECT partner_id, user_id, CAST(event_ts AS DATE) AS day, COUNT(*) AS bookings FROM ev_good
+            WHERE event_type = 'purchase' GROUP BY 1, 2, 3""",
+    "t": """SELECT partner_id, NULLIF(user_id, '') AS user_id, CAST(created_at AS DATE) AS day,
+            COUNT(*) AS transactions FROM tx_good GROUP BY 1, 2, 3"""}) + """SELECT
+  COALESCE(b.partner_id, t.partner_id) AS partner_id, COALESCE(b.user_id, t.user_id) AS user_id,
+  COALESCE(b.day, t.day) AS day, COALESCE(bookings, 0) AS bookings, COALESCE(transactions, 0) AS transactions,
+  CASE WHEN COALESCE(bookings, 0) = COALESCE(transactions, 0) THEN 'matched'
+       WHEN COALESCE(bookings, 0) > COALESCE(transactions, 0) THEN 'missing_transaction'
+       ELSE 'missing_booking' END AS status
+  FROM b FULL OUTER JOIN t ON b.partner_id IS NOT DISTINCT FROM t.partner_id
+    AND b.user_id IS NOT DISTINCT FROM t.user_id AND b.day IS NOT DISTINCT FROM t.day""")
+def q_booking_reconciliation(spark, sf):
+    from quayside.operators.quality import booking_reconciliation
+    f = _feeds(spark, sf)
+    return booking_reconciliation(f.events(), f.transactions())
+
+
+@register("orphan_payments", with_ctes(["pm_all", "tx_all"]) + """SELECT * FROM pm_all p
+  WHERE p.transaction_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM tx_all t WHERE t.transaction_id = p.transaction_id)""")
+def q_orphan_payments(spark, sf):
+    from quayside.operators.quality import orphans
+    f = _feeds(spark, sf)
+    return orphans(f.payments(), f.transactions_all(), "transaction_id")
+
+
+@register("orphan_transactions", with_ctes(["tx_all", "pt_all"]) + """SELECT * FROM tx_all x
+  WHERE x.partner_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pt_all p WHERE p.partner_id = x.partner_id)""")
+def q_orphan_transactions(spark, sf):
+    from quayside.operators.quality import orphans
+    f = _feeds(spark, sf)
+    return orphans(f.transactions_all(), f.partners(), "partner_id")
+
+
+@register("orphan_event_partners", with_ctes(["ev_good", "pt_all"]) + """SELECT * FROM ev_good e
+  WHERE e.partner_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pt_all p WHERE p.partner_id = e.partner_id)""")
+def q_orphan_event_partners(spark, sf):
+    from quayside.operators.quality import orphans
+    f = _feeds(spark, sf)
+    return orphans(f.events(), f.partners(), "partner_id")
+
+
+@register("metadata_fields", with_ctes(["ev_all"]) + """SELECT *,
+  TRY_CAST(json_extract(metadata_json, '$.k') AS INTEGER) AS meta_k,
+  json_extract_string(metadata_json, '$.ab_test') AS meta_ab_test FROM ev_all""")
+def q_metadata_fields(spark, sf):
+    from quayside.operators.quality import json_fields
+    return json_fields(_feeds(spark, sf).events_all(), "metadata_json",
+                       {"meta_k": ("$.k", "int"), "meta_ab_test": ("$.ab_test", "string")})
+
+
+@register("notes_json_drift", with_ctes(["tx_all"]) + """SELECT *,
+  TRY_CAST(json_extract(notes, '$.legacy_id') AS BIGINT) AS legacy_id FROM tx_all
+  WHERE json_valid(notes) AND json_type(notes) = 'OBJECT'""")
+def q_notes_json_drift(spark, sf):
+    from quayside.operators.quality import json_fields, json_object_drift
+    drift = json_object_drift(_feeds(spark, sf).transactions_all(), "notes")
+    return json_fields(drift, "notes", {"legacy_id": ("$.legacy_id", "bigint")})
+
+
+@register("amount_outliers", with_ctes(["tx_all"]) + """SELECT *,
+  CASE WHEN amount > 20000 THEN 'amount_above_limit' ELSE 'approved_not_positive' END AS outlier_reason
+  FROM tx_all WHERE amount > 20000 OR (status IN ('confirmed','completed') AND amount <= 0)""")
+def q_amount_outliers(spark, sf):
+    from quayside.operators.quality import amount_outliers
+    return amount_outliers(_feeds(spark, sf).transactions_all())
+
+
+@register("retry_eligible", with_ctes(["pipeline_runs"]) +
+          "SELECT * FROM pipeline_runs WHERE lower(status) = 'failed' AND retry_attempt < 3")
+def q_retry_eligible(spark, sf):
+    from quayside.operators.quality import retry_eligible
+    return retry_eligible(_runs(spark, sf))
+
+
+@register("scheduled_success_sla", with_ctes(["pipeline_runs"]) + """SELECT pipeline, scheduled_runs, successful_runs,
+  successful_runs / scheduled_runs AS success_rate, successful_runs / scheduled_runs >= 0.95 AS meets_sla FROM (
+  SELECT pipeline_name AS pipeline, COUNT(*) AS scheduled_runs,
+    COUNT(*) FILTER (WHERE lower(status) = 'success') AS successful_runs
+  FROM pipeline_runs WHERE run_type = 'scheduled' GROUP BY 1)""")
+def q_scheduled_success_sla(spark, sf):
+    from quayside.operators.quality import scheduled_success_sla
+    return scheduled_success_sla(_runs(spark, sf))
+
+
+@register("unknown_version_quarantine", with_ctes(["pt_norm"]) + """SELECT *,
+  'unknown_schema_version' AS quarantine_reason FROM pt_norm
+  WHERE NOT COALESCE(schema_version IN ('v1','v2','v3'), false)""")
+def q_unknown_version_quarantine(spark, sf):
+    from quayside.operators.normalize import normalize_partners
+    from quayside.operators.quality import unknown_version_quarantine
+    return unknown_version_quarantine(normalize_partners(_feeds(spark, sf).raw("raw_partner_catalog")))
+
+
+@register("user_id_token", with_ctes(["tx_good"]) + f"""SELECT transaction_id, partner_id,
+  CASE WHEN NULLIF(user_id, '') IS NOT NULL THEN {_hmac_sql("user_id")} END AS user_id FROM tx_good""")
+def q_user_id_token(spark, sf):
+    from quayside.operators.quality import user_id_token
+    txns = _feeds(spark, sf).transactions().select("transaction_id", "partner_id", "user_id")
+    return user_id_token(txns, TOKEN_KEY)
+
+
+@register("freshness", with_ctes(["tx_all"]) + """SELECT COUNT(*) AS rows,
+  CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY date_diff('second', created_at, ingest_ts) / 60.0) AS DOUBLE) AS p95_lag_minutes,
+  percentile_disc(0.95) WITHIN GROUP (ORDER BY date_diff('second', created_at, ingest_ts) / 60.0) < 60 AS meets_target
+  FROM tx_all""")
+def q_freshness(spark, sf):
+    from quayside.operators.quality import freshness
+    return freshness(_feeds(spark, sf).transactions_all())
