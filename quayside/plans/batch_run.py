@@ -1,15 +1,175 @@
-"""Batch run: full refresh or incremental window into the lake, marks last."""
+"""Batch run: full refresh or incremental window into the lake, marks last.
+
+Layout under ``lake_root``::
+
+    events/ingest_date=...           good events            key event_id
+    events_bots/ingest_date=...      bot events             key event_id
+    transactions/ingest_date=...     good transactions      key transaction_id
+    quarantine/transactions/...      rejected transactions  key transaction_id
+    payments/event_date=...          payments               key event_id, greatest (partition, offset)
+    partners/                        partner versions (one file)
+    serving/partners/                partners merged on (partner_id, schema_version, created_at)
+    _state/control/                  committed marks, one row per run
+
+The events/transactions lake tables are also the serving snapshots (same key,
+same rows); partners need their own snapshot because their serving key differs
+from the dedupe key.
+
+Incremental runs re-read ``[mark - N days, ...]`` (transactions from midnight)
+and only new payment offsets, and merge the batch into the touched partitions
+of each table: a key that moved partition or changed side (bot <-> good,
+quarantined <-> good) ends up in exactly one place, holding its latest row.
+Marks are committed after every sink, so a failed run is simply re-run.
+"""
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.contracts import EVENT_COLUMNS, KEYS, PAYMENT_COLUMNS, TXN_COLUMNS
+from quayside.operators.filters import filter_new_offsets, filter_since, window_start
+from quayside.operators.marks import max_offset_by_partition
+from quayside.plans import flows
+from quayside.sinks.lake_write import (
+    commit_control, has_parquet, merge_partitioned, read_control, sink_partitioned, sink_single,
+    upsert_keyed,
+)
+
 
 def output_counts(outputs: dict[str, DataFrame]) -> DataFrame:
     """(output, rows) per named frame; each count is a partial aggregate."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows")
              for name, df in outputs.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _bot():
+    return F.coalesce(F.col("is_bot_flag"), F.lit(False))
+
+
+def _negative():
+    return F.coalesce(F.col("amount") < 0, F.lit(False))
+
+
+def _write_split(spark, root, delta_all, keys, part, keep, columns, full, order=None):
+    """Write the rows of ``delta_all`` selected by ``keep`` into one table.
+
+    Full refresh: a new snapshot of the selected rows. Incremental: merge the
+    whole delta (both sides of the split), then keep the selected side, so a
+    key that switched side leaves this table."""
+    if full or not has_parquet(spark, root):
+        sink_partitioned(delta_all.where(keep).select(*columns), root, part)
+        if full:
+            _clear_stale(spark, root, delta_all.where(keep), part)
+        return
+    merge_partitioned(spark, root, delta_all.select(*columns), keys, part, order=order, keep=keep)
+
+
+def _clear_stale(spark, root, fresh, part):
+    """Full refresh: remove partitions the new snapshot does not contain."""
+    from quayside.sinks.lake_write import delete_path
+    from quayside.sources.lake_scan import scan_file_inventory
+    present = {str(r[0]) for r in fresh.select(part).distinct().collect()}  # one value per partition
+    parts = (scan_file_inventory(spark, root).where(F.col("partition") != "")
+             .select("partition_path", "partition").distinct().collect())
+    for r in parts:
+        value = r["partition"].split("=", 1)[1]
+        if value not in present:
+            delete_path(spark, r["partition_path"])
+
+
+def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, watermark_days: int = 7,
+              full_refresh: bool = False, run_id: int | None = None) -> DataFrame:
+    """One run over the raw feeds; returns a one-row metrics frame.
+
+    ``raw`` holds the frames ``raw_events``, ``raw_transactions``,
+    ``raw_partner_catalog`` and ``raw_payment_stream`` (e.g. from
+    :func:`quayside.sources.csv_feed.scan_csv` or the fixture adapters).
+    """
+    root = lake_root.rstrip("/")
+    state = f"{root}/_state"
+    control = read_control(spark, state)
+    first_run = not control
+    full = full_refresh or first_run
+
+    event_start = None if full else window_start(control.get("events"), watermark_days)
+    txn_start = None if full else window_start(control.get("transactions"), watermark_days)
+    if txn_start is not None:
+        txn_start = _dt.datetime.combine(txn_start.date(), _dt.time())  # whole first day
+    saved = None
+    if not full and control.get("payment_offsets"):
+        saved = spark.createDataFrame(
+            [(int(p), int(o)) for p, o in control["payment_offsets"].items()],
+            "kafka_partition int, kafka_offset bigint")
+
+    ev_batch = filter_since(raw["raw_events"], "ingest_date",
+                            event_start.date() if isinstance(event_start, _dt.datetime) else event_start)
+    tx_batch = filter_since(raw["raw_transactions"], "ingest_ts", txn_start)
+    pm_batch = filter_new_offsets(raw["raw_payment_stream"], saved)
+
+    events = flows.events_all(ev_batch).persist(StorageLevel.MEMORY_AND_DISK)
+    txns = flows.transactions_all(tx_batch, watermark_days).persist(StorageLevel.MEMORY_AND_DISK)
+    partners = flows.partners_all(raw["raw_partner_catalog"]).persist(StorageLevel.MEMORY_AND_DISK)
+    payments = flows.payments_all(pm_batch).persist(StorageLevel.MEMORY_AND_DISK)
+
+    _write_split(spark, f"{root}/events", events, KEYS["events"], "ingest_date", ~_bot(),
+                 EVENT_COLUMNS, full)
+    _write_split(spark, f"{root}/events_bots", events, KEYS["events"], "ingest_date", _bot(),
+                 EVENT_COLUMNS, full)
+    _write_split(spark, f"{root}/transactions", txns, KEYS["transactions"], "ingest_date", ~_negative(),
+                 TXN_COLUMNS, full)
+    quarantine_cols = list(TXN_COLUMNS) + ["quarantine_reason"]
+    txns_q = txns.withColumn("quarantine_reason", F.when(_negative(), F.lit("negative_amount")))
+    _write_split(spark, f"{root}/quarantine/transactions", txns_q, KEYS["transactions"], "ingest_date",
+                 _negative(), quarantine_cols, full)
+    order = [F.col("kafka_partition"), F.col("kafka_offset")]
+    _write_split(spark, f"{root}/payments", payments, KEYS["payments"], "event_date", F.lit(True),
+                 PAYMENT_COLUMNS, full, order=order)
+    sink_single(partners, f"{root}/partners")
+    serving = f"{root}/serving/partners"
+    previous = None if full or not has_parquet(spark, serving) else spark.read.parquet(serving)
+    if previous is not None:
+        previous = _staged(previous)
+    sink_single(upsert_keyed(previous, partners, KEYS["partners"]), serving)
+
+    # Marks come from every raw row (not just the window); collected values are
+    # one date, one timestamp and one offset per Kafka partition.
+    ev_mark = raw["raw_events"].agg(F.max("ingest_date")).first()[0]
+    tx_mark = raw["raw_transactions"].agg(F.max("ingest_ts")).first()[0]
+    offsets = {str(r["kafka_partition"]): int(r["kafka_offset"])
+               for r in max_offset_by_partition(raw["raw_payment_stream"], saved).collect()}
+    marks = dict(control)
+    if ev_mark is not None:
+        marks["events"] = str(ev_mark)
+    if tx_mark is not None:
+        marks["transactions"] = str(tx_mark)
+    marks["payment_offsets"] = offsets
+    run_id = run_id if run_id is not None else int(control.get("run_id", 0)) + 1
+    marks["run_id"] = run_id
+
+    good, bots = events.where(~_bot()), events.where(_bot())
+    metrics = {
+        "events": good.count(), "bots": bots.count(),
+        "transactions": txns.where(~_negative()).count(), "rejected_transactions": txns.where(_negative()).count(),
+        "partners": partners.count(), "payments": payments.count(),
+    }
+    commit_control(spark, state, marks, run_id)
+    for df in (events, txns, partners, payments):
+        df.unpersist()
+    row = dict(metrics, mode="full" if full else "incremental",
+               event_window_start=str(event_start) if event_start else None,
+               transaction_window_start=str(txn_start) if txn_start else None)
+    return spark.createDataFrame(
+        [row], "events long, bots long, transactions long, rejected_transactions long, partners long, "
+               "payments long, mode string, event_window_start string, transaction_window_start string")
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """Materialise the old serving snapshot before it is overwritten in place."""
+    from quayside.sinks.lake_write import stage
+    return stage(df, "serving-partners")

@@ -117,7 +117,7 @@ def upsert_keyed(target: DataFrame | None, delta: DataFrame, keys, order=None) -
 
 
 def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, partition_col: str,
-                      order=None) -> dict:
+                      order=None, keep=None) -> dict:
     """Merge a keyed batch into a partitioned Parquet table in place.
 
     Only touched partitions are rewritten: those the batch writes to, plus
@@ -127,10 +127,14 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
     partition values - a list bounded by the number of partitions (days),
     which is what is collected. The merged partitions are staged first, then
     swapped in with a dynamic overwrite; partitions left empty are removed.
+
+    ``keep`` filters the merged rows (the batch may carry rows that belong to
+    a sibling table: merging them first evicts a key that switched tables).
     """
     keys = list(keys)
     if not has_parquet(spark, root):
-        sink_partitioned(delta.drop("_seq") if "_seq" in delta.columns else delta, root, partition_col)
+        rows = delta if keep is None else delta.where(keep)
+        sink_partitioned(rows.drop("_seq") if "_seq" in rows.columns else rows, root, partition_col)
         return {"touched_partitions": None}
     target = spark.read.parquet(root)
     moved_from = (target.select(*keys, partition_col)
@@ -139,7 +143,10 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
     if not touched:
         return {"touched_partitions": 0}
     old = target.where(F.col(partition_col).isin(touched))
-    merged = stage(upsert_keyed(old, delta, keys, order), "merge")
+    merged = upsert_keyed(old, delta, keys, order)
+    if keep is not None:
+        merged = merged.where(keep)
+    merged = stage(merged, "merge")
     sink_partitioned(merged, root, partition_col)
     present = {r[0] for r in merged.select(partition_col).distinct().collect()}
     for value in touched:
