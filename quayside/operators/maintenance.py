@@ -41,37 +41,65 @@ def compact_partitions(spark: SparkSession, root: str, threshold_mb: int = DEFAU
                        target_mb: int = DEFAULT_TARGET_MB, apply: bool = False) -> DataFrame:
     """Detect, and with ``apply`` rewrite, fragmented partitions of one table.
 
-    Each flagged partition is rewritten to ``ceil(bytes / target)`` files in a
-    sibling staging directory; its row count is checked against the original
-    before the directories are swapped (the original is kept as a backup
-    until the swap succeeded). Returns the candidate list with the outcome.
+    All flagged partitions are rewritten by ONE job: read together (with the
+    table root as ``basePath``), ``rebalance``d on the partition column with
+    the advisory size set to the target - so a large partition becomes several
+    ~target files and small ones one file - and written to a sibling staging
+    table. Row counts per partition are compared in one grouped join; only
+    then each directory is swapped (rename original -> backup, staged ->
+    original, drop backup), which is file-system metadata work only.
     """
-    candidates = small_partitions(spark, root, threshold_mb)
-    todo = candidates.where("needs_compaction").select("partition", "total_bytes").collect()
-    results = []
-    for row in todo if apply else []:  # one entry per fragmented partition (bounded by #partitions)
-        part = row["partition"]
-        files = max(1, math.ceil(row["total_bytes"] / (target_mb * MB)))
-        before = spark.read.parquet(part)
-        rows_before = before.count()
-        staging, backup = part + "_compacting", part + "_precompact"
-        delete_path(spark, staging)
-        (before.repartition(files).write.mode("overwrite")
+    # One row per partition of one table: small, and materialised before any
+    # file moves so no lazy plan re-lists swapped directories.
+    candidates = small_partitions(spark, root, threshold_mb).collect()
+    flagged = [r["partition"] for r in candidates if r["needs_compaction"]]
+    outcome: dict[str, tuple] = {}
+    if apply and flagged:
+        outcome = _rewrite_partitions(spark, root.rstrip("/"), flagged, target_mb)
+    results = [(r["partition"], int(r["file_count"]), int(r["total_bytes"]), int(r["average_bytes"]),
+                bool(r["needs_compaction"]), *outcome.get(r["partition"], (None, None)))
+               for r in candidates]
+    return spark.createDataFrame(
+        results, "partition string, file_count long, total_bytes long, average_bytes long, "
+                 "needs_compaction boolean, rows_before long, rows_after long").withColumn(
+        "compacted", F.col("rows_after").isNotNull())
+
+
+def _rewrite_partitions(spark: SparkSession, root: str, parts: list[str], target_mb: int) -> dict:
+    import uuid
+    column = parts[0].rsplit("/", 1)[1].split("=", 1)[0]
+    source = spark.read.option("basePath", root).parquet(*parts)
+    staging = f"{root}_compacting_{uuid.uuid4().hex[:8]}"
+    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_mb * MB))
+    try:
+        (source.hint("rebalance", column).write.mode("overwrite")
          .option("maxRecordsPerFile", COMPACT_RECORDS_PER_FILE)
-         .option("parquet.block.size", target_mb * MB).parquet(staging))
-        rows_after = spark.read.parquet(staging).count()
-        if rows_after != rows_before:
-            delete_path(spark, staging)
-            raise RuntimeError(f"compaction changed row count in {part}: {rows_before} -> {rows_after}")
-        if path_exists(spark, backup):
-            delete_path(spark, backup)
+         .option("parquet.block.size", target_mb * MB)
+         .partitionBy(column).parquet(staging))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
+    before = spark.read.option("basePath", root).parquet(*parts).groupBy(
+        F.col(column).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("rows_before"))
+    after = spark.read.parquet(staging).groupBy(
+        F.col(column).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("rows_after"))
+    counts = {r["_v"]: (r["rows_before"], r["rows_after"])
+              for r in before.join(after, "_v", "full_outer").collect()}  # one row per partition
+    bad = {v: c for v, c in counts.items() if c[0] != c[1]}
+    if bad:
+        delete_path(spark, staging)
+        raise RuntimeError(f"compaction changed row counts: {bad}")
+    out = {}
+    for part in parts:
+        value = part.rsplit("/", 1)[1].split("=", 1)[1]
+        staged, backup = f"{staging}/{column}={value}", part + "_precompact"
+        delete_path(spark, backup)
         rename_path(spark, part, backup)
-        rename_path(spark, staging, part)
+        rename_path(spark, staged, part)
         delete_path(spark, backup)
-        results.append((part, rows_before, rows_after))
-    done = spark.createDataFrame(results or [], "partition string, rows_before long, rows_after long")
-    return candidates.join(done, "partition", "left").withColumn(
-        "compacted", F.col("rows_after").isNotNull()).orderBy("partition")
+        out[part] = counts.get(value, (0, 0))
+    delete_path(spark, staging)
+    return out
 
 
 def compact_table(spark: SparkSession, source: str, destination: str, partition_col: str,
@@ -103,11 +131,10 @@ def compact_table(spark: SparkSession, source: str, destination: str, partition_
             "target_files": max(1, math.ceil(total / (target_mb * MB)))}
 
 
-def compaction_report(spark: SparkSession, before: DataFrame, after: DataFrame,
+def compaction_report(spark: SparkSession, files_before: int, files_after: int,
                       rows_before: int, rows_after: int, detected: bool) -> DataFrame:
     """One row: detection, files and rows before/after, preservation, reduction %."""
-    fb = before.count()
-    fa = after.count()
+    fb, fa = files_before, files_after
     pct = round((1 - fa / fb) * 100, 2) if fb else 0.0
     return spark.createDataFrame(
         [(detected, fb, fa, rows_before, rows_after, rows_before == rows_after, pct)],

@@ -196,3 +196,76 @@ def q_contract_check_events(spark, sf):
 def q_contract_check_partners(spark, sf):
     from quayside.contracts import contract_check
     return contract_check(_feeds(spark, sf).partners(), "partners")
+
+
+# ---- 2.10 lake maintenance ------------------------------------------------------
+
+def fragmented_events(spark: SparkSession, sf: str, files_per_day: int = 5) -> str:
+    """Good events written as several small files per day partition (what a
+    stream of micro-batches leaves behind)."""
+    path = scratch_path(spark, "fragmented-events")
+    events = _feeds(spark, sf).events()
+    (events.repartition(files_per_day).write.mode("overwrite").partitionBy("ingest_date").parquet(path))
+    return path
+
+
+@register("scan_file_inventory")
+def q_scan_file_inventory(spark, sf):
+    """Rows-only: file names and sizes depend on the writer."""
+    from quayside.sources.lake_scan import scan_file_inventory
+    return scan_file_inventory(spark, fragmented_events(spark, sf))
+
+
+@register("partition_file_stats")
+def q_partition_file_stats(spark, sf):
+    from quayside.operators.maintenance import partition_file_stats
+    from quayside.sources.lake_scan import scan_file_inventory
+    return partition_file_stats(scan_file_inventory(spark, fragmented_events(spark, sf)))
+
+
+@register("alert_small_files")
+def q_alert_small_files(spark, sf):
+    from quayside.operators.maintenance import partition_file_stats
+    from quayside.operators.ops_metrics import alert_small_files
+    from quayside.sources.lake_scan import scan_file_inventory
+    return alert_small_files(partition_file_stats(scan_file_inventory(spark, fragmented_events(spark, sf))))
+
+
+@register("small_partitions")
+def q_small_partitions(spark, sf):
+    from quayside.operators.maintenance import small_partitions
+    return small_partitions(spark, fragmented_events(spark, sf))
+
+
+@register("compact_partitions", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
+def q_compact_partitions(spark, sf):
+    """Compact every fragmented day in place, then read the table back: the
+    rows must be exactly the rows written."""
+    from quayside.operators.maintenance import compact_partitions
+    path = fragmented_events(spark, sf)
+    compact_partitions(spark, path, apply=True).collect()
+    return _read(spark, path, EVENT_COLUMNS, "ingest_date")
+
+
+@register("compact_table", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
+def q_compact_table(spark, sf):
+    from quayside.operators.maintenance import compact_table
+    source = fragmented_events(spark, sf)
+    destination = scratch_path(spark, "compacted-events")
+    compact_table(spark, source, destination, "ingest_date")
+    return _read(spark, destination, EVENT_COLUMNS, "ingest_date")
+
+
+@register("compaction_report")
+def q_compaction_report(spark, sf):
+    """Rows-only: detection, files and rows before/after, reduction %."""
+    from quayside.operators.maintenance import compact_partitions, compaction_report, small_partitions
+    from quayside.sources.lake_scan import scan_file_inventory
+    path = fragmented_events(spark, sf)
+    before = scan_file_inventory(spark, path).count()
+    rows_before = spark.read.parquet(path).count()
+    detected = small_partitions(spark, path).where("needs_compaction").count() > 0
+    compact_partitions(spark, path, apply=True).collect()
+    after = scan_file_inventory(spark, path).count()
+    rows_after = spark.read.parquet(path).count()
+    return compaction_report(spark, before, after, rows_before, rows_after, detected)
