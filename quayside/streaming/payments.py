@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,27 +72,38 @@ def payment_stream(spark: SparkSession, landing: str, schema, files_per_trigger:
             .parquet(landing))
 
 
-def merge_payments_batch(table: str):
-    """foreachBatch body: dedupe + normalize the micro-batch, merge by event_id."""
+def merge_payments_batch(table: str, seen: list | None = None):
+    """foreachBatch body: dedupe + normalize the micro-batch, merge by event_id.
+
+    The micro-batch is persisted once: the merge reads it several times
+    (touched partitions, staged rows), and the source must not be re-scanned
+    for each. ``seen`` collects (epoch, rows) for the caller."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        delta = flows.payments_all(batch)
-        merge_partitioned(spark, table, delta, ["event_id"], "event_date",
-                          order=[F.col("kafka_partition"), F.col("kafka_offset")])
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = batch.count()
+            if rows:
+                delta = flows.payments_all(batch)
+                merge_partitioned(spark, table, delta, ["event_id"], "event_date",
+                                  order=[F.col("kafka_partition"), F.col("kafka_offset")])
+            if seen is not None:
+                seen.append((epoch_id, rows))
+        finally:
+            batch.unpersist()
     return apply
 
 
 def run_payment_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
                        files_per_trigger: int = 1) -> dict:
     """Consume everything available now, merge it, stop. Returns totals."""
+    seen: list = []
     q = (payment_stream(spark, landing, schema, files_per_trigger).writeStream
-         .foreachBatch(merge_payments_batch(table))
+         .foreachBatch(merge_payments_batch(table, seen))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    progress = q.recentProgress
-    return {"batches": sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-            "input_rows": sum(p.get("numInputRows", 0) for p in progress)}
+    return {"batches": sum(1 for _, n in seen if n), "input_rows": sum(n for _, n in seen)}
 
 
 def windowed_counts(stream: DataFrame, size: str, watermark: str, keys=("status",),
@@ -114,6 +126,8 @@ def upsert_window_batch(table: str, keys):
     their previous values in a small keyed table (windows x keys)."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        if batch.isEmpty():
+            return
         previous = stage(spark.read.parquet(table), "windows") if has_parquet(spark, table) else None
         sink_single(upsert_keyed(previous, batch, keys), table)
     return apply
