@@ -58,14 +58,18 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: str = "event_id",
     """``INSERT ... ON CONFLICT (key) DO NOTHING`` for a batch of rows.
 
     Returns one row per input row with ``accepted`` (first arrival of a key
-    absent from the target) and ``idempotent`` (everything else). The target
-    side is reduced to its distinct keys (partial-aggregated) before the join.
+    absent from the target) and ``idempotent`` (everything else).
+
+    First arrival is ``min(arrival)`` per key - an aggregate, partial per map
+    task, so a key re-sent millions of times costs one row per task - joined
+    back to the batch (a skewed key there is split by AQE's skew join). The
+    target contributes its distinct keys only.
     """
-    first = Window.partitionBy(key).orderBy(F.col(arrival).asc())
-    ranked = batch.withColumn("_first", F.row_number().over(first) == 1)
+    first = batch.groupBy(key).agg(F.min(arrival).alias("_first"))
     existing = target.select(key).distinct().withColumn("_exists", F.lit(True))
-    flagged = ranked.join(existing, key, "left")
-    accepted = F.col("_first") & F.col("_exists").isNull()
+    per_key = first.join(existing, key, "left")
+    flagged = batch.join(per_key, key, "left")
+    accepted = (F.col(arrival) == F.col("_first")) & F.col("_exists").isNull()
     return flagged.select(*batch.columns, accepted.alias("accepted"), (~accepted).alias("idempotent"))
 
 
