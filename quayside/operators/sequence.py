@@ -29,7 +29,7 @@ from quayside.session import checkpoint_root
 
 def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col: str,
                    slices: int | None = None, max_groups: int = 1024,
-                   broadcast_rows: int = 2_000_000) -> DataFrame:
+                   broadcast_rows: int = 500_000) -> DataFrame:
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(slices, group_col, *order_cols)
@@ -59,8 +59,11 @@ def running_max_before(df: DataFrame, group_col: str, order_col: str, value_col:
     Rows are cut into slices of ``slice_size`` consecutive order values. The
     running max inside a slice is a window over (g, slice) - at most
     ``slice_size`` rows each; the carry-in from earlier slices is a running max
-    over the per-slice maxima, a table of (rows / slice_size) + groups rows,
-    small enough to broadcast by construction.
+    over the per-slice maxima, a table of (rows / slice_size) + groups rows.
+    That table grows with the data, so it is not force-broadcast: the join is
+    on (g, slice), which the in-slice window already hash-partitioned the big
+    side by, so only the small carry table moves (or AQE broadcasts it once
+    its real size is known).
     """
     sliced = df.withColumn("_slice", F.floor(F.col(order_col) / F.lit(slice_size)))
     per_slice = sliced.groupBy(group_col, "_slice").agg(F.max(value_col).alias("_slice_max"))
@@ -68,7 +71,7 @@ def running_max_before(df: DataFrame, group_col: str, order_col: str, value_col:
     carry = per_slice.select(group_col, "_slice", F.max("_slice_max").over(earlier).alias("_carry"))
     inside = Window.partitionBy(group_col, "_slice").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     local = sliced.withColumn("_local", F.max(value_col).over(inside))
-    out = local.join(F.broadcast(carry), [group_col, "_slice"], "left")
+    out = local.join(carry, [group_col, "_slice"], "left")
     best = F.when(F.col("_carry").isNull(), F.col("_local")).when(F.col("_local").isNull(), F.col("_carry")) \
         .otherwise(F.greatest("_carry", "_local"))
     return out.withColumn(out_col, best).drop("_slice", "_local", "_carry")

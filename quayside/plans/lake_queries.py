@@ -59,7 +59,8 @@ def two_run_lake(spark: SparkSession, sf: str) -> dict:
 
 
 def _read(spark, path, columns, part, part_type="date"):
-    df = spark.read.parquet(path)
+    from quayside.sources.lake_scan import scan_lake
+    df = scan_lake(spark, path)
     return df.withColumn(part, F.col(part).cast(part_type)).select(*columns)
 
 
@@ -269,3 +270,23 @@ def q_compaction_report(spark, sf):
     after = scan_file_inventory(spark, path).count()
     rows_after = spark.read.parquet(path).count()
     return compaction_report(spark, before, after, rows_before, rows_after, detected)
+
+
+@register("control_table")
+def q_control_table(spark, sf):
+    """Rows-only: the committed marks of the two runs (one row per run)."""
+    lake = two_run_lake(spark, sf)
+    return spark.read.parquet(f"{lake['root']}/_state/control").select("run_id", "marks")
+
+
+@register("scan_pipeline_runs", with_ctes(["pipeline_runs"]) +
+          """SELECT pipeline_name AS pipeline, lower(status) AS status, COUNT(*) AS runs
+             FROM pipeline_runs GROUP BY 1, 2""")
+def q_scan_pipeline_runs(spark, sf):
+    """Run log landed as CSV, scanned as text, then counted by status."""
+    from quayside.operators.ops_metrics import run_status_counts
+    from quayside.sources.csv_feed import scan_pipeline_runs, write_csv
+    runs = _feeds(spark, sf).raw("pipeline_runs")
+    path = scratch_path(spark, "landing-runs")
+    write_csv(runs.select(*[F.col(c).cast("string").alias(c) for c in runs.columns]), path)
+    return run_status_counts(scan_pipeline_runs(spark, path, runs.columns))

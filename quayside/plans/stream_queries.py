@@ -73,3 +73,19 @@ def q_stream_payment_windows(spark, sf):
     table = scratch_path(spark, "stream-windows")
     st.run_window_stream(spark, landing, table, scratch_path(spark, "stream-ckpt"), raw.schema)
     return spark.read.parquet(table)
+
+
+@register("payment_watermark_dedupe", with_ctes(["raw_payment_stream"]) +
+          "SELECT DISTINCT event_id FROM raw_payment_stream")
+def q_payment_watermark_dedupe(spark, sf):
+    """Streaming dedupe of re-deliveries within a 30-day watermark; every
+    event id survives exactly once (which copy is kept is first-seen)."""
+    raw, landing, _ = _landing(spark, sf, 3, by="event_ts")
+    table = scratch_path(spark, "stream-dedupe")
+    stream = st.payment_stream(spark, landing, raw.schema, files_per_trigger=1000)
+    q = (st.dedupe_within_watermark(stream, "event_id", "event_ts", "30 days").select("event_id")
+         .writeStream.format("parquet").option("path", table)
+         .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(table)

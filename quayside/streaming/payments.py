@@ -44,9 +44,11 @@ def instant_to_ntz(c) -> Column:
 
 
 def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> list[int]:
-    """Write ``feed`` into ``landing`` as ``chunks`` successive appends cut on
-    ``order_col`` (an arrival order): what a producer leaves over time. Returns
-    the row count per chunk."""
+    """Write ``feed`` into ``landing`` as ``chunks`` successive files cut on
+    ``order_col`` (an arrival order): what a producer drops, one file per
+    period. (A test-landing helper: one file per chunk keeps arrival order
+    file by file, which is what watermark tests rely on.) Returns the row
+    count per chunk."""
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     lo, hi = feed.agg(F.min(order), F.max(order)).first()
     if lo is None:
@@ -62,7 +64,7 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> lis
         start, end = lo_v + k * width, lo_v + (k + 1) * width
         cond = (key >= start) & ((key < end) if k < chunks - 1 else F.lit(True))
         part = feed.where(cond)
-        part.write.mode("append").parquet(landing)
+        part.coalesce(1).write.mode("append").parquet(landing)
         counts.append(part.count())
     return counts
 
