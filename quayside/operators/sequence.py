@@ -11,10 +11,11 @@ computes the same numbers in three distributed steps:
 3. a running sum over that small table gives each slice's starting number;
    rows get ``start + (id - first id)``.
 
-The numbered frame is written once with ``checkpoint()`` (to the shared
-``spark.checkpoint.dir``): ids depend on the physical layout, so both sides
-of the join - and any task retried after an executor loss - must read the same
-materialised rows rather than re-run the range shuffle. The stats side is
+The numbered frame is written once as a Parquet table in the shared
+``spark.checkpoint.dir`` (columnar, compressed - cheaper than an RDD
+checkpoint): ids depend on the physical layout, so both sides of the join -
+and any task retried after an executor loss - must read the same materialised
+rows rather than re-run the range shuffle. The stats side is
 broadcast only when ``slices * max_groups`` is within ``broadcast_rows``;
 otherwise it is a regular shuffled join.
 """
@@ -24,20 +25,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.session import checkpoint_root
+from quayside.sinks.lake_write import stage
 
 
 def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col: str,
                    slices: int | None = None, max_groups: int = 1024,
                    broadcast_rows: int = 500_000) -> DataFrame:
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(slices, group_col, *order_cols)
-                .sortWithinPartitions(group_col, *order_cols)
-                .withColumn("_slice", F.spark_partition_id())
-                .withColumn("_rid", F.monotonically_increasing_id()))
-    checkpoint_root(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = stage(slice_and_number(df, group_col, order_cols, slices), "dense-sequence")
+    return assign_sequence(ranged, group_col, out_col, slices, max_groups, broadcast_rows)
+
+
+def slice_and_number(df: DataFrame, group_col: str, order_cols: list[str],
+                     slices: int | None = None) -> DataFrame:
+    """Step 1: range-partition, sort, and tag rows with (slice, row id).
+
+    Must be materialised (staged or landed) before :func:`assign_sequence`."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(slices, group_col, *order_cols)
+              .sortWithinPartitions(group_col, *order_cols)
+              .withColumn("_slice", F.spark_partition_id())
+              .withColumn("_rid", F.monotonically_increasing_id()))
+
+
+def assign_sequence(ranged: DataFrame, group_col: str, out_col: str, slices: int | None = None,
+                    max_groups: int = 1024, broadcast_rows: int = 500_000) -> DataFrame:
+    """Steps 2-3 over a materialised :func:`slice_and_number` output."""
+    slices = slices or int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stats = ranged.groupBy("_slice", group_col).agg(F.min("_rid").alias("_first"),
                                                     F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
