@@ -26,10 +26,14 @@ def check_range(start_date, end_date) -> tuple[_dt.date, _dt.date]:
     return start, end
 
 
+def _ntz(day: _dt.date):
+    """Midnight of ``day`` as a TIMESTAMP_NTZ literal (built from text, so no
+    Python or session time zone is involved)."""
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def _ts_between(col: str, start: _dt.date, end: _dt.date):
-    lo = F.lit(_dt.datetime.combine(start, _dt.time())).cast("timestamp_ntz")
-    hi = F.lit(_dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())).cast("timestamp_ntz")
-    return (F.col(col) >= lo) & (F.col(col) < hi)
+    return (F.col(col) >= _ntz(start)) & (F.col(col) < _ntz(end + _dt.timedelta(days=1)))
 
 
 def funnel(events: DataFrame, start_date, end_date, channel: str | None = None,
@@ -112,7 +116,6 @@ def transaction_summary(transactions: DataFrame, start_date, end_date,
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("amount").alias("_total"),
         F.count("amount").alias("_n"))
-    cents = F.col("_total") * 100
     avg_cents = F.expr("(2 * _total * 100 + _n) div (2 * _n)")
     return (grouped.select(
                 "partner_id", "currency", "status", "transaction_count",

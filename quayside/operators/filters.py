@@ -16,7 +16,15 @@ def filter_since(df: DataFrame, column: str, start) -> DataFrame:
     """
     if start is None:
         return df
-    bound = start if isinstance(start, Column) else F.lit(start)
+    if isinstance(start, Column):
+        bound = start
+    elif isinstance(start, _dt.datetime):
+        # naive datetime -> NTZ literal from text: no time-zone conversion
+        bound = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
+    elif isinstance(start, _dt.date):
+        bound = F.lit(start.isoformat()).cast("date")
+    else:
+        bound = F.lit(start)
     return df.where(F.col(column) >= bound)
 
 
@@ -63,7 +71,7 @@ def incremental_window(raw: DataFrame, column: str, watermark_days: int = 7,
         mark = raw.select(F.max(column)).scalar()
     start = mark - F.make_dt_interval(F.lit(watermark_days))
     if floor_to_day:
-        start = F.date_trunc("day", start).cast("timestamp_ntz")
+        start = F.to_date(start).cast("timestamp_ntz")  # zone-free midnight
     if dict(raw.dtypes).get(column) == "date":
         start = F.to_date(start)
     return filter_since(raw, column, start)

@@ -117,7 +117,7 @@ def upsert_keyed(target: DataFrame | None, delta: DataFrame, keys, order=None) -
 
 
 def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, partition_col: str,
-                      order=None, keep=None) -> dict:
+                      order=None, keep=None, moved_key_lookback_days: int | None = None) -> dict:
     """Merge a keyed batch into a partitioned Parquet table in place.
 
     Only touched partitions are rewritten: those the batch writes to, plus
@@ -130,6 +130,12 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
 
     ``keep`` filters the merged rows (the batch may carry rows that belong to
     a sibling table: merging them first evicts a key that switched tables).
+
+    ``moved_key_lookback_days`` (date partitions only) bounds the search for
+    moved keys to partitions no older than the batch's oldest partition minus
+    that many days - a partition-pruned scan instead of the whole key column,
+    for feeds whose re-deliveries are known to arrive within that lateness.
+    The default (None) searches the whole table and is exact.
     """
     keys = list(keys)
     if not has_parquet(spark, root):
@@ -137,7 +143,11 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
         sink_partitioned(rows.drop("_seq") if "_seq" in rows.columns else rows, root, partition_col)
         return {"touched_partitions": None}
     target = spark.read.parquet(root)
-    moved_from = (target.select(*keys, partition_col)
+    searched = target
+    if moved_key_lookback_days is not None:
+        oldest = delta.select(F.min(partition_col)).scalar()
+        searched = target.where(F.col(partition_col) >= F.date_sub(oldest, moved_key_lookback_days))
+    moved_from = (searched.select(*keys, partition_col)
                   .join(delta.select(*keys).distinct(), keys, "left_semi").select(partition_col))
     touched = [r[0] for r in delta.select(partition_col).union(moved_from).distinct().collect()]
     if not touched:

@@ -56,3 +56,18 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [rel.columns.index(c) for c in cols]
     d = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert s == d
+
+
+TZ_SENSITIVE = ["funnel_channel", "transaction_summary_filtered", "incremental_window_transactions",
+                "reconcile_30d", "filter_since", "request_rates", "bot_sessions", "payment_windows",
+                "freshness"]
+
+
+@pytest.mark.parametrize("name", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
