@@ -21,10 +21,15 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dedupe_latest(df: DataFrame, keys, order, tiebreak: str | None = "_seq") -> DataFrame:
+def dedupe_latest(df: DataFrame, keys, order, tiebreak: str | None = "_seq",
+                  order_is_unique: bool = False) -> DataFrame:
+    """``order_is_unique``: the order value never repeats (a Kafka
+    (partition, offset) pair), so no tie-break columns are added to the sort."""
     keys = [_as_col(k) for k in (keys if isinstance(keys, (list, tuple)) else [keys])]
     order = [_as_col(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
-    if tiebreak and tiebreak in df.columns:
+    if order_is_unique:
+        ties = []
+    elif tiebreak and tiebreak in df.columns:
         ties = [F.col(tiebreak).desc()]
     else:
         orderable = [f.name for f in df.schema.fields
@@ -51,4 +56,4 @@ def dedupe_partners(normalized: DataFrame) -> DataFrame:
 def dedupe_payments(raw: DataFrame) -> DataFrame:
     """Key event_id; the greatest (partition, offset) delivery wins."""
     order = F.struct(F.col("kafka_partition").cast("int"), F.col("kafka_offset").cast("bigint"))
-    return dedupe_latest(raw, "event_id", order)
+    return dedupe_latest(raw, "event_id", order, order_is_unique=True)

@@ -279,14 +279,14 @@ def q_control_table(spark, sf):
     return spark.read.parquet(f"{lake['root']}/_state/control").select("run_id", "marks")
 
 
-@register("scan_pipeline_runs", with_ctes(["pipeline_runs"]) +
+@register("scan_run_log", with_ctes(["pipeline_runs"]) +
           """SELECT pipeline_name AS pipeline, lower(status) AS status, COUNT(*) AS runs
              FROM pipeline_runs GROUP BY 1, 2""")
-def q_scan_pipeline_runs(spark, sf):
+def q_scan_run_log(spark, sf):
     """Run log landed as CSV, scanned as text, then counted by status."""
     from quayside.operators.ops_metrics import run_status_counts
-    from quayside.sources.csv_feed import scan_pipeline_runs, write_csv
+    from quayside.sources.csv_feed import scan_run_log, write_csv
     runs = _feeds(spark, sf).raw("pipeline_runs")
     path = scratch_path(spark, "landing-runs")
     write_csv(runs.select(*[F.col(c).cast("string").alias(c) for c in runs.columns]), path)
-    return run_status_counts(scan_pipeline_runs(spark, path, runs.columns))
+    return run_status_counts(scan_run_log(spark, path, runs.columns))

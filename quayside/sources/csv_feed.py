@@ -32,5 +32,5 @@ def write_csv(df: DataFrame, path: str) -> None:
        .option("encoding", "UTF-8").csv(path))
 
 
-def scan_pipeline_runs(spark: SparkSession, path: str, columns) -> DataFrame:
+def scan_run_log(spark: SparkSession, path: str, columns) -> DataFrame:
     return scan_csv(spark, path, columns)
