@@ -204,7 +204,8 @@ def user_id_token(df: DataFrame, key: bytes, column: str = "user_id") -> DataFra
 
 def freshness(transactions: DataFrame, target_minutes: float = 60.0) -> DataFrame:
     """Nearest-rank p95 of ingest lag (minutes) against the freshness target."""
-    lag = F.timestamp_diff("SECOND", F.col("created_at"), F.col("ingest_ts")) / 60.0
+    from quayside.functions.time import seconds_between
+    lag = (seconds_between("created_at", "ingest_ts") / 60).cast("double")
     return (transactions.select(lag.alias("lag_minutes"))
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY lag_minutes)").cast("double")

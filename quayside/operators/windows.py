@@ -30,7 +30,8 @@ def spike_windows(payments: DataFrame, size: str = "16 hours", share: float = 0.
 
 
 def _micros(col: str):
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
+    from quayside.functions.time import epoch_micros
+    return epoch_micros(col)
 
 
 def max_events_in_span(events: DataFrame, key: str, ts: str, span_seconds: int = 240,

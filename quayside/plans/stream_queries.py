@@ -45,7 +45,8 @@ def q_stream_offset_resume(spark, sf):
     landing = scratch_path(spark, "landing-payments")
     table = scratch_path(spark, "stream-payments")
     ckpt = scratch_path(spark, "stream-ckpt")
-    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("event_ts"))
+    from quayside.functions.time import epoch_micros
+    secs = epoch_micros("event_ts") / 1_000_000
     half = raw.agg(F.percentile_approx(secs, 0.5)).first()[0]
     early = secs <= F.lit(half)
     raw.where(early).write.mode("append").parquet(landing)

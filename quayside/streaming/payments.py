@@ -26,21 +26,18 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.time import epoch_micros, micros_to_ntz
 from quayside.plans import flows
 from quayside.sinks.lake_write import has_parquet, merge_partitioned, sink_single, stage, upsert_keyed
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def ntz_to_instant(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
+    """NTZ wall clock -> the TIMESTAMP instant with the same UTC wall clock."""
+    return F.timestamp_micros(epoch_micros(c))
 
 
 def instant_to_ntz(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
+    return micros_to_ntz(F.unix_micros(c))
 
 
 def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> list[int]:
@@ -53,9 +50,11 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> lis
     lo, hi = feed.agg(F.min(order), F.max(order)).first()
     if lo is None:
         return []
-    if hasattr(lo, "timestamp"):
-        lo_v, hi_v = lo.timestamp(), hi.timestamp()
-        key = F.timestamp_diff("SECOND", _epoch(), order).cast("double")
+    if hasattr(lo, "timestamp"):  # naive wall clock: seconds from the epoch, no local zone
+        import datetime as _dt
+        epoch = _dt.datetime(1970, 1, 1)
+        lo_v, hi_v = (lo - epoch).total_seconds(), (hi - epoch).total_seconds()
+        key = (epoch_micros(order) / 1_000_000).cast("double")
     else:
         lo_v, hi_v, key = float(lo), float(hi), order.cast("double")
     width = (hi_v - lo_v) / chunks or 1.0

@@ -60,7 +60,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 TZ_SENSITIVE = ["funnel_channel", "transaction_summary_filtered", "incremental_window_transactions",
                 "reconcile_30d", "filter_since", "request_rates", "bot_sessions", "payment_windows",
-                "freshness"]
+                "freshness", "stream_payment_windows", "normalize_transactions", "spike_windows"]
 
 
 @pytest.mark.parametrize("name", TZ_SENSITIVE)

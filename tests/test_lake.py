@@ -106,3 +106,25 @@ def test_merge_lookback_limits_moved_key_search(spark, scratch):
     # b moved within the lookback and was evicted from its old partition; a's
     # old copy is outside the lookback and stays (the documented trade-off).
     assert rows == [("a", "v1"), ("a", "v2"), ("b", "v2")]
+
+
+def test_lake_scans_prune_partitions_push_filters_and_columns(spark, scratch):
+    from quayside.operators.analytics import funnel, transaction_summary
+    from quayside.plans.flows import Feeds
+    from tests.conftest import SMALL_SF
+    path = scratch("lake-events")
+    sink_partitioned(Feeds(spark, SMALL_SF).events(), path, "ingest_date")
+    q = funnel(spark.read.parquet(path), "2024-01-05", "2024-01-10", prune_ingest_date=True)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "ingest_date#" in plan
+    assert "PushedFilters: [IsNotNull(event_ts), GreaterThanOrEqual(event_ts" in plan
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
+    assert "ReadSchema: struct<event_type:string,session_id:string,event_ts:timestamp_ntz,channel:string>" in scan
+    assert q.count() > 0
+
+    tpath = scratch("lake-transactions")
+    txns = Feeds(spark, SMALL_SF).transactions()
+    txns.write.parquet(tpath)
+    s = transaction_summary(spark.read.parquet(tpath), "1996-01-01", "1996-12-31", currency="brl")
+    splan = s._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at" in splan and "EqualTo(currency,BRL)" in splan
