@@ -112,6 +112,7 @@ def test_lake_scans_prune_partitions_push_filters_and_columns(spark, scratch):
     from quayside.operators.analytics import funnel, transaction_summary
     from quayside.plans.flows import Feeds
     from tests.conftest import SMALL_SF
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated scan metadata
     path = scratch("lake-events")
     sink_partitioned(Feeds(spark, SMALL_SF).events(), path, "ingest_date")
     q = funnel(spark.read.parquet(path), "2024-01-05", "2024-01-10", prune_ingest_date=True)
