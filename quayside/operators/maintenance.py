@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.sinks.lake_write import delete_path, rename_path, path_exists
+from quayside.sinks.lake_write import delete_path, rename_path
 from quayside.sources.lake_scan import scan_file_inventory
 
 MB = 1024 * 1024
