@@ -168,3 +168,31 @@ def test_dedupe_of_a_hot_key_is_limited_before_the_shuffle(spark):
     assert exchange < partial  # printed root-first: the partial limit runs before (below) the shuffle
     assert out.where("k = 'hot'").collect()[0]["v"] == 2997
     assert out.count() == 2001
+
+
+def test_argument_checks_and_empty_partner_performance(spark):
+    import pytest
+    from quayside.operators import analytics
+    txns = spark.createDataFrame(
+        [("PRT0001", "confirmed", 100, dt.datetime(2025, 3, 31, 10)),
+         ("PRT0001", "failed", 7, dt.datetime(2025, 3, 31, 11))],
+        "partner_id string, status string, amount int, created_at timestamp_ntz").withColumn(
+        "amount", F.col("amount").cast("decimal(18,2)")).withColumn("currency", F.lit("BRL"))
+    with pytest.raises(ValueError, match="end_date"):
+        analytics.transaction_summary(txns, "2025-03-31", "2025-03-30")
+    with pytest.raises(ValueError, match="3 characters"):
+        analytics.transaction_summary(txns, "2025-03-01", "2025-03-31", currency="BR")
+    with pytest.raises(ValueError, match="end_date"):
+        analytics.funnel(txns, "2025-03-31", "2025-03-01")
+    partners = spark.createDataFrame(
+        [("PRT0001", "v1", dt.datetime(2024, 1, 1), None), ("PRT0002", "v3", dt.datetime(2024, 1, 1),
+                                                             dt.datetime(2025, 1, 1))],
+        "partner_id string, schema_version string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    out = {r["partner_id"]: r for r in analytics.partner_profile_performance(partners, txns).collect()}
+    assert (out["PRT0001"]["transaction_count"], str(out["PRT0001"]["revenue"]), out["PRT0001"]["approved_count"]) \
+        == (2, "100.00", 1)
+    assert (out["PRT0002"]["transaction_count"], out["PRT0002"]["revenue"], out["PRT0002"]["approved_count"]) \
+        == (0, None, None)
+    summary = analytics.transaction_summary(txns, "2025-03-31", "2025-03-31", currency="brl").collect()
+    assert [(r["status"], r["transaction_count"], str(r["average_amount"])) for r in summary] == \
+        [("confirmed", 1, "100.00"), ("failed", 1, "7.00")]
