@@ -196,3 +196,18 @@ def test_argument_checks_and_empty_partner_performance(spark):
     summary = analytics.transaction_summary(txns, "2025-03-31", "2025-03-31", currency="brl").collect()
     assert [(r["status"], r["transaction_count"], str(r["average_amount"])) for r in summary] == \
         [("confirmed", 1, "100.00"), ("failed", 1, "7.00")]
+
+
+def test_average_amount_rounds_half_up_from_exact_cents(spark):
+    from quayside.operators import analytics
+    rows = [("P", "ok", a) for a in ("0.01", "0.02")] + [("Q", "ok", a) for a in ("1.00", "1.01", "1.01")] \
+        + [("R", "ok", a) for a in ("0.00", "0.00", "0.01")] + [("S", "ok", None)]
+    txns = spark.createDataFrame(rows, "partner_id string, status string, amount string").select(
+        "partner_id", "status", F.col("amount").cast("decimal(18,2)").alias("amount"),
+        F.lit("BRL").alias("currency"), F.lit("2025-03-31 10:00:00").cast("timestamp_ntz").alias("created_at"))
+    out = {r["partner_id"]: (str(r["total_amount"]), None if r["average_amount"] is None else str(r["average_amount"]))
+           for r in analytics.transaction_summary(txns, "2025-03-31", "2025-03-31").collect()}
+    assert out == {"P": ("0.03", "0.02"),   # 0.015 -> 0.02 (half up)
+                   "Q": ("3.02", "1.01"),   # 1.00666.. -> 1.01
+                   "R": ("0.01", "0.00"),   # 0.00333.. -> 0.00
+                   "S": ("None", None)}     # no amounts -> NULL total and average
