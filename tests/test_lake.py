@@ -150,3 +150,23 @@ def test_compaction_report_reproduces_the_published_demo(spark, scratch):
     assert report["detected"] and report["rows_preserved"]
     assert (report["files_before"], report["files_after"], report["rows_after"]) == (25, 1, 2500)
     assert report["reduction_percent"] == 96.0
+
+
+def test_sink_caps_rows_per_file(spark, scratch):
+    from quayside.sources.lake_scan import scan_file_inventory
+    path = scratch("capped")
+    df = spark.range(10).selectExpr("id", "date'2025-03-31' AS d").coalesce(1)
+    sink_partitioned(df, path, "d", max_records=3)
+    assert scan_file_inventory(spark, path).count() == 4
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_offset_filter_broadcasts_saved_offsets_and_never_shuffles_the_feed(spark):
+    from quayside.operators.filters import filter_new_offsets
+    feed = spark.range(1000).selectExpr("cast(id % 8 AS string) AS kafka_partition",
+                                        "cast(id div 8 AS string) AS kafka_offset")
+    saved = spark.createDataFrame([(p, 60) for p in range(8)], "kafka_partition int, kafka_offset bigint")
+    out = filter_new_offsets(feed, saved)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert out.count() == 8 * (125 - 61)
