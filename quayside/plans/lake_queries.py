@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.contracts import EVENT_COLUMNS, PAYMENT_COLUMNS, RAW_TXN_FIELDS, TXN_COLUMNS
-from quayside.plans.catalog import _feeds, register
+from quayside.plans.catalog import EVENT_RANGE, _feeds, _funnel_sql, register
 from quayside.plans.oracle import with_ctes
 from quayside.session import scratch_path
 
@@ -290,3 +290,15 @@ def q_scan_run_log(spark, sf):
     path = scratch_path(spark, "landing-runs")
     write_csv(runs.select(*[F.col(c).cast("string").alias(c) for c in runs.columns]), path)
     return run_status_counts(scan_run_log(spark, path, runs.columns))
+
+
+@register("funnel_lake", _funnel_sql(*EVENT_RANGE))
+def q_funnel_lake(spark, sf):
+    """The funnel served from the day-partitioned events table: the event-time
+    range is pushed to the scan and ``ingest_date >= start`` prunes partitions
+    (a row is never ingested before its event day)."""
+    from quayside.operators.analytics import funnel
+    from quayside.sinks.lake_write import sink_partitioned
+    path = scratch_path(spark, "lake-events")
+    sink_partitioned(_feeds(spark, sf).events(), path, "ingest_date")
+    return funnel(spark.read.parquet(path), *EVENT_RANGE, prune_ingest_date=True)
