@@ -170,3 +170,15 @@ def test_offset_filter_broadcasts_saved_offsets_and_never_shuffles_the_feed(spar
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert out.count() == 8 * (125 - 61)
+
+
+def test_file_inventory_never_reads_file_bodies(spark, scratch):
+    from quayside.sources.lake_scan import scan_file_inventory
+    path = scratch("inventory")
+    spark.range(100).selectExpr("id", "date'2025-03-31' AS d").write.partitionBy("d").parquet(path)
+    inv = scan_file_inventory(spark, path)
+    scan = [line for line in inv._jdf.queryExecution().executedPlan().toString().split("\n")
+            if "FileScan" in line][0]
+    assert "content" not in scan.split("ReadSchema")[-1] and "length" in scan
+    row = inv.collect()[0]
+    assert row["partition"] == "d=2025-03-31" and row["bytes"] > 0 and row["dataset"] == "d=2025-03-31"
