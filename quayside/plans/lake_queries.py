@@ -39,8 +39,9 @@ def raw_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 def two_run_lake(spark: SparkSession, sf: str) -> dict:
     """Full run over the first delivery, then an incremental run over all."""
     from quayside.plans.batch_run import run_batch
-    key = (id(spark), sf)
-    if key in _LAKES:
+    from quayside.sinks.lake_write import has_parquet
+    key = (id(spark.sparkContext), sf)
+    if key in _LAKES and has_parquet(spark, f"{_LAKES[key]['root']}/events"):
         return _LAKES[key]
     root = scratch_path(spark, "lake")
     raw = raw_feeds(spark, sf)
