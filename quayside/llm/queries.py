@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import simhash
-from quayside.llm.common import table
+from quayside.llm import bpe, decontam, quality, secrets, simhash
+from quayside.llm.common import doc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,8 +24,47 @@ def register(name: str, oracle: str | None = None):
     return wrap
 
 
+def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> bytes:
+    """The content of a public tokenizer's rank file, read where the driver runs."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+@register("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), rank_file())).withColumnRenamed("id", "doc_id")
+
+
 @register("op4_simhash_pivots")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_print(F.col("fp")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@register("op5_benchmark_decontamination", decontam.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shingles", "n_found", "containment")
+
+
+@register("op9_quality_mil")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scores(docs, model).select(
+        F.col("id").alias("doc_id"), (doc_bucket(F.col("id"), 3) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@register("op10_secret_scan", secrets.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.as_text(F.col("spans"), secrets.BASE), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
