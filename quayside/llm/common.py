@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,10 @@ class Scratch:
         out._scratch = path
         return out
 
+    def again(self, kept: DataFrame) -> DataFrame:
+        """A kept table once more, for a join with itself."""
+        return self.spark.read.schema(kept.schema).parquet(kept._scratch)
+
     def drop(self, *frames: DataFrame) -> None:
         for f in frames:
             if path := getattr(f, "_scratch", None):
@@ -44,17 +50,36 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(a) for a, c in columns.items()])
 
 
+#: Bytes of text that are worked on at a time in a task (a longer text alone).
+SLICE_BYTES = 2 << 20
+
+
+def slices(b: pa.RecordBatch, text_at: int | None) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``SLICE_BYTES`` of its text column."""
+    if text_at is None:
+        yield b
+        return
+    size = pc.fill_null(pc.binary_length(b.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    ends, first = np.cumsum(size, dtype=np.int64), 0
+    while first < b.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - size[first] + SLICE_BYTES, side="right")))
+        yield b.slice(first, last - first)
+        first = last
+
+
 def per_batch(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
-              schema: T.StructType) -> DataFrame:
+              schema: T.StructType, text_at: int | None = None) -> DataFrame:
     """``mapInArrow`` with per-task state: ``work()`` runs once in each task and
-    returns what is applied to every Arrow batch."""
+    returns what is applied to every Arrow batch, cut by the size of the text column
+    at ``text_at`` so that a task's memory doesn't grow with the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = None
-        for b in batches:
-            if b.num_rows:
-                step = step or work()
-                yield step(b)
+        for whole in batches:
+            for b in slices(whole, text_at):
+                if b.num_rows:
+                    step = step or work()
+                    yield step(b)
 
     return df.mapInArrow(run, schema)
 

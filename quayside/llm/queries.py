@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, decontam, quality, secrets, simhash
+from quayside.llm import bpe, decontam, hnsw, langid, quality, quoting, secrets, sharding, simhash, urlfilter
 from quayside.llm.common import doc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,11 +32,26 @@ def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> bytes:
         return f.read()
 
 
+@register("op1_quotation_linking")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations don't quote: they are first turned, in Spark, into messages that do."""
+    found = quoting.link(quoting.quoting_messages(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id").drop("formatted")
+
+
 @register("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), rank_file())).withColumnRenamed("id", "doc_id")
 
 
+@register("op3_language_viterbi")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select(F.col("id").alias("doc_id"), (doc_bucket(F.col("id"), 5) == 0).alias("held_out"),
+                        F.col("lang").alias("lang_pred"), "score", F.size("spans").alias("n_spans"))
+
+
 @register("op4_simhash_pivots")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -68,3 +83,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.as_text(F.col("spans"), secrets.BASE), 256).alias("base_sha256"),
         secrets.as_text(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
+
+
+@register("op6_embedding_hnsw", hnsw.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnsRenamed(
+        {"id": "vec_id", "component": "component_id"})
+
+
+@register("op7_url_vocabulary", urlfilter.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@register("op8_hash_tree_sharding", sharding.ORACLE)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), 24).withColumnRenamed("id", "doc_id")
