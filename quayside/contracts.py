@@ -17,8 +17,9 @@ TXN_COLUMNS = ("transaction_id", "booking_ref", "partner_id", "user_id", "create
                "processing_ms", "ingest_date", "is_late")
 PARTNER_COLUMNS = ("partner_id", "schema_version", "name", "country_code", "status", "tier", "commission_rate",
                    "created_at", "updated_at", "sla_hours", "avg_rating", "api_endpoint", "webhook_enabled")
-PAYMENT_COLUMNS = ("event_id", "event_type", "transaction_id", "partner_id", "amount", "currency", "status",
-                   "event_ts", "kafka_partition", "kafka_offset", "processing_lag_ms", "is_spike", "event_date")
+PAYMENT_COLUMNS = ("event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",
+                   "status", "gateway", "event_ts", "kafka_offset", "kafka_partition", "processing_lag_ms",
+                   "is_spike", "event_date")
 
 # Serving keys (conflict targets of the upsert) and lake partition columns.
 KEYS = {

@@ -36,18 +36,15 @@ def _ts_between(col: str, start: _dt.date, end: _dt.date):
     return (F.col(col) >= _ntz(start)) & (F.col(col) < _ntz(end + _dt.timedelta(days=1)))
 
 
-def funnel(events: DataFrame, start_date, end_date, channel: str | None = None,
-           prune_ingest_date: bool = False) -> DataFrame:
+def funnel(events: DataFrame, start_date, end_date, channel: str | None = None) -> DataFrame:
     """Events and distinct sessions by (channel, event_type) in a date range.
 
-    ``prune_ingest_date`` adds ``ingest_date >= start`` - valid because a row
-    is never ingested before it happened - so a lake scan skips whole
-    partitions.
+    The range compares the raw timestamp, so a lake scan skips row groups by
+    their minimum and maximum event time; no partition is skipped by its ingest
+    date, which nothing forces to follow the event.
     """
     start, end = check_range(start_date, end_date)
     rows = events.where(_ts_between("event_ts", start, end))
-    if prune_ingest_date:
-        rows = rows.where(F.col("ingest_date") >= F.lit(start))
     if channel:
         rows = rows.where(F.col("channel") == F.lit(channel))
     return (rows.groupBy(F.coalesce("channel", F.lit("unknown")).alias("channel"), "event_type")

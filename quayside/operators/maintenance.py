@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
+import re
+import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.sinks.lake_write import delete_path, rename_path
+from quayside.sinks.lake_write import delete_path, make_directory, rename_path
 from quayside.sources.lake_scan import scan_file_inventory
 
 MB = 1024 * 1024
 DEFAULT_TARGET_MB = 128
-COMPACT_RECORDS_PER_FILE = 500_000
 
 
 def partition_file_stats(inventory: DataFrame) -> DataFrame:
@@ -27,13 +29,15 @@ def partition_file_stats(inventory: DataFrame) -> DataFrame:
 def small_partitions(spark: SparkSession, root: str, threshold_mb: int = DEFAULT_TARGET_MB) -> DataFrame:
     """Partitions whose files average below the threshold, sorted by path.
 
-    ``needs_compaction`` only when there is more than one file to merge.
+    ``needs_compaction`` only when the partition has more files than its bytes
+    fill at the threshold size, so a rewritten partition isn't flagged again.
     """
     stats = partition_file_stats(scan_file_inventory(spark, root))
+    enough = F.ceil(F.col("total_bytes") / F.lit(float(threshold_mb * MB)))
     return (stats.where(F.col("average_bytes") < threshold_mb * MB)
             .select(F.col("partition_path").alias("partition"), "file_count", "total_bytes",
                     F.floor("average_bytes").cast("bigint").alias("average_bytes"),
-                    (F.col("file_count") > 1).alias("needs_compaction"))
+                    (F.col("file_count") > F.greatest(enough, F.lit(1))).alias("needs_compaction"))
             .orderBy("partition"))
 
 
@@ -41,18 +45,18 @@ def compact_partitions(spark: SparkSession, root: str, threshold_mb: int = DEFAU
                        target_mb: int = DEFAULT_TARGET_MB, apply: bool = False) -> DataFrame:
     """Detect, and with ``apply`` rewrite, fragmented partitions of one table.
 
-    All flagged partitions are rewritten by ONE job: read together (with the
-    table root as ``basePath``), ``rebalance``d on the partition column with
-    the advisory size set to the target - so a large partition becomes several
-    ~target files and small ones one file - and written to a sibling staging
-    table. Row counts per partition are compared in one grouped join; only
-    then each directory is swapped (rename original -> backup, staged ->
-    original, drop backup), which is file-system metadata work only.
+    All flagged partitions are rewritten by ONE job, to as many files each as
+    their bytes fill at the target size. Partition columns, however many levels
+    and whatever their text, are never read: rows are grouped by the directory
+    they come from and go back into a directory of the same name. Row counts per
+    directory are compared; only then each directory is swapped (original to a
+    backup outside the table, staged to original), a failed rename is undone,
+    and the backups go last.
     """
     # One row per partition of one table: small, and materialised before any
     # file moves so no lazy plan re-lists swapped directories.
     candidates = small_partitions(spark, root, threshold_mb).collect()
-    flagged = [r["partition"] for r in candidates if r["needs_compaction"]]
+    flagged = {r["partition"]: int(r["total_bytes"]) for r in candidates if r["needs_compaction"]}
     outcome: dict[str, tuple] = {}
     if apply and flagged:
         outcome = _rewrite_partitions(spark, root.rstrip("/"), flagged, target_mb)
@@ -65,70 +69,94 @@ def compact_partitions(spark: SparkSession, root: str, threshold_mb: int = DEFAU
         "compacted", F.col("rows_after").isNotNull())
 
 
-def _rewrite_partitions(spark: SparkSession, root: str, parts: list[str], target_mb: int) -> dict:
-    import uuid
-    column = parts[0].rsplit("/", 1)[1].split("=", 1)[0]
-    source = spark.read.option("basePath", root).parquet(*parts)
+def _directory():
+    """The directory of the file a row comes from, as Spark writes it (URL-encoded)."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1)
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme, for comparing a listing's with a (decoded) file URL's."""
+    return re.sub(r"^[a-z0-9+.-]+:/*(?=/)", "", path)
+
+
+def _files_of(sizes: dict[str, int], target_mb: int) -> dict[str, int]:
+    return {p: max(1, math.ceil(b / (target_mb * MB))) for p, b in sizes.items()}
+
+
+def _write_in_files(rows: DataFrame, group: str, files: dict[str, int], path: str, columns) -> None:
+    """Write ``columns`` of ``rows`` partitioned by ``group``, ``files`` of it (at
+    most) per value: a value's rows are dealt out to that many tasks by an
+    arbitrary number, so no value, however large, is one task's."""
+    spark = rows.sparkSession
+    counts = spark.createDataFrame(list(files.items()), f"{group} string, _files long")  # a row per partition
+    dealt = rows.join(F.broadcast(counts) if len(files) <= 100_000 else counts, group)
+    dealt = dealt.withColumn("_file", F.pmod(F.monotonically_increasing_id(), F.col("_files")))
+    (dealt.repartition(max(1, sum(files.values())), group, "_file").select(*columns, group)
+     .write.mode("overwrite").partitionBy(group).parquet(path))
+
+
+def _rewrite_partitions(spark: SparkSession, root: str, parts: dict[str, int], target_mb: int) -> dict:
+    """``parts``: path -> bytes. Returns path -> (rows before, rows after)."""
     staging = f"{root}_compacting_{uuid.uuid4().hex[:8]}"
-    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_mb * MB))
-    try:
-        (source.hint("rebalance", column).write.mode("overwrite")
-         .option("maxRecordsPerFile", COMPACT_RECORDS_PER_FILE)
-         .option("parquet.block.size", target_mb * MB)
-         .partitionBy(column).parquet(staging))
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
-    before = spark.read.option("basePath", root).parquet(*parts).groupBy(
-        F.col(column).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("rows_before"))
-    after = spark.read.parquet(staging).groupBy(
-        F.col(column).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("rows_after"))
-    counts = {r["_v"]: (r["rows_before"], r["rows_after"])
-              for r in before.join(after, "_v", "full_outer").collect()}  # one row per partition
-    bad = {v: c for v, c in counts.items() if c[0] != c[1]}
+    flat = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").option(
+        "pathGlobFilter", "*.parquet").parquet(*parts)
+    columns = flat.columns
+    rows = flat.withColumn("_dir", F.md5(_directory())).withColumn("_from", _directory())
+    before = {r["_dir"]: r for r in rows.groupBy("_dir", "_from").agg(F.count(F.lit(1)).alias("n")).collect()}
+    path_of = {_plain(p): p for p in parts}
+    where = {d: path_of[_plain(unquote(r["_from"]))] for d, r in before.items()}  # a directory per partition
+    _write_in_files(rows.drop("_from"), "_dir", {d: f for d, f in zip(where, _files_of(
+        {d: parts[p] for d, p in where.items()}, target_mb).values(), strict=True)}, staging, columns)
+    after = {r["_d"]: r["n"] for r in spark.read.option("recursiveFileLookup", "true").parquet(staging).groupBy(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/_dir=([0-9a-f]{32})/[^/]+$", 1).alias("_d")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    bad = {p: (before[d]["n"], after.get(d)) for d, p in where.items() if before[d]["n"] != after.get(d)}
     if bad:
         delete_path(spark, staging)
         raise RuntimeError(f"compaction changed row counts: {bad}")
-    out = {}
-    for part in parts:
-        value = part.rsplit("/", 1)[1].split("=", 1)[1]
-        staged, backup = f"{staging}/{column}={value}", part + "_precompact"
-        delete_path(spark, backup)
-        rename_path(spark, part, backup)
-        rename_path(spark, staged, part)
-        delete_path(spark, backup)
-        out[part] = counts.get(value, (0, 0))
+    backups = f"{root}_precompact_{uuid.uuid4().hex[:8]}"
+    make_directory(spark, backups)
+    for d, part in where.items():
+        if not rename_path(spark, part, f"{backups}/{d}"):
+            raise RuntimeError(f"can't move {part}; nothing of it was changed")
+        if not rename_path(spark, f"{staging}/_dir={d}", part):
+            back = rename_path(spark, f"{backups}/{d}", part)
+            raise RuntimeError(f"can't move the rewritten {part}; " + (
+                "its files are back" if back else f"its files are in {backups}/{d}"))
+    delete_path(spark, backups)
     delete_path(spark, staging)
-    return out
+    return {p: (before[d]["n"], after[d]) for d, p in where.items()}
 
 
 def compact_table(spark: SparkSession, source: str, destination: str, partition_col: str,
                   target_mb: int = DEFAULT_TARGET_MB) -> dict:
     """Rewrite a whole partitioned table into ~target-sized files.
 
-    Input bytes come from a recursive inventory (a partitioned table has no
-    files at its top level). ``rebalance`` on the partition column with the
-    advisory size set to the target lets AQE cut each partition value into
-    target-sized tasks - a hot day is split, small days are merged - instead
-    of hash-partitioning every day into one task.
+    Input bytes per partition come from a recursive inventory (a partitioned
+    table has no files at its top level) and say how many files it becomes; a
+    hot day is split among that many tasks. Rows are counted on the way into the
+    write and against what the written files hold.
     """
     inventory = scan_file_inventory(spark, source)
-    total = inventory.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    frame = spark.read.parquet(source)
-    rows_before = frame.count()
-    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_mb * MB))
-    try:
-        (frame.hint("rebalance", partition_col).write.mode("overwrite")
-         .option("maxRecordsPerFile", COMPACT_RECORDS_PER_FILE)
-         .partitionBy(partition_col).parquet(destination))
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
+    sizes = inventory.groupBy("partition_path").agg(F.sum("bytes").alias("b")).collect()  # a row per partition
+    total = sum(r["b"] for r in sizes)
+    flat = spark.read.parquet(source)
+    files = _files_of({_plain(r["partition_path"]): r["b"] for r in sizes}, target_mb)
+    seen = Observation("compaction")
+    rows = flat.observe(seen, F.count(F.lit(1)).alias("rows"))
+    by_path = rows.withColumn("_from", _directory())
+    paths = {u: files[_plain(unquote(u))] for u in (r[0] for r in flat.select(_directory().alias("u")).distinct().collect())}
+    counts = spark.createDataFrame(list(paths.items()), "_from string, _files long")
+    dealt = by_path.join(F.broadcast(counts) if len(paths) <= 100_000 else counts, "_from").withColumn(
+        "_file", F.pmod(F.monotonically_increasing_id(), F.col("_files")))
+    (dealt.repartition(max(1, sum(paths.values())), "_from", "_file").drop("_from", "_file", "_files")
+     .write.mode("overwrite").partitionBy(partition_col).parquet(destination))
+    rows_before = seen.get["rows"]
     rows_after = spark.read.parquet(destination).count()
     if rows_after != rows_before:
         raise RuntimeError(f"compaction changed row count: {rows_before} -> {rows_after}")
     return {"input_bytes": int(total), "rows_before": rows_before, "rows_after": rows_after,
-            "target_files": max(1, math.ceil(total / (target_mb * MB)))}
+            "target_files": sum(paths.values())}
 
 
 def compaction_report(spark: SparkSession, files_before: int, files_after: int,

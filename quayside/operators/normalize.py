@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.contracts import EVENT_COLUMNS, PARTNER_COLUMNS, PAYMENT_COLUMNS, TXN_COLUMNS
+from quayside.contracts import PARTNER_COLUMNS, PAYMENT_COLUMNS, TXN_COLUMNS
 from quayside.functions.cleaning import (
     clean, date_prefix, lower_clean, parse_bool, parse_decimal, parse_float, parse_int,
     parse_timestamp, upper_or_empty,
@@ -86,10 +86,11 @@ def union_partner_versions(*feeds: DataFrame) -> DataFrame:
 def normalize_payments(df: DataFrame, strict: bool = True) -> DataFrame:
     ts = parse_timestamp("event_ts")
     return df.select(
-        "event_id", "event_type", "transaction_id", "partner_id",
+        "event_id", "event_type", "transaction_id", "user_id", "partner_id",
         parse_decimal("amount", 18, 2, strict).alias("amount"),
         "currency",
         lower_clean("status").alias("status"),
+        "gateway",
         ts.alias("event_ts"),
         parse_int("kafka_partition", "int", strict).alias("kafka_partition"),
         parse_int("kafka_offset", "bigint", strict).alias("kafka_offset"),
@@ -99,9 +100,6 @@ def normalize_payments(df: DataFrame, strict: bool = True) -> DataFrame:
     ).select(*PAYMENT_COLUMNS)
 
 
-def select_partner_columns(df: DataFrame) -> DataFrame:
-    return df.select(*PARTNER_COLUMNS)
-
-
-def select_event_columns(df: DataFrame) -> DataFrame:
-    return df.select(*EVENT_COLUMNS)
+def select_partner_columns(df: DataFrame, keep_order: bool = False) -> DataFrame:
+    """The partner contract; ``keep_order`` carries the arrival order along."""
+    return df.select(*PARTNER_COLUMNS, *(["_seq"] if keep_order and "_seq" in df.columns else []))

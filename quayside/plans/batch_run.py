@@ -114,7 +114,7 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
 
     events = flows.events_all(ev_batch).persist(StorageLevel.MEMORY_AND_DISK)
     txns = flows.transactions_all(tx_batch, watermark_days).persist(StorageLevel.MEMORY_AND_DISK)
-    partners = flows.partners_all(raw["raw_partner_catalog"]).persist(StorageLevel.MEMORY_AND_DISK)
+    partners = flows.partners_all(raw["raw_partner_catalog"], keep_order=True).persist(StorageLevel.MEMORY_AND_DISK)
     payments = flows.payments_all(pm_batch).persist(StorageLevel.MEMORY_AND_DISK)
 
     _write_split(spark, f"{root}/events", events, KEYS["events"], "ingest_date", ~_bot(),
@@ -130,7 +130,7 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     order = [F.col("kafka_partition"), F.col("kafka_offset")]
     _write_split(spark, f"{root}/payments", payments, KEYS["payments"], "event_date", F.lit(True),
                  PAYMENT_COLUMNS, full, order=order)
-    sink_single(partners, f"{root}/partners")
+    sink_single(partners.drop("_seq"), f"{root}/partners")
     serving = f"{root}/serving/partners"
     previous = None if full or not has_parquet(spark, serving) else spark.read.parquet(serving)
     if previous is not None:

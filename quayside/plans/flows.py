@@ -27,8 +27,8 @@ def transactions_all(raw: DataFrame, watermark_days: int = 7) -> DataFrame:
     return normalize_transactions(dedupe_transactions(raw), watermark_days)
 
 
-def partners_all(raw: DataFrame) -> DataFrame:
-    return select_partner_columns(dedupe_partners(normalize_partners(raw)))
+def partners_all(raw: DataFrame, keep_order: bool = False) -> DataFrame:
+    return select_partner_columns(dedupe_partners(normalize_partners(raw)), keep_order)
 
 
 def payments_all(raw: DataFrame) -> DataFrame:

@@ -296,10 +296,9 @@ def q_scan_run_log(spark, sf):
 @register("funnel_lake", _funnel_sql(*EVENT_RANGE))
 def q_funnel_lake(spark, sf):
     """The funnel served from the day-partitioned events table: the event-time
-    range is pushed to the scan and ``ingest_date >= start`` prunes partitions
-    (a row is never ingested before its event day)."""
+    range is pushed to the scan, which skips row groups by it."""
     from quayside.operators.analytics import funnel
     from quayside.sinks.lake_write import sink_partitioned
     path = scratch_path(spark, "lake-events")
     sink_partitioned(_feeds(spark, sf).events(), path, "ingest_date")
-    return funnel(spark.read.parquet(path), *EVENT_RANGE, prune_ingest_date=True)
+    return funnel(spark.read.parquet(path), *EVENT_RANGE)

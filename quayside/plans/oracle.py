@@ -72,8 +72,8 @@ CURATED = {
           ORDER BY COALESCE(updated_at, created_at) DESC, _seq DESC) = 1""",
     "pm_dd": "SELECT * FROM raw_payment_stream QUALIFY row_number() OVER (PARTITION BY event_id "
              "ORDER BY CAST(kafka_partition AS INTEGER) DESC, CAST(kafka_offset AS BIGINT) DESC) = 1",
-    "pm_all": f"""SELECT event_id, event_type, transaction_id, partner_id,
-        {num('amount', 'DECIMAL(18,2)')} AS amount, currency, {lower_clean('status')} AS status,
+    "pm_all": f"""SELECT event_id, event_type, transaction_id, user_id, partner_id,
+        {num('amount', 'DECIMAL(18,2)')} AS amount, currency, {lower_clean('status')} AS status, gateway,
         CAST(event_ts AS TIMESTAMP) AS event_ts, {num('kafka_partition', 'INTEGER')} AS kafka_partition,
         {num('kafka_offset', 'BIGINT')} AS kafka_offset, {num('processing_lag_ms', 'BIGINT')} AS processing_lag_ms,
         {parse_bool('is_spike')} AS is_spike, CAST(event_ts AS DATE) AS event_date FROM pm_dd""",

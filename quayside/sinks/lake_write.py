@@ -34,6 +34,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
     _, q = _fs(spark, dst)
@@ -99,7 +104,9 @@ def upsert_keyed(target: DataFrame | None, delta: DataFrame, keys, order=None) -
     Returns the merged snapshot: per key the delta row wins over the target
     row (``_src`` rank); inside the delta the greatest ``order`` (then the
     later ``_seq``) wins. ``order`` given -> that order decides across target
-    and delta too (payments: greatest (partition, offset)).
+    and delta too (payments: greatest (partition, offset)). Rows that neither
+    tells apart go by a hash of all their columns, so the winner never depends
+    on how the rows lie in files or partitions.
     """
     keys = list(keys)
     cols = [c for c in delta.columns if c != "_seq"]
@@ -112,12 +119,12 @@ def upsert_keyed(target: DataFrame | None, delta: DataFrame, keys, order=None) -
         t = target.select(*cols).withColumn("_src", F.lit(0)).withColumn("_seq", F.lit(0).cast("bigint"))
         rows = t.unionByName(d.select(*cols, "_src", "_seq"))
     rank = ([F.col(c) if isinstance(c, str) else c for c in order] if order else []) + \
-        [F.col("_src"), F.col("_seq")]
+        [F.col("_src"), F.col("_seq"), F.xxhash64(*cols)]
     return latest_by_key(rows, keys, rank).select(*cols)
 
 
 def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, partition_col: str,
-                      order=None, keep=None, moved_key_lookback_days: int | None = None) -> dict:
+                      order=None, keep=None) -> dict:
     """Merge a keyed batch into a partitioned Parquet table in place.
 
     Only touched partitions are rewritten: those the batch writes to, plus
@@ -130,12 +137,6 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
 
     ``keep`` filters the merged rows (the batch may carry rows that belong to
     a sibling table: merging them first evicts a key that switched tables).
-
-    ``moved_key_lookback_days`` (date partitions only) bounds the search for
-    moved keys to partitions no older than the batch's oldest partition minus
-    that many days - a partition-pruned scan instead of the whole key column,
-    for feeds whose re-deliveries are known to arrive within that lateness.
-    The default (None) searches the whole table and is exact.
     """
     keys = list(keys)
     if not has_parquet(spark, root):
@@ -143,11 +144,7 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
         sink_partitioned(rows.drop("_seq") if "_seq" in rows.columns else rows, root, partition_col)
         return {"touched_partitions": None}
     target = spark.read.parquet(root)
-    searched = target
-    if moved_key_lookback_days is not None:
-        oldest = delta.select(F.min(partition_col)).scalar()
-        searched = target.where(F.col(partition_col) >= F.date_sub(oldest, moved_key_lookback_days))
-    moved_from = (searched.select(*keys, partition_col)
+    moved_from = (target.select(*keys, partition_col)
                   .join(delta.select(*keys).distinct(), keys, "left_semi").select(partition_col))
     touched = [r[0] for r in delta.select(partition_col).union(moved_from).distinct().collect()]
     if not touched:

@@ -96,10 +96,12 @@ _PAYMENT_COLUMNS_SQL = """
   CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS event_id,
   CASE l_returnflag WHEN 'A' THEN 'payment_approved' WHEN 'R' THEN 'chargeback' ELSE 'payment_refused' END AS event_type,
   'TXN' || lpad(CAST(l_orderkey AS STRING), 8, '0') AS transaction_id,
+  CASE WHEN l_orderkey % 16 = 0 THEN '' ELSE CAST(l_orderkey % 5000 AS STRING) END AS user_id,
   'PRT' || lpad(CAST(l_suppkey % 20 + 1 AS STRING), 4, '0') AS partner_id,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS amount,
   'BRL' AS currency,
   CASE l_returnflag WHEN 'A' THEN 'APPROVED' WHEN 'R' THEN 'Refunded' ELSE 'refused' END AS status,
+  CASE l_partkey % 3 WHEN 0 THEN 'adyen' WHEN 1 THEN 'stripe' ELSE '' END AS gateway,
   l_shipdate AS event_ts,
   CAST(l_suppkey % 8 AS STRING) AS kafka_partition,"""
 
@@ -228,8 +230,8 @@ def raw_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*PAYMENT_FEED_COLUMNS)
 
 
-PAYMENT_FEED_COLUMNS = ["event_id", "event_type", "transaction_id", "partner_id", "amount", "currency",
-                        "status", "event_ts", "kafka_partition", "kafka_offset", "processing_lag_ms",
+PAYMENT_FEED_COLUMNS = ["event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",
+                        "status", "gateway", "event_ts", "kafka_partition", "kafka_offset", "processing_lag_ms",
                         "is_spike"]
 
 

@@ -95,29 +95,26 @@ def test_contract_check_counts_repeated_keys(spark):
     assert F is not None
 
 
-def test_merge_lookback_limits_moved_key_search(spark, scratch):
-    path = scratch("merge-lookback")
-    old, mid, new = dt.date(2025, 1, 1), dt.date(2025, 3, 1), dt.date(2025, 3, 5)
-    sink_partitioned(spark.createDataFrame([("a", "v1", old), ("b", "v1", mid)], "k string, v string, d date"),
-                     path, "d")
-    delta = spark.createDataFrame([("a", "v2", new), ("b", "v2", new)], "k string, v string, d date")
-    merge_partitioned(spark, path, delta, ["k"], "d", moved_key_lookback_days=10)
-    rows = _rows(spark.read.parquet(path), ["k", "v"])
-    # b moved within the lookback and was evicted from its old partition; a's
-    # old copy is outside the lookback and stays (the documented trade-off).
-    assert rows == [("a", "v1"), ("a", "v2"), ("b", "v2")]
-
-
-def test_lake_scans_prune_partitions_push_filters_and_columns(spark, scratch):
+def test_repeated_keys_of_a_delta_have_one_winner_however_they_lie(spark, scratch):
+    rows = [("k", f"v{i}", i) for i in range(6)] + [("j", "only", 0)]
+    for order, parts in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 7)):
+        plain = spark.createDataFrame(order, "k string, v string, _seq int").repartition(parts)
+        assert _rows(upsert_keyed(None, plain, ["k"]), ["k", "v"]) == [("j", "only"), ("k", "v5")]
+        unordered = upsert_keyed(None, plain.drop("_seq"), ["k"])
+        assert {r["v"] for r in unordered.where("k = 'k'").collect()} == {
+            r["v"] for r in upsert_keyed(None, spark.createDataFrame(rows, "k string, v string, s int").drop("s"), ["k"])
+            .where("k = 'k'").collect()}
+
+
+def test_lake_scans_push_filters_and_columns(spark, scratch):
     from quayside.operators.analytics import funnel, transaction_summary
     from quayside.plans.flows import Feeds
     from tests.conftest import SMALL_SF
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated scan metadata
     path = scratch("lake-events")
     sink_partitioned(Feeds(spark, SMALL_SF).events(), path, "ingest_date")
-    q = funnel(spark.read.parquet(path), "2024-01-05", "2024-01-10", prune_ingest_date=True)
+    q = funnel(spark.read.parquet(path), "2024-01-05", "2024-01-10")
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "ingest_date#" in plan
     assert "PushedFilters: [IsNotNull(event_ts), GreaterThanOrEqual(event_ts" in plan
     scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
     assert "ReadSchema: struct<event_type:string,session_id:string,event_ts:timestamp_ntz,channel:string>" in scan
@@ -182,3 +179,38 @@ def test_file_inventory_never_reads_file_bodies(spark, scratch):
     assert "content" not in scan.split("ReadSchema")[-1] and "length" in scan
     row = inv.collect()[0]
     assert row["partition"] == "d=2025-03-31" and row["bytes"] > 0 and row["dataset"] == "d=2025-03-31"
+
+
+def _fragmented(spark, path, rows, schema, parts):
+    spark.createDataFrame(rows, schema).repartition(4).write.partitionBy(*parts).parquet(path)
+
+
+def test_compaction_keeps_nested_padded_null_and_escaped_partitions(spark, scratch):
+    from quayside.operators.maintenance import compact_partitions, small_partitions
+    path = scratch("nested")
+    rows = [(i, f"{i % 3:02d}", None if i % 5 == 0 else f"a:b {i % 2}/c") for i in range(200)]
+    _fragmented(spark, path, rows, "k int, hour string, place string", ["hour", "place"])
+    read = lambda: sorted(tuple(str(c) for c in r) for r in spark.read.schema("k int, hour string, place string").parquet(path).collect())
+    before = read()
+    done = compact_partitions(spark, path, apply=True).collect()
+    assert done and all(r["compacted"] and r["rows_before"] == r["rows_after"] for r in done)
+    assert read() == before == sorted(tuple(str(c) for c in r) for r in rows)
+    assert small_partitions(spark, path).where("needs_compaction").count() == 0
+    assert compact_partitions(spark, path, apply=True).where("compacted").count() == 0
+
+
+def test_a_failed_rename_leaves_every_row(spark, scratch, monkeypatch):
+    import pytest
+    from quayside.operators import maintenance
+    path = scratch("failing")
+    _fragmented(spark, path, [(i, i % 2) for i in range(100)], "k int, d int", ["d"])
+    real, calls = maintenance.rename_path, []
+
+    def fails(spark, src, dst):
+        calls.append(src)
+        return False if len(calls) == 4 else real(spark, src, dst)
+
+    monkeypatch.setattr(maintenance, "rename_path", fails)
+    with pytest.raises(RuntimeError, match="its files are back"):
+        maintenance.compact_partitions(spark, path, apply=True)
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == list(range(100))

@@ -11,10 +11,10 @@ def _feed(spark, n=60):
     rows = []
     for i in range(n):
         p = i % 3
-        rows.append((f"e{i % 45}", "payment_approved", f"TXN{i}", "PRT0001", f"{i}.50", "BRL",
-                     "APPROVED" if i % 2 else "refused", dt.datetime(2025, 3, 1) + dt.timedelta(hours=i),
+        rows.append((f"e{i % 45}", "payment_approved", f"TXN{i}", f"u{i}", "PRT0001", f"{i}.50", "BRL",
+                     "APPROVED" if i % 2 else "refused", "stripe", dt.datetime(2025, 3, 1) + dt.timedelta(hours=i),
                      str(p), str(i // 3), str(i * 10), "False"))
-    cols = ("event_id event_type transaction_id partner_id amount currency status event_ts "
+    cols = ("event_id event_type transaction_id user_id partner_id amount currency status gateway event_ts "
             "kafka_partition kafka_offset processing_lag_ms is_spike").split()
     schema = ", ".join(f"{c} {'timestamp_ntz' if c == 'event_ts' else 'string'}" for c in cols)
     return spark.createDataFrame(rows, schema)
