@@ -361,17 +361,6 @@ def q_alert_stream_lag(spark, sf):
     return alert_stream_lag(_feeds(spark, sf).raw("raw_payment_stream"))
 
 
-@register("alerts", with_ctes(["pipeline_runs", "raw_payment_stream"], {
-    "run_status": RUN_STATUS_SQL, "run_duration": RUN_DURATION_SQL, "stream_lag": STREAM_LAG_SQL,
-    "evaluated": ALERT_FAILURE_SQL + " UNION ALL " + ALERT_DURATION_SQL + " UNION ALL " + ALERT_LAG_SQL})
-    + "SELECT alert, severity, summary, series, value FROM evaluated WHERE firing")
-def q_alerts(spark, sf):
-    from quayside.operators import ops_metrics as om
-    runs = _runs(spark, sf)
-    raw = _feeds(spark, sf).raw("raw_payment_stream")
-    return om.alerts(om.alert_failure_rate(runs), om.alert_duration(runs), om.alert_stream_lag(raw))
-
-
 LATENCY_SQL = """SELECT {keys} COUNT(*) AS requests, COUNT(*) FILTER (WHERE status_code >= 400) AS errors,
   CAST(quantile_cont(latency_ms, 0.5) AS DOUBLE) AS p50_ms,
   CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms) AS DOUBLE) AS p95_ms
@@ -529,7 +518,7 @@ def q_bot_sessions(spark, sf):
 def q_booking_reconciliation(spark, sf):
     from quayside.operators.quality import booking_reconciliation
     f = _feeds(spark, sf)
-    return booking_reconciliation(f.events(), f.transactions())
+    return booking_reconciliation(f.events(), f.transactions(), booking_event="purchase")
 
 
 @register("orphan_payments", with_ctes(["pm_all", "tx_all"]) + """SELECT * FROM pm_all p

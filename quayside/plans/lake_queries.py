@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.contracts import EVENT_COLUMNS, PAYMENT_COLUMNS, RAW_TXN_FIELDS, TXN_COLUMNS
-from quayside.plans.catalog import EVENT_RANGE, _feeds, _funnel_sql, register
+from quayside.plans.catalog import (
+    ALERT_DURATION_SQL, ALERT_FAILURE_SQL, ALERT_LAG_SQL, EVENT_RANGE, RUN_DURATION_SQL, RUN_STATUS_SQL, STREAM_LAG_SQL, _feeds,
+    _funnel_sql, register,
+)
 from quayside.plans.oracle import with_ctes
 from quayside.session import scratch_path
 
@@ -102,11 +105,35 @@ def q_batch_serving_partners(spark, sf):
     return spark.read.parquet(f"{lake['root']}/serving/partners")
 
 
-@register("batch_run_metrics")
+def _window_counts(run: int, mode: str, events: str, txns: str, offsets: str) -> str:
+    """Counts of a run over the rows in its windows, deduplicated within them."""
+    return f"""SELECT CAST({run} AS BIGINT) AS run, '{mode}' AS mode, e.good AS events, e.bots AS bots, t.good AS transactions,
+  t.bad AS rejected_transactions, (SELECT COUNT(*) FROM pt_all) AS partners, p.n AS payments FROM
+  (SELECT COUNT(*) FILTER (NOT bot) AS good, COUNT(*) FILTER (bot) AS bots FROM (
+     SELECT COALESCE(lower(trim(is_bot_flag)) IN ('true', '1', 'yes'), false) AS bot FROM raw_events WHERE {events}
+     QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_date DESC, _seq DESC) = 1)) e,
+  (SELECT COUNT(*) FILTER (NOT neg) AS good, COUNT(*) FILTER (neg) AS bad FROM (
+     SELECT COALESCE(CAST(amount AS DECIMAL(18,2)) < 0, false) AS neg FROM raw_transactions WHERE {txns}
+     QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingest_ts DESC, _seq DESC) = 1)) t,
+  (SELECT COUNT(DISTINCT event_id) AS n FROM raw_payment_stream JOIN half USING (kafka_partition) WHERE {offsets}) p"""
+
+
+@register("batch_run_metrics", with_ctes(["raw_events", "raw_transactions", "raw_payment_stream", "pt_all"], {
+    "half": "SELECT kafka_partition, COUNT(*) // 2 AS h FROM raw_payment_stream GROUP BY 1",
+    "marks": f"""SELECT (SELECT max(ingest_date) FROM raw_events WHERE ingest_date <= DATE '{FIRST_EVENTS_UNTIL}') - 7 AS e,
+      CAST(CAST((SELECT max(ingest_ts) FROM raw_transactions WHERE ingest_ts <= TIMESTAMP '{FIRST_TXNS_UNTIL}')
+        - INTERVAL 7 DAY AS DATE) AS TIMESTAMP) AS t"""})
+    + _window_counts(1, "full", f"ingest_date <= DATE '{FIRST_EVENTS_UNTIL}'", f"ingest_ts <= TIMESTAMP '{FIRST_TXNS_UNTIL}'",
+                     "CAST(kafka_offset AS BIGINT) <= h") + " UNION ALL "
+    + _window_counts(2, "incremental", "ingest_date >= (SELECT e FROM marks)", "ingest_ts >= (SELECT t FROM marks)",
+                     "CAST(kafka_offset AS BIGINT) > h"))
 def q_batch_run_metrics(spark, sf):
-    """Metrics of both runs (full, then incremental); rows-only check."""
+    """Counts of both runs: full, then incremental over its windows."""
     lake = two_run_lake(spark, sf)
-    return spark.createDataFrame([dict(lake["first"], run=1), dict(lake["second"], run=2)])
+    runs = [dict(lake["first"], run=1), dict(lake["second"], run=2)]
+    cols = ["run", "mode", "events", "bots", "transactions", "rejected_transactions", "partners", "payments"]
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in runs], "run long, mode string, " + ", ".join(
+        f"{c} long" for c in cols[2:]))
 
 
 @register("batch_full_refresh_events", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
@@ -202,41 +229,91 @@ def q_contract_check_partners(spark, sf):
 
 # ---- 2.10 lake maintenance ------------------------------------------------------
 
-def fragmented_events(spark: SparkSession, sf: str, files_per_day: int = 5) -> str:
-    """Good events written as several small files per day partition (what a
-    stream of micro-batches leaves behind)."""
+MICRO_BATCHES = 5
+
+
+def fragmented_events(spark: SparkSession, sf: str) -> str:
+    """Good events as a stream of micro-batches leaves them: each batch (event id
+    modulo ``MICRO_BATCHES``) appends one file to every day it has rows of."""
     path = scratch_path(spark, "fragmented-events")
     events = _feeds(spark, sf).events()
-    (events.repartition(files_per_day).write.mode("overwrite").partitionBy("ingest_date").parquet(path))
+    for k in range(MICRO_BATCHES):
+        (events.where(F.pmod(F.col("event_id").cast("bigint"), F.lit(MICRO_BATCHES)) == k)
+         .repartition("ingest_date").write.mode("append").partitionBy("ingest_date").parquet(path))
     return path
 
 
-@register("scan_file_inventory")
+# What the writer must leave: files per day, whatever their names and bytes.
+FILES_SQL = f"""SELECT 'ingest_date=' || CAST(ingest_date AS VARCHAR) AS partition,
+  COUNT(DISTINCT CAST(event_id AS BIGINT) % {MICRO_BATCHES}) AS file_count FROM ev_good GROUP BY 1"""
+
+
+@register("scan_file_inventory", with_ctes(["ev_good"], {"files": FILES_SQL})
+          + "SELECT partition, file_count, true AS all_have_bytes, true AS all_in_partition FROM files")
 def q_scan_file_inventory(spark, sf):
-    """Rows-only: file names and sizes depend on the writer."""
+    """The inventory summed per partition (file names and sizes are the writer's)."""
     from quayside.sources.lake_scan import scan_file_inventory
-    return scan_file_inventory(spark, fragmented_events(spark, sf))
+    files = scan_file_inventory(spark, fragmented_events(spark, sf))
+    return files.groupBy("partition").agg(
+        F.count_distinct("path").alias("file_count"), F.bool_and(F.col("bytes") > 0).alias("all_have_bytes"),
+        F.bool_and(F.col("path").startswith(F.col("partition_path"))
+                   & F.col("partition_path").endswith(F.col("partition"))).alias("all_in_partition"))
 
 
-@register("partition_file_stats")
+@register("partition_file_stats", with_ctes(["ev_good"], {"files": FILES_SQL})
+          + "SELECT partition, file_count, true AS bytes_add_up FROM files")
 def q_partition_file_stats(spark, sf):
+    from quayside.operators.maintenance import partition_file_stats
+    from quayside.sources.lake_scan import scan_file_inventory
+    stats = partition_file_stats(scan_file_inventory(spark, fragmented_events(spark, sf)))
+    return stats.select("partition", "file_count", (
+        (F.col("total_bytes") > 0) & (F.round(F.col("average_bytes") * F.col("file_count")) == F.col("total_bytes")))
+        .alias("bytes_add_up"))
+
+
+SMALL_FILES_SQL = """SELECT 'SmallFilesPerPartitionHigh' AS alert, 'warning' AS severity,
+  '{summary}' AS summary, partition || '/' || partition AS series,
+  CAST(file_count AS DOUBLE) AS value, file_count > 1 AS firing FROM files"""
+
+
+def _small_files_sql() -> str:
+    from quayside.operators.ops_metrics import ALERT_LABELS
+    severity, summary = ALERT_LABELS["SmallFilesPerPartitionHigh"]
+    return SMALL_FILES_SQL.format(summary=summary).replace("'warning'", f"'{severity}'")
+
+
+def _file_stats(spark, sf):
     from quayside.operators.maintenance import partition_file_stats
     from quayside.sources.lake_scan import scan_file_inventory
     return partition_file_stats(scan_file_inventory(spark, fragmented_events(spark, sf)))
 
 
-@register("alert_small_files")
+@register("alert_small_files", with_ctes(["ev_good"], {"files": FILES_SQL}) + _small_files_sql())
 def q_alert_small_files(spark, sf):
-    from quayside.operators.maintenance import partition_file_stats
+    """Every file of the check is far under the small-file size, so a day fires
+    as soon as it has more than one."""
     from quayside.operators.ops_metrics import alert_small_files
-    from quayside.sources.lake_scan import scan_file_inventory
-    return alert_small_files(partition_file_stats(scan_file_inventory(spark, fragmented_events(spark, sf))))
+    return alert_small_files(_file_stats(spark, sf))
+
+
+@register("alerts", with_ctes(["ev_good", "pipeline_runs", "raw_payment_stream"], {
+    "run_status": RUN_STATUS_SQL, "run_duration": RUN_DURATION_SQL, "stream_lag": STREAM_LAG_SQL, "files": FILES_SQL,
+    "evaluated": " UNION ALL ".join([ALERT_FAILURE_SQL, ALERT_DURATION_SQL, ALERT_LAG_SQL, _small_files_sql()])})
+    + "SELECT alert, severity, summary, series, value FROM evaluated WHERE firing")
+def q_alerts(spark, sf):
+    from quayside.operators import ops_metrics as om
+    f = _feeds(spark, sf)
+    runs = f.raw("pipeline_runs")
+    return om.alerts(om.alert_failure_rate(runs), om.alert_duration(runs),
+                     om.alert_stream_lag(f.raw("raw_payment_stream")), om.alert_small_files(_file_stats(spark, sf)))
 
 
-@register("small_partitions")
+@register("small_partitions", with_ctes(["ev_good"], {"files": FILES_SQL})
+          + "SELECT partition, file_count, file_count > 1 AS needs_compaction FROM files ORDER BY partition")
 def q_small_partitions(spark, sf):
     from quayside.operators.maintenance import small_partitions
-    return small_partitions(spark, fragmented_events(spark, sf))
+    found = small_partitions(spark, fragmented_events(spark, sf))
+    return found.select(F.regexp_extract("partition", r"([^/]+)$", 1).alias("partition"), "file_count", "needs_compaction")
 
 
 @register("compact_partitions", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
@@ -258,9 +335,12 @@ def q_compact_table(spark, sf):
     return _read(spark, destination, EVENT_COLUMNS, "ingest_date")
 
 
-@register("compaction_report")
+@register("compaction_report", with_ctes(["ev_good"], {"files": FILES_SQL}) + """SELECT
+  bool_or(file_count > 1) AS detected, CAST(SUM(file_count) AS BIGINT) AS files_before, COUNT(*) AS files_after,
+  (SELECT COUNT(*) FROM ev_good) AS rows_before, (SELECT COUNT(*) FROM ev_good) AS rows_after, true AS rows_preserved,
+  round((1 - COUNT(*) / SUM(file_count)) * 100, 2) AS reduction_percent FROM files""")
 def q_compaction_report(spark, sf):
-    """Rows-only: detection, files and rows before/after, reduction %."""
+    """Detection, files and rows before/after, reduction %."""
     from quayside.operators.maintenance import compact_partitions, compaction_report, small_partitions
     from quayside.sources.lake_scan import scan_file_inventory
     path = fragmented_events(spark, sf)
@@ -273,11 +353,23 @@ def q_compaction_report(spark, sf):
     return compaction_report(spark, before, after, rows_before, rows_after, detected)
 
 
-@register("control_table")
+@register("control_table", with_ctes(["raw_events", "raw_transactions", "raw_payment_stream"]) + f"""
+SELECT run_id, CAST(max(d) AS VARCHAR) AS events, strftime(max(t), '%Y-%m-%d %H:%M:%S') AS transactions,
+  CAST(max(o) AS BIGINT) AS offset_sum FROM (
+  SELECT CAST(1 AS BIGINT) AS run_id, max(ingest_date) AS d, NULL AS t, NULL AS o FROM raw_events WHERE ingest_date <= DATE '{FIRST_EVENTS_UNTIL}'
+  UNION ALL SELECT 2, max(ingest_date), NULL, NULL FROM raw_events
+  UNION ALL SELECT 1, NULL, max(ingest_ts), NULL FROM raw_transactions WHERE ingest_ts <= TIMESTAMP '{FIRST_TXNS_UNTIL}'
+  UNION ALL SELECT 2, NULL, max(ingest_ts), NULL FROM raw_transactions
+  UNION ALL SELECT 1, NULL, NULL, SUM(n // 2) FROM (SELECT COUNT(*) AS n FROM raw_payment_stream GROUP BY kafka_partition)
+  UNION ALL SELECT 2, NULL, NULL, SUM(n - 1) FROM (SELECT COUNT(*) AS n FROM raw_payment_stream GROUP BY kafka_partition))
+GROUP BY run_id""")
 def q_control_table(spark, sf):
-    """Rows-only: the committed marks of the two runs (one row per run)."""
+    """The committed marks of the two runs, as columns; the offsets by their sum."""
     lake = two_run_lake(spark, sf)
-    return spark.read.parquet(f"{lake['root']}/_state/control").select("run_id", "marks")
+    marks = spark.read.parquet(f"{lake['root']}/_state/control").withColumn("m", F.from_json(
+        "marks", "events string, transactions string, payment_offsets map<string, bigint>"))
+    return marks.select("run_id", "m.events", "m.transactions", F.aggregate(
+        F.map_values("m.payment_offsets"), F.lit(0).cast("bigint"), lambda a, o: a + o).alias("offset_sum"))
 
 
 @register("scan_run_log", with_ctes(["pipeline_runs"]) +

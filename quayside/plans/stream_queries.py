@@ -12,12 +12,15 @@ from quayside.session import scratch_path
 from quayside.streaming import payments as st
 
 
-def _landing(spark, sf, chunks, by="offset"):
+DELIVERIES = 3
+
+
+def _deliver(spark, sf, consume):
+    """Land the payment feed in event-time order, ``consume(landing, schema)`` after
+    each delivery: as many micro-batches, or more."""
     raw = _feeds(spark, sf).raw("raw_payment_stream")
     landing = scratch_path(spark, "landing-payments")
-    order = F.col("kafka_offset").cast("bigint") if by == "offset" else F.col("event_ts")
-    counts = st.land_in_chunks(raw, landing, order, chunks)
-    return raw, landing, counts
+    st.land_in_chunks(raw, landing, F.col("event_ts"), DELIVERIES, after=lambda: consume(landing, raw.schema))
 
 
 def _read_payments(spark, table):
@@ -27,13 +30,11 @@ def _read_payments(spark, table):
 
 @register("stream_payments", with_ctes(["pm_all"]) + "SELECT * FROM pm_all")
 def q_stream_payments(spark, sf):
-    """Three landed files (cut on event time) consumed by one availableNow
-    run and merged into the day-partitioned table. (Latest-offset-wins across
-    micro-batches is exercised by ``stream_offset_resume`` and the tests.)"""
-    raw, landing, _ = _landing(spark, sf, 3, by="event_ts")
-    table = scratch_path(spark, "stream-payments")
-    st.run_payment_stream(spark, landing, table, scratch_path(spark, "stream-ckpt"), raw.schema,
-                          files_per_trigger=1000)
+    """Three deliveries (cut on event time), each consumed by an availableNow run
+    and merged into the day-partitioned table: a key delivered again later keeps
+    its greatest (partition, offset)."""
+    table, ckpt = scratch_path(spark, "stream-payments"), scratch_path(spark, "stream-ckpt")
+    _deliver(spark, sf, lambda landing, schema: st.run_payment_stream(spark, landing, table, ckpt, schema))
     return _read_payments(spark, table)
 
 
@@ -50,10 +51,10 @@ def q_stream_offset_resume(spark, sf):
     half = raw.agg(F.percentile_approx(secs, 0.5)).first()[0]
     early = secs <= F.lit(half)
     raw.where(early).write.mode("append").parquet(landing)
-    first = st.run_payment_stream(spark, landing, table, ckpt, raw.schema, files_per_trigger=100)
-    again = st.run_payment_stream(spark, landing, table, ckpt, raw.schema, files_per_trigger=100)
+    first = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
+    again = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
     raw.where(~early).write.mode("append").parquet(landing)
-    second = st.run_payment_stream(spark, landing, table, ckpt, raw.schema, files_per_trigger=100)
+    second = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
     if again["input_rows"] != 0:
         raise RuntimeError(f"restart without new input re-read {again['input_rows']} rows")
     if first["input_rows"] + second["input_rows"] != raw.count():
@@ -70,23 +71,25 @@ def q_stream_payment_windows(spark, sf):
     """Daily windows per status with a 7-day watermark over files landing in
     event-time order (no row is later than the watermark, so the streamed
     result equals the batch one)."""
-    raw, landing, _ = _landing(spark, sf, 3, by="event_ts")
-    table = scratch_path(spark, "stream-windows")
-    st.run_window_stream(spark, landing, table, scratch_path(spark, "stream-ckpt"), raw.schema)
+    table, ckpt = scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-ckpt")
+    _deliver(spark, sf, lambda landing, schema: st.run_window_stream(spark, landing, table, ckpt, schema))
     return spark.read.parquet(table)
 
 
 @register("payment_watermark_dedupe", with_ctes(["raw_payment_stream"]) +
           "SELECT DISTINCT event_id FROM raw_payment_stream")
 def q_payment_watermark_dedupe(spark, sf):
-    """Streaming dedupe of re-deliveries within a 30-day watermark; every
-    event id survives exactly once (which copy is kept is first-seen)."""
-    raw, landing, _ = _landing(spark, sf, 3, by="event_ts")
-    table = scratch_path(spark, "stream-dedupe")
-    stream = st.payment_stream(spark, landing, raw.schema, files_per_trigger=1000)
-    q = (st.dedupe_within_watermark(stream, "event_id", "event_ts", "30 days").select("event_id")
-         .writeStream.format("parquet").option("path", table)
-         .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    """Streaming dedupe of re-deliveries within a 30-day watermark, inserted into a
+    table that ignores keys it has: every event id survives exactly once, however
+    far apart its deliveries are and however they fall into micro-batches."""
+    table, ckpt = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-ckpt")
+
+    def consume(landing, schema):
+        stream = st.payment_stream(spark, landing, schema)
+        q = (st.dedupe_within_watermark(stream, "event_id", "event_ts", "30 days").select("event_id")
+             .writeStream.foreachBatch(st.insert_new_batch(table, "event_id"))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    _deliver(spark, sf, consume)
     return spark.read.parquet(table)

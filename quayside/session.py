@@ -39,13 +39,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage (HDFS/S3/ABFS).
-    Only when it is unset (local tests) a fresh local folder is created.
+    On a cluster it must be set, to shared storage (HDFS/S3/ABFS): executors
+    can't read a folder of the driver's machine. Only a local master gets a
+    fresh local folder when it is unset (tests).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

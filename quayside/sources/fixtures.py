@@ -33,7 +33,8 @@ SELECT event_id * 2 + copy_no AS _seq,
   CASE WHEN event_id % 10 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS user_id,
   ts AS event_ts,
   CASE WHEN copy_no = 1 THEN '/redelivered' WHEN event_id % 33 = 1 THEN '  ' ELSE '/' END AS page,
-  CASE WHEN event_id % 9 < 4 THEN '' ELSE 'PRT' || lpad(CAST(user_id % 20 + 1 AS STRING), 4, '0') END AS partner_id,
+  CASE WHEN event_id % 9 < 4 THEN '' WHEN event_id % 401 = 8 THEN 'PRT7777'
+    ELSE 'PRT' || lpad(CAST(user_id % 20 + 1 AS STRING), 4, '0') END AS partner_id,
   CASE event_id % 4 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'DESKTOP' WHEN 2 THEN 'mobile' ELSE ' desktop' END AS device,
   CASE event_id % 5 WHEN 0 THEN 'BR' WHEN 1 THEN 'br' WHEN 2 THEN 'Br' WHEN 3 THEN ' ar' ELSE '' END AS country,
   CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'google_cpc' WHEN 2 THEN 'direct' ELSE ' email ' END AS channel,
@@ -53,7 +54,8 @@ WITH src AS (
 SELECT o_orderkey * 2 + copy_no AS _seq,
   'TXN' || lpad(CAST(o_orderkey AS STRING), 8, '0') AS transaction_id,
   CASE WHEN o_orderkey % 25 = 0 THEN '' ELSE 'BKG' || lpad(CAST(o_orderkey AS STRING), 7, '0') END AS booking_ref,
-  'PRT' || lpad(CAST(o_custkey % 20 + 1 AS STRING), 4, '0') AS partner_id,
+  CASE WHEN o_orderkey % 301 = 5 THEN 'PRT8888'
+    ELSE 'PRT' || lpad(CAST(o_custkey % 20 + 1 AS STRING), 4, '0') END AS partner_id,
   CASE WHEN o_orderkey % 16 = 0 THEN '' ELSE CAST(o_custkey AS STRING) END AS user_id,
   o_orderdate AS created_at,
   CASE o_orderkey % 40 WHEN 0 THEN o_orderdate + INTERVAL '8' DAY WHEN 1 THEN o_orderdate + INTERVAL '7' DAY
@@ -76,7 +78,7 @@ FROM src
 RAW_PARTNER_CATALOG_SQL = """
 SELECT s_suppkey AS _seq,
   'PRT' || lpad(CAST(s_suppkey % 20 + 1 AS STRING), 4, '0') AS partner_id,
-  CASE s_suppkey % 3 WHEN 0 THEN 'v1' WHEN 1 THEN 'V2' ELSE 'v3' END AS schema_version,
+  CASE WHEN s_suppkey % 7 = 3 THEN 'v9' WHEN s_suppkey % 3 = 0 THEN 'v1' WHEN s_suppkey % 3 = 1 THEN 'V2' ELSE 'v3' END AS schema_version,
   s_name AS name,
   CASE WHEN s_suppkey % 25 = 0 THEN '' WHEN s_suppkey % 2 = 0 THEN 'br' ELSE 'MX' END AS country_code,
   CASE s_suppkey % 4 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'Active' WHEN 2 THEN 'inactive' ELSE 'suspended' END AS status,
@@ -95,7 +97,7 @@ FROM supplier
 _PAYMENT_COLUMNS_SQL = """
   CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS event_id,
   CASE l_returnflag WHEN 'A' THEN 'payment_approved' WHEN 'R' THEN 'chargeback' ELSE 'payment_refused' END AS event_type,
-  'TXN' || lpad(CAST(l_orderkey AS STRING), 8, '0') AS transaction_id,
+  CASE WHEN l_orderkey % 211 = 9 THEN 'GONE' ELSE 'TXN' END || lpad(CAST(l_orderkey AS STRING), 8, '0') AS transaction_id,
   CASE WHEN l_orderkey % 16 = 0 THEN '' ELSE CAST(l_orderkey % 5000 AS STRING) END AS user_id,
   'PRT' || lpad(CAST(l_suppkey % 20 + 1 AS STRING), 4, '0') AS partner_id,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS amount,

@@ -20,10 +20,8 @@ the session time zone) and window bounds are mapped back.
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.time import epoch_micros, micros_to_ntz
@@ -40,12 +38,11 @@ def instant_to_ntz(c) -> Column:
     return micros_to_ntz(F.unix_micros(c))
 
 
-def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> list[int]:
-    """Write ``feed`` into ``landing`` as ``chunks`` successive files cut on
-    ``order_col`` (an arrival order): what a producer drops, one file per
-    period. (A test-landing helper: one file per chunk keeps arrival order
-    file by file, which is what watermark tests rely on.) Returns the row
-    count per chunk."""
+def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int, after=None) -> list[int]:
+    """Write ``feed`` into ``landing`` as ``chunks`` successive deliveries cut on
+    ``order_col`` (an arrival order). ``after`` runs after each, e.g. a stream
+    that consumes what is there, so a delivery is a micro-batch of its own
+    however many files it has. Returns the row count per chunk."""
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     lo, hi = feed.agg(F.min(order), F.max(order)).first()
     if lo is None:
@@ -62,15 +59,20 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int) -> lis
     for k in range(chunks):
         start, end = lo_v + k * width, lo_v + (k + 1) * width
         cond = (key >= start) & ((key < end) if k < chunks - 1 else F.lit(True))
-        part = feed.where(cond)
-        part.coalesce(1).write.mode("append").parquet(landing)
-        counts.append(part.count())
+        seen = Observation(f"chunk-{k}")
+        feed.where(cond).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing)
+        counts.append(seen.get["rows"])
+        if after:
+            after()
     return counts
 
 
-def payment_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(landing))
+def payment_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """``files_per_trigger`` bounds a micro-batch; None takes all that is there."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(landing)
 
 
 def merge_payments_batch(table: str, seen: list | None = None):
@@ -96,7 +98,7 @@ def merge_payments_batch(table: str, seen: list | None = None):
 
 
 def run_payment_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
-                       files_per_trigger: int = 1) -> dict:
+                       files_per_trigger: int | None = None) -> dict:
     """Consume everything available now, merge it, stop. Returns totals."""
     seen: list = []
     q = (payment_stream(spark, landing, schema, files_per_trigger).writeStream
@@ -135,7 +137,7 @@ def upsert_window_batch(table: str, keys):
 
 
 def run_window_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
-                      size: str = "1 day", watermark: str = "7 days", files_per_trigger: int = 1) -> dict:
+                      size: str = "1 day", watermark: str = "7 days", files_per_trigger: int | None = None) -> dict:
     stream = payment_stream(spark, landing, schema, files_per_trigger).select(
         "event_ts", F.lower(F.trim("status")).alias("status"), "amount")
     agg = windowed_counts(stream, size, watermark)
@@ -153,5 +155,15 @@ def dedupe_within_watermark(stream: DataFrame, key: str, event_time: str, waterm
     return rows.withWatermark("_et", watermark).dropDuplicatesWithinWatermark([key]).drop("_et")
 
 
-def chunk_count(rows: int, target_rows: int) -> int:
-    return max(1, math.ceil(rows / target_rows))
+def insert_new_batch(table: str, key: str):
+    """foreachBatch body: append the first row of every key the table doesn't
+    have. What the streaming state has let go, the table still knows, so the
+    result doesn't depend on how files fall into micro-batches; a replayed batch
+    appends nothing."""
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.dropDuplicates([key])
+        if has_parquet(spark, table):
+            rows = rows.join(spark.read.parquet(table).select(key), key, "left_anti")
+        stage(rows, "new-keys").write.mode("append").parquet(table)
+    return apply
