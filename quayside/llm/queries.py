@@ -32,7 +32,7 @@ def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> bytes:
         return f.read()
 
 
-@register("op1_quotation_linking")
+@register("op1_quotation_linking", quoting.ORACLE)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations don't quote: they are first turned, in Spark, into messages that do."""
     found = quoting.link(quoting.quoting_messages(table(spark, sf_dir, "conversations")))

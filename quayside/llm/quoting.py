@@ -110,9 +110,9 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 # ---- mail-like messages derived from a table of plain conversations ----------------
 
 def quoting_messages(conversations: DataFrame) -> DataFrame:
-    """Conversations in which some turns quote: by the crc32 of conversation and turn,
-    modulo 4, a turn quotes the one before (0), that and, nested, the one before it (1), the
-    one two turns back under a line that says who wrote it (2), or nothing (3)."""
+    """Conversations in which some turns quote: by conversation + 3 * turn, modulo 4, a
+    turn quotes the one before (0), that and, nested, the one before it (1), the one two
+    turns back under a line that says who wrote it (2), or nothing (3)."""
     base = pick(conversations, conv_id="conv_id", turn="turn", role="role", text="text")
     earlier = base.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
     back = lambda k: earlier.select(F.col("conv_id").alias(f"c{k}"), (F.col("turn") + k).alias(f"t{k}"), F.col("said").alias(f"said{k}"))
@@ -120,10 +120,60 @@ def quoting_messages(conversations: DataFrame) -> DataFrame:
     for k in (1, 2):
         b = back(k)
         rows = rows.join(b, (F.col("conv_id") == F.col(f"c{k}")) & (F.col("turn") == F.col(f"t{k}")), "left")
-    how = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 4
+    how = F.pmod(F.col("conv_id") + 3 * F.col("turn"), F.lit(4))
     quote = lambda c, mark: F.concat(F.lit(mark), F.regexp_replace(c, "\n", f"\n{mark}"), F.lit("\n"))
     one, nested, two = quote("said1", "> "), quote("said2", "> > "), quote("said2", "> ")
     head = (F.when((how == 0) & F.col("said1").isNotNull(), one)
             .when((how == 1) & F.col("said1").isNotNull(), F.concat(F.coalesce(nested, F.lit("")), one))
             .when((how == 2) & F.col("said2").isNotNull(), F.concat(F.lit("Someone wrote:\n"), two)).otherwise(""))
     return rows.select("conv_id", "turn", "role", F.when(F.col("text").isNotNull(), F.concat(head, F.col("text"))).alias("text"))
+
+
+_NORMAL = r"trim(regexp_replace(lower({}), '[\x09-\x0D\x20]+', ' ', 'g'), ' ')"
+ORACLE = rf"""
+WITH RECURSIVE base AS (SELECT row_number() OVER () AS mid, conv_id, turn, role, text FROM conversations),
+said AS (SELECT conv_id, turn, min(text) AS said FROM base WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+heads AS (
+  SELECT mid, b.conv_id, b.turn, role, text, (b.conv_id + 3 * b.turn) % 4 AS how,
+    '> ' || replace(s1.said, chr(10), chr(10) || '> ') || chr(10) AS one,
+    '> > ' || replace(s2.said, chr(10), chr(10) || '> > ') || chr(10) AS nested,
+    '> ' || replace(s2.said, chr(10), chr(10) || '> ') || chr(10) AS two
+  FROM base b LEFT JOIN said s1 ON s1.conv_id = b.conv_id AND s1.turn + 1 = b.turn
+    LEFT JOIN said s2 ON s2.conv_id = b.conv_id AND s2.turn + 2 = b.turn),
+msg AS (
+  SELECT mid, conv_id, turn, role, CASE WHEN text IS NOT NULL THEN CASE WHEN how = 0 AND one IS NOT NULL THEN one
+    WHEN how = 1 AND one IS NOT NULL THEN coalesce(nested, '') || one
+    WHEN how = 2 AND two IS NOT NULL THEN 'Someone wrote:' || chr(10) || two ELSE '' END || text END AS text FROM heads),
+split AS (SELECT mid, regexp_split_to_array(text, '\r?\n') AS l FROM msg WHERE text IS NOT NULL),
+raw AS (SELECT mid, generate_subscripts(l, 1) AS line, unnest(l) AS raw FROM split),
+levels AS (
+  SELECT mid, line, raw, length(regexp_replace(regexp_extract(raw, '{MARKS}', 1), '[^>]', '', 'g')) AS level FROM raw),
+bodies AS (
+  SELECT mid, line, level, CASE WHEN level = 0 THEN raw ELSE regexp_replace(raw, '{MARKS} ?', '') END AS body,
+    lead(level) OVER w AS below, lag(level) OVER w AS above FROM levels WINDOW w AS (PARTITION BY mid ORDER BY line)),
+runs AS (
+  SELECT *, sum(CASE WHEN above IS NULL OR above <> level THEN 1 ELSE 0 END) OVER (PARTITION BY mid ORDER BY line) AS spot FROM bodies),
+parts AS (
+  SELECT mid, spot, level, string_agg(body, chr(10) ORDER BY line) AS t FROM runs
+  WHERE NOT coalesce(below > level AND regexp_matches(body, '{WROTE}'), false) GROUP BY ALL),
+hashes AS (
+  SELECT DISTINCT mid, spot, level, {_NORMAL.format("p")} AS h FROM (
+    SELECT mid, spot, level, unnest(list_prepend(t, regexp_split_to_array(t, '\n[ \t]*\n'))) AS p FROM parts)),
+marked AS (SELECT * FROM hashes JOIN msg USING (mid) WHERE h <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+origins AS (
+  SELECT q.mid, q.spot, q.level, max(o.turn) AS origin FROM marked q JOIN marked o
+  ON o.conv_id = q.conv_id AND o.h = q.h AND o.level = 0 AND o.turn < q.turn WHERE q.level > 0 GROUP BY ALL),
+known AS (SELECT mid, arg_max(origin, (-level) * 1000000000 + origin) AS reply_to, count(*) AS n_linked FROM origins GROUP BY mid),
+walk AS (
+  SELECT m.mid, m.conv_id, m.turn AS root, k.reply_to AS up FROM msg m LEFT JOIN known k USING (mid)
+  UNION ALL
+  SELECT w.mid, w.conv_id, w.up, k.reply_to FROM walk w JOIN (SELECT conv_id, turn, min(mid) AS mid FROM msg GROUP BY ALL) f
+    ON f.conv_id = w.conv_id AND f.turn = w.up LEFT JOIN known k ON k.mid = f.mid),
+threads AS (SELECT mid, min(root) AS thread FROM walk GROUP BY mid),
+own AS (
+  SELECT mid, count(*) FILTER (level > 0) AS n_quotes, string_agg(t, chr(10) ORDER BY spot) FILTER (level = 0) AS own FROM parts GROUP BY mid)
+SELECT conv_id, turn, role, CASE WHEN coalesce(n_quotes, 0) > 0 THEN regexp_replace(own, '^\s+|\s+$', '', 'g') ELSE text END AS text,
+  coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, CAST(reply_to AS BIGINT) AS reply_to, thread,
+  row_number() OVER (PARTITION BY conv_id ORDER BY thread, turn, mid) - 1 AS position
+FROM msg LEFT JOIN own USING (mid) LEFT JOIN known USING (mid) LEFT JOIN threads USING (mid)
+"""
