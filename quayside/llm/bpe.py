@@ -32,8 +32,8 @@ from quayside.llm.common import per_batch, pick
 
 LONG = 96
 ROUNDS = 48
-#: Bytes of the words of one query, of the texts split at a time, and the words remembered in a Python worker.
-QUERY_BYTES, SPLIT_BYTES, REMEMBERED = 400_000, 4 << 20, 250_000
+#: Bytes of the words of one query, and the words remembered in a Python worker.
+QUERY_BYTES, REMEMBERED = 200_000, 200_000
 
 STEP = """
 WITH RECURSIVE t AS (
@@ -150,13 +150,13 @@ class Codec:
                     merged.append(rank)
                     unsettled.update(c for c in (a, b) if c > rank)
         pair = (np.array(left, dtype=np.int64) << 32) | np.array(right, dtype=np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.put("m", pair=pair, merged=np.array(merged, np.int32), settled=np.array([c not in unsettled for c in merged], bool))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m")
         self.put("v", id=np.array(list(ranks.values()), np.int32), hex=pa.array([t.hex() for t in ranks]))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
         self.byte = np.array([ranks.get(bytes([c]), -1) for c in range(256)], dtype=np.int32)
-        self.known: dict[bytes, tuple[np.ndarray, bytes]] = {}
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
     def put(self, name: str, **columns) -> None:
         self.db.register(name, pa.table(columns))
@@ -222,8 +222,8 @@ class Codec:
             k = stop
         return out
 
-    def pairs(self, words: list[bytes]) -> list[tuple[np.ndarray, bytes | None]]:
-        """(ids, the bytes they decode to) of distinct words; the first ``REMEMBERED``
+    def pairs(self, words: list[bytes]) -> list[tuple[bytes, bytes | None]]:
+        """(ids as int32 in bytes, the bytes they decode to) of distinct words; the first ``REMEMBERED``
         words that this worker meets, the frequent ones among them, are worked out once."""
         out = [self.known.get(w) for w in words]
         new = [k for k, p in enumerate(out) if p is None]
@@ -231,7 +231,7 @@ class Codec:
             ids = self.encode_words([words[k] for k in new])
             back = self.decode_lists(np.concatenate(ids), np.array([len(x) for x in ids], dtype=np.int64))
             for k, i, b in zip(new, ids, back, strict=True):
-                out[k] = (i, b)
+                out[k] = (i.tobytes(), b)
                 if len(self.known) < REMEMBERED and len(words[k]) <= LONG:
                     self.known[words[k]] = out[k]
         return out
@@ -243,8 +243,8 @@ class Codec:
         begin, size = at[:-1], np.diff(at)
         code, words = distinct(raw, begin, size)
         pool = self.pairs(words)
-        n_ids = np.array([len(p) for p, _ in pool], dtype=np.int64)
-        flat = np.concatenate([p for p, _ in pool]) if pool else np.zeros(0, np.int32)
+        n_ids = np.array([len(p) // 4 for p, _ in pool], dtype=np.int64)
+        flat = np.frombuffer(b"".join([p for p, _ in pool]), np.int32)
         back = pa.array([b for _, b in pool], pa.large_binary())
         lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(n_ids)]), pa.array(flat, pa.int32()))
         code = pa.array(code)
@@ -302,17 +302,6 @@ def codec(content: bytes) -> Codec:
     return _CODECS[key]
 
 
-def _spans(sizes: list[int], most: int) -> list[tuple[int, int]]:
-    """Consecutive ranges of about ``most`` in sum, a larger one alone."""
-    out, first, total = [], 0, 0
-    for k, n in enumerate(sizes):
-        if k > first and total + n > most:
-            out.append((first, k))
-            first, total = k, 0
-        total += n
-    return [*out, (first, len(sizes))] if sizes else out
-
-
 def encode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>, decoded binary) for every row: the token ids of the whole
     text and the bytes those ids decode to. A null text counts as empty: no ids,
@@ -330,13 +319,11 @@ def encode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col:
         tool = codec(sent.value)
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            parts = [tool.round_trip(texts[i:j]) for i, j in _spans([len(t) for t in texts], SPLIT_BYTES)]
-            ids, decoded = (pa.concat_arrays([p[k] for p in parts]) for k in (0, 1))
+            ids, decoded = tool.round_trip([t or "" for t in b.column(1).to_pylist()])
             return pa.RecordBatch.from_arrays([b.column(0), ids, decoded], names=["id", "ids", "decoded"])
         return step
 
-    return per_batch(rows, work, schema)
+    return per_batch(rows, work, schema, text_at=1)
 
 
 def decode(tokens: DataFrame, rank_file: bytes, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

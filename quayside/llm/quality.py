@@ -33,7 +33,7 @@ LAGS = 3
 CLASSES = len(MARKS) + 7
 DIM = CLASSES + LAGS + 3 + BUCKETS
 #: Texts are encoded in chunks of about so many bytes (a longer text alone).
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def byte_classes() -> np.ndarray:
@@ -48,6 +48,7 @@ def byte_classes() -> np.ndarray:
 CLASS_OF = byte_classes()
 BYTE_CODE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 def encode_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +73,10 @@ def encode_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     power[0] = 1
     power = np.multiply.accumulate(power)
     summed = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_CODE[raw] * power[:-1], dtype=np.uint64)])
-    # sums of words at different places differ by a power of the base; bring all to the chunk's end
-    h = (summed[end] - summed[begin]) * power[len(raw) - begin]
+    # sums of words at different places differ by a power of the base, which its inverse takes out
+    back = np.full(len(raw) + 1, INVERSE, dtype=np.uint64)
+    back[0] = 1
+    h = (summed[end] - summed[begin]) * np.multiply.accumulate(back)[begin]
     h = (h ^ (h >> np.uint64(32))) * MIX
     h ^= h >> np.uint64(29)
     out = np.zeros((total, DIM), dtype=np.float32)
@@ -223,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return step
 
     # repeated rows of one id add nothing but weight; at most max_train distinct ids come back
-    got = per_batch(rows, work, schema).dropDuplicates(["id", "x"]).collect()
+    got = per_batch(rows, work, schema, text_at=2).dropDuplicates(["id", "x"]).collect()
     got.sort(key=lambda r: (str(r["id"]), bytes(r["x"])))
     bags = [np.frombuffer(r["x"], np.float32).reshape(r["n"], DIM) for r in got]
     return AttentionMIL.new().fit(bags, np.array([r["label"] for r in got], dtype=np.float32))
@@ -251,7 +254,7 @@ def scores(docs: DataFrame, model: AttentionMIL, id_col: str = "doc_id", text_co
                 [b.column(0), pa.array(score_texts(net, b.column(1).to_pylist()))], names=["id", "score"])
         return step
 
-    return per_batch(rows, work, schema)
+    return per_batch(rows, work, schema, text_at=1)
 
 
 def keep_good(docs: DataFrame, model: AttentionMIL, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -267,4 +270,4 @@ def keep_good(docs: DataFrame, model: AttentionMIL, text_col: str = "text", thre
         return step
 
     rows = docs.toDF(*names)
-    return per_batch(rows, work, rows.schema).toDF(*docs.columns)
+    return per_batch(rows, work, rows.schema, text_at=at).toDF(*docs.columns)

@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                               names=["id", "key", "fp"])
         return step
 
-    return per_batch(rows, work, schema)
+    return per_batch(rows, work, schema, text_at=2)
 
 
 def pivots(n: int = PIVOTS) -> list[int]:
