@@ -8,18 +8,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-EVENT_COLUMNS = ("event_id", "event_type", "session_id", "user_id", "event_ts", "page", "partner_id",
-                 "device", "country", "channel", "price_usd", "metadata_json", "is_bot_flag", "ingest_date")
-TXN_COLUMNS = ("transaction_id", "booking_ref", "partner_id", "user_id", "created_at", "ingest_ts", "amount",
-               "currency", "status", "payment_method", "gateway", "retry_count", "error_code", "notes",
-               "processing_ms", "ingest_date", "is_late")
-PARTNER_COLUMNS = ("partner_id", "schema_version", "name", "country_code", "status", "tier", "commission_rate",
-                   "created_at", "updated_at", "sla_hours", "avg_rating", "api_endpoint", "webhook_enabled")
-PAYMENT_COLUMNS = ("event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",
-                   "status", "gateway", "event_ts", "kafka_offset", "kafka_partition", "processing_lag_ms",
-                   "is_spike", "event_date")
+from pyspark.sql.types import (
+    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampNTZType,
+)
+
+_TYPES = {
+    "string": StringType(), "timestamp_ntz": TimestampNTZType(), "date": DateType(), "boolean": BooleanType(),
+    "int": IntegerType(), "bigint": LongType(), "double": DoubleType(), "money": DecimalType(18, 2),
+    "rate": DecimalType(8, 6),
+}
+
+
+def _fields(text: str) -> StructType:
+    """``name type, name type, ...`` without a session (a DDL parser needs one)."""
+    pairs = [f.split() for f in text.split(",")]
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+# The fields of the lake tables, in their order, with their types.
+SCHEMAS = {
+    "events": _fields(
+        "event_id string, event_type string, session_id string, user_id string, event_ts timestamp_ntz, "
+        "page string, partner_id string, device string, country string, channel string, price_usd double, "
+        "metadata_json string, is_bot_flag boolean, ingest_date date"),
+    "transactions": _fields(
+        "transaction_id string, booking_ref string, partner_id string, user_id string, "
+        "created_at timestamp_ntz, ingest_ts timestamp_ntz, amount money, currency string, "
+        "status string, payment_method string, gateway string, retry_count int, error_code string, "
+        "notes string, processing_ms int, ingest_date date, is_late boolean"),
+    "partners": _fields(
+        "partner_id string, schema_version string, name string, country_code string, status string, "
+        "tier string, commission_rate rate, created_at timestamp_ntz, updated_at timestamp_ntz, "
+        "sla_hours int, avg_rating double, api_endpoint string, webhook_enabled boolean"),
+    "payments": _fields(
+        "event_id string, event_type string, transaction_id string, user_id string, partner_id string, "
+        "amount money, currency string, status string, gateway string, event_ts timestamp_ntz, "
+        "kafka_offset bigint, kafka_partition int, processing_lag_ms bigint, is_spike boolean, "
+        "event_date date"),
+}
+SCHEMAS["events_bots"] = SCHEMAS["events"]
+SCHEMAS["quarantine_transactions"] = StructType(
+    [*SCHEMAS["transactions"].fields, StructField("quarantine_reason", StringType())])
+
+EVENT_COLUMNS = tuple(SCHEMAS["events"].names)
+TXN_COLUMNS = tuple(SCHEMAS["transactions"].names)
+PARTNER_COLUMNS = tuple(SCHEMAS["partners"].names)
+PAYMENT_COLUMNS = tuple(SCHEMAS["payments"].names)
 
 # Serving keys (conflict targets of the upsert) and lake partition columns.
 KEYS = {
@@ -42,15 +77,22 @@ NOT_NULL = {
     "payments": ("event_id",),
 }
 
-RAW_EVENT_FIELDS = ("event_id", "event_type", "session_id", "user_id", "event_ts", "page", "partner_id",
-                    "device", "country", "channel", "price_usd", "metadata_json", "is_bot_flag", "ingest_date")
-RAW_TXN_FIELDS = ("transaction_id", "booking_ref", "partner_id", "user_id", "created_at", "ingest_ts", "amount",
-                  "currency", "status", "payment_method", "gateway", "retry_count", "error_code", "notes",
-                  "processing_ms")
+# Raw feeds have the lake's fields, less those that the lake derives.
+RAW_EVENT_FIELDS = EVENT_COLUMNS
+RAW_TXN_FIELDS = tuple(c for c in TXN_COLUMNS if c not in ("ingest_date", "is_late"))
 RAW_PARTNER_FIELDS = PARTNER_COLUMNS
-RAW_PAYMENT_FIELDS = ("event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",
-                      "status", "gateway", "event_ts", "kafka_offset", "kafka_partition", "processing_lag_ms",
-                      "is_spike")
+RAW_PAYMENT_FIELDS = tuple(c for c in PAYMENT_COLUMNS if c != "event_date")
+
+
+def conform(df: DataFrame, dataset: str) -> DataFrame:
+    """``df`` as its contract: the columns, in order; a wrong type is an error."""
+    wrong = [f"{f.name}: {df.schema[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}"
+             for f in SCHEMAS[dataset] if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    if missing := [c for c in SCHEMAS[dataset].names if c not in df.columns]:
+        wrong.append(f"missing {missing}")
+    if wrong:
+        raise TypeError(f"{dataset}: " + "; ".join(wrong))
+    return df.select(*SCHEMAS[dataset].names)
 
 
 def string_schema(columns) -> StructType:

@@ -63,9 +63,13 @@ def _write_split(spark, root, delta_all, keys, part, keep, columns, full, order=
     whole delta (both sides of the split), then keep the selected side, so a
     key that switched side leaves this table."""
     if full or not has_parquet(spark, root):
-        sink_partitioned(delta_all.where(keep).select(*columns), root, part)
+        rows = delta_all.where(keep).select(*columns)
+        sink_partitioned(rows, root, part)
         if full:
-            _clear_stale(spark, root, delta_all.where(keep), part)
+            _clear_stale(spark, root, rows, part)
+        if not has_parquet(spark, root):  # a table without rows still has its columns
+            (rows.drop(part).limit(0).coalesce(1).write.mode("overwrite")
+             .parquet(f"{root}/{part}=__HIVE_DEFAULT_PARTITION__"))
         return
     merge_partitioned(spark, root, delta_all.select(*columns), keys, part, order=order, keep=keep)
 
@@ -152,10 +156,11 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     run_id = run_id if run_id is not None else int(control.get("run_id", 0)) + 1
     marks["run_id"] = run_id
 
-    good, bots = events.where(~_bot()), events.where(_bot())
+    n_events = events.agg(F.count_if(~_bot()).alias("good"), F.count_if(_bot()).alias("bots")).first()
+    n_txns = txns.agg(F.count_if(~_negative()).alias("good"), F.count_if(_negative()).alias("bad")).first()
     metrics = {
-        "events": good.count(), "bots": bots.count(),
-        "transactions": txns.where(~_negative()).count(), "rejected_transactions": txns.where(_negative()).count(),
+        "events": n_events["good"], "bots": n_events["bots"],
+        "transactions": n_txns["good"], "rejected_transactions": n_txns["bad"],
         "partners": partners.count(), "payments": payments.count(),
     }
     commit_control(spark, state, marks, run_id)

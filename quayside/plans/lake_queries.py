@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.contracts import EVENT_COLUMNS, PAYMENT_COLUMNS, RAW_TXN_FIELDS, TXN_COLUMNS
+from quayside.contracts import KEYS, NOT_NULL, RAW_TXN_FIELDS, SCHEMAS
 from quayside.plans.catalog import (
     ALERT_DURATION_SQL, ALERT_FAILURE_SQL, ALERT_LAG_SQL, EVENT_RANGE, RUN_DURATION_SQL, RUN_STATUS_SQL, STREAM_LAG_SQL, _feeds,
     _funnel_sql, register,
@@ -62,47 +62,46 @@ def two_run_lake(spark: SparkSession, sf: str) -> dict:
     return _LAKES[key]
 
 
-def _read(spark, path, columns, part, part_type="date"):
+def _read(spark, path, dataset):
+    """A lake table by its contract: no inference, the partition column typed."""
     from quayside.sources.lake_scan import scan_lake
-    df = scan_lake(spark, path)
-    return df.withColumn(part, F.col(part).cast(part_type)).select(*columns)
+    return scan_lake(spark, path, SCHEMAS[dataset]).select(*SCHEMAS[dataset].names)
 
 
 @register("batch_incremental_events", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
 def q_batch_incremental_events(spark, sf):
     lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/events", EVENT_COLUMNS, "ingest_date")
+    return _read(spark, f"{lake['root']}/events", "events")
 
 
 @register("batch_incremental_bots", with_ctes(["ev_bots"]) + "SELECT * FROM ev_bots")
 def q_batch_incremental_bots(spark, sf):
     lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/events_bots", EVENT_COLUMNS, "ingest_date")
+    return _read(spark, f"{lake['root']}/events_bots", "events_bots")
 
 
 @register("batch_incremental_transactions", with_ctes(["tx_good"]) + "SELECT * FROM tx_good")
 def q_batch_incremental_transactions(spark, sf):
     lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/transactions", TXN_COLUMNS, "ingest_date")
+    return _read(spark, f"{lake['root']}/transactions", "transactions")
 
 
 @register("batch_incremental_quarantine", with_ctes(["tx_quarantine"]) + "SELECT * FROM tx_quarantine")
 def q_batch_incremental_quarantine(spark, sf):
     lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/quarantine/transactions",
-                 list(TXN_COLUMNS) + ["quarantine_reason"], "ingest_date")
+    return _read(spark, f"{lake['root']}/quarantine/transactions", "quarantine_transactions")
 
 
 @register("batch_incremental_payments", with_ctes(["pm_all"]) + "SELECT * FROM pm_all")
 def q_batch_incremental_payments(spark, sf):
     lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/payments", PAYMENT_COLUMNS, "event_date")
+    return _read(spark, f"{lake['root']}/payments", "payments")
 
 
 @register("batch_serving_partners", with_ctes(["pt_all"]) + "SELECT * FROM pt_all")
 def q_batch_serving_partners(spark, sf):
     lake = two_run_lake(spark, sf)
-    return spark.read.parquet(f"{lake['root']}/serving/partners")
+    return _read(spark, f"{lake['root']}/serving/partners", "partners")
 
 
 def _window_counts(run: int, mode: str, events: str, txns: str, offsets: str) -> str:
@@ -141,7 +140,7 @@ def q_batch_full_refresh_events(spark, sf):
     from quayside.plans.batch_run import run_batch
     root = scratch_path(spark, "lake-full")
     run_batch(spark, raw_feeds(spark, sf), root, full_refresh=True).collect()
-    return _read(spark, f"{root}/events", EVENT_COLUMNS, "ingest_date")
+    return _read(spark, f"{root}/events", "events")
 
 
 # ---- sources and sinks ---------------------------------------------------------
@@ -167,7 +166,7 @@ def q_sink_partitioned(spark, sf):
     from quayside.sinks.lake_write import sink_partitioned
     path = scratch_path(spark, "sink-events")
     sink_partitioned(_feeds(spark, sf).events(), path, "ingest_date")
-    return _read(spark, path, EVENT_COLUMNS, "ingest_date")
+    return _read(spark, path, "events")
 
 
 @register("sink_single", with_ctes(["pt_all"]) + "SELECT * FROM pt_all")
@@ -203,28 +202,26 @@ def q_merge_partitioned(spark, sf):
     path = scratch_path(spark, "merge-transactions")
     sink_partitioned(first, path, "ingest_date")
     merge_partitioned(spark, path, second, ["transaction_id"], "ingest_date")
-    return _read(spark, path, TXN_COLUMNS, "ingest_date")
+    return _read(spark, path, "transactions")
 
 
-@register("contract_check_events", with_ctes(["ev_good"]) + """SELECT COUNT(*) AS rows,
-  COUNT(*) FILTER (WHERE event_id IS NULL) AS null_event_id, COUNT(*) FILTER (WHERE event_type IS NULL) AS null_event_type,
-  COUNT(*) FILTER (WHERE session_id IS NULL) AS null_session_id, COUNT(*) FILTER (WHERE event_ts IS NULL) AS null_event_ts,
-  COUNT(*) FILTER (WHERE is_bot_flag IS NULL) AS null_is_bot_flag, COUNT(*) FILTER (WHERE ingest_date IS NULL) AS null_ingest_date,
-  COUNT(*) - COUNT(DISTINCT event_id) AS repeated_keys FROM ev_good""")
-def q_contract_check_events(spark, sf):
-    from quayside.contracts import contract_check
-    return contract_check(_feeds(spark, sf).events(), "events")
+def _contract_sql(dataset: str, cte: str) -> str:
+    keys = ", ".join(KEYS[dataset])
+    nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in NOT_NULL[dataset])
+    return with_ctes([cte]) + f"""SELECT COUNT(*) AS rows, {nulls},
+      COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {keys} FROM {cte})) AS repeated_keys FROM {cte}"""
 
 
-@register("contract_check_partners", with_ctes(["pt_all"]) + """SELECT COUNT(*) AS rows,
-  COUNT(*) FILTER (WHERE partner_id IS NULL) AS null_partner_id,
-  COUNT(*) FILTER (WHERE schema_version IS NULL) AS null_schema_version,
-  COUNT(*) FILTER (WHERE created_at IS NULL) AS null_created_at,
-  COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT partner_id, schema_version, created_at FROM pt_all)) AS repeated_keys
-  FROM pt_all""")
-def q_contract_check_partners(spark, sf):
-    from quayside.contracts import contract_check
-    return contract_check(_feeds(spark, sf).partners(), "partners")
+def _contract_query(dataset: str, cte: str, frame: str):
+    @register(f"contract_check_{dataset}", _contract_sql(dataset, cte))
+    def check(spark, sf):
+        from quayside.contracts import conform, contract_check
+        return contract_check(conform(getattr(_feeds(spark, sf), frame)(), dataset), dataset)
+
+
+for _dataset, _cte, _frame in (("events", "ev_good", "events"), ("transactions", "tx_good", "transactions"),
+                               ("partners", "pt_all", "partners"), ("payments", "pm_all", "payments")):
+    _contract_query(_dataset, _cte, _frame)
 
 
 # ---- 2.10 lake maintenance ------------------------------------------------------
@@ -323,7 +320,7 @@ def q_compact_partitions(spark, sf):
     from quayside.operators.maintenance import compact_partitions
     path = fragmented_events(spark, sf)
     compact_partitions(spark, path, apply=True).collect()
-    return _read(spark, path, EVENT_COLUMNS, "ingest_date")
+    return _read(spark, path, "events")
 
 
 @register("compact_table", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
@@ -332,7 +329,7 @@ def q_compact_table(spark, sf):
     source = fragmented_events(spark, sf)
     destination = scratch_path(spark, "compacted-events")
     compact_table(spark, source, destination, "ingest_date")
-    return _read(spark, destination, EVENT_COLUMNS, "ingest_date")
+    return _read(spark, destination, "events")
 
 
 @register("compaction_report", with_ctes(["ev_good"], {"files": FILES_SQL}) + """SELECT

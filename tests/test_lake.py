@@ -214,3 +214,23 @@ def test_a_failed_rename_leaves_every_row(spark, scratch, monkeypatch):
     with pytest.raises(RuntimeError, match="its files are back"):
         maintenance.compact_partitions(spark, path, apply=True)
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == list(range(100))
+
+
+def test_a_full_refresh_without_rows_leaves_a_readable_table(spark, scratch):
+    from quayside.contracts import SCHEMAS
+    from quayside.plans.batch_run import _write_split
+    root = scratch("empty-side")
+    events = spark.createDataFrame([], SCHEMAS["events"])
+    _write_split(spark, root, events, ("event_id",), "ingest_date", F.lit(True), SCHEMAS["events"].names, full=True)
+    back = spark.read.schema(SCHEMAS["events"]).parquet(root)
+    assert back.count() == 0 and set(back.columns) == set(SCHEMAS["events"].names)
+
+
+def test_contracts_refuse_a_wrong_type_and_a_missing_column(spark):
+    import pytest
+    from quayside.contracts import SCHEMAS, conform
+    good = spark.createDataFrame([], SCHEMAS["payments"])
+    assert conform(good.withColumn("extra", F.lit(1)), "payments").schema.names == SCHEMAS["payments"].names
+    for bad in (good.withColumn("amount", F.lit("1.0")), good.drop("gateway")):
+        with pytest.raises(TypeError):
+            conform(bad, "payments")
