@@ -27,7 +27,6 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +35,8 @@ from quayside.operators.filters import filter_new_offsets, filter_since, window_
 from quayside.operators.marks import max_offset_by_partition
 from quayside.plans import flows
 from quayside.sinks.lake_write import (
-    commit_control, has_parquet, merge_partitioned, read_control, sink_partitioned, sink_single,
-    upsert_keyed,
+    commit_control, has_parquet, merge_partitioned, read_control, sink_partitioned, sink_single, stage,
+    unstage, upsert_keyed,
 )
 
 
@@ -116,10 +115,12 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     tx_batch = filter_since(raw["raw_transactions"], "ingest_ts", txn_start)
     pm_batch = filter_new_offsets(raw["raw_payment_stream"], saved)
 
-    events = flows.events_all(ev_batch).persist(StorageLevel.MEMORY_AND_DISK)
-    txns = flows.transactions_all(tx_batch, watermark_days).persist(StorageLevel.MEMORY_AND_DISK)
-    partners = flows.partners_all(raw["raw_partner_catalog"], keep_order=True).persist(StorageLevel.MEMORY_AND_DISK)
-    payments = flows.payments_all(pm_batch).persist(StorageLevel.MEMORY_AND_DISK)
+    # Each is read several times below: written once to the shared folder, where a
+    # lost executor takes nothing with it and a full refresh fits whatever its size.
+    events = stage(flows.events_all(ev_batch), "batch-events")
+    txns = stage(flows.transactions_all(tx_batch, watermark_days), "batch-transactions")
+    partners = stage(flows.partners_all(raw["raw_partner_catalog"], keep_order=True), "batch-partners")
+    payments = stage(flows.payments_all(pm_batch), "batch-payments")
 
     _write_split(spark, f"{root}/events", events, KEYS["events"], "ingest_date", ~_bot(),
                  EVENT_COLUMNS, full)
@@ -138,7 +139,7 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     serving = f"{root}/serving/partners"
     previous = None if full or not has_parquet(spark, serving) else spark.read.parquet(serving)
     if previous is not None:
-        previous = _staged(previous)
+        previous = stage(previous, "serving-partners")  # it is overwritten in place
     sink_single(upsert_keyed(previous, partners, KEYS["partners"]), serving)
 
     # Marks come from every raw row (not just the window); collected values are
@@ -164,8 +165,7 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
         "partners": partners.count(), "payments": payments.count(),
     }
     commit_control(spark, state, marks, run_id)
-    for df in (events, txns, partners, payments):
-        df.unpersist()
+    unstage(events, txns, partners, payments)
     row = dict(metrics, mode="full" if full else "incremental",
                event_window_start=str(event_start) if event_start else None,
                transaction_window_start=str(txn_start) if txn_start else None)
@@ -173,8 +173,3 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
         [row], "events long, bots long, transactions long, rejected_transactions long, partners long, "
                "payments long, mode string, event_window_start string, transaction_window_start string")
 
-
-def _staged(df: DataFrame) -> DataFrame:
-    """Materialise the old serving snapshot before it is overwritten in place."""
-    from quayside.sinks.lake_write import stage
-    return stage(df, "serving-partners")

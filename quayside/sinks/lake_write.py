@@ -77,8 +77,11 @@ def sink_partitioned(df: DataFrame, root: str, partition_col: str,
 
 
 def sink_single(df: DataFrame, path: str) -> None:
-    """Small dimension (partners: bounded by partners x versions) as one file."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """Small dimension (partners: bounded by partners x versions) as one file.
+
+    ``repartition``, not ``coalesce``: only the write is one task, what leads to
+    the rows keeps its own."""
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -90,7 +93,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for f in frames:
+        delete_path(f.sparkSession, f._staged)
 
 
 def latest_by_key(rows: DataFrame, keys, order) -> DataFrame:
@@ -159,6 +170,7 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
     for value in touched:
         if value not in present:
             delete_path(spark, f"{root.rstrip('/')}/{partition_col}={_partition_text(value)}")
+    unstage(merged)
     return {"touched_partitions": len(touched)}
 
 
