@@ -66,11 +66,6 @@ def parse_bool(c, strict: bool = True) -> Column:
             .otherwise(bad.cast("boolean")))
 
 
-def invalid_bool(c) -> Column:
-    v = lower_clean(c)
-    return v.isNotNull() & ~v.isin(*TRUE_WORDS, *FALSE_WORDS)
-
-
 def _parse_number(c, pattern: str, target: str, label: str, strict: bool) -> Column:
     v = clean(c)
     ok = v.rlike(pattern)
@@ -93,11 +88,6 @@ def parse_int(c, target: str = "int", strict: bool = True) -> Column:
     return _parse_number(c, INT_PATTERN, target, "integer", strict)
 
 
-def invalid_number(c, integral: bool = False) -> Column:
-    v = clean(c)
-    return v.isNotNull() & ~v.rlike(INT_PATTERN if integral else FLOAT_PATTERN)
-
-
 def parse_timestamp(c) -> Column:
     """ISO text or an existing timestamp -> TIMESTAMP_NTZ (no session-zone shift)."""
     return _col(c).cast("timestamp_ntz")

@@ -55,10 +55,6 @@ def window_start(mark, watermark_days: int):
     return mark - _dt.timedelta(days=watermark_days)
 
 
-def window_start_col(mark: Column, watermark_days: int) -> Column:
-    return mark - F.make_dt_interval(F.lit(watermark_days))
-
-
 def incremental_window(raw: DataFrame, column: str, watermark_days: int = 7,
                        floor_to_day: bool = False, mark: Column | None = None) -> DataFrame:
     """Re-read ``[mark - N days, ...]`` where ``mark`` is the high-water mark.

@@ -15,9 +15,8 @@ The numbered frame is written once as a Parquet table in the shared
 ``spark.checkpoint.dir`` (columnar, compressed - cheaper than an RDD
 checkpoint): ids depend on the physical layout, so both sides of the join -
 and any task retried after an executor loss - must read the same materialised
-rows rather than re-run the range shuffle. The stats side is
-broadcast only when ``slices * max_groups`` is within ``broadcast_rows``;
-otherwise it is a regular shuffled join.
+rows rather than re-run the range shuffle. The small side isn't
+forced into a broadcast: the planner goes by its real size.
 """
 
 from __future__ import annotations
@@ -29,10 +28,9 @@ from quayside.sinks.lake_write import stage
 
 
 def dense_sequence(df: DataFrame, group_col: str, order_cols: list[str], out_col: str,
-                   slices: int | None = None, max_groups: int = 1024,
-                   broadcast_rows: int = 500_000) -> DataFrame:
+                   slices: int | None = None) -> DataFrame:
     ranged = stage(slice_and_number(df, group_col, order_cols, slices), "dense-sequence")
-    return assign_sequence(ranged, group_col, out_col, slices, max_groups, broadcast_rows)
+    return assign_sequence(ranged, group_col, out_col)
 
 
 def slice_and_number(df: DataFrame, group_col: str, order_cols: list[str],
@@ -47,17 +45,13 @@ def slice_and_number(df: DataFrame, group_col: str, order_cols: list[str],
               .withColumn("_rid", F.monotonically_increasing_id()))
 
 
-def assign_sequence(ranged: DataFrame, group_col: str, out_col: str, slices: int | None = None,
-                    max_groups: int = 1024, broadcast_rows: int = 500_000) -> DataFrame:
+def assign_sequence(ranged: DataFrame, group_col: str, out_col: str) -> DataFrame:
     """Steps 2-3 over a materialised :func:`slice_and_number` output."""
-    slices = slices or int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stats = ranged.groupBy("_slice", group_col).agg(F.min("_rid").alias("_first"),
                                                     F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select("_slice", group_col, "_first",
                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    if slices * max_groups <= broadcast_rows:
-        stats = F.broadcast(stats)
     joined = ranged.join(stats, ["_slice", group_col])
     return (joined.withColumn(out_col, F.col("_start") + F.col("_rid") - F.col("_first"))
                   .drop("_slice", "_rid", "_first", "_start"))

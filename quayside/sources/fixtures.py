@@ -213,23 +213,24 @@ _LANDED_FEEDS: dict[tuple, str] = {}
 def raw_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment topic, landed once per (session, data directory).
 
-    Numbering offsets is ingest work (a Kafka topic carries them), so the
-    range-sliced feed is written once to the shared checkpoint folder; every
-    payment query reads that landed table and derives the offsets from a
-    per-slice count table (slices x Kafka partitions rows).
+    Numbering offsets is ingest work (a Kafka topic carries them): the feed is
+    numbered and written once to the shared checkpoint folder, with its offsets,
+    and every payment query reads that landed table.
     """
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    from quayside.operators.sequence import assign_sequence
     from quayside.session import scratch_path
-    from quayside.sinks.lake_write import has_parquet
+    from quayside.sinks.lake_write import has_parquet, stage, unstage
 
     if key not in _LANDED_FEEDS or not has_parquet(spark, _LANDED_FEEDS[key]):
         path = scratch_path(spark, "landed-payment-stream")
-        _slice_payment_stream(spark, sf_dir).write.mode("overwrite").parquet(path)
+        sliced = stage(_slice_payment_stream(spark, sf_dir), "sliced-payment-stream")
+        numbered = assign_sequence(sliced, "kafka_partition", "kafka_offset")
+        (numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*PAYMENT_FEED_COLUMNS)
+         .write.mode("overwrite").parquet(path))
+        unstage(sliced)
         _LANDED_FEEDS[key] = path
-    from quayside.operators.sequence import assign_sequence
-    numbered = assign_sequence(spark.read.parquet(_LANDED_FEEDS[key]), "kafka_partition", "kafka_offset",
-                               max_groups=8)
-    return numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*PAYMENT_FEED_COLUMNS)
+    return spark.read.parquet(_LANDED_FEEDS[key])
 
 
 PAYMENT_FEED_COLUMNS = ["event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",

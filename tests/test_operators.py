@@ -153,7 +153,7 @@ def test_hot_group_is_spread_over_slices_and_numbered_exactly(spark):
     sliced = stage(slice_and_number(df, "g", ["o"], slices=12), "hot-slices")
     hot_slices = sliced.where("g = 0").select("_slice").distinct().count()
     assert hot_slices >= 3
-    seq = assign_sequence(sliced, "g", "seq", slices=12).where("g = 0").orderBy("o").collect()
+    seq = assign_sequence(sliced, "g", "seq").where("g = 0").orderBy("o").collect()
     assert [r["seq"] for r in seq] == list(range(n // 3))
 
 
