@@ -101,7 +101,7 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     out = out.select("mid", "conv", "turn", "role", own.alias("text"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
                      F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "reply_to", F.coalesce("root", "turn").alias("thread"))
     out = out.withColumn("group", F.coalesce(F.col("conv").cast("string"), F.lit("")))
-    out = dense_sequence(out, "group", ["thread", "turn", "mid"], "position", broadcast_rows=0)
+    out = dense_sequence(out, "group", ["thread", "turn", "mid"], "position")
     return out.select("conv", "turn", "role", "text", "n_quotes", "n_linked", "reply_to", "thread", "position",
                       F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.coalesce("text", F.lit("")))
                       .alias("formatted"))
