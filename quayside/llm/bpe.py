@@ -33,7 +33,7 @@ from quayside.llm.common import per_batch, pick
 LONG = 96
 ROUNDS = 48
 #: Bytes of the words of one query, and the words remembered in a Python worker.
-QUERY_BYTES, REMEMBERED = 200_000, 200_000
+QUERY_BYTES, REMEMBERED = 100_000, 150_000
 
 STEP = """
 WITH RECURSIVE t AS (

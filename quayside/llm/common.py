@@ -51,7 +51,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 #: Bytes of text that are worked on at a time in a task (a longer text alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(b: pa.RecordBatch, text_at: int | None) -> Iterator[pa.RecordBatch]:
