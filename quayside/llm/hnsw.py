@@ -11,7 +11,9 @@
    two shards searches both ways. A query whose beam is full of links is repeated with a
    wider beam. What is found is verified by cosine in double precision.
 5. A task returns per class the number of rows linked to it and one edge to the least of
-   its component there, never the pairs; components of all those edges follow.
+   its component there; components of all those edges follow. It never holds the pairs
+   either: blocks of ``SIDE`` classes are searched, verified and dropped, and a bit for
+   each pair of the two shards keeps those found from both sides from counting twice.
 
 The work is classes x (label's classes / capacity) searches of logarithmic length; a
 capacity is chosen by the memory of a task, not by the data.
@@ -277,8 +279,30 @@ def _SHARDS(schema: pa.Schema) -> pa.Schema:
                       ("x", pa.binary()), ("graph", pa.binary()), ("beam", pa.int32()), ("recall", pa.float64())])
 
 
+def _found(one: Graph, two: Graph, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """A bit for every pair (row of x, row of y) that a search of one in the other's graph
+    found, from either side; whole bytes a row. The queries go by blocks of ``SIDE``, so
+    the searches hold a block's pairs and the rest is a bit a pair."""
+    bits = np.zeros((len(x), -(-len(y) // 8)), dtype=np.uint8)
+    for a in range(0, len(x), SIDE):
+        q, node = two.links(x[a:a + SIDE], least)
+        hit = np.zeros((min(SIDE, len(x) - a), len(y)), dtype=bool)
+        hit[q, node] = True
+        bits[a:a + SIDE] |= np.packbits(hit, axis=1)
+        if one is two:  # the same search answers the other side
+            bits[:, a // 8:(a + SIDE) // 8] |= np.packbits(hit.T, axis=1)
+    if one is not two:
+        for a in range(0, len(y), SIDE):
+            q, node = one.links(y[a:a + SIDE], least)
+            hit = np.zeros((len(x), min(SIDE, len(y) - a)), dtype=bool)
+            hit[node, q] = True
+            bits[:, a // 8:(a + SIDE) // 8] |= np.packbits(hit, axis=1)
+    return bits
+
+
 def _meet(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
-    """Links between two shards (or within one), both ways."""
+    """Links between two shards (or within one), both ways. Pairs are verified, counted
+    and joined to components by blocks of ``SIDE`` classes and then dropped."""
     def load(t: pa.Table):
         cid, weight, size = (np.frombuffer(t.column(c)[0].as_py(), "<i8") for c in ("cid", "n", "cid"))
         u = unit(np.frombuffer(t.column("x")[0].as_py(), "<f8").reshape(len(size), -1))
@@ -290,28 +314,26 @@ def _meet(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
     cid = one[0] if same else np.concatenate([one[0], two[0]])
     weight = one[1] if same else np.concatenate([one[1], two[1]])
     away = 0 if same else len(one[0])
-    q, node = two[3].links(one[2].astype(np.float32), least - SLACK)
-    codes = [_code(q, node + away)]
-    if not same:
-        q, node = one[3].links(two[2].astype(np.float32), least - SLACK)
-        codes.append(_code(node, q + away))
-    pairs = np.unique(np.concatenate(codes))
-    a, b = pairs >> 32, pairs & 0xFFFFFFFF
-    a, b = a[a != b], b[a != b]
-    x = one[2] if same else np.concatenate([one[2], two[2]])
-    ok = np.concatenate([np.einsum("md,md->m", x[a[k:k + (1 << 16)]], x[b[k:k + (1 << 16)]]) >= least
-                         for k in range(0, len(a), 1 << 16)]) if len(a) else np.zeros(0, bool)
-    a, b = a[ok], b[ok]
-    count = np.bincount(a, weights=weight[b], minlength=len(cid)) + np.bincount(b, weights=weight[a], minlength=len(cid))
-    hub = cid[local_components(len(cid), a, b)]
+    bits = _found(one[3], two[3], one[3].x, two[3].x, least - SLACK)
+    count = np.zeros(len(cid))
+    label = np.arange(len(cid))
+    step = max(1, (1 << 22) // one[2].shape[1])
+    for k in range(0, len(bits), SIDE):
+        a, b = np.nonzero(np.unpackbits(bits[k:k + SIDE], axis=1, count=len(two[0])))
+        a = a + k
+        if same:
+            a, b = a[a < b], b[a < b]
+        ok = [np.einsum("md,md->m", one[2][a[j:j + step]], two[2][b[j:j + step]]) >= least for j in range(0, len(a), step)]
+        ok = np.concatenate(ok) if ok else np.zeros(0, bool)
+        a, b = a[ok], b[ok] + away
+        count += np.bincount(a, weights=weight[b], minlength=len(cid)) + np.bincount(b, weights=weight[a], minlength=len(cid))
+        new = label[a] != label[b]
+        label = local_components(len(cid), label[a[new]], label[b[new]])[label]
+    hub = cid[label]
     some = count > 0
     return pa.table({"cid": cid[some], "links": count[some].astype(np.int64), "hub": hub[some]})
 
 
-def _code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique((np.minimum(a, b).astype(np.int64) << 32) | np.maximum(a, b))
-
-
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     least: float = 0.98, capacity: int = CAPACITY) -> DataFrame:
     """(id, n_links, component, kept): one row per row of ``vectors``.

@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quayside.llm import hnsw as H
@@ -76,3 +78,34 @@ def test_graph_recall_in_scattered_and_dense_data():
     assert len(got) >= 0.99 * truth.sum() and all(truth[a, b] for a, b in got)
     again = H.Graph.unpack(graph.x, graph.pack())
     assert again.beam == graph.beam and all((a == b).all() for a, b in zip(graph.layers, again.layers, strict=True))
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_two_shards_of_near_copies_meet_in_little_memory(same):
+    n, r = 2048, np.random.default_rng(5)
+    centre = r.standard_normal(16)
+
+    def shard(k):
+        x = centre + 0.02 * r.standard_normal((n, 16))
+        x[:5] = r.standard_normal((5, 16))  # a few that link with nothing
+        graph = H.Graph(H.unit(x).astype(np.float32), [np.full((n, H.LINKS), -1)], n)
+        return x, pa.table({"shard": [k], "cid": [(2 * np.arange(n) + k).tobytes()], "n": [np.full(n, k + 1).tobytes()],
+                            "x": [x.tobytes()], "graph": [graph.pack()]})
+
+    (x, left), (y, right) = shard(0), shard(1)
+    tracemalloc.start()
+    try:
+        got = H._meet(left, left if same else right, 0.98)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    near = H.unit(x) @ H.unit(x if same else y).T >= 0.98
+    if same:
+        np.fill_diagonal(near, False)
+        want = dict(zip((2 * np.arange(n)).tolist(), near.sum(1).tolist(), strict=True))
+    else:
+        want = dict(zip((2 * np.arange(n)).tolist(), (2 * near.sum(1)).tolist(), strict=True))
+        want |= dict(zip((2 * np.arange(n) + 1).tolist(), near.sum(0).tolist(), strict=True))
+    assert dict(zip(*(got.column(c).to_pylist() for c in ("cid", "links")), strict=True)) == {k: v for k, v in want.items() if v}
+    assert set(got.column("hub").to_pylist()) == {10}
+    assert peak < 150e6
