@@ -79,16 +79,10 @@ def q_stream_payment_windows(spark, sf):
           "SELECT DISTINCT event_id FROM raw_payment_stream")
 def q_payment_watermark_dedupe(spark, sf):
     """Streaming dedupe of re-deliveries within a 30-day watermark, inserted into a
-    table that ignores keys it has: every event id survives exactly once, however
-    far apart its deliveries are and however they fall into micro-batches."""
+    table that ignores keys it has; what comes behind the watermark goes to that table
+    by a second stream. Every event id survives exactly once, however far apart its
+    deliveries are and however they fall into micro-batches."""
     table, ckpt = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-ckpt")
-
-    def consume(landing, schema):
-        stream = st.payment_stream(spark, landing, schema)
-        q = (st.dedupe_within_watermark(stream, "event_id", "event_ts", "30 days").select("event_id")
-             .writeStream.foreachBatch(st.insert_new_batch(table, "event_id"))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    _deliver(spark, sf, consume)
+    _deliver(spark, sf, lambda landing, schema: st.run_dedupe_stream(
+        spark, landing, table, ckpt, schema, "event_id", "event_ts", "30 days"))
     return spark.read.parquet(table)

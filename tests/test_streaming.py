@@ -56,3 +56,14 @@ def test_dedupe_within_watermark_drops_redeliveries(spark, scratch):
          .format("memory").queryName("dedup_test").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("SELECT count(*) c, count(DISTINCT event_id) d FROM dedup_test").collect()[0] == (45, 45)
+
+
+def test_first_deliveries_behind_the_watermark_survive(spark, scratch):
+    feed = _feed(spark, 6).withColumn("event_ts", F.expr("event_ts + make_dt_interval(60 * int(kafka_offset))"))
+    feed = feed.withColumn("event_id", F.when(F.col("event_id") != "e5", F.col("event_id")))
+    landing, table, ckpt = scratch("landing"), scratch("dedupe"), scratch("ckpt")
+    for k in ("1", "0", "1"):  # the later files first, then 60 days back, then again
+        feed.where(F.col("kafka_offset") == k).coalesce(1).write.mode("append").parquet(landing)
+        st.run_dedupe_stream(spark, landing, table, ckpt, feed.schema, "event_id", "event_ts", "30 days", files_per_trigger=1)
+    got = [r.event_id for r in spark.read.parquet(table).collect()]
+    assert sorted(got, key=str) == [None, "e0", "e1", "e2", "e3", "e4"]
