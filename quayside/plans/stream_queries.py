@@ -69,7 +69,7 @@ def q_stream_offset_resume(spark, sf):
 def q_stream_payment_windows(spark, sf):
     """Daily windows per status with a 7-day watermark over files landing in
     event-time order (no row is later than the watermark, so the streamed
-    result equals the batch one)."""
+    result equals the batch one); rows without an event time are a null window."""
     table, ckpt = scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-ckpt")
     _deliver(spark, sf, lambda landing, schema: st.run_window_stream(spark, landing, table, ckpt, schema))
     return spark.read.parquet(table)

@@ -160,7 +160,8 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
     touched = [r[0] for r in delta.select(partition_col).union(moved_from).distinct().collect()]
     if not touched:
         return {"touched_partitions": 0}
-    old = target.where(F.col(partition_col).isin(touched))
+    old = F.col(partition_col).isin([v for v in touched if v is not None])
+    old = target.where((old | F.col(partition_col).isNull()) if None in touched else old)
     merged = upsert_keyed(old, delta, keys, order)
     if keep is not None:
         merged = merged.where(keep)
@@ -175,6 +176,8 @@ def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, pa
 
 
 def _partition_text(value) -> str:
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
     if isinstance(value, (_dt.date, _dt.datetime)):
         return value.isoformat()
     return str(value)

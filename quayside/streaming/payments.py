@@ -42,12 +42,16 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int, after=
     """Write ``feed`` into ``landing`` as ``chunks`` successive deliveries cut on
     ``order_col`` (an arrival order). ``after`` runs after each, e.g. a stream
     that consumes what is there, so a delivery is a micro-batch of its own
-    however many files it has. Returns the row count per chunk."""
+    however many files it has. Rows without an order come with the last. Returns the
+    row count per chunk; all of them together must be the feed's."""
     order = F.col(order_col) if isinstance(order_col, str) else order_col
-    lo, hi = feed.agg(F.min(order), F.max(order)).first()
-    if lo is None:
+    lo, hi, rows = feed.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    if not rows:
         return []
-    if hasattr(lo, "timestamp"):  # naive wall clock: seconds from the epoch, no local zone
+    if lo is None:
+        lo_v = hi_v = 0.0
+        key = F.lit(None).cast("double")
+    elif hasattr(lo, "timestamp"):  # naive wall clock: seconds from the epoch, no local zone
         import datetime as _dt
         epoch = _dt.datetime(1970, 1, 1)
         lo_v, hi_v = (lo - epoch).total_seconds(), (hi - epoch).total_seconds()
@@ -58,12 +62,14 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int, after=
     counts = []
     for k in range(chunks):
         start, end = lo_v + k * width, lo_v + (k + 1) * width
-        cond = (key >= start) & ((key < end) if k < chunks - 1 else F.lit(True))
+        cond = (key >= start) & (key < end) if k < chunks - 1 else (key >= start) | key.isNull()
         seen = Observation(f"chunk-{k}")
         feed.where(cond).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing)
         counts.append(seen.get["rows"])
         if after:
             after()
+    if sum(counts) != rows:
+        raise RuntimeError(f"landed {sum(counts)} of {rows} rows")
     return counts
 
 
@@ -124,6 +130,16 @@ def windowed_counts(stream: DataFrame, size: str, watermark: str, keys=("status"
                       F.col("amount").cast("decimal(38,2)").alias("amount"))
 
 
+def untimed_counts(stream: DataFrame, keys=("status",)) -> DataFrame:
+    """The rows that no window takes, those without an event time, as one group per
+    ``keys`` under a null window. Its state is a row per group."""
+    none = F.lit(None).cast("timestamp_ntz")
+    agg = (stream.where(F.col("event_ts").cast("timestamp_ntz").isNull()).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("payments"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("amount")))
+    return agg.select(none.alias("window_start"), none.alias("window_end"), *keys, "payments",
+                      F.col("amount").cast("decimal(38,2)").alias("amount"))
+
+
 def upsert_window_batch(table: str, keys):
     """foreachBatch body for update-mode aggregates: the emitted groups replace
     their previous values in a small keyed table (windows x keys)."""
@@ -138,13 +154,17 @@ def upsert_window_batch(table: str, keys):
 
 def run_window_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
                       size: str = "1 day", watermark: str = "7 days", files_per_trigger: int | None = None) -> dict:
-    stream = payment_stream(spark, landing, schema, files_per_trigger).select(
-        "event_ts", F.lower(F.trim("status")).alias("status"), "amount")
-    agg = windowed_counts(stream, size, watermark)
-    q = (agg.writeStream.outputMode("update")
-         .foreachBatch(upsert_window_batch(table, ["window_start", "window_end", "status"]))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    def run(counts, name: str):
+        stream = payment_stream(spark, landing, schema, files_per_trigger).select(
+            "event_ts", F.lower(F.trim("status")).alias("status"), "amount")
+        q = (counts(stream).writeStream.outputMode("update")
+             .foreachBatch(upsert_window_batch(table, ["window_start", "window_end", "status"]))
+             .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
+
+    q = run(lambda stream: windowed_counts(stream, size, watermark), "windows")
+    run(untimed_counts, "untimed")
     return {"input_rows": sum(p.get("numInputRows", 0) for p in q.recentProgress)}
 
 

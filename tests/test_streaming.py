@@ -67,3 +67,37 @@ def test_first_deliveries_behind_the_watermark_survive(spark, scratch):
         st.run_dedupe_stream(spark, landing, table, ckpt, feed.schema, "event_id", "event_ts", "30 days", files_per_trigger=1)
     got = [r.event_id for r in spark.read.parquet(table).collect()]
     assert sorted(got, key=str) == [None, "e0", "e1", "e2", "e3", "e4"]
+
+
+def test_rows_without_event_time_are_landed_merged_and_counted(spark, scratch):
+    from quayside.plans.flows import payments_all
+    some = F.col("event_id").isin("e3", "e20", "e40")
+    feed = _feed(spark).withColumn("event_ts", F.when(~some, F.col("event_ts")))
+    landing, table, windows = scratch("landing"), scratch("table"), scratch("windows")
+    ckpt, ckpt2 = scratch("ckpt"), scratch("ckpt")
+
+    def consume():
+        st.run_payment_stream(spark, landing, table, ckpt, feed.schema)
+        st.run_window_stream(spark, landing, windows, ckpt2, feed.schema)
+
+    assert sum(st.land_in_chunks(feed, landing, "event_ts", 2, after=consume)) == 60
+    # a null day holds rows already when another comes, and one leaves it for a day
+    more = feed.where("event_id = 'e41' or event_id = 'e3' and kafka_offset = '1'").withColumn("kafka_offset", F.lit("99"))
+    day = F.lit("2025-03-02 00:00:00").cast("timestamp_ntz")
+    more = more.withColumn("event_ts", F.when(F.col("event_id") == "e3", day))
+    more.write.mode("append").parquet(landing)
+    consume()
+    want = payments_all(feed.union(more))
+    got = spark.read.parquet(table).select(*want.columns)
+    assert got.count() == want.count() == 45 and got.exceptAll(want).count() == 0
+    assert {r.event_id for r in got.where("event_date is null").collect()} == {"e20", "e40", "e41"}
+    every = feed.union(more)
+    none = {r.status: r.payments for r in spark.read.parquet(windows).where("window_start is null").collect()}
+    assert none == {r.s: r["count"] for r in every.where("event_ts is null").groupBy(F.lower("status").alias("s")).count().collect()}
+    assert spark.read.parquet(windows).agg(F.sum("payments")).first()[0] == every.count()
+
+
+def test_a_feed_without_any_event_time_is_landed(spark, scratch):
+    feed = _feed(spark, 3).withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+    landing = scratch("landing")
+    assert sum(st.land_in_chunks(feed, landing, "event_ts", 2)) == 3 == spark.read.parquet(landing).count()
