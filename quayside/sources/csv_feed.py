@@ -16,7 +16,8 @@ def scan_csv(spark: SparkSession, path: str, columns, multiline: bool = False, o
       missing column is an error); columns not asked for are left out;
     * every column is STRING (casting is an explicit rule later) with its blanks
       as they are; ``escape='"'`` reads doubled quotes inside quoted JSON whole;
-    * the files under ``path`` share one header.
+    * the files under ``path`` share one header: each file's is compared, and one
+      that has other names or another order fails the read.
 
     ``multiline`` is only for feeds with quoted newlines: it disables file
     splitting, so keep it off for large feeds that do not need it.
@@ -29,7 +30,8 @@ def scan_csv(spark: SparkSession, path: str, columns, multiline: bool = False, o
     header = reader.csv(path).columns  # the first line of one file
     if missing := [c for c in columns if c not in header and c not in optional]:
         raise ValueError(f"{path}: the header lacks {missing}")
-    feed = reader.option("enforceSchema", True).schema(string_schema(header)).csv(path)
+    # all of a header is compared only if all columns are parsed
+    feed = reader.option("enforceSchema", False).option("columnPruning", False).schema(string_schema(header)).csv(path)
     return feed.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in header else F.lit("").alias(c)
                          for c in columns])
 

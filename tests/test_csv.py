@@ -40,3 +40,15 @@ def test_landing_keeps_blanks_and_quotes(spark, scratch):
     path = scratch("csv")
     write_csv(spark.createDataFrame(rows, "a string, b string, c string"), path)
     assert _rows(scan_csv(spark, path, ["a", "b", "c"])) == sorted(rows)
+
+
+@pytest.mark.parametrize("second", ["b,a\n4,3\n", "a,b,new\n3,4,5\n", "a\n3\n"])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_files_with_another_header_are_refused(spark, tmp_path, second, multiline):
+    _land(tmp_path, "a,b\n1,2\n", "1.csv")
+    same = tmp_path / "2.csv"
+    same.write_text("a,b\n3,4\n")
+    assert _rows(scan_csv(spark, str(tmp_path), ["b", "a"], multiline)) == [("2", "1"), ("4", "3")]
+    same.write_text(second)
+    with pytest.raises(Exception, match="header"):
+        scan_csv(spark, str(tmp_path), ["a"], multiline, optional=["new"]).collect()
