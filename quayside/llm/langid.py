@@ -117,7 +117,8 @@ class Model:
         return cls(langs, np.log(share).T.astype(np.float32).copy(), allowed.T)
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(log-probability of each language, at least FLOOR; letters) of spellings."""
+        """(log-probability of each language, at least FLOOR, or -inf if the language can't
+        write the word's script; letters) of spellings."""
         found, n, script, letters = grams(words)
         at = np.cumsum(n) - n
         like = TEMPER * np.add.reduceat(self.table[found], at, axis=0)
@@ -127,7 +128,7 @@ class Model:
         like = like - like.max(1, keepdims=True)
         like = like - np.log(np.exp(like).sum(1, keepdims=True))
         like[~self.scripts[script].any(1)] = -np.log(len(self.langs))
-        return np.maximum(like, FLOOR), letters
+        return np.where(can, np.maximum(like, FLOOR), -np.inf), letters
 
     def label(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """Per text its spans: (first code point, end, language number)."""

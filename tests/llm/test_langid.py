@@ -55,6 +55,19 @@ def test_scripts_narrow_the_candidates():
     assert L.SCRIPTS[L._SCRIPT_OF[np.searchsorted(L._STARTS, ord("ж"), side="right") - 1]] == "cyrillic"
 
 
+def test_words_in_a_script_of_another_language_are_spans():
+    letters = np.zeros((3, len(L.SCRIPTS)))
+    letters[:2, L.SCRIPTS.index("latin")] = letters[2, L.SCRIPTS.index("cyrillic")] = 1000
+    three = L.Model.of_counts(["de", "en", "ru"], np.ones((3, L.BUCKETS)), letters)
+    assert np.isfinite(three.word_scores(["字"])[0]).all()
+    text = "some plain words добрый день and some more"
+    inside, edge, alone = three.label([text, "слово at the edge", "字 слово 字"])
+    latin = inside[0][2]
+    assert latin != 2 and inside == [(0, 16, latin), (17, 28, 2), (29, len(text), latin)]
+    assert [(a, z, k == 2) for a, z, k in edge] == [(0, 5, True), (6, 17, False)]
+    assert alone == [(0, 9, 2)]
+
+
 def test_words_keep_their_places():
     code, words, n, begin, end = L.words_of(["ab cd", "", "e!ab", "日本 x", "1 2"])
     assert [words[c] for c in code] == ["ab", "cd", "e", "ab", "日本", "x"] and n.tolist() == [2, 0, 2, 2, 0]
