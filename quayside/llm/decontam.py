@@ -1,15 +1,16 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search.
+"""Benchmark decontamination: MinHash containment search, sketches as wide as the item's size asks.
 
 An item is found in a document if at least ``threshold`` of the item's distinct
 5-word shingles are in the document, however long that is (containment, not
 Jaccard, which a long document would drown).
 
-* Items are partitioned by their number n of distinct shingles. The sketch of
-  an item are its k(n) = n - ceil(threshold * n) + 1 least MinHash values: a
+* An item's number n of distinct shingles sets the width of its sketch; there are
+  no partitions by n. The sketch of an item are its k(n) = n - ceil(threshold * n) + 1 least MinHash values: a
   document that misses k(n) shingles or more can't reach the threshold, so one
   that does holds at least one of any k(n), and the search loses nothing.
-* Documents probe the sketches with the hashes of all their shingles; partitions
-  whose items need more shingles than the document has are passed over.
+* Documents probe the sketches with the hashes of all their shingles, once for each
+  length of a shingle (1 to 5 words). A hit on an item that needs more shingles than
+  the document has is dropped after that join.
 * Candidates are verified exactly: shared distinct shingles, as text, over n.
 
 Everything is built from SQL functions. Sketches, items, candidates and found
