@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, decontam, hnsw, langid, quality, quoting, secrets, sharding, simhash, urlfilter
+from quayside.llm import (
+    bpe, decontam, hardneg, hnsw, langid, quality, quoting, runs, secrets, sharding, simhash, tokencount, urlfilter,
+)
 from quayside.llm.common import doc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +101,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_hash_tree_sharding", sharding.ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), 24).withColumnRenamed("id", "doc_id")
+
+
+@register("op11_hard_negatives", hardneg.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anchors are the ids divisible by 100; ids divisible by 7 get the next label first."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hardneg.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+    return found.withColumnsRenamed({"anchor": "anchor_id", "positive": "positive_id", "negative": "negative_id"})
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The table of op12: a tenth of the documents, by their ids, go round and round from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    rows = docs.select("doc_id", "text", g.alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    rows = rows.withColumn("n", F.nullif(F.size("words"), F.lit(0))).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    turns = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))
+    whole = F.slice(F.flatten(F.concat(F.array(F.slice("words", F.lit(1), F.col("a"))), turns)), F.lit(1), F.col("n"))
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_word_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    return runs.digests(found).withColumnRenamed("id", "doc_id")
+
+
+@register("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokencount.count_tokens(table(spark, sf_dir, "documents"), rank_file("byte_bpe_50k.json"))
+    return found.withColumnRenamed("id", "doc_id")
