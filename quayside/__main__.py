@@ -41,6 +41,7 @@ def main(argv=None) -> None:
     run.add_argument("--output", required=True)
     run.add_argument("--watermark-days", type=int, default=7)
     run.add_argument("--full-refresh", action="store_true")
+    run.add_argument("--lenient", action="store_true", help="quarantine records that don't parse instead of failing")
     compact = sub.add_parser("compact")
     compact.add_argument("root")
     compact.add_argument("--threshold-mb", type=int, default=128)
@@ -52,16 +53,25 @@ def main(argv=None) -> None:
         from quayside.plans.batch_run import run_batch
         raw = {name: read_feed(spark, f"{args.input.rstrip('/')}/{name}.csv", cols)
                for name, cols in FEEDS.items()}
-        raw["raw_events"] = raw["raw_events"].withColumn("ingest_date", F.to_date("ingest_date"))
-        raw["raw_transactions"] = raw["raw_transactions"].withColumn(
-            "ingest_ts", F.col("ingest_ts").cast("timestamp_ntz"))
-        metrics = run_batch(spark, raw, args.output, args.watermark_days, args.full_refresh)
+        if not args.lenient:  # lenient runs take text, so that what doesn't parse stays visible
+            raw["raw_events"] = raw["raw_events"].withColumn("ingest_date", F.to_date("ingest_date"))
+            raw["raw_transactions"] = raw["raw_transactions"].withColumn(
+                "ingest_ts", F.col("ingest_ts").cast("timestamp_ntz"))
+        metrics = run_batch(spark, raw, args.output, args.watermark_days, args.full_refresh, strict=not args.lenient)
         print(json.dumps(metrics.collect()[0].asDict(), indent=2))
     else:
-        from quayside.operators.maintenance import compact_partitions
-        for row in compact_partitions(spark, args.root, args.threshold_mb, args.threshold_mb,
-                                      apply=args.apply).collect():
-            print(json.dumps(row.asDict()))
+        for row in compact_root(spark, args.root, args.threshold_mb, args.apply):
+            print(json.dumps(row))
+
+
+def compact_root(spark: SparkSession, root: str, threshold_mb: int, apply: bool) -> list[dict]:
+    """A table of snapshots by a commit, a plain directory of partitions by swapping directories."""
+    from quayside.operators.maintenance import compact_partitions
+    from quayside.sinks.lake_table import LakeTable
+    from quayside.sinks.lake_write import path_exists
+    if path_exists(spark, f"{root.rstrip('/')}/snapshots"):
+        return LakeTable.opened(spark, root).compact(threshold_mb, threshold_mb, apply)
+    return [r.asDict() for r in compact_partitions(spark, root, threshold_mb, threshold_mb, apply=apply).collect()]
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
@@ -47,7 +47,13 @@ SCHEMAS = {
         "kafka_offset bigint, kafka_partition int, processing_lag_ms bigint, is_spike boolean, "
         "event_date date"),
 }
+SCHEMAS["invalid"] = StructType([
+    StructField("feed", StringType()), StructField("record_key", StringType()),
+    StructField("reasons", ArrayType(StructType([StructField(c, StringType()) for c in ("column", "rule", "text")]))),
+    StructField("record", StringType())])
 SCHEMAS["events_bots"] = SCHEMAS["events"]
+SCHEMAS["quarantine_partners"] = StructType(
+    [*SCHEMAS["partners"].fields, StructField("quarantine_reason", StringType())])
 SCHEMAS["quarantine_transactions"] = StructType(
     [*SCHEMAS["transactions"].fields, StructField("quarantine_reason", StringType())])
 
@@ -62,6 +68,7 @@ KEYS = {
     "transactions": ("transaction_id",),
     "partners": ("partner_id", "schema_version", "created_at"),
     "payments": ("event_id",),
+    "invalid": ("feed", "record_key"),
 }
 PARTITION_BY = {
     "events": "ingest_date",
@@ -69,14 +76,20 @@ PARTITION_BY = {
     "transactions": "ingest_date",
     "quarantine_transactions": "ingest_date",
     "payments": "event_date",
+    "invalid": "feed",
 }
 NOT_NULL = {
     "events": ("event_id", "event_type", "session_id", "event_ts", "is_bot_flag", "ingest_date"),
     "transactions": ("transaction_id", "partner_id", "created_at", "ingest_ts"),
     "partners": ("partner_id", "schema_version", "created_at"),
     "payments": ("event_id",),
+    "invalid": ("feed", "record_key"),
 }
 
+# What a table does with rows that break a rule, where it isn't to fail the commit:
+# an event whose bot flag is missing counts as no bot.
+ON_BROKEN = {"events": {"null_is_bot_flag": "warn"}}
+
 # Raw feeds have the lake's fields, less those that the lake derives.
 RAW_EVENT_FIELDS = EVENT_COLUMNS
 RAW_TXN_FIELDS = tuple(c for c in TXN_COLUMNS if c not in ("ingest_date", "is_late"))

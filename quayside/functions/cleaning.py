@@ -11,8 +11,11 @@ grammar, which is what the raw feeds were validated against:
 * ``parse_float``/``parse_int``: a regex guard keeps Spark's cast from accepting
   '1d' or rejecting '1_000'; anything outside the grammar is an error.
 
-With ``strict=False`` invalid values become NULL instead of failing the job;
-callers pair that with ``invalid_*`` predicates to route rows to quarantine.
+* ``parse_timestamp``: ISO date, or date and time to minutes or more, without an
+  offset (which TIMESTAMP_NTZ would silently drop); partial dates are an error.
+
+With ``strict=False`` invalid values become NULL instead of failing the job, and
+:class:`Fields` describes them, so that the row can go to quarantine with its reasons.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ _DIGITS = r"\d(?:_?\d)*"
 FLOAT_PATTERN = (rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
                  r"|(?i:inf|infinity|nan))$")
 INT_PATTERN = rf"^[+-]?{_DIGITS}$"
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def _col(c) -> Column:
@@ -66,33 +71,80 @@ def parse_bool(c, strict: bool = True) -> Column:
             .otherwise(bad.cast("boolean")))
 
 
-def _parse_number(c, pattern: str, target: str, label: str, strict: bool) -> Column:
+def _parse(c, pattern: str, target: str, label: str, strict: bool, drop: str = "") -> Column:
     v = clean(c)
-    ok = v.rlike(pattern)
-    digits = F.regexp_replace(v, "_", "")
+    text = F.regexp_replace(v, drop, "") if drop else v
     bad = _fail(f"invalid {label}: ", v) if strict else F.lit(None)
     return (F.when(v.isNull(), F.lit(None).cast(target))
-            .when(ok, digits.cast(target))
+            .when(v.rlike(pattern), text.cast(target) if strict else text.try_cast(target))
             .otherwise(bad.cast(target)))
 
 
 def parse_float(c, strict: bool = True) -> Column:
-    return _parse_number(c, FLOAT_PATTERN, "double", "number", strict)
+    return _parse(c, FLOAT_PATTERN, "double", "number", strict, "_")
 
 
 def parse_decimal(c, precision: int = 18, scale: int = 2, strict: bool = True) -> Column:
-    return _parse_number(c, FLOAT_PATTERN, f"decimal({precision},{scale})", "number", strict)
+    return _parse(c, FLOAT_PATTERN, f"decimal({precision},{scale})", "number", strict, "_")
 
 
 def parse_int(c, target: str = "int", strict: bool = True) -> Column:
-    return _parse_number(c, INT_PATTERN, target, "integer", strict)
+    return _parse(c, INT_PATTERN, target, "integer", strict, "_")
+
+
+def parse_timestamp(c, strict: bool = True) -> Column:
+    """ISO text -> TIMESTAMP_NTZ (no session-zone shift)."""
+    return _parse(c, ISO_PATTERN, "timestamp_ntz", "timestamp", strict)
+
+
+def parse_date(c, strict: bool = True) -> Column:
+    return _parse(c, DATE_PATTERN, "date", "date", strict)
+
+
+ERROR_TYPE = "array<struct<column:string,rule:string,text:string>>"
+
+
+class Fields:
+    """The typed columns of a raw feed. Strict, an invalid value fails the job. Lenient, it is
+    NULL and ``errors`` gets (column, rule, text) for it, all in one projection."""
+
+    def __init__(self, df, strict: bool):
+        self.types, self.strict, self.found = dict(df.dtypes), strict, []
+
+    def _noted(self, name: str, rule: str, parsed: Column) -> Column:
+        if not self.strict:
+            text = clean(name)
+            wrong = text.isNotNull() & parsed.isNull()
+            self.found.append(F.when(wrong, F.struct(F.lit(name).alias("column"), F.lit(rule).alias("rule"), text.alias("text"))))
+        return parsed
+
+    def boolean(self, name: str) -> Column:
+        return self._noted(name, "boolean", parse_bool(name, self.strict))
+
+    def number(self, name: str) -> Column:
+        return self._noted(name, "number", parse_float(name, self.strict))
+
+    def decimal(self, name: str, precision: int = 18, scale: int = 2) -> Column:
+        return self._noted(name, "number", parse_decimal(name, precision, scale, self.strict))
 
+    def integer(self, name: str, target: str = "int") -> Column:
+        return self._noted(name, "integer", parse_int(name, target, self.strict))
 
-def parse_timestamp(c) -> Column:
-    """ISO text or an existing timestamp -> TIMESTAMP_NTZ (no session-zone shift)."""
-    return _col(c).cast("timestamp_ntz")
+    def timestamp(self, name: str) -> Column:
+        if self.types.get(name) != "string":  # typed by the source
+            return F.col(name).cast("timestamp_ntz")
+        return self._noted(name, "timestamp", parse_timestamp(name, self.strict))
 
+    def date(self, name: str) -> Column:
+        if self.types.get(name) != "string":
+            return F.col(name).cast("date")
+        return self._noted(name, "date", parse_date(name, self.strict))
 
-def date_prefix(c) -> Column:
-    """``ts[:10]`` of an ISO timestamp, as a DATE."""
-    return F.to_date(_col(c).cast("timestamp_ntz"))
+    def errors(self, required=()) -> list[Column]:
+        """The ``_errors`` column of a lenient projection; ``required`` columns that are missing are errors too."""
+        if self.strict:
+            return []
+        missing = [F.when(clean(c).isNull(), F.struct(F.lit(c).alias("column"), F.lit("missing").alias("rule"),
+                                                      F.lit("").alias("text"))) for c in required]
+        every = F.array(*self.found, *missing) if self.found or missing else F.array()
+        return [F.filter(every.cast(ERROR_TYPE), lambda e: e.isNotNull()).alias("_errors")]

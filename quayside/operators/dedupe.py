@@ -53,7 +53,9 @@ def dedupe_partners(normalized: DataFrame) -> DataFrame:
                          F.coalesce("updated_at", "created_at"))
 
 
-def dedupe_payments(raw: DataFrame) -> DataFrame:
-    """Key event_id; the greatest (partition, offset) delivery wins."""
-    order = F.struct(F.col("kafka_partition").cast("int"), F.col("kafka_offset").cast("bigint"))
+def dedupe_payments(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Key event_id; the greatest (partition, offset) delivery wins. Lenient, one whose
+    partition or offset is no number comes before all others."""
+    number = lambda c, t: F.col(c).cast(t) if strict else F.col(c).try_cast(t)
+    order = F.struct(number("kafka_partition", "int"), number("kafka_offset", "bigint"))
     return dedupe_latest(raw, "event_id", order, order_is_unique=True)

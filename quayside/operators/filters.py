@@ -30,9 +30,10 @@ def filter_since(df: DataFrame, column: str, start) -> DataFrame:
 
 def filter_new_offsets(df: DataFrame, saved_offsets: DataFrame | None,
                        partition_col: str = "kafka_partition",
-                       offset_col: str = "kafka_offset") -> DataFrame:
+                       offset_col: str = "kafka_offset", strict: bool = True) -> DataFrame:
     """Keep rows whose offset is beyond the saved offset of their partition
-    (an unseen partition counts as -1).
+    (an unseen partition counts as -1). Lenient, rows whose partition or offset
+    is no number are kept too.
 
     ``saved_offsets`` has one row per Kafka partition (partition, offset) - a
     few dozen rows - so it is broadcast; the feed itself is never shuffled.
@@ -41,8 +42,12 @@ def filter_new_offsets(df: DataFrame, saved_offsets: DataFrame | None,
         return df
     saved = F.broadcast(saved_offsets.select(
         F.col(partition_col).cast("int").alias("_p"), F.col(offset_col).cast("bigint").alias("_saved")))
-    joined = df.join(saved, F.col(partition_col).cast("int") == F.col("_p"), "left")
-    keep = F.col(offset_col).cast("bigint") > F.coalesce(F.col("_saved"), F.lit(-1).cast("bigint"))
+    number = lambda c, t: F.col(c).cast(t) if strict else F.col(c).try_cast(t)
+    joined = df.join(saved, number(partition_col, "int") == F.col("_p"), "left")
+    offset = number(offset_col, "bigint")
+    keep = offset > F.coalesce(F.col("_saved"), F.lit(-1).cast("bigint"))
+    if not strict:
+        keep = keep | offset.isNull() | number(partition_col, "int").isNull()
     return joined.where(keep).drop("_p", "_saved")
 
 

@@ -13,15 +13,17 @@ def high_water_mark(raw: DataFrame, column: str) -> DataFrame:
 
 def max_offset_by_partition(seen: DataFrame, saved: DataFrame | None = None,
                             partition_col: str = "kafka_partition",
-                            offset_col: str = "kafka_offset") -> DataFrame:
+                            offset_col: str = "kafka_offset", strict: bool = True) -> DataFrame:
     """max(saved, seen) per partition.
 
     Partial aggregation collapses the feed to one row per (map task, partition)
     before the shuffle, so a partition holding most of the topic costs nothing
     extra.
     """
-    rows = seen.select(F.col(partition_col).cast("int").alias("kafka_partition"),
-                       F.col(offset_col).cast("bigint").alias("kafka_offset"))
+    number = lambda c, t: F.col(c).cast(t) if strict else F.col(c).try_cast(t)
+    rows = seen.select(number(partition_col, "int").alias("kafka_partition"), number(offset_col, "bigint").alias("kafka_offset"))
+    if not strict:  # what is no number is quarantined, not remembered
+        rows = rows.where("kafka_partition is not null and kafka_offset is not null")
     if saved is not None:
         rows = rows.unionByName(saved.select(F.col("kafka_partition").cast("int"),
                                              F.col("kafka_offset").cast("bigint")))

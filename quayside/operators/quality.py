@@ -159,6 +159,26 @@ def offset_continuity(feed: DataFrame, partition_col: str = "kafka_partition",
                .withColumn("monotonic", (gaps == 0) & (F.col("rows") == F.col("distinct_offsets"))))
 
 
+def offset_monotonic(feed: DataFrame, arrival: list[str], partition_col: str = "kafka_partition",
+                     offset_col: str = "kafka_offset") -> DataFrame:
+    """Per Kafka partition, whether its offsets rise in the order of arrival: rows, reversals (an offset below the
+    one that arrived before it), repeats, the largest step back, the first offset that came too late.
+
+    ``arrival``: columns that order the rows, such as those of :func:`quayside.sources.lake_scan.in_arrival_order`.
+    Rows without an offset are not compared.
+    """
+    from quayside.operators.sequence import previous_value
+    rows = feed.select(F.col(partition_col).cast("int").alias("kafka_partition"), F.col(offset_col).cast("bigint").alias("o"), *arrival)
+    pairs = previous_value(rows.where("o is not null"), ["kafka_partition"], arrival, "o", "before")
+    back = F.col("o") < F.col("before")
+    first = F.min(F.when(back, F.struct(*arrival, "o")))
+    return pairs.groupBy("kafka_partition").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(back).alias("reversals"),
+        F.count_if(F.col("o") == F.col("before")).alias("repeats"),
+        F.coalesce(F.max(F.when(back, F.col("before") - F.col("o"))), F.lit(0)).cast("bigint").alias("largest_step_back"),
+        first["o"].alias("first_reversed_offset")).withColumn("monotonic", (F.col("reversals") == 0) & (F.col("repeats") == 0))
+
+
 def out_of_order(feed: DataFrame, partition_col: str = "kafka_partition",
                  offset_col: str = "kafka_offset", ts_col: str = "event_ts",
                  slice_size: int = 1_000_000) -> DataFrame:

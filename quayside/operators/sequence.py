@@ -82,3 +82,45 @@ def running_max_before(df: DataFrame, group_col: str, order_col: str, value_col:
     best = F.when(F.col("_carry").isNull(), F.col("_local")).when(F.col("_local").isNull(), F.col("_carry")) \
         .otherwise(F.greatest("_carry", "_local"))
     return out.withColumn(out_col, best).drop("_slice", "_local", "_carry")
+
+
+def _in_slices(df: DataFrame, group_cols, order_cols, name: str) -> DataFrame:
+    """Rows range-partitioned by (group, order) and tagged with their slice; written once, as slices are sampled."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.repartitionByRange(slices, *group_cols, *order_cols).withColumn("_slice", F.spark_partition_id()), name)
+
+
+def _joined(rows: DataFrame, per_slice: DataFrame, group_cols) -> DataFrame:
+    """``rows`` with the other columns of ``per_slice``, one row per (slice, group); null groups are groups."""
+    same = rows["_slice"] == per_slice["_slice"]
+    for g in group_cols:
+        same = same & rows[g].eqNullSafe(per_slice[g])
+    more = [per_slice[c] for c in per_slice.columns if c not in ("_slice", *group_cols)]
+    return rows.join(per_slice, same, "left").select(*[rows[c] for c in rows.columns], *more)
+
+
+def running_sum(df: DataFrame, group_cols, order_col: str, value_col: str, out_col: str) -> DataFrame:
+    """``sum(value) OVER (PARTITION BY group ORDER BY order)`` for rows whose (group, order) is unique,
+    a group of any size being spread over slices: a sum within the slice, plus the sums of the
+    group's slices before it, a table of slices x groups rows."""
+    rows = _in_slices(df, group_cols, [order_col], "running-sum")
+    per_slice = rows.groupBy("_slice", *group_cols).agg(F.sum(value_col).alias("_total"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_slice.select("_slice", *group_cols, F.sum("_total").over(earlier).alias("_carry"))
+    inside = Window.partitionBy("_slice", *group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_local", F.sum(value_col).over(inside))
+    return _joined(local, carry, group_cols).withColumn(
+        out_col, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).drop("_slice", "_local", "_carry")
+
+
+def previous_value(df: DataFrame, group_cols, order_cols, value_col: str, out_col: str) -> DataFrame:
+    """``lag(value) OVER (PARTITION BY group ORDER BY order)``, a group of any size being spread over
+    slices: the lag within the slice; a slice's first row takes the last value of the slice before."""
+    rows = _in_slices(df, group_cols, order_cols, "previous-value")
+    per_slice = rows.groupBy("_slice", *group_cols).agg(F.max(F.struct(*order_cols, value_col)).alias("_last"))
+    carry = per_slice.select("_slice", *group_cols, F.lag(F.col(f"_last.{value_col}")).over(
+        Window.partitionBy(*group_cols).orderBy("_slice")).alias("_carry"))
+    inside = Window.partitionBy("_slice", *group_cols).orderBy(*order_cols)
+    local = rows.withColumns({"_local": F.lag(value_col).over(inside), "_n": F.row_number().over(inside)})
+    return _joined(local, carry, group_cols).withColumn(
+        out_col, F.when(F.col("_n") == 1, F.col("_carry")).otherwise(F.col("_local"))).drop("_slice", "_local", "_n", "_carry")

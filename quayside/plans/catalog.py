@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.operators import analytics
 from quayside.plans.flows import Feeds
@@ -104,7 +105,6 @@ def q_normalize_partners(spark, sf):
 def q_normalize_partners_by_version(spark, sf):
     """Schema evolution: v1/v2/v3 arrive as separate feeds with only their own
     columns and are unified by name (missing columns -> NULL)."""
-    from pyspark.sql import functions as F
 
     from quayside.operators.normalize import normalize_partners, union_partner_versions
     raw = _feeds(spark, sf).raw("raw_partner_catalog")
@@ -246,7 +246,6 @@ SAVED_OFFSETS_SQL = """SELECT CAST(kafka_partition AS INTEGER) AS kafka_partitio
 
 def _saved_offsets(raw):
     """A consumer that stopped half-way through every partition."""
-    from pyspark.sql import functions as F
     return raw.groupBy(F.col("kafka_partition").cast("int").alias("kafka_partition")).agg(
         F.floor(F.count(F.lit(1)) / 2).cast("bigint").alias("kafka_offset"))
 
@@ -422,7 +421,6 @@ def q_validate_event_input(spark, sf):
 def q_insert_ignore(spark, sf):
     """Serving table = payloads already ingested (event time before the 15th);
     batch = every valid payload again, re-deliveries included."""
-    from pyspark.sql import functions as F
 
     from quayside.operators.quality import insert_ignore, validate_event_input
     valid = validate_event_input(_feeds(spark, sf).raw("api_payloads")).where("is_valid")
@@ -436,8 +434,8 @@ TOKEN_KEY = b"quayside-demo-key"  # run-time parameter; fixed here for the check
 
 
 def _hmac_sql(col: str) -> str:
-    from quayside.operators.quality import _hmac_pads
-    ipad, opad = _hmac_pads(TOKEN_KEY)
+    block = TOKEN_KEY.ljust(64, b"\x00")  # RFC 2104, of a key no longer than a block
+    ipad, opad = (bytes(b ^ pad for b in block) for pad in (0x36, 0x5C))
     inner = f"unhex(sha256(unhex('{ipad.hex()}') || encode({col})))"
     return f"sha256(unhex('{opad.hex()}') || {inner})"
 
@@ -455,6 +453,31 @@ def q_offset_continuity(spark, sf):
     return offset_continuity(_feeds(spark, sf).raw("raw_payment_stream"))
 
 
+LATE_OFFSET = "CAST(kafka_offset AS BIGINT) % 10 >= 7"
+
+
+@register("offset_monotonic", with_ctes(["raw_payment_stream"], {"arrived": f"""SELECT CAST(kafka_partition AS INTEGER) AS p,
+    CAST(kafka_offset AS BIGINT) AS o, {LATE_OFFSET} AS late FROM raw_payment_stream""",
+    "pairs": "SELECT p, late, o, lag(o) OVER (PARTITION BY p ORDER BY late, o) AS before FROM arrived"}) + """SELECT p AS kafka_partition,
+  COUNT(*) AS rows, COUNT(*) FILTER (o < before) AS reversals, COUNT(*) FILTER (o = before) AS repeats,
+  COALESCE(max(before - o) FILTER (o < before), 0) AS largest_step_back,
+  arg_min(o, (late, o)) FILTER (o < before) AS first_reversed_offset,
+  COUNT(*) FILTER (o < before) = 0 AND COUNT(*) FILTER (o = before) = 0 AS monotonic FROM pairs GROUP BY 1""")
+def q_offset_monotonic(spark, sf):
+    """The feed lands in two deliveries, the second with offsets that the first passed over."""
+    from quayside.operators.quality import offset_monotonic
+    from quayside.session import scratch_path
+    from quayside.sources.lake_scan import in_arrival_order
+    raw = _feeds(spark, sf).raw("raw_payment_stream")
+    landing = scratch_path(spark, "landing-arrival")
+    order = [F.col("kafka_partition").cast("int"), F.col("kafka_offset").cast("bigint")]
+    for late in (False, True):  # files of a delivery are numbered in the order of its rows
+        rows = raw.where(F.expr(LATE_OFFSET) == late)
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{landing}/delivery={int(late)}")
+    rows, arrival = in_arrival_order(spark, landing, raw.schema)
+    return offset_monotonic(rows, arrival[1:])
+
+
 @register("out_of_order_payments", with_ctes(["raw_payment_stream"]) + """SELECT * FROM (
   SELECT *, max(event_ts) OVER (PARTITION BY CAST(kafka_partition AS INTEGER) ORDER BY CAST(kafka_offset AS BIGINT)
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_max_ts FROM raw_payment_stream)
@@ -464,13 +487,30 @@ def q_out_of_order_payments(spark, sf):
     return out_of_order(_feeds(spark, sf).raw("raw_payment_stream"))
 
 
-@register("spike_windows", with_ctes(["pm_all"]) + """SELECT window_start, payments,
-  payments / SUM(payments) OVER () AS share, payments / SUM(payments) OVER () >= 0.1 AS is_spike FROM (
-  SELECT time_bucket(INTERVAL '16 hours', event_ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
-  COUNT(*) AS payments FROM pm_all GROUP BY 1)""")
+# A sixth of the payments fall into 16 hours that cross a 16-hour boundary counted from 1970.
+def spiked(payments):
+    """Payments with a spike: by a number of their own, some move into 16 hours of 1997-03-05."""
+    n = F.regexp_extract("event_id", r"^(\d+)-", 1).cast("bigint") * 7 + F.regexp_extract("event_id", r"-(\d+)$", 1).cast("bigint")
+    at = F.lit("1997-03-05 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(n % 57600).cast("decimal(18,6)"))
+    return payments.withColumn("event_ts", F.when(n % 6 == 1, at).otherwise(F.col("event_ts")))
+
+
+SPIKED_SQL = """SELECT CASE WHEN n % 6 = 1 THEN TIMESTAMP '1997-03-05 00:00:00' + to_seconds(n % 57600) ELSE event_ts END AS t FROM (
+  SELECT event_ts, CAST(split_part(event_id, '-', 1) AS BIGINT) * 7 + CAST(split_part(event_id, '-', 2) AS BIGINT) AS n FROM pm_all)"""
+
+
+@register("spike_windows", with_ctes(["pm_all"], {
+    "moved": SPIKED_SQL,
+    "times": "SELECT epoch_us(t) AS us, COUNT(*) AS n FROM moved WHERE t IS NOT NULL GROUP BY 1",
+    "spans": "SELECT us, SUM(n) OVER (ORDER BY us RANGE BETWEEN CURRENT ROW AND 57599999999 FOLLOWING) AS c FROM times",
+    "dense": """SELECT *, CASE WHEN us - lag(us) OVER (ORDER BY us) < 57600000000 THEN 0 ELSE 1 END AS fresh
+      FROM spans WHERE c >= 0.1 * (SELECT COUNT(*) FROM moved)""",
+    "chains": "SELECT *, SUM(fresh) OVER (ORDER BY us) AS chain FROM dense"}) + """SELECT
+  make_timestamp(us) AS window_start, make_timestamp(us) + INTERVAL 16 HOUR AS window_end, CAST(c AS BIGINT) AS payments,
+  c / (SELECT COUNT(*) FROM moved) AS share FROM chains QUALIFY row_number() OVER (PARTITION BY chain ORDER BY c DESC, us) = 1""")
 def q_spike_windows(spark, sf):
     from quayside.operators.windows import spike_windows
-    return spike_windows(_feeds(spark, sf).payments())
+    return spike_windows(spiked(_feeds(spark, sf).payments()))
 
 
 @register("payment_windows", with_ctes(["pm_all"]) + """SELECT
@@ -493,19 +533,33 @@ def q_payment_sliding_windows(spark, sf):
     return payment_windows(_feeds(spark, sf).payments(), "7 days", "1 day")
 
 
-@register("bot_sessions", with_ctes(["ev_all"]) + """SELECT session_id, max(n) AS max_events_in_span,
+def with_bot(events):
+    """Events with a bot: every seventh event is one of a session whose events lie within four minutes,
+    but for every 21st, an hour later."""
+    n = F.col("event_id").cast("bigint")
+    at = F.lit("2024-01-10 11:59:00").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(n * 13 % 239 + F.when(n % 21 == 0, 3600).otherwise(0)).cast("decimal(18,6)"))
+    return events.withColumns({"session_id": F.when(n % 7 == 0, F.lit("S-bot")).otherwise(F.col("session_id")),
+                               "event_ts": F.when(n % 7 == 0, at).otherwise(F.col("event_ts"))})
+
+
+@register("bot_sessions", with_ctes(["ev_all"], {"seen": """SELECT CASE WHEN n % 7 = 0 THEN 'S-bot' ELSE session_id END AS session_id,
+    CASE WHEN n % 7 = 0 THEN TIMESTAMP '2024-01-10 11:59:00' + to_seconds(n * 13 % 239 + CASE WHEN n % 21 = 0 THEN 3600 ELSE 0 END)
+         ELSE event_ts END AS event_ts FROM (SELECT *, CAST(event_id AS BIGINT) AS n FROM ev_all)"""}) + """SELECT session_id, max(n) AS max_events_in_span,
   COUNT(*) AS events, max(n) >= 120 AS is_bot FROM (
     SELECT session_id, COUNT(*) OVER (PARTITION BY session_id ORDER BY epoch_us(event_ts)
-      RANGE BETWEEN 239999999 PRECEDING AND CURRENT ROW) AS n FROM ev_all)
+      RANGE BETWEEN 239999999 PRECEDING AND CURRENT ROW) AS n FROM seen)
   GROUP BY session_id""")
 def q_bot_sessions(spark, sf):
     from quayside.operators.windows import bot_sessions
-    return bot_sessions(_feeds(spark, sf).events_all())
+    return bot_sessions(with_bot(_feeds(spark, sf).events_all()))
 
 
 @register("booking_reconciliation", with_ctes(["ev_good", "tx_good"], {
-    "b": """SELECT partner_id, user_id, CAST(event_ts AS DATE) AS day, COUNT(*) AS bookings FROM ev_good
-            WHERE event_type = 'purchase' GROUP BY 1, 2, 3""",
+    "booked": """SELECT partner_id, user_id, CAST(event_ts AS DATE) AS day FROM ev_good WHERE event_type = 'purchase'
+            UNION ALL SELECT partner_id, NULLIF(user_id, ''), CAST(created_at AS DATE) FROM tx_good
+            WHERE CAST(substr(transaction_id, 4) AS BIGINT) % 3 = 0""",
+    "b": "SELECT partner_id, user_id, day, COUNT(*) AS bookings FROM booked GROUP BY 1, 2, 3",
     "t": """SELECT partner_id, NULLIF(user_id, '') AS user_id, CAST(created_at AS DATE) AS day,
             COUNT(*) AS transactions FROM tx_good GROUP BY 1, 2, 3"""}) + """SELECT
   COALESCE(b.partner_id, t.partner_id) AS partner_id, COALESCE(b.user_id, t.user_id) AS user_id,
@@ -516,9 +570,13 @@ def q_bot_sessions(spark, sf):
   FROM b FULL OUTER JOIN t ON b.partner_id IS NOT DISTINCT FROM t.partner_id
     AND b.user_id IS NOT DISTINCT FROM t.user_id AND b.day IS NOT DISTINCT FROM t.day""")
 def q_booking_reconciliation(spark, sf):
+    """The click feed and the transactions lie years apart: a third of the transactions get the event that confirms them."""
     from quayside.operators.quality import booking_reconciliation
     f = _feeds(spark, sf)
-    return booking_reconciliation(f.events(), f.transactions(), booking_event="purchase")
+    columns = ["event_type", "partner_id", "user_id", "event_ts"]
+    confirmed = f.transactions().where(F.substring("transaction_id", 4, 20).cast("bigint") % 3 == 0).select(
+        F.lit("purchase").alias("event_type"), "partner_id", F.nullif(F.col("user_id"), F.lit("")).alias("user_id"), F.col("created_at").alias("event_ts"))
+    return booking_reconciliation(f.events().select(*columns).unionByName(confirmed), f.transactions(), booking_event="purchase")
 
 
 @register("orphan_payments", with_ctes(["pm_all", "tx_all"]) + """SELECT * FROM pm_all p

@@ -19,20 +19,20 @@ from quayside.operators.splits import split_bots, split_quarantine
 from quayside.sources import fixtures
 
 
-def events_all(raw: DataFrame) -> DataFrame:
-    return normalize_events(dedupe_events(raw))
+def events_all(raw: DataFrame, strict: bool = True) -> DataFrame:
+    return normalize_events(dedupe_events(raw), strict)
 
 
-def transactions_all(raw: DataFrame, watermark_days: int = 7) -> DataFrame:
-    return normalize_transactions(dedupe_transactions(raw), watermark_days)
+def transactions_all(raw: DataFrame, watermark_days: int = 7, strict: bool = True) -> DataFrame:
+    return normalize_transactions(dedupe_transactions(raw), watermark_days, strict)
 
 
-def partners_all(raw: DataFrame, keep_order: bool = False) -> DataFrame:
-    return select_partner_columns(dedupe_partners(normalize_partners(raw)), keep_order)
+def partners_all(raw: DataFrame, keep_order: bool = False, strict: bool = True) -> DataFrame:
+    return select_partner_columns(dedupe_partners(normalize_partners(raw, strict)), keep_order)
 
 
-def payments_all(raw: DataFrame) -> DataFrame:
-    return normalize_payments(dedupe_payments(raw))
+def payments_all(raw: DataFrame, strict: bool = True) -> DataFrame:
+    return normalize_payments(dedupe_payments(raw, strict), strict)
 
 
 class Feeds:

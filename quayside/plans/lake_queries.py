@@ -23,6 +23,8 @@ from quayside.session import scratch_path
 FIRST_EVENTS_UNTIL = "2024-01-15"
 FIRST_TXNS_UNTIL = "1998-06-01 00:00:00"
 
+KNOWN_SQL = "schema_version IN ('v1', 'v2', 'v3')"
+
 _LAKES: dict[tuple, dict] = {}
 
 
@@ -42,9 +44,9 @@ def raw_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 def two_run_lake(spark: SparkSession, sf: str) -> dict:
     """Full run over the first delivery, then an incremental run over all."""
     from quayside.plans.batch_run import run_batch
-    from quayside.sinks.lake_write import has_parquet
+    from quayside.sinks.lake_table import LakeTable
     key = (id(spark.sparkContext), sf)
-    if key in _LAKES and has_parquet(spark, f"{_LAKES[key]['root']}/events"):
+    if key in _LAKES and LakeTable.of(spark, f"{_LAKES[key]['root']}/events", "events").exists():
         return _LAKES[key]
     root = scratch_path(spark, "lake")
     raw = raw_feeds(spark, sf)
@@ -62,6 +64,12 @@ def two_run_lake(spark: SparkSession, sf: str) -> dict:
     return _LAKES[key]
 
 
+def _lake(spark, sf, path, dataset):
+    """The current snapshot of a table of the two-run lake."""
+    from quayside.sinks.lake_table import read_lake
+    return read_lake(spark, f"{two_run_lake(spark, sf)['root']}/{path}", dataset)
+
+
 def _read(spark, path, dataset):
     """A lake table by its contract: no inference, the partition column typed."""
     from quayside.sources.lake_scan import scan_lake
@@ -70,44 +78,44 @@ def _read(spark, path, dataset):
 
 @register("batch_incremental_events", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
 def q_batch_incremental_events(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/events", "events")
+    return _lake(spark, sf, "events", "events")
 
 
 @register("batch_incremental_bots", with_ctes(["ev_bots"]) + "SELECT * FROM ev_bots")
 def q_batch_incremental_bots(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/events_bots", "events_bots")
+    return _lake(spark, sf, "events_bots", "events_bots")
 
 
 @register("batch_incremental_transactions", with_ctes(["tx_good"]) + "SELECT * FROM tx_good")
 def q_batch_incremental_transactions(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/transactions", "transactions")
+    return _lake(spark, sf, "transactions", "transactions")
 
 
 @register("batch_incremental_quarantine", with_ctes(["tx_quarantine"]) + "SELECT * FROM tx_quarantine")
 def q_batch_incremental_quarantine(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/quarantine/transactions", "quarantine_transactions")
+    return _lake(spark, sf, "quarantine/transactions", "quarantine_transactions")
 
 
 @register("batch_incremental_payments", with_ctes(["pm_all"]) + "SELECT * FROM pm_all")
 def q_batch_incremental_payments(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/payments", "payments")
+    return _lake(spark, sf, "payments", "payments")
 
 
-@register("batch_serving_partners", with_ctes(["pt_all"]) + "SELECT * FROM pt_all")
+@register("batch_serving_partners", with_ctes(["pt_all"]) + f"SELECT * FROM pt_all WHERE {KNOWN_SQL}")
 def q_batch_serving_partners(spark, sf):
-    lake = two_run_lake(spark, sf)
-    return _read(spark, f"{lake['root']}/serving/partners", "partners")
+    return _lake(spark, sf, "serving/partners", "partners")
+
+
+@register("batch_quarantine_partners", with_ctes(["pt_all"])
+          + f"SELECT *, 'unknown_schema_version' AS quarantine_reason FROM pt_all WHERE NOT COALESCE({KNOWN_SQL}, false)")
+def q_batch_quarantine_partners(spark, sf):
+    return _lake(spark, sf, "quarantine/partners", "quarantine_partners")
 
 
 def _window_counts(run: int, mode: str, events: str, txns: str, offsets: str) -> str:
     """Counts of a run over the rows in its windows, deduplicated within them."""
     return f"""SELECT CAST({run} AS BIGINT) AS run, '{mode}' AS mode, e.good AS events, e.bots AS bots, t.good AS transactions,
-  t.bad AS rejected_transactions, (SELECT COUNT(*) FROM pt_all) AS partners, p.n AS payments FROM
+  t.bad AS rejected_transactions, (SELECT COUNT(*) FROM pt_all WHERE {KNOWN_SQL}) AS partners, p.n AS payments FROM
   (SELECT COUNT(*) FILTER (NOT bot) AS good, COUNT(*) FILTER (bot) AS bots FROM (
      SELECT COALESCE(lower(trim(is_bot_flag)) IN ('true', '1', 'yes'), false) AS bot FROM raw_events WHERE {events}
      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_date DESC, _seq DESC) = 1)) e,
@@ -138,9 +146,10 @@ def q_batch_run_metrics(spark, sf):
 @register("batch_full_refresh_events", with_ctes(["ev_good"]) + "SELECT * FROM ev_good")
 def q_batch_full_refresh_events(spark, sf):
     from quayside.plans.batch_run import run_batch
+    from quayside.sinks.lake_table import read_lake
     root = scratch_path(spark, "lake-full")
     run_batch(spark, raw_feeds(spark, sf), root, full_refresh=True).collect()
-    return _read(spark, f"{root}/events", "events")
+    return read_lake(spark, f"{root}/events", "events")
 
 
 # ---- sources and sinks ---------------------------------------------------------
@@ -194,15 +203,16 @@ def q_merge_partitioned(spark, sf):
     """Same two deliveries merged in place into a day-partitioned table
     (re-delivered rows move to a later day partition)."""
     from quayside.plans.flows import transactions_all
-    from quayside.sinks.lake_write import merge_partitioned, sink_partitioned
+    from quayside.sinks.lake_table import LakeTable
+    from quayside.sinks.lake_write import stage
     raw = _feeds(spark, sf).raw("raw_transactions")
     ts = F.col("ingest_ts")
     first = transactions_all(raw.where(ts < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")))
     second = transactions_all(raw.where(ts >= F.lit("1997-12-25 00:00:00").cast("timestamp_ntz")))
-    path = scratch_path(spark, "merge-transactions")
-    sink_partitioned(first, path, "ingest_date")
-    merge_partitioned(spark, path, second, ["transaction_id"], "ingest_date")
-    return _read(spark, path, "transactions")
+    table = LakeTable.of(spark, scratch_path(spark, "merge-transactions"), "transactions")
+    table.replace(first)
+    table.merge(stage(second, "merge-delta"))
+    return table.read()
 
 
 def _contract_sql(dataset: str, cte: str) -> str:
@@ -224,6 +234,85 @@ for _dataset, _cte, _frame in (("events", "ev_good", "events"), ("transactions",
     _contract_query(_dataset, _cte, _frame)
 
 
+@register("contract_gate", with_ctes(["ev_good"]) + """SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after,
+  COUNT(*) FILTER (CAST(event_id AS BIGINT) % 50 = 0) AS null_event_id, false AS published FROM ev_good""")
+def q_contract_gate(spark, sf):
+    """A batch that breaks the contract of a table (some keys are missing) changes nothing in it."""
+    from quayside.sinks.lake_table import ContractBroken, LakeTable
+    from quayside.sinks.lake_write import stage
+    events = stage(_feeds(spark, sf).events(), "gate-events")
+    table = LakeTable.of(spark, scratch_path(spark, "gate"), "events")
+    before = table.replace(events)
+    key = F.col("event_id")
+    broken = events.withColumn("event_id", F.when(key.cast("bigint") % 50 != 0, key)).withColumn("page", F.lit("/broken"))
+    try:
+        table.merge(stage(broken.dropDuplicates(["event_id", "ingest_date", "event_ts", "session_id"]), "gate-broken"))
+        missing, published = 0, True
+    except ContractBroken as e:
+        missing, published = e.broken["null_event_id"], False
+    after = table.read().where("page <> '/broken' or page is null").count()
+    return spark.createDataFrame([(before["rows"], after, missing, published)],
+                                 "rows_before long, rows_after long, null_event_id long, published boolean")
+
+
+# Fixed values of the lenient fixture: the transaction feed as text, with values of each kind that don't parse.
+DIRTY = {
+    "amount": "CASE WHEN _seq % 97 = 5 THEN 'abc' WHEN _seq % 101 = 9 THEN '12,50' ELSE amount END",
+    "retry_count": "CASE WHEN _seq % 89 = 4 THEN '1.0' ELSE retry_count END",
+    "processing_ms": "CASE WHEN _seq % 83 = 7 THEN '99999999999' ELSE processing_ms END",
+    "created_at": """CASE WHEN _seq % 79 = 3 THEN '2024' WHEN _seq % 73 = 2 THEN '1997-13-01 00:00:00'
+      WHEN _seq % 71 = 6 THEN '1997-01-01T10:00:00+03:00' WHEN _seq % 67 = 8 THEN '' ELSE CAST(created_at AS STRING) END""",
+    "ingest_ts": "CASE WHEN _seq % 61 = 1 THEN 'yesterday' ELSE CAST(ingest_ts AS STRING) END",
+}
+
+
+def dirty_transactions(spark, sf):
+    raw = _feeds(spark, sf).raw("raw_transactions")
+    return raw.withColumns({c: F.expr(x) for c, x in DIRTY.items()})
+
+
+def _lenient_ctes() -> dict[str, str]:
+    ws = r"'^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$'"
+    ts = lambda c: f"CASE WHEN regexp_matches({c}, {ws}) THEN TRY_CAST({c} AS TIMESTAMP) END"
+    dirty = ", ".join(f"{x} AS {c}" for c, x in DIRTY.items())
+    rest = ", ".join(c for c in ("_seq", *RAW_TXN_FIELDS) if c not in DIRTY)
+    reason = lambda c, rule, typed: (f"SELECT transaction_id, '{c}' AS \"column\", '{rule}' AS rule, trim({c}) AS text "
+                                     f"FROM typed WHERE NULLIF(trim({c}), '') IS NOT NULL AND {typed} IS NULL")
+    whole = r"'^\d+$'"
+    return {
+        "dirty": f"SELECT {rest}, {dirty} FROM raw_transactions",
+        "typed": f"""SELECT *, TRY_CAST(NULLIF(amount, '') AS DECIMAL(18,2)) AS amount_t, {ts('created_at')} AS created_t, {ts('ingest_ts')} AS ingest_t,
+          CASE WHEN regexp_matches(retry_count, {whole}) THEN TRY_CAST(retry_count AS INTEGER) END AS retry_t,
+          CASE WHEN regexp_matches(processing_ms, {whole}) THEN TRY_CAST(processing_ms AS INTEGER) END AS ms_t
+          FROM dirty QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingest_ts DESC, _seq DESC) = 1""",
+        "reasons": " UNION ALL ".join([
+            reason("created_at", "timestamp", "created_t"), reason("ingest_ts", "timestamp", "ingest_t"), reason("amount", "number", "amount_t"),
+            reason("retry_count", "integer", "retry_t"), reason("processing_ms", "integer", "ms_t"),
+            "SELECT transaction_id, 'created_at', 'missing', '' FROM typed WHERE NULLIF(trim(created_at), '') IS NULL"]),
+    }
+
+
+@register("lenient_transactions", with_ctes(["raw_transactions"], _lenient_ctes()) + """SELECT transaction_id, booking_ref, partner_id, user_id,
+  created_t AS created_at, ingest_t AS ingest_ts, amount_t AS amount, upper(currency) AS currency, lower(trim(status)) AS status, payment_method, gateway,
+  retry_t AS retry_count, error_code, notes, ms_t AS processing_ms, CAST(ingest_t AS DATE) AS ingest_date, ingest_t - created_t > INTERVAL 7 DAY AS is_late
+  FROM typed WHERE transaction_id NOT IN (SELECT transaction_id FROM reasons)""")
+def q_lenient_transactions(spark, sf):
+    """The records of a feed with invalid values that do parse, typed."""
+    from quayside.operators.splits import split_errors
+    from quayside.plans.flows import transactions_all
+    return split_errors(transactions_all(dirty_transactions(spark, sf), strict=False))[0]
+
+
+@register("lenient_quarantine", with_ctes(["raw_transactions"], _lenient_ctes())
+          + 'SELECT transaction_id AS record_key, "column", rule, text FROM reasons')
+def q_lenient_quarantine(spark, sf):
+    """The other records, one row per reason."""
+    from quayside.operators.splits import as_invalid, split_errors
+    from quayside.plans.flows import transactions_all
+    rejected = split_errors(transactions_all(dirty_transactions(spark, sf), strict=False))[1]
+    return as_invalid(rejected, "transactions", KEYS["transactions"]).select("record_key", F.inline("reasons"))
+
+
 # ---- 2.10 lake maintenance ------------------------------------------------------
 
 MICRO_BATCHES = 5
@@ -232,11 +321,13 @@ MICRO_BATCHES = 5
 def fragmented_events(spark: SparkSession, sf: str) -> str:
     """Good events as a stream of micro-batches leaves them: each batch (event id
     modulo ``MICRO_BATCHES``) appends one file to every day it has rows of."""
+    from quayside.sinks.lake_write import stage, unstage
     path = scratch_path(spark, "fragmented-events")
-    events = _feeds(spark, sf).events()
+    events = stage(_feeds(spark, sf).events(), "events-to-fragment")
     for k in range(MICRO_BATCHES):
         (events.where(F.pmod(F.col("event_id").cast("bigint"), F.lit(MICRO_BATCHES)) == k)
          .repartition("ingest_date").write.mode("append").partitionBy("ingest_date").parquet(path))
+    unstage(events)
     return path
 
 
@@ -384,10 +475,13 @@ def q_scan_run_log(spark, sf):
 
 @register("funnel_lake", _funnel_sql(*EVENT_RANGE))
 def q_funnel_lake(spark, sf):
-    """The funnel served from the day-partitioned events table: the event-time
-    range is pushed to the scan, which skips row groups by it."""
+    """The funnel served from the events table: its zones say which days can hold the range, whatever
+    day the rows came in on; the range is also pushed to the scan of those days."""
+    import datetime as dt
+
     from quayside.operators.analytics import funnel
-    from quayside.sinks.lake_write import sink_partitioned
-    path = scratch_path(spark, "lake-events")
-    sink_partitioned(_feeds(spark, sf).events(), path, "ingest_date")
-    return funnel(spark.read.parquet(path), *EVENT_RANGE)
+    from quayside.sinks.lake_table import LakeTable
+    table = LakeTable.of(spark, scratch_path(spark, "lake-events"), "events")
+    table.replace(_feeds(spark, sf).events())
+    start, end = (dt.datetime.fromisoformat(d) for d in EVENT_RANGE)
+    return funnel(table.read(start, end + dt.timedelta(days=1)), *EVENT_RANGE)

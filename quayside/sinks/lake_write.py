@@ -45,6 +45,30 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return fs.rename(p, q)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if it doesn't exist."""
+    fs, p = _fs(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def has_parquet(spark: SparkSession, path: str) -> bool:
     if not path_exists(spark, path):
         return False
@@ -134,55 +158,6 @@ def upsert_keyed(target: DataFrame | None, delta: DataFrame, keys, order=None) -
     return latest_by_key(rows, keys, rank).select(*cols)
 
 
-def merge_partitioned(spark: SparkSession, root: str, delta: DataFrame, keys, partition_col: str,
-                      order=None, keep=None) -> dict:
-    """Merge a keyed batch into a partitioned Parquet table in place.
-
-    Only touched partitions are rewritten: those the batch writes to, plus
-    those currently holding any of the batch's keys (a row may move to a later
-    partition). The key column of the target is scanned alone (column
-    pruning), semi-joined with the batch keys, and reduced to distinct
-    partition values - a list bounded by the number of partitions (days),
-    which is what is collected. The merged partitions are staged first, then
-    swapped in with a dynamic overwrite; partitions left empty are removed.
-
-    ``keep`` filters the merged rows (the batch may carry rows that belong to
-    a sibling table: merging them first evicts a key that switched tables).
-    """
-    keys = list(keys)
-    if not has_parquet(spark, root):
-        rows = delta if keep is None else delta.where(keep)
-        sink_partitioned(rows.drop("_seq") if "_seq" in rows.columns else rows, root, partition_col)
-        return {"touched_partitions": None}
-    target = spark.read.parquet(root)
-    moved_from = (target.select(*keys, partition_col)
-                  .join(delta.select(*keys).distinct(), keys, "left_semi").select(partition_col))
-    touched = [r[0] for r in delta.select(partition_col).union(moved_from).distinct().collect()]
-    if not touched:
-        return {"touched_partitions": 0}
-    old = F.col(partition_col).isin([v for v in touched if v is not None])
-    old = target.where((old | F.col(partition_col).isNull()) if None in touched else old)
-    merged = upsert_keyed(old, delta, keys, order)
-    if keep is not None:
-        merged = merged.where(keep)
-    merged = stage(merged, "merge")
-    sink_partitioned(merged, root, partition_col)
-    present = {r[0] for r in merged.select(partition_col).distinct().collect()}
-    for value in touched:
-        if value not in present:
-            delete_path(spark, f"{root.rstrip('/')}/{partition_col}={_partition_text(value)}")
-    unstage(merged)
-    return {"touched_partitions": len(touched)}
-
-
-def _partition_text(value) -> str:
-    if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(value, (_dt.date, _dt.datetime)):
-        return value.isoformat()
-    return str(value)
-
-
 # ---- control table -----------------------------------------------------------
 
 def read_control(spark: SparkSession, state_root: str) -> dict:

@@ -13,6 +13,18 @@ def scan_lake(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(path)
 
 
+ARRIVAL = ["arrived_at", "arrived_in", "arrived_as"]
+
+
+def in_arrival_order(spark: SparkSession, path: str, schema=None) -> tuple[DataFrame, list[str]]:
+    """A landed Parquet feed and the columns that order its rows as they arrived: modification time of the
+    file, its path, the row's position in it. Files that one job wrote at once can finish in
+    any order: where their paths carry the order, use the last two columns alone."""
+    rows = scan_lake(spark, path, schema)
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("arrived_at"),
+                       F.col("_metadata.file_path").alias("arrived_in"), F.col("_metadata.row_index").alias("arrived_as")), list(ARRIVAL)
+
+
 def scan_file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per ``.parquet`` file under ``root``: path, bytes, dataset, partition.
 

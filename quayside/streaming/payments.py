@@ -5,28 +5,41 @@ Source: files landing in a directory (a Kafka topic in production: swap
 unchanged). The stream checkpoint records which input was consumed, so a
 restart resumes exactly after the last committed micro-batch.
 
-Sink: ``foreachBatch`` merges each micro-batch into the day-partitioned
-payments table with the same keyed merge as the batch run. The merge is
-idempotent (re-applying a batch yields the same table), so a batch replayed
-after a failure is harmless: exactly-once effect on an at-least-once feed.
-Latest-wins across deliveries (greatest partition/offset) needs the whole
-history of a key, which lives in the target table - not in streaming state
-that would grow without bound.
-
-Event-time windows use a watermark; ``withWatermark`` only accepts TIMESTAMP,
-so the NTZ event time is mapped to the same instant in UTC (independent of
-the session time zone) and window bounds are mapped back.
+Latest delivery wins, in two places. Streaming state (RocksDB) holds, for ``life`` after a key's
+first delivery in it, the key's delivery of greatest (partition, offset), so repeated deliveries
+collapse before they reach the table. The state's clock is arrival: nothing can come too late for
+it. Older deliveries are in the target, a :class:`~quayside.sinks.lake_table.LakeTable`, whose key
+locator leads a micro-batch to its own keys. The merge is idempotent, so a replayed batch is
+harmless: exactly-once effect on an at-least-once feed.
+
+Event-time windows have a watermark: what is behind it goes to a table of late rows instead
+of a window, so windows and late rows together are the feed. Watermark and windows change by one
+commit, which also names the micro-batch, so a replayed one isn't added twice.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quayside.contracts import SCHEMAS
 from quayside.functions.time import epoch_micros, micros_to_ntz
-from quayside.plans import flows
-from quayside.sinks.lake_write import has_parquet, merge_partitioned, sink_single, stage, upsert_keyed
+from quayside.operators.normalize import normalize_payments
+from quayside.sinks.lake_table import LakeTable
+from quayside.sinks.lake_write import stage, unstage
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+WINDOW_SCHEMA = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+    T.StructField("status", T.StringType()), T.StructField("payments", T.LongType()), T.StructField("amount", T.DecimalType(38, 2)),
+    T.StructField("window_month", T.DateType())])
+LATE_SCHEMA = T.StructType([*SCHEMAS["payments"].fields, T.StructField("watermark", T.TimestampNTZType()),
+                            T.StructField("event_month", T.DateType())])
+
 
 def ntz_to_instant(c) -> Column:
     """NTZ wall clock -> the TIMESTAMP instant with the same UTC wall clock."""
@@ -81,127 +94,162 @@ def payment_stream(spark: SparkSession, landing: str, schema, files_per_trigger:
     return reader.parquet(landing)
 
 
-def merge_payments_batch(table: str, seen: list | None = None):
-    """foreachBatch body: dedupe + normalize the micro-batch, merge by event_id.
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Streams started within keep their state in RocksDB: on local disk and in the checkpoint, not on the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
-    The micro-batch is persisted once: the merge reads it several times
-    (touched partitions, staged rows), and the source must not be re-scanned
-    for each. ``seen`` collects (epoch, rows) for the caller."""
+def _run(query) -> int:
+    """Wait for an availableNow query; rows it took in."""
+    q = query.trigger(availableNow=True).start()
+    q.awaitTermination()
+    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+
+
+def latest_deliveries(stream: DataFrame, key: str, partition: str, offset: str, life: str) -> DataFrame:
+    """Per key the delivery of greatest (partition, offset) among those of the last ``life`` (in update mode:
+    of keys that were delivered again). State is dropped when its arrival window is over."""
+    columns = stream.columns
+    order = F.struct(F.col(partition).cast("int").alias("p"), F.col(offset).cast("bigint").alias("o"))
+    arriving = stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", "0 seconds")
+    best = arriving.groupBy(F.col(key).alias("_key"), F.window("_arrival", life)).agg(
+        F.max_by(F.struct(*columns), order).alias("r"))
+    return best.select("r.*")
+
+
+def merge_payments_batch(table: LakeTable, done: list | None = None):
+    """foreachBatch body: merge the keys of a micro-batch, normalized, by event_id. The batch is
+    written once to the shared folder, as the merge reads it several times."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows = batch.count()
-            if rows:
-                delta = flows.payments_all(batch)
-                merge_partitioned(spark, table, delta, ["event_id"], "event_date",
-                                  order=[F.col("kafka_partition"), F.col("kafka_offset")])
-            if seen is not None:
-                seen.append((epoch_id, rows))
-        finally:
-            batch.unpersist()
+        rows = stage(normalize_payments(batch), "micro-batch")
+        result = table.merge(rows, [F.col("kafka_partition"), F.col("kafka_offset")])
+        unstage(rows)
+        if done is not None:
+            done.append(result)
     return apply
 
 
 def run_payment_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
-                       files_per_trigger: int | None = None) -> dict:
-    """Consume everything available now, merge it, stop. Returns totals."""
-    seen: list = []
-    q = (payment_stream(spark, landing, schema, files_per_trigger).writeStream
-         .foreachBatch(merge_payments_batch(table, seen))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return {"batches": sum(1 for _, n in seen if n), "input_rows": sum(n for _, n in seen)}
-
-
-def windowed_counts(stream: DataFrame, size: str, watermark: str, keys=("status",),
-                    slide: str | None = None) -> DataFrame:
-    """Event-time window aggregate with a watermark (late rows beyond it are
-    dropped by design). Output event time is TIMESTAMP_NTZ again."""
-    rows = stream.select(
-        ntz_to_instant(F.col("event_ts").cast("timestamp_ntz")).alias("_et"), *keys,
-        F.col("amount").cast("decimal(18,2)").alias("amount"))
-    w = F.window("_et", size, slide) if slide else F.window("_et", size)
-    agg = (rows.withWatermark("_et", watermark).groupBy(w.alias("w"), *keys)
-           .agg(F.count(F.lit(1)).alias("payments"), F.sum("amount").alias("amount")))
-    return agg.select(instant_to_ntz("w.start").alias("window_start"),
-                      instant_to_ntz("w.end").alias("window_end"), *keys, "payments",
-                      F.col("amount").cast("decimal(38,2)").alias("amount"))
-
-
-def untimed_counts(stream: DataFrame, keys=("status",)) -> DataFrame:
-    """The rows that no window takes, those without an event time, as one group per
-    ``keys`` under a null window. Its state is a row per group."""
-    none = F.lit(None).cast("timestamp_ntz")
-    agg = (stream.where(F.col("event_ts").cast("timestamp_ntz").isNull()).groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("payments"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("amount")))
-    return agg.select(none.alias("window_start"), none.alias("window_end"), *keys, "payments",
-                      F.col("amount").cast("decimal(38,2)").alias("amount"))
+                       files_per_trigger: int | None = None, life: str = "7 days") -> dict:
+    """Consume everything available now, merge it, stop. Returns totals and what each merge did."""
+    done: list[dict] = []
+    stream = payment_stream(spark, landing, schema, files_per_trigger)
+    with _rocksdb(spark):
+        rows = _run(latest_deliveries(stream, "event_id", "kafka_partition", "kafka_offset", life).writeStream
+                    .outputMode("update").option("checkpointLocation", checkpoint)
+                    .foreachBatch(merge_payments_batch(LakeTable.of(spark, table, "payments"), done)))
+    return {"batches": sum(1 for d in done if d["batch_rows"]), "input_rows": rows, "merges": done}
+
+
+# ---- event-time windows with a watermark and a table of late rows ------------------
+
+def window_table(spark: SparkSession, root: str) -> LakeTable:
+    return LakeTable(spark, root, WINDOW_SCHEMA, ["window_start", "window_end", "status"], "window_month", "window_start")
+
+
+def late_table(spark: SparkSession, root: str) -> LakeTable:
+    """Rows that came behind the watermark, each with the watermark it was behind; a record of the feed once."""
+    return LakeTable(spark, root, LATE_SCHEMA, ["kafka_partition", "kafka_offset"], "event_month", "event_ts")
 
 
-def upsert_window_batch(table: str, keys):
-    """foreachBatch body for update-mode aggregates: the emitted groups replace
-    their previous values in a small keyed table (windows x keys)."""
+def _count_in_windows(rows: DataFrame, size: str, slide: str | None) -> DataFrame:
+    """Counts and amounts per window and status; rows without an event time are a null window."""
+    none = F.lit(None).cast("timestamp_ntz")
+    w = F.window("event_ts", size, slide) if slide else F.window("event_ts", size)
+    timed = rows.where(F.col("event_ts").isNotNull()).select(w.alias("w"), "status", "amount").select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "status", "amount")
+    untimed = rows.where(F.col("event_ts").isNull()).select(none.alias("window_start"), none.alias("window_end"), "status", "amount")
+    return timed.unionByName(untimed).groupBy("window_start", "window_end", "status").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("amount").cast("decimal(38,2)").alias("amount"))
+
+
+def add_to_windows(table: LakeTable, counts: DataFrame, properties: dict) -> None:
+    """Add counts per window to the table's, reading the months of these windows alone; ``properties``
+    are committed with them."""
+    counts = stage(counts.withColumn("window_month", F.to_date(F.date_trunc("month", "window_start"))), "window-counts")
+    months = [r[0] for r in counts.select(F.col("window_month").cast("string")).distinct().collect()]  # a row per month
+    old = table.of_partitions(months)
+    same = F.lit(True)
+    for k in table.keys:
+        same = same & counts[k].eqNullSafe(old[k])
+    both = counts.join(old, same, "left").select(
+        *[counts[k] for k in table.keys], (counts["payments"] + F.coalesce(old["payments"], F.lit(0))).alias("payments"),
+        F.when(counts["amount"].isNull() & old["amount"].isNull(), F.lit(None)).otherwise(
+            F.coalesce(counts["amount"], F.lit(0)) + F.coalesce(old["amount"], F.lit(0))).cast("decimal(38,2)").alias("amount"),
+        counts["window_month"])
+    both = stage(both, "window-sums")
+    table.merge(both, properties=properties)
+    unstage(counts, both)
+
+
+def window_batch(windows: LakeTable, late: LakeTable, size: str, delay_seconds: int, slide: str | None):
+    """foreachBatch body. The watermark of a batch is the greatest event time of the batches before it,
+    less the delay; rows below it are late. Late rows are written first, by a merge that can be
+    repeated; then windows, watermark and epoch by one commit."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
+        state = windows.manifest().get("properties", {})
+        if state.get("epoch", -1) >= epoch_id:  # a replay of what is committed
             return
-        previous = stage(spark.read.parquet(table), "windows") if has_parquet(spark, table) else None
-        sink_single(upsert_keyed(previous, batch, keys), table)
+        rows = stage(normalize_payments(batch), "micro-batch")
+        seen = state.get("greatest")
+        time = epoch_micros(F.col("event_ts"))
+        if seen is not None:
+            mark = seen - delay_seconds * 1_000_000
+            behind = F.coalesce(time < F.lit(mark), F.lit(False))
+            passed = stage(rows.where(behind).withColumns({
+                "watermark": micros_to_ntz(F.lit(mark)), "event_month": F.to_date(F.date_trunc("month", "event_ts"))}), "late")
+            late.merge(passed)
+            unstage(passed)
+        else:
+            behind = F.lit(False)
+        top, n, n_late = rows.agg(F.max(time), F.count(F.lit(1)), F.count_if(behind)).first()
+        greatest = max((x for x in (seen, top) if x is not None), default=None)
+        add_to_windows(windows, _count_in_windows(rows.where(~behind), size, slide), {
+            "epoch": epoch_id, "greatest": greatest, "rows": state.get("rows", 0) + n, "late": state.get("late", 0) + n_late})
+        unstage(rows)
     return apply
 
 
-def run_window_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
-                      size: str = "1 day", watermark: str = "7 days", files_per_trigger: int | None = None) -> dict:
-    def run(counts, name: str):
-        stream = payment_stream(spark, landing, schema, files_per_trigger).select(
-            "event_ts", F.lower(F.trim("status")).alias("status"), "amount")
-        q = (counts(stream).writeStream.outputMode("update")
-             .foreachBatch(upsert_window_batch(table, ["window_start", "window_end", "status"]))
-             .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
-        q.awaitTermination()
-        return q
+def run_window_stream(spark: SparkSession, landing: str, table: str, late: str, checkpoint: str, schema, size: str = "1 day",
+                      watermark_seconds: int = 7 * 86400, slide: str | None = None, files_per_trigger: int | None = None) -> dict:
+    """Consume everything available now into the window table and the table of late rows. Returns the rows taken in
+    now, and in all, and those of them that were late."""
+    windows = window_table(spark, table)
+    stream = payment_stream(spark, landing, schema, files_per_trigger)
+    rows = _run(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        window_batch(windows, late_table(spark, late), size, watermark_seconds, slide)))
+    state = windows.manifest().get("properties", {})
+    return {"input_rows": rows, "rows": state.get("rows", 0), "late": state.get("late", 0)}
 
-    q = run(lambda stream: windowed_counts(stream, size, watermark), "windows")
-    run(untimed_counts, "untimed")
-    return {"input_rows": sum(p.get("numInputRows", 0) for p in q.recentProgress)}
 
+# ---- first delivery wins -------------------------------------------------------------
 
-def dedupe_within_watermark(stream: DataFrame, key: str, event_time: str, watermark: str) -> DataFrame:
-    """Drop re-deliveries of a key seen within the watermark (first wins);
-    state per key is released once the watermark passes. A row that is behind the
-    watermark when it comes is dropped even if its key is new."""
-    rows = stream.withColumn("_et", ntz_to_instant(F.col(event_time).cast("timestamp_ntz")))
-    return rows.withWatermark("_et", watermark).dropDuplicatesWithinWatermark([key]).drop("_et")
+def first_deliveries(stream: DataFrame, key: str, life: str) -> DataFrame:
+    """Drop re-deliveries of a key within ``life`` of arrival; state is released after it."""
+    arriving = stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", life)
+    return arriving.dropDuplicatesWithinWatermark([key]).drop("_arrival")
 
 
-def insert_new_batch(table: str, key: str):
-    """foreachBatch body: append the first row of every key the table doesn't
-    have. What the streaming state has let go, the table still knows, so the
-    result doesn't depend on how files fall into micro-batches; a replayed batch
-    appends nothing."""
-    def apply(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.dropDuplicates([key])
-        if has_parquet(spark, table):
-            known = spark.read.parquet(table).select(F.col(key).alias("_known"))
-            rows = rows.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
-        stage(rows, "new-keys").write.mode("append").parquet(table)
-    return apply
+def run_dedupe_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema, key: str,
+                      life: str = "30 days", files_per_trigger: int | None = None) -> dict:
+    """Insert every key of the feed once. State drops re-deliveries within ``life`` of each other, whatever their event
+    time; the table's locator knows the keys that state has let go. Returns rows taken in and keys inserted."""
+    target = LakeTable(spark, table, T.StructType([schema[key]]), [key])
+    inserted: list[int] = []
 
-
-def run_dedupe_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, schema, key: str, event_time: str,
-                      watermark: str, files_per_trigger: int | None = None) -> None:
-    """Insert every key of the feed once: a stream deduplicated within the watermark
-    first, then the same input without a watermark, for the keys whose first delivery
-    was already behind it. The second has its own checkpoint and, as the table ignores
-    keys it has, adds only those."""
-    def run(rows: DataFrame, name: str) -> None:
-        q = (rows.select(key).writeStream.foreachBatch(insert_new_batch(table, key))
-             .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    stream = lambda: payment_stream(spark, landing, schema, files_per_trigger)
-    run(dedupe_within_watermark(stream(), key, event_time, watermark), "timely")
-    run(stream(), "late")
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        rows = stage(batch, "new-keys")
+        inserted.append(target.insert(rows)["batch_rows"])
+        unstage(rows)
+
+    stream = payment_stream(spark, landing, schema, files_per_trigger).select(key)
+    with _rocksdb(spark):
+        rows = _run(first_deliveries(stream, key, life).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
+    return {"input_rows": rows, "inserted": sum(inserted)}

@@ -3,6 +3,7 @@
 import json
 
 from quayside.__main__ import main
+from quayside.sinks.lake_table import read_lake
 
 EVENTS = """event_id,event_type,session_id,user_id,event_ts,page,partner_id,device,country,channel,price_usd,metadata_json,is_bot_flag,ingest_date
 e-1,page_view,s1,,2025-03-30 10:00:00,/,PRT0001,Mobile, br,direct,,"{""ab_test"":""A""}",False,2025-03-30
@@ -35,9 +36,9 @@ def test_cli_run_and_compact(spark, tmp_path, scratch, capsys):
     first = json.loads(capsys.readouterr().out)
     assert (first["events"], first["bots"], first["transactions"], first["rejected_transactions"],
             first["partners"], first["payments"], first["mode"]) == (1, 1, 1, 1, 2, 2, "full")
-    ev = spark.read.parquet(f"{lake}/events").collect()[0]
+    ev = read_lake(spark, f"{lake}/events", "events").collect()[0]
     assert (ev["event_type"], ev["page"], ev["country"], ev["price_usd"]) == ("page_view", "/x", "BR", 12.5)
-    pay = {r["event_id"]: r["kafka_offset"] for r in spark.read.parquet(f"{lake}/payments").collect()}
+    pay = {r["event_id"]: r["kafka_offset"] for r in read_lake(spark, f"{lake}/payments", "payments").collect()}
     assert pay == {"p-1": 1, "p-2": 0}
     main(["run", "--input", str(raw), "--output", lake])
     second = json.loads(capsys.readouterr().out)

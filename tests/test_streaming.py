@@ -1,9 +1,10 @@
-"""Stream restart equals batch; watermark windows; dedupe within watermark."""
+"""Stream restart equals batch; windows and late rows; dedupe by state and locator."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
+from quayside.sinks.lake_table import LakeTable, read_lake
 from quayside.streaming import payments as st
 
 
@@ -28,73 +29,121 @@ def test_stream_restart_equals_batch(spark, scratch):
     first = st.run_payment_stream(spark, landing, table, ckpt, feed.schema)
     again = st.run_payment_stream(spark, landing, table, ckpt, feed.schema)
     assert first["input_rows"] == 60 and again["input_rows"] == 0
-    got = spark.read.parquet(table).withColumn("event_date", F.col("event_date").cast("date"))
+    got = read_lake(spark, table, "payments")
     want = payments_all(feed)
     assert got.count() == want.count() == 45
     assert got.select(*want.columns).exceptAll(want).count() == 0
 
 
-def test_window_stream_equals_batch_when_nothing_is_late(spark, scratch):
-    from quayside.operators.windows import payment_windows
-    from quayside.operators.normalize import normalize_payments
-    feed = _feed(spark)
-    landing, table, ckpt = scratch("landing"), scratch("windows"), scratch("ckpt")
-    st.land_in_chunks(feed, landing, "event_ts", 3)
-    st.run_window_stream(spark, landing, table, ckpt, feed.schema, size="1 day", watermark="1 day")
-    got = spark.read.parquet(table)
-    want = payment_windows(normalize_payments(feed), "1 day")
-    assert got.count() == want.count()
-    assert got.select(*want.columns).exceptAll(want).count() == 0
+def test_a_shuffled_feed_file_by_file_equals_batch(spark, scratch):
+    """Deliveries of a key far apart and out of order, one file a micro-batch; a batch touches its own keys alone."""
+    from quayside.plans.flows import payments_all
+    feed = _feed(spark, 90).withColumn("r", F.xxhash64("event_id", "kafka_offset"))
+    landing, table, ckpt = scratch("landing"), scratch("table"), scratch("ckpt")
+    for k in range(4):
+        feed.where(F.pmod("r", F.lit(4)) == k).drop("r").coalesce(1).write.mode("append").parquet(landing)
+    done = st.run_payment_stream(spark, landing, table, ckpt, feed.drop("r").schema, files_per_trigger=1)
+    want = payments_all(feed.drop("r"))
+    got = read_lake(spark, table, "payments")
+    assert done["input_rows"] == 90 and len([m for m in done["merges"] if m["batch_rows"]]) == 4
+    assert got.count() == want.count() == 45 and got.exceptAll(want).count() == 0
+    before = LakeTable.of(spark, table, "payments").manifest()
+    feed.drop("r").limit(1).withColumn("kafka_offset", F.lit("500")).write.mode("append").parquet(landing)
+    one = st.run_payment_stream(spark, landing, table, ckpt, feed.drop("r").schema)["merges"]
+    touched = [m for m in one if m["batch_rows"]]
+    assert len(touched) == 1 and (touched[0]["buckets_read"], touched[0]["partitions_read"]) == (1, 1)
+    assert len(before["parts"]) > 1 and read_lake(spark, table, "payments").where("kafka_offset = 500").count() == 1
 
 
-def test_dedupe_within_watermark_drops_redeliveries(spark, scratch):
+def test_state_is_kept_in_rocksdb_and_released(spark, scratch):
     feed = _feed(spark)
     landing = scratch("landing")
     feed.write.parquet(landing)
-    stream = spark.readStream.schema(feed.schema).parquet(landing)
-    q = (st.dedupe_within_watermark(stream, "event_id", "event_ts", "30 days").writeStream
-         .format("memory").queryName("dedup_test").trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert spark.sql("SELECT count(*) c, count(DISTINCT event_id) d FROM dedup_test").collect()[0] == (45, 45)
+    stream = st.payment_stream(spark, landing, feed.schema)
+    with st._rocksdb(spark):
+        q = (st.latest_deliveries(stream, "event_id", "kafka_partition", "kafka_offset", "1 second").writeStream
+             .outputMode("update").format("noop").option("checkpointLocation", scratch("ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    progress = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert any("rocksdb" in name for name in progress[0]["customMetrics"]) and progress[0]["numRowsUpdated"] == 45
+    assert all(p["numRowsDroppedByWatermark"] == 0 for p in progress)
+
 
+def _windows(spark, table):
+    return st.window_table(spark, table).read().drop("window_month")
 
-def test_first_deliveries_behind_the_watermark_survive(spark, scratch):
+
+def test_window_stream_equals_batch_when_nothing_is_late(spark, scratch):
+    from quayside.operators.windows import payment_windows
+    from quayside.operators.normalize import normalize_payments
+    feed = _feed(spark)
+    for slide in (None, "12 hours"):
+        landing, table, late, ckpt = scratch("landing"), scratch("windows"), scratch("late"), scratch("ckpt")
+        consume = lambda: st.run_window_stream(spark, landing, table, late, ckpt, feed.schema, "1 day", 86400, slide)  # noqa: E731, B023
+        st.land_in_chunks(feed, landing, "event_ts", 2, after=consume)
+        got, want = _windows(spark, table), payment_windows(normalize_payments(feed), "1 day", slide)
+        assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
+        assert not st.late_table(spark, late).exists() or st.late_table(spark, late).read().count() == 0
+
+
+def test_windows_and_late_rows_are_the_feed_and_replays_add_nothing(spark, scratch):
+    feed = _feed(spark)
+    landing, table, late, ckpt = scratch("landing"), scratch("windows"), scratch("late"), scratch("ckpt")
+    hours = F.col("kafka_offset").cast("int")
+    for part in (hours >= 15, (hours >= 5) & (hours < 15), hours < 5):
+        feed.where(part).coalesce(1).write.mode("append").parquet(landing)
+        got = st.run_window_stream(spark, landing, table, late, ckpt, feed.schema, "6 hours", 10 * 3600)
+    behind = [r.event_ts for r in st.late_table(spark, late).read().collect()]
+    mark = dt.datetime(2025, 3, 1) + dt.timedelta(hours=59 - 10)
+    want = [r.event_ts for r in feed.collect() if int(r.kafka_offset) < 15 and r.event_ts < mark]
+    assert sorted(behind) == sorted(want) and {r.watermark for r in st.late_table(spark, late).read().collect()} == {mark}
+    total = _windows(spark, table).agg(F.sum("payments")).first()[0]
+    assert (got["rows"], got["late"], total) == (60, len(behind), 60 - len(behind)) and behind and total
+    last = st.window_table(spark, table).manifest()["properties"]["epoch"]
+    before = sorted(map(str, _windows(spark, table).collect()))
+    replay = st.window_batch(st.window_table(spark, table), st.late_table(spark, late), "6 hours", 36000, None)
+    replay(feed, last)
+    assert sorted(map(str, _windows(spark, table).collect())) == before
+
+
+def test_first_deliveries_survive_however_far_apart(spark, scratch):
     feed = _feed(spark, 6).withColumn("event_ts", F.expr("event_ts + make_dt_interval(60 * int(kafka_offset))"))
     feed = feed.withColumn("event_id", F.when(F.col("event_id") != "e5", F.col("event_id")))
     landing, table, ckpt = scratch("landing"), scratch("dedupe"), scratch("ckpt")
+    done = []
     for k in ("1", "0", "1"):  # the later files first, then 60 days back, then again
         feed.where(F.col("kafka_offset") == k).coalesce(1).write.mode("append").parquet(landing)
-        st.run_dedupe_stream(spark, landing, table, ckpt, feed.schema, "event_id", "event_ts", "30 days", files_per_trigger=1)
-    got = [r.event_id for r in spark.read.parquet(table).collect()]
-    assert sorted(got, key=str) == [None, "e0", "e1", "e2", "e3", "e4"]
+        done.append(st.run_dedupe_stream(spark, landing, table, ckpt, feed.schema, "event_id", files_per_trigger=1)["inserted"])
+    got = [r.event_id for r in LakeTable.opened(spark, table).read().collect()]
+    assert sorted(got, key=str) == [None, "e0", "e1", "e2", "e3", "e4"] and done == [3, 3, 0]
 
 
 def test_rows_without_event_time_are_landed_merged_and_counted(spark, scratch):
     from quayside.plans.flows import payments_all
     some = F.col("event_id").isin("e3", "e20", "e40")
     feed = _feed(spark).withColumn("event_ts", F.when(~some, F.col("event_ts")))
-    landing, table, windows = scratch("landing"), scratch("table"), scratch("windows")
+    landing, table, windows, late = scratch("landing"), scratch("table"), scratch("windows"), scratch("late")
     ckpt, ckpt2 = scratch("ckpt"), scratch("ckpt")
 
     def consume():
         st.run_payment_stream(spark, landing, table, ckpt, feed.schema)
-        st.run_window_stream(spark, landing, windows, ckpt2, feed.schema)
+        st.run_window_stream(spark, landing, windows, late, ckpt2, feed.schema)
 
     assert sum(st.land_in_chunks(feed, landing, "event_ts", 2, after=consume)) == 60
     # a null day holds rows already when another comes, and one leaves it for a day
     more = feed.where("event_id = 'e41' or event_id = 'e3' and kafka_offset = '1'").withColumn("kafka_offset", F.lit("99"))
-    day = F.lit("2025-03-02 00:00:00").cast("timestamp_ntz")
-    more = more.withColumn("event_ts", F.when(F.col("event_id") == "e3", day))
+    at = F.lit("2025-03-02 00:00:00").cast("timestamp_ntz")
+    more = more.withColumn("event_ts", F.when(F.col("event_id") == "e3", at))
     more.write.mode("append").parquet(landing)
     consume()
     want = payments_all(feed.union(more))
-    got = spark.read.parquet(table).select(*want.columns)
+    got = read_lake(spark, table, "payments")
     assert got.count() == want.count() == 45 and got.exceptAll(want).count() == 0
     assert {r.event_id for r in got.where("event_date is null").collect()} == {"e20", "e40", "e41"}
     every = feed.union(more)
-    none = {r.status: r.payments for r in spark.read.parquet(windows).where("window_start is null").collect()}
+    none = {r.status: r.payments for r in _windows(spark, windows).where("window_start is null").collect()}
     assert none == {r.s: r["count"] for r in every.where("event_ts is null").groupBy(F.lower("status").alias("s")).count().collect()}
-    assert spark.read.parquet(windows).agg(F.sum("payments")).first()[0] == every.count()
+    assert _windows(spark, windows).agg(F.sum("payments")).first()[0] == every.count()
 
 
 def test_a_feed_without_any_event_time_is_landed(spark, scratch):
