@@ -91,3 +91,24 @@ def test_no_python_udf_in_curated_plan(spark):
     plan = Feeds(spark, SMALL_SF).events()._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2024-01-02", dt.datetime(2024, 1, 2)), ("2024-01-02 03:04", dt.datetime(2024, 1, 2, 3, 4)),
+    ("2024-01-02T03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)), ("2024-01-02 03:04:05.25", dt.datetime(2024, 1, 2, 3, 4, 5, 250000)),
+    ("", None), (None, None)])
+def test_iso_timestamps(spark, text, expected):
+    assert _one(spark, C.parse_timestamp, text) == expected
+
+
+@pytest.mark.parametrize("text", ["2024", "2024-01", "2024-1-2", "2024-01-02T03:04:05+03:00", "2024-01-02T03:04:05Z", "yesterday",
+                                  "2024-13-01", "2024-02-30 00:00:00", "2024-01-02 25:00:00"])
+def test_partial_zoned_and_impossible_timestamps_are_errors(spark, text):
+    with pytest.raises(Exception):  # noqa: B017 - the rule's own error or the cast's
+        _one(spark, C.parse_timestamp, text)
+    assert _one(spark, lambda c: C.parse_timestamp(c, strict=False), text) is None
+
+
+def test_numbers_out_of_range_are_null_when_lenient(spark):
+    for parse in (lambda c: C.parse_int(c, "int", False), lambda c: C.parse_decimal(c, 18, 2, False)):
+        assert _one(spark, parse, "9" * 25) is None

@@ -9,27 +9,41 @@ from quayside.plans.flows import Feeds
 from tests.conftest import SMALL_SF
 
 
-def test_event_ids_are_unique_and_bots_are_segregated(spark):
+def test_every_raw_event_key_lands_on_the_side_of_its_latest_flag(spark):
+    """Against a plain walk over the raw feed: the last delivery of a key decides where it goes."""
+    raw = Feeds(spark, SMALL_SF).raw("raw_events").select("_seq", "event_id", "ingest_date", "is_bot_flag").collect()
+    flag = {r.event_id: (r.is_bot_flag or "").strip().lower() in ("true", "1", "yes")
+            for r in sorted(raw, key=lambda r: (r.ingest_date, r._seq))}
     f = Feeds(spark, SMALL_SF)
-    good, bots = f.events(), f.bots()
-    ids = good.select("event_id").union(bots.select("event_id"))
-    assert ids.count() == ids.distinct().count() > 0
-    assert bots.count() > 0 and good.where("is_bot_flag").count() == 0
-    # outputs partition the deduplicated input
-    assert good.count() + bots.count() == f.events_all().count()
-
-
-def test_negative_transactions_are_quarantined(spark):
-    f = Feeds(spark, SMALL_SF)
-    assert f.transactions().where("amount < 0").count() == 0
-    q = f.quarantine()
-    assert q.count() > 0 and q.where("quarantine_reason <> 'negative_amount' OR amount >= 0").count() == 0
-
-
-def test_partner_schema_evolution_has_unified_columns(spark):
+    sides = {True: f.bots(), False: f.events()}
+    for side, df in sides.items():
+        got = [r.event_id for r in df.select("event_id").collect()]
+        assert sorted(got) == sorted(k for k, bot in flag.items() if bot == side) and got
+
+
+def test_the_sign_of_the_latest_amount_decides_the_quarantine(spark):
+    rows = [(1, "t1", "2025-01-01 00:00:00", "-1.00"), (2, "t1", "2025-01-02 00:00:00", "5.00"), (3, "t2", "2025-01-01 00:00:00", "3.00"),
+            (4, "t2", "2025-01-01 00:00:00", "-0.01"), (5, "t3", "2025-01-01 00:00:00", "0"), (6, "t4", "2025-01-01 00:00:00", "")]
+    from quayside.contracts import RAW_TXN_FIELDS
+    from quayside.operators.splits import split_quarantine
+    from quayside.plans.flows import transactions_all
+    df = spark.createDataFrame(rows, "_seq int, transaction_id string, ingest_ts string, amount string")
+    df = df.withColumn("created_at", F.col("ingest_ts"))
+    for c in RAW_TXN_FIELDS:
+        df = df if c in df.columns else df.withColumn(c, F.lit(""))
+    good, bad = split_quarantine(transactions_all(df))
+    assert {r.transaction_id: r.amount and float(r.amount) for r in good.collect()} == {"t1": 5.0, "t3": 0, "t4": None}
+    assert [(r.transaction_id, r.quarantine_reason) for r in bad.collect()] == [("t2", "negative_amount")]
+
+
+def test_partner_versions_share_one_projection(spark):
+    """Fields that a version lacks are null in it, and set somewhere in a version that has them."""
     partners = Feeds(spark, SMALL_SF).partners()
-    assert {r[0] for r in partners.select("schema_version").distinct().collect()} == {"v1", "v2", "v3", "v9"}  # v9: the fixture's unknown version
-    assert {"sla_hours", "avg_rating", "api_endpoint", "webhook_enabled"} <= set(partners.columns)
+    filled = {r["schema_version"]: r for r in partners.groupBy("schema_version").agg(
+        *[F.count(c).alias(c) for c in ("name", "sla_hours", "avg_rating", "webhook_enabled")]).collect()}
+    assert set(filled) == {"v1", "v2", "v3", "v9"}  # v9: the fixture's unknown version
+    assert filled["v1"]["sla_hours"] == filled["v1"]["avg_rating"] == 0 < filled["v1"]["name"]
+    assert filled["v2"]["webhook_enabled"] == 0 < filled["v2"]["sla_hours"] and filled["v3"]["webhook_enabled"] > 0
 
 
 def test_incremental_window_and_offsets(spark):
@@ -251,3 +265,76 @@ def test_a_cluster_needs_a_shared_checkpoint_folder(monkeypatch):
     fake = type("Session", (), {"conf": Conf, "sparkContext": Context})
     with pytest.raises(ValueError):
         session.checkpoint_root(fake)
+
+
+def densest(times, size, least):
+    """Brute force: intervals from every event, chained where they overlap, the fullest of each chain."""
+    spans = [(t, sum(t <= u < t + size for u in times)) for t in sorted(set(times))]
+    chains = []
+    for t, n in (x for x in spans if x[1] >= least):
+        if chains and t - chains[-1][-1][0] < size:
+            chains[-1].append((t, n))
+        else:
+            chains.append([(t, n)])
+    return sorted(min(c, key=lambda x: (-x[1], x[0])) for c in chains)
+
+
+def test_a_spike_across_a_boundary_fires_once_with_its_true_share(spark):
+    import random
+    from quayside.operators.windows import spike_windows
+    r = random.Random(2)
+    hour = dt.timedelta(hours=1)
+    start = dt.datetime(1970, 1, 1) + 16 * hour * 30_000  # a tumbling boundary lies in the middle of each spike
+    times = [start + r.random() * 4000 * hour for _ in range(700)]
+    times += [start + 1000 * hour + (r.random() * 16 - 8) * hour for _ in range(200)]
+    times += [start + 3000 * hour - 8 * hour, start + 3000 * hour - 8 * hour] + [start + 3000 * hour + r.random() * hour for _ in range(110)]
+    times = [t.replace(microsecond=0) for t in times]
+    df = spark.createDataFrame([(t,) for t in times] + [(None,)] * 5, "event_ts timestamp_ntz")
+    got = sorted((x.window_start, x.payments, round(x.share, 9), x.window_end - x.window_start) for x in spike_windows(df).collect())
+    want = densest(times, 16 * hour, 0.1 * (len(times) + 5))
+    assert len(want) == 2 and got == [(t, n, round(n / (len(times) + 5), 9), 16 * hour) for t, n in want]
+    assert spike_windows(df, share=0.5).count() == 0 and spike_windows(df.where("event_ts is null")).count() == 0
+
+
+def test_a_hot_session_hour_is_spread_over_tasks(spark):
+    """Half of all events in one session-hour: every slice of the sweep stays near the mean size."""
+    from quayside.operators.sequence import _in_slices
+    from quayside.operators.windows import max_events_in_span
+    n = 40_000
+    at = lambda us: F.lit("2025-03-01 12:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(us / 1e6).cast("decimal(18,6)"))
+    hot = spark.range(n).select(F.lit("bot").alias("s"), at(F.col("id") * 90_000).alias("t"))
+    rest = spark.range(n).select(F.concat(F.lit("h"), F.col("id") % 500).alias("s"), at(F.col("id") * 997_000 % 86_000_000_000).alias("t"))
+    events = hot.union(rest)
+    got = {r.s: (r.max_events_in_span, r.events) for r in max_events_in_span(events, "s", "t").collect()}
+    assert got["bot"] == (-(-240_000_000 // 90_000), n) and sum(e for _, e in got.values()) == 2 * n
+    slices = _in_slices(events.withColumn("us", F.unix_micros(F.col("t").cast("timestamp"))), ["s"], ["us"], "test").groupBy("_slice").count()
+    most, mean = slices.agg(F.max("count"), F.avg("count")).first()
+    assert most < 3 * mean and slices.count() >= 4
+
+
+def test_offsets_in_arrival_order_come_from_the_files(spark, scratch):
+    """A feed that arrives 3, 2, 1 isn't monotonic, though its offsets are dense; times of the files decide."""
+    import os
+    from quayside.operators.quality import offset_continuity, offset_monotonic
+    from quayside.sources.lake_scan import in_arrival_order
+    path = scratch("arrival")
+    feeds = [("z", [("0", "3"), ("1", "0")]), ("y", [("0", "2"), ("1", "1"), ("1", "2")]), ("a", [("0", "1"), ("1", "2"), (None, "7"), ("1", None)])]
+    for k, (name, rows) in enumerate(feeds):
+        spark.createDataFrame(rows, "kafka_partition string, kafka_offset string").coalesce(1).write.parquet(f"{path}/{name}")
+        for f in os.listdir(f"{path}/{name}"):
+            os.utime(f"{path}/{name}/{f}", (1_700_000_000 + 60 * k,) * 2)
+    feed, arrival = in_arrival_order(spark, f"{path}/*", spark.read.parquet(f"{path}/z").schema)
+    got = {r.kafka_partition: tuple(r)[1:] for r in offset_monotonic(feed, arrival).collect()}
+    assert got == {0: (3, 2, 0, 1, 2, False), 1: (4, 0, 1, 0, None, False), None: (1, 0, 0, 0, None, True)}
+    assert {r.kafka_partition: r.monotonic for r in offset_continuity(feed.where("kafka_partition = '0'")).collect()} == {0: True}
+
+
+def test_running_sum_and_previous_value_match_windows(spark):
+    from quayside.operators.sequence import previous_value, running_sum
+    df = spark.range(3000).select(F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(
+        (F.col("id") % 11).cast("string")).alias("g"), (F.col("id") * 7919 % 3001).alias("o"), (F.col("id") % 13 - 6).alias("v"))
+    w = Window.partitionBy("g").orderBy("o")
+    want = df.select("g", "o", F.sum("v").over(w).alias("s"), F.lag("v").over(w).alias("p"))
+    assert running_sum(df, ["g"], "o", "v", "s").select("g", "o", "s").exceptAll(want.select("g", "o", "s")).count() == 0
+    back = previous_value(df, ["g"], ["o"], "v", "p").select("g", "o", "p")
+    assert back.count() == 3000 and back.exceptAll(want.select("g", "o", "p")).count() == 0
