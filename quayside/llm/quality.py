@@ -8,7 +8,7 @@ weighted sum. One bad passage among many good ones can so decide a document,
 which a mean over the passages would hide.
 
 The model is fitted on the driver from a bounded sample of labelled rows
-(``max_train`` documents, each with at most ``max_train_passages`` evenly spaced
+(``max_train`` documents of ``max_train_bytes`` of text together, each with all its
 passages); what reaches the driver is their encodings, bounded by both. Scoring
 runs in Arrow batches over every passage of every text, without a shuffle.
 """
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import doc_bucket, per_batch, pick
+from quayside.llm.common import Scratch, doc_bucket, per_batch, pick
 
 PASSAGE_WORDS = 64
 #: Punctuation that gets a class of its own; other bytes are upper, lower, digit, blank, line end, non-ASCII, rest.
@@ -204,30 +204,38 @@ def bounded_sample(labels: DataFrame, id_col: str, label_col: str, max_train: in
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", fold: int = 1, folds: int = 3, max_train: int = 4000,
-          max_train_passages: int = 64) -> AttentionMIL:
-    """Fit on labelled documents whose crc32(id) mod ``folds`` isn't ``fold``."""
+          max_train_bytes: int = 32 << 20) -> AttentionMIL:
+    """Fit on labelled documents whose crc32(id) mod ``folds`` isn't ``fold``: those with the smallest id hashes,
+    up to ``max_train`` of them and, but for the first, ``max_train_bytes`` of text. They are read whole.
+    Of an id with several texts the one with the smallest hash counts."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "quality")
     sample = bounded_sample(labels, id_col, label_col, max_train, fold, folds)
-    rows = pick(docs, id=id_col, text=text_col).join(F.broadcast(sample), "id").select("id", "label", "text")
+    rows = pick(docs, id=id_col, text=text_col).join(F.broadcast(sample), "id")
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).groupBy("id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = scratch.keep(rows, "labelled")  # at most max_train rows
+    upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = scratch.again(rows).select("id", F.octet_length("text").cast("bigint").alias("size"))
+    few = sizes.withColumn("upto", F.sum("size").over(upto)).where(
+        (F.col("upto") <= max_train_bytes) | (F.col("upto") == F.col("size"))).select("id")
+    rows = rows.join(F.broadcast(few), "id", "left_semi").select("id", "label", "text")
     schema = T.StructType([rows.schema["id"], rows.schema["label"], T.StructField("n", T.IntegerType()),
                            T.StructField("x", T.BinaryType())])
 
     def work():
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
+            n, x = [], []
             for _, held in chunks(b.column(2).to_pylist()):
-                x, bags = encode_chunk(held)
-                at = np.concatenate([[0], np.cumsum(bags)])
-                for i, n in enumerate(bags):
-                    few = np.unique(np.linspace(0, n - 1, min(n, max_train_passages)).round().astype(int))
-                    out.append((len(few), x[at[i] + few].tobytes()))
-            return pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([n for n, _ in out], pa.int32()),
-                 pa.array([x for _, x in out], pa.binary())], names=["id", "label", "n", "x"])
+                coded, bags = encode_chunk(held)
+                n += bags.tolist()
+                x += [part.tobytes() for part in np.split(coded, np.cumsum(bags)[:-1])]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array(x, pa.binary())],
+                                              names=["id", "label", "n", "x"])
         return step
 
-    # repeated rows of one id add nothing but weight; at most max_train distinct ids come back
-    got = per_batch(rows, work, schema, text_at=2).dropDuplicates(["id", "x"]).collect()
-    got.sort(key=lambda r: (str(r["id"]), bytes(r["x"])))
+    got = per_batch(rows, work, schema, text_at=2).collect()  # bounded by max_train and max_train_bytes
+    got.sort(key=lambda r: str(r["id"]))
     bags = [np.frombuffer(r["x"], np.float32).reshape(r["n"], DIM) for r in got]
     return AttentionMIL.new().fit(bags, np.array([r["label"] for r in got], dtype=np.float32))
 

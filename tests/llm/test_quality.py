@@ -70,3 +70,65 @@ def test_labels_that_teach_nothing(spark):
     labels = spark.createDataFrame([(None, 1), (5, None), (6, 1), (6, 0), (7, 3)], "doc_id long, quality int")
     net = Q.train(docs, labels)
     assert {round(r.score, 6) for r in Q.scores(docs, net).collect()} == {0.5}
+
+
+def plain_passages(text):
+    """Encoder in plain Python: the passages of a text, their spans and words, and the encodings."""
+    raw = text.encode() + b" "
+    white = {32, 9, 11, 12, 10, 13}
+    words, at = [], None
+    for k, c in enumerate(raw):
+        if c in white:
+            if at is not None:
+                words.append((at, k))
+                at = None
+        elif at is None:
+            at = k
+    groups = [words[i:i + Q.PASSAGE_WORDS] for i in range(0, len(words), Q.PASSAGE_WORDS)] or [[]]
+    starts = [0] + [g[0][0] for g in groups[1:]] + [len(raw)]
+    out, seen = [], [raw[a:b] for a, b in words]
+    for k, g in enumerate(groups):
+        span = raw[starts[k]:starts[k + 1]]
+        classes = [sum(Q.CLASS_OF[c] == x for c in span) for x in range(Q.CLASSES)]
+        row = [(n / len(span)) ** 0.5 for n in classes]
+        some = max(1, len(g))
+        own = range(k * Q.PASSAGE_WORDS, k * Q.PASSAGE_WORDS + len(g))
+        row += [sum(i >= lag and seen[i] == seen[i - lag] for i in own) / some for lag in range(1, Q.LAGS + 1)]
+        row += [sum(min(b - a, 64) for a, b in g) / some / 16, len(g) / Q.PASSAGE_WORDS, np.log1p(len(words)) / 10]
+        out.append(row)
+    return out
+
+
+def test_encoder_attention_and_score_as_plain_loops(model):
+    texts = ["", "one two two", "A, b! " * 70 + "x\n" * 90, "été 12 " * 65, " ".join(f"w{k % 7}" for k in range(200))]
+    x, bags = Q.encode_chunk([t.encode() for t in texts])
+    want = [row for t in texts for row in plain_passages(t)]
+    assert len(want) == len(x) and np.allclose(x[:, :-Q.BUCKETS], want, atol=1e-5)
+    buckets = x[:, -Q.BUCKETS:].astype(np.float64) ** 2
+    n = np.round(x[:, Q.CLASSES + Q.LAGS + 1] * Q.PASSAGE_WORDS)
+    assert np.allclose(buckets.sum(1), n > 0, atol=1e-4)  # the shares of a passage's words
+    p, at, scores = {k: v.astype(np.float64) for k, v in model.p.items()}, 0, Q.score_texts(model, texts)
+    for size, score in zip(bags, scores, strict=True):
+        hidden, weight = [], []
+        for row in x[at:at + size]:
+            h = np.maximum(((row - p["mean"]) / p["std"]) @ p["W"] + p["b"], 0)
+            gate = [np.tanh(h @ p["V"][:, k]) / (1 + np.exp(-(h @ p["U"][:, k]))) for k in range(p["w"].size)]
+            hidden.append(h)
+            weight.append(np.exp(np.dot(gate, p["w"])))
+        z = sum(w * h for w, h in zip(weight, hidden, strict=True)) / sum(weight)
+        assert abs(1 / (1 + np.exp(-(z @ p["c"] + p["c0"][0]))) - score) < 1e-4
+        at += size
+
+
+def test_training_reads_whole_texts_of_a_bounded_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q.AttentionMIL, "fit", lambda self, bags, label: seen.append([len(b) for b in bags]) or self)
+    docs = spark.createDataFrame([(k, "w " * 64 * (k + 100)) for k in range(12)] + [(3, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, quality int")
+    Q.train(docs, labels, folds=100, fold=99)
+    assert set(seen[0]) - {1} <= {k + 100 for k in range(12)} and len(seen[0]) == 12
+    Q.train(docs, labels, folds=100, fold=99, max_train=5)
+    Q.train(docs, labels, folds=100, fold=99, max_train_bytes=45_000)
+    Q.train(docs, labels, folds=100, fold=99, max_train_bytes=1)
+    n = [len(s) for s in seen[1:]]  # a text has some 13,000 bytes, one may be the short one
+    assert n[0] == 5 and n[1] in (3, 4) and n[2] == 1
