@@ -173,7 +173,7 @@ def _count_in_windows(rows: DataFrame, size: str, slide: str | None) -> DataFram
 def add_to_windows(table: LakeTable, counts: DataFrame, properties: dict) -> None:
     """Add counts per window to the table's, reading the months of these windows alone; ``properties``
     are committed with them."""
-    counts = stage(counts.withColumn("window_month", F.to_date(F.date_trunc("month", "window_start"))), "window-counts")
+    counts = stage(counts.withColumn("window_month", F.trunc(F.to_date("window_start"), "month")), "window-counts")
     months = [r[0] for r in counts.select(F.col("window_month").cast("string")).distinct().collect()]  # a row per month
     old = table.of_partitions(months)
     same = F.lit(True)
@@ -204,7 +204,7 @@ def window_batch(windows: LakeTable, late: LakeTable, size: str, delay_seconds:
             mark = seen - delay_seconds * 1_000_000
             behind = F.coalesce(time < F.lit(mark), F.lit(False))
             passed = stage(rows.where(behind).withColumns({
-                "watermark": micros_to_ntz(F.lit(mark)), "event_month": F.to_date(F.date_trunc("month", "event_ts"))}), "late")
+                "watermark": micros_to_ntz(F.lit(mark)), "event_month": F.trunc(F.to_date("event_ts"), "month")}), "late")
             late.merge(passed)
             unstage(passed)
         else:
