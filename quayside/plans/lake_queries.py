@@ -481,7 +481,7 @@ def q_funnel_lake(spark, sf):
 
     from quayside.operators.analytics import funnel
     from quayside.sinks.lake_table import LakeTable
-    table = LakeTable.of(spark, scratch_path(spark, "lake-events"), "events")
+    table = LakeTable(spark, scratch_path(spark, "lake-events"), SCHEMAS["events"], (), "ingest_date", "event_ts")  # nothing is merged into it
     table.replace(_feeds(spark, sf).events())
     start, end = (dt.datetime.fromisoformat(d) for d in EVENT_RANGE)
     return funnel(table.read(start, end + dt.timedelta(days=1)), *EVENT_RANGE)
