@@ -45,7 +45,7 @@ def two_run_lake(spark: SparkSession, sf: str) -> dict:
     """Full run over the first delivery, then an incremental run over all."""
     from quayside.plans.batch_run import run_batch
     from quayside.sinks.lake_table import LakeTable
-    key = (id(spark.sparkContext), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key in _LAKES and LakeTable.of(spark, f"{_LAKES[key]['root']}/events", "events").exists():
         return _LAKES[key]
     root = scratch_path(spark, "lake")
