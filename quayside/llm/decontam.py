@@ -1,34 +1,37 @@
-"""Benchmark decontamination: MinHash containment search, sketches as wide as the item's size asks.
+"""Benchmark decontamination: size-partitioned MinHash containment search.
 
 An item is found in a document if at least ``threshold`` of the item's distinct
 5-word shingles are in the document, however long that is (containment, not
 Jaccard, which a long document would drown).
 
-* An item's number n of distinct shingles sets the width of its sketch; there are
-  no partitions by n. The sketch of an item are its k(n) = n - ceil(threshold * n) + 1 least MinHash values: a
-  document that misses k(n) shingles or more can't reach the threshold, so one
-  that does holds at least one of any k(n), and the search loses nothing.
-* Documents probe the sketches with the hashes of all their shingles, once for each
-  length of a shingle (1 to 5 words). A hit on an item that needs more shingles than
-  the document has is dropped after that join.
+* Items are partitioned by size: by the length of their shingles and by the power of two
+  under the number of shingles they need (``need`` = ceil(threshold * n) of n).
+* An item's sketch are its n - need + 1 least MinHash values: a document without any of
+  these misses too many shingles to reach the threshold, so the search loses nothing.
+* A partition has a floor, the least ``need`` of its items, and a ceiling, the largest
+  MinHash value in its sketches. A document passes over partitions whose floor is above its
+  number of shingles, and a shingle is looked up only if its hash is under the ceiling of a
+  partition that is left: of large items a sketch holds the least fifth of the hashes only.
+* Documents are cut into words and read once for all partitions.
 * Candidates are verified exactly: shared distinct shingles, as text, over n.
 
 Everything is built from SQL functions. Sketches, items, candidates and found
-rows are written once and counted; a side is broadcast only if its count is
-within ``BROADCAST_ROWS`` (then also bounded in bytes), else it is shuffled.
+rows are written once and measured; a side is broadcast only if its rows and bytes are
+within ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``, else it is shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.llm.common import Scratch, pick
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Rows of a broadcast side: at most 200,000 of three longs or short rows.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes (uncompressed, as counted by ``width``) of a broadcast side.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -46,14 +49,28 @@ def shingles(w: Column, size: Column | int, hashed: bool) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), each))
 
 
+def width(c: Column, kind: T.DataType) -> Column:
+    """Bytes a value takes, roughly: 16 for what has a fixed size, texts and arrays by their content."""
+    if isinstance(kind, T.StructType):
+        return sum((width(c[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.ArrayType):
+        each = F.aggregate(c, F.lit(0).cast("bigint"), lambda n, x: n + width(x, kind.elementType))
+        return F.coalesce(each, F.lit(0)) + 16
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") + 16
+    return F.lit(16)
+
+
 def small(df: DataFrame) -> DataFrame:
-    """``df``, to be broadcast if it has few enough rows. It must be a written table."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """``df``, to be broadcast if it has few enough rows and bytes. It must be a written table."""
+    size = sum((width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("bigint"))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
 
 
 def sketches(items: DataFrame, item_col: str, text_col: str, threshold: float, scratch: Scratch) -> DataFrame:
     """Per item: id, its shingle length, its distinct shingles, n, the shingles it
-    needs and its sketch. Items without words have no row: they match nothing.
+    needs, the power of two under that (its partition with the length) and its sketch. Items without words have no row: they match nothing.
     Items of fewer than five words are one shingle of all their words."""
     w = pick(items, item=item_col, text=text_col).select("item", words(F.col("text")).alias("w"))
     w = w.where(F.size("w") > 0).withColumn("size", F.least(F.size("w"), F.lit(WORDS))).distinct()
@@ -61,10 +78,33 @@ def sketches(items: DataFrame, item_col: str, text_col: str, threshold: float, s
     n = F.size("grams")
     w = w.select("*", n.alias("n"), F.ceil(n * F.lit(threshold) - F.lit(1e-9)).cast("int").alias("need"))
     low = F.array_sort(F.transform("grams", lambda g: F.xxhash64(g)))
+    w = w.withColumn("band", F.floor(F.log2(F.col("need"))).cast("int"))
     return scratch.keep(w.withColumn("sketch", F.slice(low, 1, F.col("n") - F.col("need") + 1))
                          .withColumn("key", F.xxhash64("item", F.array_join("grams", "|"))), "items")
 
 
+def partitions(known: DataFrame) -> dict[int, list[tuple[int, int]]]:
+    """Shingle length -> (floor, ceiling) of its partitions: at most 5 x 31 rows reach the driver."""
+    bounds = known.groupBy("size", "band").agg(F.min("need"), F.max(F.array_max("sketch"))).collect()
+    out: dict[int, list[tuple[int, int]]] = {}
+    for size, _, floor, ceiling in sorted(bounds):
+        out.setdefault(size, []).append((floor, ceiling))
+    return out
+
+
+def lookups(w: Column, bounds: dict[int, list[tuple[int, int]]]) -> Column:
+    """(size, have, h): the hashes of a document's shingles that a partition of items may know."""
+    out = []
+    for size, parts in bounds.items():
+        have = F.size(w) - size + 1
+        top = F.greatest(*[F.when(have >= floor, F.lit(ceiling)) for floor, ceiling in parts], F.lit(None).cast("bigint"))
+        known = F.filter(F.array_distinct(shingles(w, size, hashed=True)), lambda h: h <= top)  # noqa: B023
+        out.append(F.transform(known, lambda h: F.struct(  # noqa: B023
+            F.lit(size).alias("size"), have.alias("have"), h.alias("h"))))  # noqa: B023
+    none = F.array().cast("array<struct<size:int,have:int,h:bigint>>")
+    return F.concat(none, *[F.coalesce(x, none) for x in out])
+
+
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, text_hash, item, n_shingles, n_found, containment): one row per document
@@ -77,16 +117,9 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     known = sketches(items, item_col, item_text_col, threshold, scratch)
     rows = pick(docs, id=id_col, text=text_col)
     rows = rows.select("id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words(F.col("text")).alias("w"))
-    probe = scratch.keep(known.select("key", "size", "need", F.explode("sketch").alias("h")), "sketches")
-    hits = None
-    for size in sorted(r[0] for r in known.select("size").distinct().collect()):  # at most five lengths
-        part = small(scratch.keep(probe.where(F.col("size") == size).drop("size"), f"probe{size}"))
-        grams = rows.select("id", "text_hash", (F.size("w") - size + 1).alias("have"),
-                            F.explode(shingles(F.col("w"), size, hashed=True)).alias("h"))
-        met = grams.join(part, "h").where("have >= need").select("id", "text_hash", "key").distinct()
-        hits = met if hits is None else hits.union(met)
-    if hits is None:
-        hits = rows.select("id", "text_hash", F.lit(0).cast("bigint").alias("key")).where(F.lit(False))
+    probe = small(scratch.keep(known.select("key", "size", "need", F.explode("sketch").alias("h")), "sketches"))
+    grams = rows.select("id", "text_hash", F.explode(lookups(F.col("w"), partitions(known))).alias("g")).select("id", "text_hash", "g.*")
+    hits = grams.join(probe, ["size", "h"]).where("have >= need").select("id", "text_hash", "key").distinct()
     cand = scratch.keep(hits, "candidates")
     pairs = cand.join(small(known.select("key", "item", "size", "grams", "n", "need")), "key")
     docs_at = scratch.keep(rows.join(small(scratch.keep(cand.select("id", "text_hash").distinct(), "suspects")),

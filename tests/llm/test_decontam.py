@@ -61,3 +61,33 @@ def test_a_very_long_text(spark):
     items = spark.createDataFrame([(1, " ".join(f"n{i}" for i in range(59000, 59040)))], "item_id long, text string")
     (row,) = D.find_items(docs, items).collect()
     assert (row.n_shingles, row.n_found, row.containment) == (36, 36, 1.0)
+
+
+def test_partitions_bound_what_is_looked_up(spark):
+    """Long items: shingles over the ceiling and texts under the floor are never looked up."""
+    r = random.Random(9)
+    text = lambda n: " ".join(f"v{r.randrange(10**6)}" for _ in range(n))
+    items = [(k, text(n)) for k, n in enumerate([40] * 20 + [200] * 20 + [3])]
+    right = spark.createDataFrame(items, "item_id long, text string")
+    known = D.sketches(right, "item_id", "text", 0.8, D.Scratch(spark, "test-partitions"))
+    bounds = D.partitions(known)
+    assert sorted(bounds) == [3, 5] and [f for f, _ in bounds[5]] == [29, 157]
+    rows = {k.item: k for k in known.collect()}
+    assert all(len(k.sketch) == k.n - k.need + 1 and k.band == k.need.bit_length() - 1 for k in rows.values())
+    assert all(max(k.sketch) <= max(c for _, c in bounds[k["size"]]) for k in rows.values())
+    bodies = [(1, text(2)), (2, text(20)), (3, text(100)), (4, text(4000)), (5, items[25][1])]
+    docs = spark.createDataFrame(bodies, "doc_id long, text string")
+    looked = docs.select("doc_id", D.lookups(D.words(D.F.col("text")), bounds).alias("g")).collect()
+    count = {d.doc_id: sum(g["size"] == 5 for g in d.g) for d in looked}
+    assert count[1] == count[2] == 0 and 0 < count[3] < 70 and 0 < count[4] < 2500
+    assert [(x.id, x["item"]) for x in D.find_items(docs, right).collect()] == [(5, 25)]
+
+
+def test_a_side_is_broadcast_by_rows_and_bytes(spark, monkeypatch):
+    items = spark.createDataFrame([(1, ["é" * 100, None], "x"), (None, None, None)], "a long, b array<string>, c string")
+    size = sum((D.width(D.F.col(f.name), f.dataType) for f in items.schema.fields), D.F.lit(0))
+    assert sorted(r[0] for r in items.select(size).collect()) == [48, 16 + (16 + 200 + 16 + 16) + 17]
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(D.small(items))
+    monkeypatch.setattr(D, "BROADCAST_BYTES", 100)
+    assert not hinted(D.small(items))
