@@ -14,11 +14,11 @@
    ``max_bits`` are discarded, survivors are verified bit by bit.
 5. A key that holds more than ``bucket_cap`` distinct fingerprints isn't
    joined with itself. Its fingerprints instead meet at every fingerprint
-   within ``ceil(max_bits / 2)`` bits: two fingerprints at most ``max_bits``
-   apart share such a midpoint. Every meeting point yields a star, not pairs,
-   so the work is linear in the size of the group. It is exact for an even
-   ``max_bits`` (both ends are within ``max_bits / 2`` of the midpoint); an odd
-   one is verified pair by pair.
+   within ``ceil(max_bits / 2)`` bits. Two fingerprints at most ``max_bits`` apart
+   share one that is within ``floor(max_bits / 2)`` bits of the one and
+   ``ceil(max_bits / 2)`` of the other. The least of those at a meeting point's
+   floor distance is at most ``max_bits`` from all that meet there and gets a link to
+   each: a star, not pairs, so the work is linear in the size of the group and exact.
 6. Components of the links; the smallest doc_id stands for each.
 """
 
@@ -134,17 +134,14 @@ def links(prints: DataFrame, max_bits: int = 2, bucket_cap: int = 2000, scratch:
 
 def midpoint_stars(crowd: DataFrame, max_bits: int) -> DataFrame:
     """Links (a, b) of the fingerprints that meet at a fingerprint near both."""
-    reach = (max_bits + 1) // 2
+    reach, near = (max_bits + 1) // 2, max_bits // 2
     flips = [sum(1 << b for b in c) for r in range(reach + 1) for c in combinations(range(64), r)]
     flips = F.array(*[F.lit(x - (1 << 64) if x >= 1 << 63 else x) for x in flips])
-    at = crowd.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
-    if max_bits % 2 == 0:
-        hub = at.groupBy("mid").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return at.join(hub.select("mid", "a"), "mid").where("a < fp").select("a", F.col("fp").alias("b")).distinct()
-    other = at.select(F.col("fp").alias("b"), "mid")
-    return (at.withColumnRenamed("fp", "a").join(other, "mid")
-            .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
-            .select("a", "b").distinct())
+    at = crowd.select("fp", F.explode(flips).alias("flip")).select(
+        "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"), (F.bit_count("flip") <= near).alias("near"))
+    hub = at.groupBy("mid").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.count(F.lit(1)).alias("n"))
+    met = at.join(hub.where("n > 1 AND hub IS NOT NULL").select("mid", "hub"), "mid").where("hub <> fp")
+    return met.select(F.least("hub", "fp").alias("a"), F.greatest("hub", "fp").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,

@@ -59,7 +59,7 @@ def crowd(n, seed=1):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bits,cap", [(2, 2000), (2, 3), (1, 2), (3, 2000), (0, 2000)])
+@pytest.mark.parametrize("bits,cap", [(2, 2000), (2, 3), (1, 2), (3, 2000), (3, 2), (0, 2000)])
 def test_links_connect_what_brute_force_connects(spark, bits, cap):
     prints = crowd(120)
     df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
