@@ -2,9 +2,9 @@
 
 One automaton of all terms, built once a task, runs over each lower-cased url. A
 hit counts if the characters on both sides of it aren't letters or digits. Each
-distinct term counts once with its weight; a url is rejected when its hits weigh
-``limit`` or more: a strict term weighs that much by itself, soft terms only
-several together. Where a rule fits the host (or a parent domain) and the path's
+distinct term counts once; a url is rejected by one strict term, or when its distinct soft
+terms weigh ``limit`` or more together. The vocabulary is a table (term, weight; a null
+weight: strict), a mapping of the same, or the short list below. Where a rule fits the host (or a parent domain) and the path's
 beginning, the longest such rule decides instead. There is no shuffle.
 """
 
@@ -29,12 +29,36 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def vocabulary(strict: list[str] = STRICT, soft: list[str] = SOFT, limit: int = LIMIT) -> dict[str, int]:
-    """Term -> weight; a term in both lists is strict."""
-    return dict.fromkeys(soft, 1) | dict.fromkeys(strict, limit)
+def vocabulary(strict: list[str] = STRICT, soft: list[str] | dict[str, int] = SOFT) -> dict[str, int | None]:
+    """Term -> weight, None for a strict one; soft terms without a weight weigh 1. A term in both is strict."""
+    weights = soft if isinstance(soft, dict) else dict.fromkeys(soft, 1)
+    return weights | dict.fromkeys(strict, None)
+
+
+#: Terms a vocabulary may have: the automaton is built in every task.
+MAX_TERMS = 1_000_000
+
+
+def terms_of(given: DataFrame | dict[str, int | None]) -> dict[str, int | None]:
+    """A checked vocabulary, lower-cased A-Z. Of rows that repeat a term the strict, else the heaviest counts;
+    a null term is skipped. Raises for an empty term, a weight under 1 and more than ``MAX_TERMS`` terms."""
+    if isinstance(given, DataFrame):
+        rows = given.where("term IS NOT NULL").select("term", "weight").distinct().limit(MAX_TERMS + 1).collect()
+    else:
+        rows = list(given.items())
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms")
+    out: dict[str, int | None] = {}
+    for term, weight in rows:
+        if not term or (weight is not None and weight < 1):
+            raise ValueError("an empty term or a weight under 1")
+        term = term.translate(str.maketrans(UPPER, LOWER))
+        known = out.get(term, 0)
+        out[term] = None if weight is None or known is None else max(known, int(weight))
+    return out
 
 
-def automaton(terms: dict[str, int]) -> ahocorasick.Automaton:
+def automaton(terms: dict[str, int | None]) -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for term in terms:
         out.add_word(term, term)
@@ -54,20 +78,18 @@ def distinct_hits(found: ahocorasick.Automaton, text: str) -> set[str]:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=None,
-          terms: dict[str, int] | None = None, limit: int = LIMIT) -> DataFrame:
-    """(id, host, path, rule, verdict, strict_hits, soft_hits): one row per row.
+          terms: DataFrame | dict[str, int | None] | None = None, limit: int = LIMIT) -> DataFrame:
+    """(id, host, path, rule, verdict, strict_hits, soft_hits, soft_weight): one row per row.
 
     A null url, or one without ``://``, has an empty host and path, so no rule fits
     it; its text, if any, is still searched. Hosts are compared whole, with a port or
     user name if there is one. Of equally long rules the first listed wins.
     """
     rules = RULES if rules is None else rules
-    terms = vocabulary() if terms is None else terms
-    if "" in terms:
-        raise ValueError("an empty term")
+    terms = terms_of(vocabulary() if terms is None else terms)
     rows = pick(pages, id=id_col, url=url_col)
     schema = T.StructType([rows.schema["id"], rows.schema["url"], T.StructField("strict_hits", T.IntegerType()),
-                           T.StructField("soft_hits", T.IntegerType())])
+                           T.StructField("soft_hits", T.IntegerType()), T.StructField("soft_weight", T.LongType())])
     lower = str.maketrans(UPPER, LOWER)
 
     def work():
@@ -75,26 +97,25 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             hits = [distinct_hits(found, u.translate(lower)) if u and found else () for u in b.column(1).to_pylist()]
-            strict = [sum(terms[t] >= limit for t in h) for h in hits]
-            soft = [len(h) - s for h, s in zip(hits, strict, strict=True)]
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(strict, pa.int32()), pa.array(soft, pa.int32())],
-                                              names=["id", "url", "strict_hits", "soft_hits"])
+            soft = [[terms[t] for t in h if terms[t] is not None] for h in hits]
+            strict = [len(h) - len(s) for h, s in zip(hits, soft, strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(strict, pa.int32()), pa.array([len(s) for s in soft], pa.int32()),
+                 pa.array([sum(s) for s in soft], pa.int64())], names=schema.names)
         return step
 
     found = per_batch(rows, work, schema, text_at=1)
-    # soft terms may weigh more than one: carried as their number only where all weigh one
-    if any(1 != w < limit for w in terms.values()):
-        raise ValueError("a soft term weighs 1, a strict one the limit or more")
     rest = F.coalesce(F.regexp_extract("url", r"(?s)^.*?://(.*)$", 1), F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), UPPER, LOWER)
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    found = found.select("id", host.alias("host"), path.alias("path"), "strict_hits", "soft_hits")
+    found = found.select("id", host.alias("host"), path.alias("path"), "strict_hits", "soft_hits", "soft_weight")
     fits = F.lit(None).cast("string")
-    verdict = F.when((F.col("strict_hits") * limit + F.col("soft_hits")) >= limit, "block").otherwise("allow")
+    verdict = F.when((F.col("strict_hits") > 0) | (F.col("soft_weight") >= limit), "block").otherwise("allow")
     for says, h, p in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):
         fit = ((F.col("host") == h) | F.col("host").endswith("." + h)) & F.col("path").startswith(p)
         fits, verdict = F.when(fit, h + p).otherwise(fits), F.when(fit, says).otherwise(verdict)
-    return found.select("id", "host", "path", fits.alias("rule"), verdict.alias("verdict"), "strict_hits", "soft_hits")
+    return found.select("id", "host", "path", fits.alias("rule"), verdict.alias("verdict"), "strict_hits", "soft_hits",
+                        "soft_weight")
 
 
 def _sql_hits(terms: list[str]) -> str:
@@ -117,6 +138,6 @@ cut AS (
 hits AS (SELECT *, {_sql_hits(STRICT)} AS strict_hits, {_sql_hits(SOFT)} AS soft_hits FROM cut)
 SELECT page_id, host, path, CASE {_sql_rules(lambda v, h, p: h + p)} END AS rule,
   CASE {_sql_rules(lambda v, h, p: v)} WHEN strict_hits > 0 OR soft_hits >= {LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
-  strict_hits, soft_hits
+  strict_hits, soft_hits, CAST(soft_hits AS BIGINT) AS soft_weight
 FROM hits
 """
