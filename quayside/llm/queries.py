@@ -38,7 +38,7 @@ def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> bytes:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations don't quote: they are first turned, in Spark, into messages that do."""
     found = quoting.link(quoting.quoting_messages(table(spark, sf_dir, "conversations")))
-    return found.withColumnRenamed("conv", "conv_id").drop("formatted")
+    return found.withColumnRenamed("conv", "conv_id")
 
 
 @register("op2_byte_bpe")
