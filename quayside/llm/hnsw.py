@@ -1,12 +1,14 @@
 """Embedding near-dedup with one hierarchical navigable small-world graph a shard.
 
 1. Equal vectors of a label become one class first, however many rows have them.
-2. Classes of a label (and length) are dealt by hash to shards of about ``capacity``.
+2. Classes of a label (and length) are dealt by hash to shards of about ``capacity``, or
+   of fewer where the vectors are so long that they would fill ``SHARD_BYTES`` before.
    Each shard builds its graph in one task: layers of geometrically fewer nodes, every
    node linked to near and diverse neighbours, searched with a beam from the layer above.
 3. Audit: for a sample of the shard's vectors what the beam links is held against all of
    the shard, and so is a link planted at the least cosine for each; the beam is doubled
    until the recall passes, in the end to the whole shard. The graph carries that beam.
+   A shard whose audit doesn't pass even so fails the job rather than lose links.
 4. Every class queries every shard of its label, shard by shard as blocks: the task of
    two shards searches both ways. A query whose beam is full of links is repeated with a
    wider beam. What is found is verified by cosine in double precision.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,8 @@ from quayside.llm.components import connected_components, least_of_component
 from quayside.llm.decontam import small
 
 CAPACITY = 8192
+#: Bytes of the vectors of a shard in double precision; fewer vectors than LEAST_CAPACITY are no shard.
+SHARD_BYTES, LEAST_CAPACITY = 16 << 20, 256
 #: Links a node may have below (half of them its own choice) and above; beams; nodes expanded at a time.
 LINKS, UPPER_LINKS, BUILD_BEAM, FIRST_BEAM, EXPAND = 24, 12, 48, 32, 4
 #: A beam that has to be wider than this is as wide as the shard.
@@ -269,6 +273,9 @@ def _build(group: pa.Table, least: float) -> pa.Table:
     raw = raw.reshape(-1, size)[order]
     graph = Graph.build(unit(raw).astype(np.float32), levels(cid))
     recall = graph.audit(least - SLACK)
+    if recall < AUDIT_RECALL:
+        raise RuntimeError(f"shard {group.column('shard')[0]} of label {group.column('label')[0]}: the audit of "
+                           f"{len(cid)} vectors ended at a recall of {recall:.4f}, under {AUDIT_RECALL}")
     return pa.table({"label": group.column("label")[:1], "size": group.column("size")[:1], "shard": group.column("shard")[:1],
                      "cid": [cid.astype("<i8").tobytes()], "n": [weight.astype("<i8").tobytes()], "x": [raw.astype("<f8").tobytes()],
                      "graph": [graph.pack()], "beam": [graph.beam], "recall": [recall]}, schema=_SHARDS(group.schema))
@@ -334,6 +341,11 @@ def _meet(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
     return pa.table({"cid": cid[some], "links": count[some].astype(np.int64), "hub": hub[some]})
 
 
+def shard_size(size: Column, capacity: int) -> Column:
+    """Vectors of ``size`` components that a shard holds."""
+    return F.least(F.lit(capacity), F.greatest(F.lit(LEAST_CAPACITY), F.floor(F.lit(SHARD_BYTES) / (8 * size)).cast("int")))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     least: float = 0.98, capacity: int = CAPACITY) -> DataFrame:
     """(id, n_links, component, kept): one row per row of ``vectors``.
@@ -357,7 +369,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = scratch.keep(classes.withColumn("cid", F.monotonically_increasing_id())
                            .withColumn("size", F.size("vector").cast("int")), "classes")
     counts = scratch.keep(classes.groupBy("label", "size").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(float(capacity))).cast("int").alias("shards")), "counts")
+        F.ceil(F.count(F.lit(1)) / shard_size(F.col("size"), capacity)).cast("int").alias("shards")), "counts")
     dealt = classes.join(small(counts), ["label", "size"]).withColumn(
         "shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
     label = classes.schema["label"]

@@ -109,3 +109,20 @@ def test_two_shards_of_near_copies_meet_in_little_memory(same):
     assert dict(zip(*(got.column(c).to_pylist() for c in ("cid", "links")), strict=True)) == {k: v for k, v in want.items() if v}
     assert set(got.column("hub").to_pylist()) == {10}
     assert peak < 150e6
+
+
+def test_long_vectors_make_smaller_shards(spark):
+    sizes = spark.createDataFrame([(1,), (64,), (256,), (1024,), (4096,), (100_000,)], "size int")
+    got = {r.size: r.n for r in sizes.select("size", H.shard_size(sizes["size"], H.CAPACITY).alias("n")).collect()}
+    assert got == {1: 8192, 64: 8192, 256: 8192, 1024: 2048, 4096: 512, 100_000: 256}
+    assert {r.n for r in sizes.select(H.shard_size(sizes["size"], 20).alias("n")).collect()} == {20}
+
+
+def test_a_shard_that_fails_its_audit_fails_the_job(monkeypatch):
+    x = np.random.default_rng(3).standard_normal((40, 8))
+    group = pa.table({"label": [1] * 40, "size": pa.array([8] * 40, pa.int32()), "shard": pa.array([0] * 40, pa.int32()),
+                      "cid": np.arange(40), "n": np.ones(40, np.int64), "vector": x.tolist()})
+    assert H._build(group, 0.98).column("recall")[0].as_py() >= H.AUDIT_RECALL
+    monkeypatch.setattr(H.Graph, "audit", lambda self, least: 0.98)
+    with pytest.raises(RuntimeError, match="recall"):
+        H._build(group, 0.98)
