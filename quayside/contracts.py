@@ -78,6 +78,8 @@ PARTITION_BY = {
     "payments": "event_date",
     "invalid": "feed",
 }
+# Feeds whose days are many and small are laid out by the month of that column.
+PARTITION_GRAIN = {"transactions": "month", "quarantine_transactions": "month", "payments": "month"}
 NOT_NULL = {
     "events": ("event_id", "event_type", "session_id", "event_ts", "is_bot_flag", "ingest_date"),
     "transactions": ("transaction_id", "partner_id", "created_at", "ingest_ts"),

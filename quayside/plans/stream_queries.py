@@ -30,7 +30,7 @@ def _read_payments(spark, table):
 @register("stream_payments", with_ctes(["pm_all"]) + "SELECT * FROM pm_all")
 def q_stream_payments(spark, sf):
     """Two deliveries (cut on event time), each consumed by an availableNow run
-    and merged into the day-partitioned table: a key delivered again later keeps
+    and merged into the table, whose days lie together by month: a key delivered again later keeps
     its greatest (partition, offset)."""
     table, ckpt = scratch_path(spark, "stream-payments"), scratch_path(spark, "stream-ckpt")
     _deliver(spark, sf, lambda landing, schema: st.run_payment_stream(spark, landing, table, ckpt, schema))

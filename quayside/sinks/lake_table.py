@@ -2,7 +2,8 @@
 
 Layout under the table's root::
 
-    data/_commit=<n>/<column>=<value>/...   rows that commit n wrote (Hive layout below a version)
+    data/_commit=<n>/<column>=<value>/...   rows that commit n wrote (Hive layout below a version); <column> is
+                                            the partition column, or with a grain <column>_month, its month
     keys/_commit=<n>/_bucket=<b>/...        key locator: key -> partition, hash-bucketed by key
     zones/_commit=<n>/                      per file of data/_commit=<n>: rows, bytes, least and greatest event time
     rejected/_commit=<n>/                   rows that the contract refused in commit n
@@ -15,8 +16,14 @@ is named by no manifest and goes with the next commit, as do directories that ne
 new snapshot nor the one before it names (a reader may still be on that one).
 
 A keyed merge asks the locator, not the table, where its keys are: it reads the buckets of
-its keys, rewrites the partitions that hold or get them, and those buckets. The driver
-handles one entry per partition and bucket; buckets hold about ``BUCKET_KEYS`` keys each.
+its keys, rewrites the partitions that hold them, and those buckets. Partitions that only
+get keys get new files, and are rewritten once they have about ``MOST_FILES`` more than their bytes
+fill. The driver handles one entry per partition, commit and bucket; buckets hold about
+``BUCKET_KEYS`` keys each.
+
+A day of a long feed is far less than a file should hold, and every directory costs each commit
+and reader a few calls to the storage. The contracts of such feeds have the grain ``month``: a directory a
+month, whose rows are sorted by the day, which stays a column of the files.
 
 One writer per table at a time is a precondition.
 """
@@ -34,13 +41,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.contracts import KEYS, NOT_NULL, ON_BROKEN, PARTITION_BY, SCHEMAS
+from quayside.contracts import KEYS, NOT_NULL, ON_BROKEN, PARTITION_BY, PARTITION_GRAIN, SCHEMAS
 from quayside.functions.time import epoch_micros
 from quayside.sinks import lake_write as fs
 from quayside.sinks.lake_write import MAX_RECORDS_PER_FILE, ROW_GROUP_BYTES, upsert_keyed
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BUCKET_KEYS = 1_000_000
+MOST_FILES, FULL_FILE_BYTES = 8, 128 * 1024 * 1024
 LEAST_BUCKETS, MOST_BUCKETS = 16, 65_536
 
 #: Column of each dataset by whose range its files are looked up.
@@ -74,17 +82,20 @@ def _micros(value) -> int:
 
 class LakeTable:
     """``keys`` identify a row, ``partition_by`` (date, text or integer; '' is stored as null) lays it out,
-    ``event_time`` gets zones. ``not_null`` columns and unique keys are the contract; ``on_broken``: what
+    ``event_time`` gets zones; ``grain`` "month": by the month of that date. ``not_null`` columns and unique keys are the contract; ``on_broken``: what
     to do with a row that breaks it, rule by rule: "fail" the commit (the default), "reject" the row to
     ``rejected/`` or "warn", that is, count it."""
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys=(), partition_by: str | None = None,
-                 event_time: str | None = None, not_null=(), on_broken: dict[str, str] | None = None):
+                 event_time: str | None = None, not_null=(), on_broken: dict[str, str] | None = None, grain: str | None = None):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.partition_by, self.event_time = list(keys), partition_by, event_time
         self.not_null, self.on_broken = list(not_null), dict(on_broken or {})
         if partition_by and not isinstance(schema[partition_by].dataType, (T.DateType, T.StringType, T.IntegralType)):
             raise TypeError(f"can't partition by {partition_by}")
+        if grain and (grain != "month" or not partition_by or not isinstance(schema[partition_by].dataType, T.DateType)):
+            raise TypeError(f"can't partition by {grain} of {partition_by}")
+        self.grain = grain
         if wrong := set(self.on_broken.values()) - {"fail", "reject", "warn"}:
             raise ValueError(f"unknown policy {wrong}")
 
@@ -93,13 +104,13 @@ class LakeTable:
         """The table of one of the contracts."""
         base = {"events_bots": "events", "quarantine_transactions": "transactions", "quarantine_partners": "partners"}.get(dataset, dataset)
         return cls(spark, root, SCHEMAS[dataset], KEYS[base], PARTITION_BY.get(dataset), EVENT_TIME.get(dataset),
-                   NOT_NULL[base], ON_BROKEN.get(base, {}) | (on_broken or {}))
+                   NOT_NULL[base], ON_BROKEN.get(base, {}) | (on_broken or {}), PARTITION_GRAIN.get(dataset))
 
     @classmethod
     def opened(cls, spark: SparkSession, root: str) -> LakeTable:
         """An existing table by what its manifest says of it."""
         m = cls(spark, root, T.StructType()).manifest()
-        return cls(spark, root, T.StructType.fromJson(m["schema"]), m["keyed_by"], m["partition_by"], m["event_time"], m["not_null"], m["on_broken"])
+        return cls(spark, root, T.StructType.fromJson(m["schema"]), m["keyed_by"], m["partition_by"], m["event_time"], m["not_null"], m["on_broken"], m.get("grain"))
 
     # ---- snapshots -----------------------------------------------------------
 
@@ -227,9 +238,14 @@ class LakeTable:
         rows = rows.select(*self.schema.names).observe(
             seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.not_null])
         path = f"{self.root}/data/_commit={version}"
-        writer = (rows.hint("rebalance", self.partition_by) if self.partition_by else rows.hint("rebalance")).write.option(
-            "maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
-        (writer.partitionBy(self.partition_by) if self.partition_by else writer).parquet(path)
+        by = self._directory()
+        if self.grain:
+            rows = rows.withColumn(by, F.trunc(self.partition_by, self.grain))
+        rows = rows.hint("rebalance", by) if by else rows.hint("rebalance")
+        if self.grain:
+            rows = rows.sortWithinPartitions(by, self.partition_by)
+        writer = rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
+        (writer.partitionBy(by) if by else writer).parquet(path)
         saw = observed(seen, "rows", *[f"null_{c}" for c in self.not_null])
         if not saw["rows"]:
             return [], saw
@@ -256,9 +272,22 @@ class LakeTable:
             return None
         return unquote(last.split("=", 1)[1])
 
+    def _directory(self) -> str | None:
+        """The column that names the directories."""
+        return f"{self.partition_by}_{self.grain}" if self.grain else self.partition_by
+
+    def _current(self) -> dict:
+        """The current manifest, to commit upon: the table goes on with the grain that it has."""
+        before = self.manifest()
+        if before["version"]:
+            self.grain = before.get("grain")
+        return before
+
     def _at(self) -> Column:
         if not self.partition_by:
             return F.lit(None).cast("string")
+        if self.grain:
+            return F.trunc(self.partition_by, self.grain).cast("string")
         return F.nullif(F.col(self.partition_by).cast("string"), F.lit(""))
 
     def _check(self, saw: dict, version: int) -> dict[str, int]:
@@ -272,7 +301,7 @@ class LakeTable:
 
     def _entry(self, version: int, parts: list[dict], keys: dict, buckets: int, written: dict, properties: dict) -> dict:
         live = {str(p["v"]) for p in parts}
-        return {"version": version, "schema": self.schema.jsonValue(), "keyed_by": self.keys, "partition_by": self.partition_by,
+        return {"version": version, "schema": self.schema.jsonValue(), "keyed_by": self.keys, "partition_by": self.partition_by, "grain": self.grain,
                 "event_time": self.event_time, "not_null": self.not_null, "on_broken": self.on_broken, "properties": properties, "parts": parts, "buckets": buckets, "keys": keys,
                 "written": {v: n for v, n in written.items() if v in live}}
 
@@ -293,7 +322,7 @@ class LakeTable:
         ``keep`` leave the table. ``delta`` is read several times: stage it. ``batch_rows`` of the result
         are the delta's keys that stand in the table afterwards. ``properties``, small values kept in the
         manifest from commit to commit, change with it (and alone, if the delta has no rows)."""
-        before = self.manifest()
+        before = self._current()
         version = self._next_version()
         delta, rejected = self._admit(self._conform(delta), version)
         kept = F.lit(True) if keep is None else keep
@@ -309,13 +338,14 @@ class LakeTable:
         known = self._known(before, asked_buckets)
         located = [r[0] for r in known.join(mine, self._same_key(known, mine), "left_semi").select("_at").distinct().collect()]
         touched = {x["at"] for x in wanted if x["k"]} | set(located)
-        old = [p for p in before["parts"] if p["at"] in touched]
         if not touched:
             return self._unchanged(before, rejected, properties)
+        anew = set(located) | (touched & self._crowded(before))
+        old = [p for p in before["parts"] if p["at"] in anew]
         merged = upsert_keyed(self._open(before, old), delta, self.keys, order).where(kept)
         parts, saw = self._write(merged, version)
         written = before["written"] | {str(version): len(parts)}
-        parts = [p for p in before["parts"] if p["at"] not in touched] + parts
+        parts = [p for p in before["parts"] if p["at"] not in anew] + parts
         total = sum(p["rows"] for p in parts)
         if self._bucket_count(total) > 4 * buckets:  # outgrown: all keys once anew
             keys, batch = self._rebuild(version, parts, written, self._bucket_count(total), mine)
@@ -324,7 +354,15 @@ class LakeTable:
             keys, batch = self._move_keys(version, before, known, mine, asked_buckets)
         self._publish(self._entry(version, parts, keys, buckets, written, before["properties"] | (properties or {})))
         return {"version": version, "rows": saw["rows"], "batch_rows": batch, "rejected": rejected, "broken": broken,
-                "partitions_written": len(touched), "partitions_read": len(old), "buckets_read": len(asked_buckets), "buckets": buckets}
+                "partitions_written": len(touched), "partitions_read": len({p["at"] for p in old}), "buckets_read": len(asked_buckets), "buckets": buckets}
+
+    @staticmethod
+    def _crowded(manifest: dict) -> set:
+        """Partitions with many more files than their bytes fill."""
+        spare: dict[str | None, float] = {}
+        for p in manifest["parts"]:
+            spare[p["at"]] = spare.get(p["at"], 0) + p["files"] - p["bytes"] / FULL_FILE_BYTES
+        return {at for at, n in spare.items() if n > MOST_FILES - 1}
 
     def _asked(self, delta: DataFrame, buckets: int, at: Column, version: int) -> tuple[list[int], list, dict[str, int]]:
         """Buckets of ``delta``'s keys, where it wants its rows, and its rows per broken rule, in one pass over
@@ -344,7 +382,7 @@ class LakeTable:
     def insert(self, delta: DataFrame) -> dict:
         """Add the rows of ``delta`` whose key the table doesn't have (one row of a key that recurs);
         no partition is rewritten. ``delta`` is read several times: stage it."""
-        before = self.manifest()
+        before = self._current()
         version = self._next_version()
         delta, rejected = self._admit(self._conform(delta), version)
         fresh = upsert_keyed(None, delta, self.keys)
@@ -367,7 +405,7 @@ class LakeTable:
     def compact(self, threshold_mb: int = 128, target_mb: int = 128, apply: bool = True) -> list[dict]:
         """Rewrite, as one commit, the partitions of more files than their bytes fill whose files average
         under the threshold. One entry per partition under the threshold."""
-        before, mb = self.manifest(), 1024 * 1024
+        before, mb = self._current(), 1024 * 1024
         by_value: dict[str | None, list[dict]] = {}
         for p in before["parts"]:
             by_value.setdefault(p["at"], []).append(p)
@@ -377,7 +415,7 @@ class LakeTable:
             if size / files < threshold_mb * mb:
                 need = files > max(1, math.ceil(size / (target_mb * mb)))
                 flagged += [at] if need else []
-                found.append({"partition": f"{self.partition_by}={at}" if self.partition_by else "", "at": at, "file_count": files,
+                found.append({"partition": f"{self._directory()}={at}" if self.partition_by else "", "at": at, "file_count": files,
                               "total_bytes": size, "average_bytes": size // files, "needs_compaction": need, "rows_before": rows})
         after = {}
         if apply and flagged:

@@ -230,3 +230,40 @@ def test_partition_texts_with_special_characters(spark, scratch):
     want = {k: t or None for k, t in enumerate(texts)} | {0: "x/y:z", 6: "100%", 99: None}
     assert rows() == sorted(want.items(), key=str)
     assert lt.LakeTable.opened(spark, table.root).read().count() == 9
+
+
+def months(spark, scratch):
+    return lt.LakeTable(spark, scratch("months"), SCHEMA, ["k"], "d", "t", ["k"], grain="month")
+
+
+def test_a_table_by_month_has_a_directory_a_month_and_keeps_the_days(spark, scratch):
+    table = months(spark, scratch)
+    rows = spark.range(300).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("1").alias("v"),
+                                   F.lit("2025-03-01 00:00:00").cast("timestamp_ntz").alias("t"),
+                                   F.date_add(F.lit("2025-03-01").cast("date"), (F.col("id") % 60).cast("int")).alias("d"))
+    table.replace(rows.unionByName(frame(spark, ("none", "1", None))))
+    assert {p["at"] for p in table.manifest()["parts"]} == {"2025-03-01", "2025-04-01", None}
+    assert table.read().select("d").distinct().count() == 61
+    done = table.merge(frame(spark, ("k0", "2", 9), ("none", "2", 3), ("new", "2", 2)))
+    assert (done["partitions_read"], done["batch_rows"]) == (2, 3)  # April isn't touched
+    got = {r.k: (r.v, r.d) for r in table.read().collect()}
+    assert len(got) == 302 and got["k0"] == ("2", day(9)) and got["none"] == ("2", day(3))
+    assert lt.LakeTable.opened(spark, table.root).grain == "month"
+    by_day = lt.LakeTable(spark, table.root, SCHEMA, ["k"], "d", "t", ["k"])  # goes on by month, as the table is
+    assert by_day.merge(frame(spark, ("k1", "3", 2)))["batch_rows"] == 1 and table.read().count() == 302
+    assert {p["at"] for p in table.manifest()["parts"]} == {"2025-03-01", "2025-04-01"}
+
+
+def test_new_keys_rewrite_no_partition_until_it_has_many_files(spark, table):
+    table.replace(frame(spark, ("a", "1", 1)))
+    for n in range(lt.MOST_FILES):
+        done = table.merge(frame(spark, (f"n{n}", "1", 1)))
+        assert (done["partitions_read"], done["batch_rows"]) == (n // (lt.MOST_FILES - 1), 1)
+    assert len(content(table)) == 1 + lt.MOST_FILES and len(table.manifest()["parts"]) == 1
+    assert table.merge(frame(spark, ("a", "2", 1)))["partitions_read"] == 1 and ("a", "2", 1) in content(table)
+
+
+def test_long_feeds_have_few_directories(spark, scratch):
+    """Payments, transactions and their quarantine: some 2,500 days each in the fixtures."""
+    for dataset in ("payments", "transactions", "quarantine_transactions"):
+        assert lt.LakeTable.of(spark, scratch(dataset), dataset)._directory().endswith("_date_month")
