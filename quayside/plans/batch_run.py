@@ -42,7 +42,7 @@ from quayside.plans import flows
 from quayside.sinks.lake_table import LakeTable
 from quayside.sinks.lake_write import commit_control, read_control, stage, unstage
 
-#: The partner schema versions that the serving tables take.
+#: The partner schema versions that are no case for the quarantine.
 KNOWN_VERSIONS = ("v1", "v2", "v3")
 
 
@@ -84,7 +84,8 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     ``strict``: a value that doesn't parse ends the run. Lenient: its record goes to
     ``quarantine/invalid`` with its reasons, until a later delivery of its key is valid; an
     earlier valid row of the key stays. ``token_key``: user ids reach the lake only as keyed
-    hashes. Partner versions outside ``KNOWN_VERSIONS`` are quarantined.
+    hashes. Partner versions outside ``KNOWN_VERSIONS`` are quarantined; a strict run
+    serves them too.
     """
     root = lake_root.rstrip("/")
     state = f"{root}/_state"
@@ -131,7 +132,9 @@ def run_batch(spark: SparkSession, raw: dict[str, DataFrame], lake_root: str, wa
     order = [F.col("kafka_partition"), F.col("kafka_offset")]
     counts["payments"] = _write(table("payments", "payments"), payments, F.lit(True), full, order)
 
-    partners = good["partners"].where(known)
+    # A strict run serves every version, as the source does, and lists the unknown ones in the quarantine besides; a
+    # lenient one serves the known ones. A record without a version has no serving key.
+    partners = good["partners"].where(F.col("schema_version").isNotNull() if strict else known)
     versions = LakeTable(spark, f"{root}/partners", SCHEMAS["partners"])  # a key may recur under another updated_at
     counts["partners"] = versions.replace(partners.select(*PARTNER_COLUMNS))["batch_rows"]
     LakeTable(spark, f"{root}/quarantine/partners", SCHEMAS["quarantine_partners"]).replace(

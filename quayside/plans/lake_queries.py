@@ -101,7 +101,7 @@ def q_batch_incremental_payments(spark, sf):
     return _lake(spark, sf, "payments", "payments")
 
 
-@register("batch_serving_partners", with_ctes(["pt_all"]) + f"SELECT * FROM pt_all WHERE {KNOWN_SQL}")
+@register("batch_serving_partners", with_ctes(["pt_all"]) + "SELECT * FROM pt_all")
 def q_batch_serving_partners(spark, sf):
     return _lake(spark, sf, "serving/partners", "partners")
 
@@ -115,7 +115,7 @@ def q_batch_quarantine_partners(spark, sf):
 def _window_counts(run: int, mode: str, events: str, txns: str, offsets: str) -> str:
     """Counts of a run over the rows in its windows, deduplicated within them."""
     return f"""SELECT CAST({run} AS BIGINT) AS run, '{mode}' AS mode, e.good AS events, e.bots AS bots, t.good AS transactions,
-  t.bad AS rejected_transactions, (SELECT COUNT(*) FROM pt_all WHERE {KNOWN_SQL}) AS partners, p.n AS payments FROM
+  t.bad AS rejected_transactions, (SELECT COUNT(*) FROM pt_all) AS partners, p.n AS payments FROM
   (SELECT COUNT(*) FILTER (NOT bot) AS good, COUNT(*) FILTER (bot) AS bots FROM (
      SELECT COALESCE(lower(trim(is_bot_flag)) IN ('true', '1', 'yes'), false) AS bot FROM raw_events WHERE {events}
      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_date DESC, _seq DESC) = 1)) e,
@@ -200,8 +200,8 @@ def q_upsert_keyed(spark, sf):
 
 @register("merge_partitioned", with_ctes(["tx_all"]) + "SELECT * FROM tx_all")
 def q_merge_partitioned(spark, sf):
-    """Same two deliveries merged in place into a day-partitioned table
-    (re-delivered rows move to a later day partition)."""
+    """Same two deliveries merged in place into a table whose days lie together by
+    month (re-delivered rows move to a later day, or a later month's partition)."""
     from quayside.plans.flows import transactions_all
     from quayside.sinks.lake_table import LakeTable
     from quayside.sinks.lake_write import stage

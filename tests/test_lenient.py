@@ -131,3 +131,13 @@ def test_row_groups_stay_within_their_bounds(spark, scratch):
     assert all(m.row_group(k).total_byte_size <= ROW_GROUP_BYTES for m in footers for k in range(m.num_row_groups))
     sizes = [m.row_group(k).num_rows for m in footers for k in range(m.num_row_groups)]
     assert all(n >= 10_000 for n in sizes)
+
+
+def test_a_strict_run_serves_every_version_and_lists_the_unknown_ones(spark, scratch):
+    root = scratch("versions")
+    raw = typed(feeds(spark, [event("e1")], [txn("t1")], [partner("P1"), partner("P3", "v9"), partner("P4", "")], [payment("p1", "0")]))
+    for mode in ("full", "incremental"):
+        m = run_batch(spark, raw, root).first()
+        assert (m.mode, m.partners) == (mode, 2)
+        assert keys(read_lake(spark, f"{root}/serving/partners", "partners"), "partner_id") == ["P1", "P3"]
+        assert keys(read_lake(spark, f"{root}/quarantine/partners", "quarantine_partners"), "partner_id") == ["P3", "P4"]
