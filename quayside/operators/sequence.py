@@ -47,12 +47,21 @@ def slice_and_number(df: DataFrame, group_col: str, order_cols: list[str],
 
 def assign_sequence(ranged: DataFrame, group_col: str, out_col: str) -> DataFrame:
     """Steps 2-3 over a materialised :func:`slice_and_number` output."""
+    return number_by_slice(ranged, slice_starts(ranged, group_col), group_col, out_col)
+
+
+def slice_starts(ranged: DataFrame, group_col: str) -> DataFrame:
+    """Step 2 and the running sum: per (slice, group) its first id and its starting number."""
     stats = ranged.groupBy("_slice", group_col).agg(F.min("_rid").alias("_first"),
                                                     F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select("_slice", group_col, "_first",
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    joined = ranged.join(stats, ["_slice", group_col])
+    return stats.select("_slice", group_col, "_first",
+                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+
+
+def number_by_slice(ranged: DataFrame, starts: DataFrame, group_col: str, out_col: str) -> DataFrame:
+    """Step 3: ``start + (id - first id)``."""
+    joined = ranged.join(starts, ["_slice", group_col])
     return (joined.withColumn(out_col, F.col("_start") + F.col("_rid") - F.col("_first"))
                   .drop("_slice", "_rid", "_first", "_start"))
 

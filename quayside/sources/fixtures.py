@@ -214,37 +214,43 @@ def raw_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment topic, landed once per (session, data directory).
 
     Numbering offsets is ingest work (a Kafka topic carries them): the feed is
-    numbered and written once to the shared checkpoint folder, with its offsets,
-    and every payment query reads that landed table.
+    sorted and written once to the shared checkpoint folder, each row with its place
+    in its slice, and beside it the number at which each slice starts; an offset is the
+    sum of both. Every payment query reads that landed table.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    from quayside.operators.sequence import assign_sequence
+    from quayside.operators.sequence import number_by_slice, slice_starts
     from quayside.session import scratch_path
-    from quayside.sinks.lake_write import has_parquet, stage, unstage
+    from quayside.sinks.lake_write import has_parquet
 
-    if key not in _LANDED_FEEDS or not has_parquet(spark, _LANDED_FEEDS[key]):
+    if key not in _LANDED_FEEDS or not has_parquet(spark, f"{_LANDED_FEEDS[key]}/starts"):
         path = scratch_path(spark, "landed-payment-stream")
-        sliced = stage(_slice_payment_stream(spark, sf_dir), "sliced-payment-stream")
-        numbered = assign_sequence(sliced, "kafka_partition", "kafka_offset")
-        (numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*PAYMENT_FEED_COLUMNS)
-         .write.mode("overwrite").parquet(path))
-        unstage(sliced)
+        _slice_payment_stream(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/rows")
+        slice_starts(spark.read.parquet(f"{path}/rows"), "kafka_partition").write.mode("overwrite").parquet(f"{path}/starts")
         _LANDED_FEEDS[key] = path
-    return spark.read.parquet(_LANDED_FEEDS[key])
+    # the slices cut the sorted feed, so there are as many starts as slices and Kafka partitions together
+    rows, starts = (spark.read.parquet(f"{_LANDED_FEEDS[key]}/{x}") for x in ("rows", "starts"))
+    numbered = number_by_slice(rows, F.broadcast(starts), "kafka_partition", "kafka_offset")
+    return numbered.withColumn("kafka_offset", F.col("kafka_offset").cast("string")).select(*PAYMENT_FEED_COLUMNS)
 
 
+SLICE_ROWS = 500_000  # at most about as many rows are sorted by one task
+
 PAYMENT_FEED_COLUMNS = ["event_id", "event_type", "transaction_id", "user_id", "partner_id", "amount", "currency",
                         "status", "gateway", "event_ts", "kafka_partition", "kafka_offset", "processing_lag_ms",
                         "is_spike"]
 
 
 def _slice_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's rows, in slices; only the columns that order them are shuffled, the text is made of them after it."""
     from quayside.operators.sequence import slice_and_number
 
     register_base_tables(spark, sf_dir, ["lineitem"])
-    feed = spark.sql("SELECT *," + _PAYMENT_COLUMNS_SQL + _PAYMENT_TAIL_SQL + "\nFROM lineitem")
-    sliced = slice_and_number(feed, "kafka_partition", list(PAYMENT_ORDER))
-    return sliced.select(*[c for c in PAYMENT_FEED_COLUMNS if c != "kafka_offset"], "_slice", "_rid")
+    columns = spark.sql("SELECT CAST(l_suppkey % 8 AS STRING) AS _group, " + ", ".join(PAYMENT_ORDER) + " FROM lineitem")
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-columns.count() // SLICE_ROWS))
+    sliced = slice_and_number(columns, "_group", list(PAYMENT_ORDER), slices)
+    feed = spark.sql("SELECT *," + _PAYMENT_COLUMNS_SQL + _PAYMENT_TAIL_SQL + "\nFROM {sliced}", sliced=sliced)
+    return feed.select(*[c for c in PAYMENT_FEED_COLUMNS if c != "kafka_offset"], "_slice", "_rid")
 
 
 def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

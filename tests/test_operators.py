@@ -338,3 +338,16 @@ def test_running_sum_and_previous_value_match_windows(spark):
     assert running_sum(df, ["g"], "o", "v", "s").select("g", "o", "s").exceptAll(want.select("g", "o", "s")).count() == 0
     back = previous_value(df, ["g"], ["o"], "v", "p").select("g", "o", "p")
     assert back.count() == 3000 and back.exceptAll(want.select("g", "o", "p")).count() == 0
+
+
+def test_landing_payments_shuffles_what_orders_them_in_slices_that_grow_in_number(spark, monkeypatch):
+    from quayside.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(fixtures, "SLICE_ROWS", 300)
+    monkeypatch.setattr(fixtures, "_LANDED_FEEDS", {})
+    sliced = fixtures._slice_payment_stream(spark, sf)
+    plan = sliced._jdf.queryExecution().optimizedPlan().toString()
+    assert "payment_approved" in plan and "payment_approved" not in plan.split("RepartitionByExpression")[1]
+    assert sliced.select("_slice").distinct().count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mine, want = fixtures.raw_payment_stream(spark, sf), spark.sql(fixtures.RAW_PAYMENT_STREAM_SQL)
+    assert mine.count() == want.count() and want.select(*mine.columns).exceptAll(mine).count() == 0
