@@ -38,15 +38,24 @@ FLOAT_PATTERN = (rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[e
 INT_PATTERN = rf"^[+-]?{_DIGITS}$"
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+# What nearly all numbers look like (\z: ``$`` would let a line end through).
+PLAIN_INTEGER, PLAIN_NUMBER = r"^[+-]?\d+\z", r"^[+-]?\d+(?:\.\d+)?\z"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _strip(c) -> Column:
+    return F.btrim(_col(c).cast("string"), F.lit(WHITESPACE))
+
+
 def clean(c) -> Column:
-    """strip() then empty -> NULL."""
-    return F.nullif(F.btrim(_col(c).cast("string"), F.lit(WHITESPACE)), F.lit(""))
+    """strip() then empty -> NULL. Nearly all texts begin and end with a printable ASCII character: these are
+    returned as they are, since a strip looks its whole set up for either end."""
+    text = _col(c).cast("string")
+    plain = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(plain, text).when(text != "", F.nullif(_strip(text), F.lit("")))
 
 
 def lower_clean(c) -> Column:
@@ -63,33 +72,37 @@ def _fail(message: str, value: Column) -> Column:
 
 
 def parse_bool(c, strict: bool = True) -> Column:
-    v = lower_clean(c)
+    text, v = _col(c).cast("string"), F.lower(_strip(c))
     bad = _fail("invalid boolean: ", v) if strict else F.lit(None)
-    return (F.when(v.isNull(), F.lit(None).cast("boolean"))
+    return (F.when(text.isin(*TRUE_WORDS, "True"), F.lit(True))
+            .when(text.isin(*FALSE_WORDS, "False"), F.lit(False))
             .when(v.isin(*TRUE_WORDS), F.lit(True))
             .when(v.isin(*FALSE_WORDS), F.lit(False))
-            .otherwise(bad.cast("boolean")))
+            .when(v != "", bad.cast("boolean")))
 
 
-def _parse(c, pattern: str, target: str, label: str, strict: bool, drop: str = "") -> Column:
-    v = clean(c)
+def _parse(c, pattern: str, target: str, label: str, strict: bool, drop: str = "", plain: str | None = None) -> Column:
+    """``plain``: texts of this form need neither a strip nor the ``drop``, and are cast as they are."""
+    raw, v = _col(c).cast("string"), _strip(c)
     text = F.regexp_replace(v, drop, "") if drop else v
+    to = lambda x: x.cast(target) if strict else x.try_cast(target)
     bad = _fail(f"invalid {label}: ", v) if strict else F.lit(None)
-    return (F.when(v.isNull(), F.lit(None).cast(target))
-            .when(v.rlike(pattern), text.cast(target) if strict else text.try_cast(target))
-            .otherwise(bad.cast(target)))
+    return (F.when(raw.rlike(plain or rf"{pattern[:-1]}\z"), to(raw))
+            .when(raw == "", F.lit(None).cast(target))
+            .when(v.rlike(pattern), to(text))
+            .when(v != "", bad.cast(target)))
 
 
 def parse_float(c, strict: bool = True) -> Column:
-    return _parse(c, FLOAT_PATTERN, "double", "number", strict, "_")
+    return _parse(c, FLOAT_PATTERN, "double", "number", strict, "_", PLAIN_NUMBER)
 
 
 def parse_decimal(c, precision: int = 18, scale: int = 2, strict: bool = True) -> Column:
-    return _parse(c, FLOAT_PATTERN, f"decimal({precision},{scale})", "number", strict, "_")
+    return _parse(c, FLOAT_PATTERN, f"decimal({precision},{scale})", "number", strict, "_", PLAIN_NUMBER)
 
 
 def parse_int(c, target: str = "int", strict: bool = True) -> Column:
-    return _parse(c, INT_PATTERN, target, "integer", strict, "_")
+    return _parse(c, INT_PATTERN, target, "integer", strict, "_", PLAIN_INTEGER)
 
 
 def parse_timestamp(c, strict: bool = True) -> Column:

@@ -112,3 +112,25 @@ def test_partial_zoned_and_impossible_timestamps_are_errors(spark, text):
 def test_numbers_out_of_range_are_null_when_lenient(spark):
     for parse in (lambda c: C.parse_int(c, "int", False), lambda c: C.parse_decimal(c, 18, 2, False)):
         assert _one(spark, parse, "9" * 25) is None
+
+
+def test_plain_texts_are_not_stripped_and_odd_ones_parse_as_before(spark):
+    """The forms with and without the short way, over texts on either side of it."""
+    texts = ["12", "-3", "+4.50", " 7 ", "8\n", "9\u2028", "\u00a05", "1_000", "1_0.5", ".5", "2.", "1e3", "inf", "", "  ", "\x1c", None, "abc",
+             "1d", "_1", "12 3", "\u0663", "2024-01-02", "2024-01-02\n", "2024-01-02 03:04", " 2024-01-02T03:04:05.6", "2024", "True", "TRUE ",
+             " no", "0", "nope", "\u00e9", "\u00e9t\u00e9 ", "x\u3000", "a b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    v = F.nullif(F.btrim("v", F.lit(C.WHITESPACE)), F.lit(""))
+    guarded = lambda pattern, text, kind: F.when(v.rlike(pattern), text.try_cast(kind))
+    number = F.regexp_replace(v, "_", "")
+    pairs = {"clean": (C.clean("v"), v), "float": (C.parse_float("v", False), guarded(C.FLOAT_PATTERN, number, "double")),
+             "money": (C.parse_decimal("v", strict=False), guarded(C.FLOAT_PATTERN, number, "decimal(18,2)")),
+             "int": (C.parse_int("v", strict=False), guarded(C.INT_PATTERN, number, "int")),
+             "time": (C.parse_timestamp("v", False), guarded(C.ISO_PATTERN, v, "timestamp_ntz")),
+             "date": (C.parse_date("v", False), guarded(C.DATE_PATTERN, v, "date")),
+             "bool": (C.parse_bool("v", False), F.when(F.lower(v).isin(*C.TRUE_WORDS), True).when(F.lower(v).isin(*C.FALSE_WORDS), False))}
+    for name, (new, old) in pairs.items():
+        assert df.select(new.alias("r")).schema["r"].dataType == df.select(old.alias("r")).schema["r"].dataType
+        assert [r for r in df.select("v", new.alias("a"), old.alias("b")).collect() if str(r.a) != str(r.b)] == [], name
+    plan = df.select(C.parse_int("v"), C.clean("v"), C.parse_bool("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_common_expr" not in plan  # nothing is stripped ahead of the short way
