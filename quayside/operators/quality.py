@@ -160,16 +160,20 @@ def offset_continuity(feed: DataFrame, partition_col: str = "kafka_partition",
 
 
 def offset_monotonic(feed: DataFrame, arrival: list[str], partition_col: str = "kafka_partition",
-                     offset_col: str = "kafka_offset") -> DataFrame:
+                     offset_col: str = "kafka_offset", slice_size: int = 1_000_000) -> DataFrame:
     """Per Kafka partition, whether its offsets rise in the order of arrival: rows, reversals (an offset below the
     one that arrived before it), repeats, the largest step back, the first offset that came too late.
 
     ``arrival``: columns that order the rows, such as those of :func:`quayside.sources.lake_scan.in_arrival_order`.
+    Where the last is a whole number, such as a position in a file, slices are cut at its multiples of ``slice_size``.
     Rows without an offset are not compared.
     """
     from quayside.operators.sequence import previous_value
     rows = feed.select(F.col(partition_col).cast("int").alias("kafka_partition"), F.col(offset_col).cast("bigint").alias("o"), *arrival)
-    pairs = previous_value(rows.where("o is not null"), ["kafka_partition"], arrival, "o", "before")
+    slices = []
+    if dict(rows.dtypes)[arrival[-1]] in ("int", "bigint"):
+        rows, slices = rows.withColumn("_nth", F.floor(F.col(arrival[-1]) / slice_size)), [*arrival[:-1], "_nth"]
+    pairs = previous_value(rows.where("o is not null"), ["kafka_partition"], arrival, "o", "before", slices)
     back = F.col("o") < F.col("before")
     first = F.min(F.when(back, F.struct(*arrival, "o")))
     return pairs.groupBy("kafka_partition").agg(

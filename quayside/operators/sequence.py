@@ -122,14 +122,17 @@ def running_sum(df: DataFrame, group_cols, order_col: str, value_col: str, out_c
         out_col, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).drop("_slice", "_local", "_carry")
 
 
-def previous_value(df: DataFrame, group_cols, order_cols, value_col: str, out_col: str) -> DataFrame:
+def previous_value(df: DataFrame, group_cols, order_cols, value_col: str, out_col: str, slice_cols=()) -> DataFrame:
     """``lag(value) OVER (PARTITION BY group ORDER BY order)``, a group of any size being spread over
-    slices: the lag within the slice; a slice's first row takes the last value of the slice before."""
-    rows = _in_slices(df, group_cols, order_cols, "previous-value")
-    per_slice = rows.groupBy("_slice", *group_cols).agg(F.max(F.struct(*order_cols, value_col)).alias("_last"))
-    carry = per_slice.select("_slice", *group_cols, F.lag(F.col(f"_last.{value_col}")).over(
-        Window.partitionBy(*group_cols).orderBy("_slice")).alias("_carry"))
-    inside = Window.partitionBy("_slice", *group_cols).orderBy(*order_cols)
-    local = rows.withColumns({"_local": F.lag(value_col).over(inside), "_n": F.row_number().over(inside)})
-    return _joined(local, carry, group_cols).withColumn(
-        out_col, F.when(F.col("_n") == 1, F.col("_carry")).otherwise(F.col("_local"))).drop("_slice", "_local", "_n", "_carry")
+    slices: the lag within the slice, before whose first row stands a row with the last value of the slice before.
+
+    ``slice_cols``: columns that rise with the order (equal orders, equal slices) and cut it into slices that a task
+    can hold. Without any the rows are range-partitioned by sampled bounds, and written once for that."""
+    rows = df if slice_cols else _in_slices(df, group_cols, order_cols, "previous-value")
+    slices = list(slice_cols) or ["_slice"]
+    per_slice = rows.groupBy(*slices, *group_cols).agg(F.max(F.struct(*order_cols, value_col)).alias("_last"))
+    carry = per_slice.select(*slices, *group_cols, F.lit(True).alias("_carry"), F.lag(F.col(f"_last.{value_col}")).over(
+        Window.partitionBy(*group_cols).orderBy(*slices)).alias(value_col)).where(F.col(value_col).isNotNull())
+    every = rows.withColumn("_carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    inside = Window.partitionBy(*slices, *group_cols).orderBy(F.col("_carry").desc(), *order_cols)
+    return every.withColumn(out_col, F.lag(value_col).over(inside)).where(~F.col("_carry")).select(*df.columns, out_col)

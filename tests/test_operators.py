@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -340,6 +341,20 @@ def test_running_sum_and_previous_value_match_windows(spark):
     assert back.count() == 3000 and back.exceptAll(want.select("g", "o", "p")).count() == 0
 
 
+def test_previous_values_by_given_slices_move_the_rows_once(spark, monkeypatch):
+    from quayside.operators import sequence
+    monkeypatch.setattr(sequence, "stage", lambda *a: pytest.fail("rows are written"))
+    df = spark.range(3000).select(F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("g"),
+                                  F.when(F.col("id") % 5 > 0, F.lit("a")).alias("file"), (F.col("id") * 7919 % 3001).alias("o"),
+                                  F.when(F.col("id") % 4 > 0, F.col("id") % 13).alias("v"))
+    df = df.withColumn("nth", F.floor(F.col("o") / 100))
+    back = sequence.previous_value(df, ["g"], ["file", "o"], "v", "p", ["file", "nth"])
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("g").orderBy("file", "o")))
+    assert back.columns == want.columns and back.count() == 3000 and back.exceptAll(want).count() == 0
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 3  # last of each slice, these in order, the rows
+
+
 def test_landing_payments_shuffles_what_orders_them_in_slices_that_grow_in_number(spark, monkeypatch):
     from quayside.sources import fixtures
     sf = "/root/testdata/sf0.001"
