@@ -8,6 +8,10 @@ order over all columns, so the result never depends on task scheduling.
 shuffle: each map task keeps at most one row per key before the exchange, so a
 key repeated millions of times (redelivery storms) ships one row per map task,
 not all its copies.
+
+That limit sorts the whole rows of a map task's input, which grows with the input's splits. A feed
+of more rows than one task should sort goes by key first, in parts of a bounded number of
+rows; only keys that crowd a part keep the limit before the shuffle (:func:`dedupe_in_parts`).
 """
 
 from __future__ import annotations
@@ -16,6 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+TASK_ROWS = 500_000  # about as many rows are sorted by one task
+# Up to as many shuffle partitions (spark.shuffle.sort.bypassMergeThreshold) a task streams its rows to their files;
+# beyond, it holds them. More of them only once a partition would get four times TASK_ROWS.
+STREAMED_PARTS = 200
+COUNTED_BUCKETS = 16_384
+
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,12 +49,34 @@ def dedupe_latest(df: DataFrame, keys, order, tiebreak: str | None = "_seq",
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def dedupe_in_parts(df: DataFrame, key: str, order, order_is_unique: bool = False, task_rows: int = TASK_ROWS) -> DataFrame:
+    """:func:`dedupe_latest` with a bounded number of rows a task, whatever the rows of ``df``.
+
+    A first pass counts rows by buckets of the key (a table of ``COUNTED_BUCKETS`` numbers). It says how many
+    parts the rows need, and which buckets hold a key so frequent that its copies are to be
+    cut before they move."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(COUNTED_BUCKETS))
+    full = F.when(F.col("count") > task_rows, F.struct("bucket", "count"))
+    seen = df.groupBy(bucket.alias("bucket")).count().agg(F.sum("count").alias("rows"), F.collect_list(full).alias("full")).first()
+    total = seen["rows"] or 0
+    if total <= task_rows:
+        return dedupe_latest(df, key, order, order_is_unique=order_is_unique)
+    need = lambda rows: -(-total // rows)
+    parts = max(min(need(task_rows), STREAMED_PARTS), need(4 * task_rows), df.sparkSession.sparkContext.defaultParallelism)
+    crowded = [r["bucket"] for r in seen["full"] if r["count"] > 8 * total // COUNTED_BUCKETS]
+    latest = lambda rows: dedupe_latest(rows, key, order, order_is_unique=order_is_unique)
+    if not crowded:
+        return latest(df.repartition(parts, key))
+    frequent = bucket.isin(crowded)
+    return latest(df.where(~frequent).repartition(parts, key)).union(latest(df.where(frequent)))
+
+
 def dedupe_events(raw: DataFrame) -> DataFrame:
-    return dedupe_latest(raw, "event_id", "ingest_date")
+    return dedupe_in_parts(raw, "event_id", "ingest_date")
 
 
 def dedupe_transactions(raw: DataFrame) -> DataFrame:
-    return dedupe_latest(raw, "transaction_id", "ingest_ts")
+    return dedupe_in_parts(raw, "transaction_id", "ingest_ts")
 
 
 def dedupe_partners(normalized: DataFrame) -> DataFrame:
@@ -58,4 +90,4 @@ def dedupe_payments(raw: DataFrame, strict: bool = True) -> DataFrame:
     partition or offset is no number comes before all others."""
     number = lambda c, t: F.col(c).cast(t) if strict else F.col(c).try_cast(t)
     order = F.struct(number("kafka_partition", "int"), number("kafka_offset", "bigint"))
-    return dedupe_latest(raw, "event_id", order, order_is_unique=True)
+    return dedupe_in_parts(raw, "event_id", order, order_is_unique=True)

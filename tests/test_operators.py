@@ -185,6 +185,24 @@ def test_dedupe_of_a_hot_key_is_limited_before_the_shuffle(spark):
     assert out.count() == 2001
 
 
+def test_dedupe_in_parts_sorts_a_bounded_number_of_rows_and_cuts_frequent_keys_first(spark):
+    from quayside.operators.dedupe import dedupe_in_parts, dedupe_latest
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{i % 1500}", i * 7919 % 3001) for i in range(3000)]
+    df = spark.createDataFrame(rows, "_seq long, k string, v long").repartition(6)
+    out = dedupe_in_parts(df, "k", "v", task_rows=100)
+    lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert any("Exchange hashpartitioning(k#" in line and "30" in line for line in lines)  # 3,000 rows, 100 a part
+    partial = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line]
+    exchange = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(k#" in line]
+    assert exchange[1] < partial[-1]  # the frequent key's copies are cut before its shuffle
+    assert sorted(out.collect(), key=str) == sorted(dedupe_latest(df, "k", "v").collect(), key=str)
+    # without a frequent key no task sorts its input before the shuffle
+    plain = dedupe_in_parts(df.where("k <> 'hot'"), "k", "v", task_rows=100)
+    lines = plain._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("Sort" in line for line in lines[next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(k#" in line):])
+    assert plain.count() == df.where("k <> 'hot'").select("k").distinct().count()
+
+
 def test_argument_checks_and_empty_partner_performance(spark):
     import pytest
     from quayside.operators import analytics
