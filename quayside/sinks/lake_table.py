@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from quayside.contracts import KEYS, NOT_NULL, ON_BROKEN, PARTITION_BY, PARTITION_GRAIN, SCHEMAS
 from quayside.functions.time import epoch_micros
 from quayside.sinks import lake_write as fs
-from quayside.sinks.lake_write import MAX_RECORDS_PER_FILE, ROW_GROUP_BYTES, upsert_keyed
+from quayside.sinks.lake_write import CODEC, MAX_RECORDS_PER_FILE, ROW_GROUP_BYTES, upsert_keyed
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BUCKET_KEYS = 1_000_000
@@ -246,7 +246,8 @@ class LakeTable:
         rows = rows.hint("rebalance", by) if by else rows.hint("rebalance")
         if self.grain:
             rows = rows.sortWithinPartitions(by, self.partition_by)
-        writer = rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
+        writer = (rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
+                  .option("compression", CODEC))
         (writer.partitionBy(by) if by else writer).parquet(path)
         saw = observed(seen, "rows", *[f"null_{c}" for c in self.not_null])
         if not saw["rows"]:
@@ -460,12 +461,16 @@ class LakeTable:
             return self.spark.createDataFrame([], self._key_schema())
         return self.spark.read.schema(self._key_schema()).parquet(*dirs)
 
-    def _write_keys(self, rows: DataFrame, version: int, buckets: int, count: Column) -> int:
-        """Write (keys, _at) rows as ``keys/_commit=<version>``, each bucket sorted by key. Returns ``count`` over the rows."""
+    def _write_keys(self, rows: DataFrame, version: int, buckets: int, count: Column, once: bool = False) -> int:
+        """Write (keys, _at) rows as ``keys/_commit=<version>``, each bucket sorted by key; ``once``: a row per key, after
+        they moved to their bucket, whose ``_n`` counts its rows. Returns ``count`` over the rows."""
         seen = Observation(f"keys-{version}")
-        (rows.withColumn("_bucket", self._bucket(buckets)).repartition("_bucket").sortWithinPartitions("_bucket", *self.keys)
+        rows = rows.withColumn("_bucket", self._bucket(buckets)).repartition("_bucket")
+        if once:
+            rows = rows.groupBy("_bucket", *self.keys).agg(F.min("_at").alias("_at"), F.count(F.lit(1)).alias("_n"))
+        (rows.sortWithinPartitions("_bucket", *self.keys)
          .observe(seen, count.alias("n")).select(*self.keys, "_at", "_bucket")
-         .write.partitionBy("_bucket").parquet(f"{self.root}/keys/_commit={version}"))
+         .write.option("compression", CODEC).partitionBy("_bucket").parquet(f"{self.root}/keys/_commit={version}"))
         return observed(seen, "n")["n"]
 
     def _buckets_of(self, version: int) -> dict[str, int]:
@@ -477,9 +482,8 @@ class LakeTable:
         if not self.keys or not parts:
             return {}, 0
         rows = self.spark.read.schema(self.schema).parquet(f"{self.root}/data/_commit={version}")
-        per_key = rows.select(*self.keys, self._at().alias("_at")).groupBy(*self.keys).agg(
-            F.min("_at").alias("_at"), F.count(F.lit(1)).alias("_n"))
-        repeated = self._write_keys(per_key, version, buckets, F.sum(F.col("_n") - 1))
+        rows = rows.select(*self.keys, self._at().alias("_at"))
+        repeated = self._write_keys(rows, version, buckets, F.sum(F.col("_n") - 1), once=True)
         return self._buckets_of(version), repeated
 
     def _rebuild(self, version: int, parts: list[dict], written: dict, buckets: int, mine: DataFrame) -> tuple[dict, int]:

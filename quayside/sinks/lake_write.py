@@ -13,6 +13,7 @@ from quayside.session import scratch_path
 
 MAX_RECORDS_PER_FILE = 250_000
 ROW_GROUP_BYTES = 128 * 1024 * 1024
+CODEC = "zstd"  # of lake tables and of what is staged or landed for them
 
 
 # ---- file-system helpers (Hadoop FS: works on HDFS/S3/ABFS alike) ------------
@@ -116,7 +117,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out

@@ -267,3 +267,29 @@ def test_long_feeds_have_few_directories(spark, scratch):
     """Payments, transactions and their quarantine: some 2,500 days each in the fixtures."""
     for dataset in ("payments", "transactions", "quarantine_transactions"):
         assert lt.LakeTable.of(spark, scratch(dataset), dataset)._directory().endswith("_date_month")
+
+
+def test_the_locator_of_a_new_snapshot_counts_repeated_keys_and_files_are_zstd(spark, scratch):
+    """The locator of a new snapshot: a row per key, null too, at the least of its partitions."""
+    table = lt.LakeTable(spark, scratch("once"), SCHEMA, ["k"], "d", "t", on_broken={"repeated_keys": "warn"})
+    done = table.replace(frame(spark, ("a", "1", 2), ("a", "2", 1), ("a", "3", 3), (None, "1", 4), (None, "2", 4), ("b", "1", None)))
+    assert (done["rows"], done["broken"]) == (6, {"repeated_keys": 3})
+    keys = spark.read.parquet(f"{table.root}/keys/_commit=1")
+    assert sorted(((r.k, r._at) for r in keys.collect()), key=str) == [("a", "2025-03-01"), ("b", None), (None, "2025-03-04")]
+    for frame_read in (keys, spark.read.parquet(f"{table.root}/data/_commit=1"), fs.stage(table.read(), "tight")):
+        assert frame_read.inputFiles() and all(f.endswith(".zstd.parquet") for f in frame_read.inputFiles())
+
+
+def test_the_locator_of_a_new_snapshot_is_grouped_after_its_only_shuffle(spark, scratch, monkeypatch):
+    sc, write, stages = spark.sparkContext, lt.LakeTable._write_keys, set()
+
+    def watched(self, *args, **kwargs):
+        sc.setJobGroup("locator", "the keys of one commit")
+        out, jobs = write(self, *args, **kwargs), sc.statusTracker()
+        stages.update(s for j in jobs.getJobIdsForGroup("locator") for s in jobs.getJobInfo(j).stageIds)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return out
+
+    monkeypatch.setattr(lt.LakeTable, "_write_keys", watched)
+    lt.LakeTable(spark, scratch("moved"), SCHEMA, ["k"], "d", "t", ["k"]).replace(frame(spark, *[(f"k{i}", "1", 1 + i % 5) for i in range(50)]))
+    assert 0 < len(stages) <= 3  # the map side, and the write, whose job names the map side again
