@@ -9,6 +9,7 @@ from quayside.plans.catalog import _feeds, register
 from quayside.plans.oracle import with_ctes
 from quayside.session import scratch_path
 from quayside.sinks.lake_table import LakeTable, read_lake
+from quayside.sinks.lake_write import CODEC
 from quayside.streaming import payments as st
 
 
@@ -49,10 +50,10 @@ def q_stream_offset_resume(spark, sf):
     secs = epoch_micros("event_ts") / 1_000_000
     half = raw.agg(F.percentile_approx(secs, 0.5)).first()[0]
     early = secs <= F.lit(half)
-    raw.where(early).write.mode("append").parquet(landing)
+    raw.where(early).write.mode("append").option("compression", CODEC).parquet(landing)
     first = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
     again = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
-    raw.where(~early).write.mode("append").parquet(landing)
+    raw.where(~early).write.mode("append").option("compression", CODEC).parquet(landing)
     second = st.run_payment_stream(spark, landing, table, ckpt, raw.schema)
     if again["input_rows"] != 0:
         raise RuntimeError(f"restart without new input re-read {again['input_rows']} rows")

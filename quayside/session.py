@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,25 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict):
+    """The session with these settings within, as before after it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def released_shuffles(spark: SparkSession):
+    """Shuffle files of a statement that ends within go with it, not when the driver's heap is next collected: several
+    statements one after the other hold the disk of the largest, not of them all."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

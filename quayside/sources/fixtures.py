@@ -220,12 +220,13 @@ def raw_payment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     from quayside.operators.sequence import number_by_slice, slice_starts
-    from quayside.session import scratch_path
+    from quayside.session import released_shuffles, scratch_path
     from quayside.sinks.lake_write import CODEC, has_parquet
 
     if key not in _LANDED_FEEDS or not has_parquet(spark, f"{_LANDED_FEEDS[key]}/starts"):
         path = scratch_path(spark, "landed-payment-stream")
-        _slice_payment_stream(spark, sf_dir).write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/rows")
+        with released_shuffles(spark):
+            _slice_payment_stream(spark, sf_dir).write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/rows")
         slice_starts(spark.read.parquet(f"{path}/rows"), "kafka_partition").write.mode("overwrite").parquet(f"{path}/starts")
         _LANDED_FEEDS[key] = path
     # the slices cut the sorted feed, so there are as many starts as slices and Kafka partitions together

@@ -19,8 +19,6 @@ commit, which also names the micro-batch, so a replayed one isn't added twice.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +26,9 @@ from pyspark.sql import types as T
 from quayside.contracts import SCHEMAS
 from quayside.functions.time import epoch_micros, micros_to_ntz
 from quayside.operators.normalize import normalize_payments
+from quayside.session import released_shuffles, settings
 from quayside.sinks.lake_table import LakeTable
-from quayside.sinks.lake_write import stage, unstage
+from quayside.sinks.lake_write import CODEC, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -77,7 +76,7 @@ def land_in_chunks(feed: DataFrame, landing: str, order_col, chunks: int, after=
         start, end = lo_v + k * width, lo_v + (k + 1) * width
         cond = (key >= start) & (key < end) if k < chunks - 1 else (key >= start) | key.isNull()
         seen = Observation(f"chunk-{k}")
-        feed.where(cond).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing)
+        feed.where(cond).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").option("compression", CODEC).parquet(landing)
         counts.append(seen.get["rows"])
         if after:
             after()
@@ -94,16 +93,13 @@ def payment_stream(spark: SparkSession, landing: str, schema, files_per_trigger:
     return reader.parquet(landing)
 
 
-@contextmanager
-def _rocksdb(spark: SparkSession):
-    """Streams started within keep their state in RocksDB: on local disk and in the checkpoint, not on the heap."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _rocksdb(spark: SparkSession, release: bool = False):
+    """Streams started within keep their state in RocksDB: on local disk and in the checkpoint, not on the heap, in
+    blocks of zstd large enough to hold many rows of a kind. ``release``: a task gives up its local copy once it has
+    committed, as no later micro-batch of the run needs it; the next run loads the checkpoint's."""
+    rocksdb = "spark.sql.streaming.stateStore.rocksdb"
+    return settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocksdb}.compression": CODEC,
+                            f"{rocksdb}.blockSizeKB": "32", "spark.sql.streaming.stateStore.unloadOnCommit": str(release).lower()})
 
 
 def _run(query) -> int:
@@ -141,7 +137,7 @@ def run_payment_stream(spark: SparkSession, landing: str, table: str, checkpoint
     """Consume everything available now, merge it, stop. Returns totals and what each merge did."""
     done: list[dict] = []
     stream = payment_stream(spark, landing, schema, files_per_trigger)
-    with _rocksdb(spark):
+    with _rocksdb(spark, release=not files_per_trigger), released_shuffles(spark):
         rows = _run(latest_deliveries(stream, "event_id", "kafka_partition", "kafka_offset", life).writeStream
                     .outputMode("update").option("checkpointLocation", checkpoint)
                     .foreachBatch(merge_payments_batch(LakeTable.of(spark, table, "payments"), done)))

@@ -1,6 +1,8 @@
 """Stream restart equals batch; windows and late rows; dedupe by state and locator."""
 
 import datetime as dt
+import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -69,6 +71,40 @@ def test_state_is_kept_in_rocksdb_and_released(spark, scratch):
     assert all(p["numRowsDroppedByWatermark"] == 0 for p in progress)
 
 
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in (x.getName() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))
+            if f.startswith("shuffle_")}
+
+
+def _state_files(spark):
+    """Of the state's copies on local disk."""
+    root = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    return {os.path.join(d, f) for x in os.listdir(root) if x.startswith("StateStoreId")
+            for d, _, files in os.walk(os.path.join(root, x)) for f in files if f.endswith(".sst")}
+
+
+def test_a_run_leaves_no_shuffle_files_and_merges_without_local_state(spark, scratch, monkeypatch):
+    """Else the disk holds every shuffle of the run, and the state twice."""
+    feed, merge, held = _feed(spark), LakeTable.merge, []
+    landing, table, ckpt = scratch("landing"), scratch("table"), scratch("ckpt")
+    st.land_in_chunks(feed, landing, F.col("kafka_offset").cast("bigint"), 2)
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(landing).inputFiles())
+    shuffles, state = _shuffle_files(spark), _state_files(spark)
+
+    def watched(self, rows, *args, **kwargs):
+        held.append((_shuffle_files(spark) - shuffles, _state_files(spark) - state))
+        return merge(self, rows, *args, **kwargs)
+
+    monkeypatch.setattr(LakeTable, "merge", watched)
+    st.run_payment_stream(spark, landing, table, ckpt, feed.schema)
+    assert held[0][0] and not any(files for _, files in held)
+    end = time.time() + 10  # they are deleted in the background
+    while (left := _shuffle_files(spark) - shuffles) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+
+
 def _windows(spark, table):
     return st.window_table(spark, table).read().drop("window_month")
 
