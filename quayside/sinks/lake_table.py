@@ -50,6 +50,7 @@ from quayside.sinks.lake_write import CODEC, MAX_RECORDS_PER_FILE, ROW_GROUP_BYT
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BUCKET_KEYS = 1_000_000
 MOST_FILES, FULL_FILE_BYTES = 8, 128 * 1024 * 1024
+SLICE_ROWS, MOST_SLICES = 4_000_000, 6  # a merge moves about as many rows at a time; each slice adds a file to a partition
 MOST_DAYS = 31  # a new table of no more days has a directory a day, whatever its grain
 LEAST_BUCKETS, MOST_BUCKETS = 16, 65_536
 
@@ -234,22 +235,35 @@ class LakeTable:
             fs.delete_path(self.spark, path)
         return rows.where(~bad), n
 
-    def _write(self, rows: DataFrame, version: int) -> tuple[list[dict], dict]:
-        """Write ``data/_commit=<version>`` and its zones. Returns (partition entries, what was observed)."""
-        seen = Observation(f"commit-{version}")
+    def _write_rows(self, rows: DataFrame, version: int, name: str, mode: str) -> dict[str, int]:
+        """Write rows into ``data/_commit=<version>``; returns what was observed."""
+        seen = Observation(name)
         rows = rows.select(*self.schema.names).observe(
             seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.not_null])
-        path = f"{self.root}/data/_commit={version}"
         by = self._directory()
         if self.grain:
             rows = rows.withColumn(by, F.trunc(self.partition_by, self.grain))
         rows = rows.hint("rebalance", by) if by else rows.hint("rebalance")
         if self.grain:
             rows = rows.sortWithinPartitions(by, self.partition_by)
-        writer = (rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
+        writer = (rows.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES)
                   .option("compression", CODEC))
-        (writer.partitionBy(by) if by else writer).parquet(path)
-        saw = observed(seen, "rows", *[f"null_{c}" for c in self.not_null])
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/data/_commit={version}")
+        return observed(seen, "rows", *[f"null_{c}" for c in self.not_null])
+
+    def _slices(self, rows: int) -> int:
+        """In how many slices of the keys a merge of so many rows is written: it holds the shuffled rows of one slice at a time."""
+        return min(MOST_SLICES, max(1, math.ceil(rows / SLICE_ROWS)))
+
+    def _write(self, rows: DataFrame, version: int, slices: int = 1) -> tuple[list[dict], dict]:
+        """Write ``data/_commit=<version>`` and its zones. Returns (partition entries, what was observed). ``slices``: rows go by
+        so many slices of their keys, one after the other; the planner filters what ``rows`` are merged from."""
+        path = f"{self.root}/data/_commit={version}"
+        saw: dict[str, int] = {}
+        for k in range(slices):
+            mine = rows.where(F.pmod(F.xxhash64(*self.keys), F.lit(slices)) == k) if slices > 1 else rows
+            for name, n in self._write_rows(mine, version, f"commit-{version}-{k}", "append" if k else "error").items():
+                saw[name] = saw.get(name, 0) + n
         if not saw["rows"]:
             return [], saw
         back = self.spark.read.schema(self.schema).parquet(path)
@@ -308,15 +322,15 @@ class LakeTable:
                 "event_time": self.event_time, "not_null": self.not_null, "on_broken": self.on_broken, "properties": properties, "parts": parts, "buckets": buckets, "keys": keys,
                 "written": {v: n for v, n in written.items() if v in live}}
 
-    def replace(self, rows: DataFrame, properties: dict | None = None, days_of: DataFrame | None = None) -> dict:
+    def replace(self, rows: DataFrame, properties: dict | None = None, days_of: DataFrame | None = None, slices: int = 1) -> dict:
         """A new snapshot of ``rows`` alone: rows of null partition values and no rows at all included.
-        ``days_of``: the staged rows that ``rows`` were made of, to count days."""
+        ``days_of``: the staged rows that ``rows`` were made of, to count days; ``slices``: see :meth:`_write`."""
         version = self._next_version()
         if self.contract_grain:
             days = (rows if days_of is None else days_of).select(self.partition_by).distinct().limit(MOST_DAYS + 1).count()
             self.grain = self.contract_grain if days > MOST_DAYS else None
         rows, rejected = self._admit(self._conform(rows), version)
-        parts, saw = self._write(rows, version)
+        parts, saw = self._write(rows, version, slices)
         buckets = self._bucket_count(saw["rows"])
         keys, repeated = self._build_keys(version, parts, buckets)
         broken = self._check(saw | {"repeated_keys": repeated}, version)
@@ -335,10 +349,10 @@ class LakeTable:
         kept = F.lit(True) if keep is None else keep
         buckets = before["buckets"]
         at = F.struct(F.when(kept, self._at()).alias("at"), kept.alias("k"))
-        asked_buckets, wanted, broken = self._asked(delta, buckets, at, version)
+        asked_buckets, wanted, broken, n = self._asked(delta, buckets, at, version)
         if not before["parts"]:
             fresh = upsert_keyed(None, delta, self.keys, order).where(kept)
-            return self.replace(fresh, before["properties"] | (properties or {}), delta) | {"rejected": rejected, "broken": broken}
+            return self.replace(fresh, before["properties"] | (properties or {}), delta, self._slices(n)) | {"rejected": rejected, "broken": broken}
         if not asked_buckets:
             return self._unchanged(before, rejected, properties)
         mine = delta.select(*self.keys).distinct()
@@ -350,7 +364,7 @@ class LakeTable:
         anew = set(located) | (touched & self._crowded(before))
         old = [p for p in before["parts"] if p["at"] in anew]
         merged = upsert_keyed(self._open(before, old), delta, self.keys, order).where(kept)
-        parts, saw = self._write(merged, version)
+        parts, saw = self._write(merged, version, self._slices(n + sum(p["rows"] for p in old)))
         written = before["written"] | {str(version): len(parts)}
         parts = [p for p in before["parts"] if p["at"] not in anew] + parts
         total = sum(p["rows"] for p in parts)
@@ -371,14 +385,14 @@ class LakeTable:
             spare[p["at"]] = spare.get(p["at"], 0) + p["files"] - p["bytes"] / FULL_FILE_BYTES
         return {at for at, n in spare.items() if n > MOST_FILES - 1}
 
-    def _asked(self, delta: DataFrame, buckets: int, at: Column, version: int) -> tuple[list[int], list, dict[str, int]]:
-        """Buckets of ``delta``'s keys, where it wants its rows, and its rows per broken rule, in one pass over
+    def _asked(self, delta: DataFrame, buckets: int, at: Column, version: int) -> tuple[list[int], list, dict[str, int], int]:
+        """Buckets of ``delta``'s keys, where it wants its rows, its rows per broken rule, and all its rows, in one pass over
         the batch; raises before anything is written if a rule fails the commit."""
         rows = delta.select(self._bucket(buckets).alias("_bucket"), at.alias("_want"), *[F.col(c).isNull().alias(f"_null_{c}") for c in self.not_null])
-        found = rows.agg(F.collect_set("_bucket").alias("buckets"), F.collect_set("_want").alias("want"), *[
+        found = rows.agg(F.collect_set("_bucket").alias("buckets"), F.collect_set("_want").alias("want"), F.count(F.lit(1)).alias("rows"), *[
             F.count_if(f"_null_{c}").alias(f"null_{c}") for c in self.not_null]).first()  # a number per bucket, a value per partition
         broken = self._check({f"null_{c}": found[f"null_{c}"] for c in self.not_null}, version)
-        return sorted(found["buckets"]), found["want"], broken
+        return sorted(found["buckets"]), found["want"], broken, found["rows"]
 
     def _unchanged(self, before: dict, rejected: int, properties: dict | None = None) -> dict:
         if properties:
@@ -393,7 +407,7 @@ class LakeTable:
         version = self._next_version()
         delta, rejected = self._admit(self._conform(delta), version)
         fresh = upsert_keyed(None, delta, self.keys)
-        asked, _, broken = self._asked(delta, before["buckets"], F.lit(0), version)
+        asked, _, broken, _ = self._asked(delta, before["buckets"], F.lit(0), version)
         if not before["parts"]:
             return self.replace(fresh, before["properties"], delta) | {"rejected": rejected, "broken": broken}
         if not asked:

@@ -293,3 +293,37 @@ def test_the_locator_of_a_new_snapshot_is_grouped_after_its_only_shuffle(spark,
     monkeypatch.setattr(lt.LakeTable, "_write_keys", watched)
     lt.LakeTable(spark, scratch("moved"), SCHEMA, ["k"], "d", "t", ["k"]).replace(frame(spark, *[(f"k{i}", "1", 1 + i % 5) for i in range(50)]))
     assert 0 < len(stages) <= 3  # the map side, and the write, whose job names the map side again
+
+
+def test_a_large_merge_goes_by_slices_of_its_keys(spark, scratch, monkeypatch):
+    """Each slice is merged by itself, so that is what is shuffled at a time; rows, keys and contract are as without."""
+    old = [(f"k{i}" if i else None, "1", 1 + i % 3) for i in range(60)] + [("n", "1", None)]
+    new = [(f"k{i}" if i else None, "2", 1 + i % 4) for i in range(0, 90, 2)] + [("n", "2", 3), ("m", "2", None), ("k2", "3", 2)]
+    write, wrote = lt.LakeTable._write_rows, []
+
+    def watched(self, *args, **kwargs):
+        wrote.append(write(self, *args, **kwargs)["rows"])
+        return {"rows": wrote[-1]}
+
+    monkeypatch.setattr(lt.LakeTable, "_write_rows", watched)
+
+    def merged(name, slice_rows, many):
+        monkeypatch.setattr(lt, "SLICE_ROWS", slice_rows)
+        table = lt.LakeTable(spark, scratch(name), SCHEMA, ["k"], "d", "t")
+        done = [table.merge(frame(spark, *rows), [F.col("v")], keep=F.coalesce(F.col("k") != "k4", F.lit(True))) for rows in (old, new)]
+        assert len(wrote) == many
+        one, each = done[1], list(wrote)
+        wrote.clear()
+        return content(table), sorted(map(str, table._known(table.manifest(), range(lt.LEAST_BUCKETS)).collect())), \
+            [{k: x for k, x in d.items() if k not in ("version", "partitions_read")} for d in done], one, each
+
+    whole, sliced = merged("whole", 1000, 2), merged("sliced", 40, 2 + 3)
+    assert whole[:3] == sliced[:3] and len(whole[0]) > 70
+    assert max(sliced[4]) < 60 and sum(sliced[4]) == sum(whole[4])
+    assert lt.LakeTable(spark, scratch("none"), SCHEMA, ["k"])._slices(10 ** 9) == lt.MOST_SLICES
+
+
+def test_a_slice_filters_what_a_merge_reads(spark, scratch):
+    both = fs.upsert_keyed(fs.stage(frame(spark, ("a", "1", 1)), "old"), fs.stage(frame(spark, ("a", "2", 1)), "new"), ["k"])
+    plan = both.where(F.pmod(F.xxhash64("k"), F.lit(3)) == 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pmod(xxhash64(k") == 2 and plan.rindex("Window [") < plan.index("pmod(xxhash64(k")
